@@ -66,3 +66,27 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tabreg`` importable in Python workers (Arrow/NumPy tasks pickle
+    its helpers by reference): zip the package once per application and
+    register it with ``addPyFile``, as ``--py-files`` would on a cluster."""
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="tabreg-py-"), "tabreg.zip")
+    with zipfile.ZipFile(out, "w") as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)
