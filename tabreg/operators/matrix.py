@@ -22,7 +22,7 @@ from .rows import row_index
 # Largest dense matrix (cells) collected to be shipped with a job.
 MAX_SMALL_CELLS = 4_000_000
 # Above this many multiply-adds per row a projection goes through Arrow/NumPy.
-NATIVE_TERMS = 4096
+NATIVE_TERMS = 256
 
 
 def _x(c) -> Column:

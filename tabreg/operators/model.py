@@ -206,9 +206,9 @@ def mlp_score(df: DataFrame, model: MLP, feature_cols=None, *, array_col: str |
 def gradient_job(df: DataFrame, models: list, *, x_col: str = "x", y_col: str = "y",
                  tie: float = 0.0) -> DataFrame:
     """Partial gradient sums for one or more parameter sets over the rows of
-    ``df`` (already filtered to one batch): output (cfg, k, value) where
-    k < n_params are gradient sums, k = n_params the loss sum, k = n_params+1
-    the row count. One row per (cfg, k) per partition, summed by key."""
+    ``df`` (already filtered to one batch): one row per partition and config,
+    ``(cfg, value array)`` where ``value[:P]`` are gradient sums, ``value[P]``
+    the loss sum and ``value[P+1]`` the row count. No shuffle."""
     ship_package(df.sparkSession)
     spark = df.sparkSession
     payload = [(m.params, m.activation) for m in models]
@@ -232,31 +232,36 @@ def gradient_job(df: DataFrame, models: list, *, x_col: str = "x", y_col: str =
                 loss[c] += lo
         if cnt == 0:
             return
-        cfg, ks, vs = [], [], []
-        for c, g in enumerate(acc):
-            m = len(g)
-            cfg.append(np.full(m + 2, c, dtype=np.int32))
-            ks.append(np.arange(m + 2, dtype=np.int32))
-            vs.append(np.concatenate([g, [loss[c], float(cnt)]]))
+        vals = [np.concatenate([g, [loss[c], float(cnt)]]) for c, g in enumerate(acc)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(cfg)), pa.array(np.concatenate(ks)), pa.array(np.concatenate(vs))],
-            names=["cfg", "k", "value"])
+            [pa.array(np.arange(len(vals), dtype=np.int32)), pa.array([v for v in vals], pa.list_(pa.float64()))],
+            names=["cfg", "value"])
 
-    parts = src.mapInArrow(fn, "cfg int, k int, value double")
-    return parts.groupBy("cfg", "k").agg(F.sum("value").alias("value"))
+    return src.mapInArrow(fn, "cfg int, value array<double>")
+
+
+# With more partial rows than this, partials are summed by a keyed aggregate
+# (a second distributed level) before they reach the driver.
+DRIVER_SUM_PARTITIONS = 64
 
 
 def collect_gradients(job: DataFrame, models: list):
     """Run a gradient job; return per config (mean gradient, mean loss, n).
-    The collected rows number configs x (params + 2): parameter-sized."""
-    rows = job.collect()
+    The driver receives at most DRIVER_SUM_PARTITIONS partial arrays per
+    config, or one summed array per config: parameter-sized either way."""
+    sizes = [m.n_params + 2 for m in models]
+    tot = [np.zeros(s) for s in sizes]
+    if job.rdd.getNumPartitions() <= DRIVER_SUM_PARTITIONS:
+        for r in job.collect():
+            tot[r["cfg"]] += np.asarray(r["value"], dtype=np.float64)
+    else:
+        long = job.select("cfg", F.posexplode("value").alias("k", "v"))
+        for r in long.groupBy("cfg", "k").agg(F.sum("v").alias("v")).collect():
+            tot[r["cfg"]][r["k"]] += r["v"]
     out = []
     for c, m in enumerate(models):
         P = m.n_params
-        v = np.zeros(P + 2)
-        for r in rows:
-            if r["cfg"] == c:
-                v[r["k"]] = r["value"]
+        v = tot[c]
         n = v[P + 1]
         if n == 0:
             out.append((np.zeros(P), float("nan"), 0))

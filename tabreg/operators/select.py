@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_FINAL = 50_000
+MAX_FINAL = 10_000
 ACCURACY = 20_000
 
 

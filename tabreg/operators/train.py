@@ -152,6 +152,16 @@ class _Run:
 
 # ------------------------------------------------------------- the loop
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a table that is scanned once per step at least one partition per
+    core; AQE may have coalesced a small join output into one. Large inputs
+    already have more partitions and are left as they are (no shuffle)."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df
+
+
 def prepare_table(df: DataFrame, features, target: str, *, key: str | None = None,
                   extra=()) -> DataFrame:
     """Features as one ``x`` array<double> column (nulls -> 0), target ``y``."""
@@ -242,9 +252,9 @@ def fit(train: DataFrame, models: list, configs: list, *, val: DataFrame | None
         if (c.batch_size, c.shuffle, c.seed) != (c0.batch_size, c0.shuffle, c0.seed):
             raise ValueError("configs in one fit must share batch_size, shuffle and seed")
     t0 = time.time()
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    train = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
     if val is not None:
-        val = val.persist(StorageLevel.MEMORY_AND_DISK)
+        val = spread(val).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n = train.count() if n_train is None else n_train
         bs = c0.batch_size or max(1, math.ceil(n / 10))

@@ -472,3 +472,8 @@ def q_epoch_loss(spark, d):
     u = parts[0].unionByName(parts[1]).unionByName(parts[2])
     out = M.epoch_loss(u, "pred", "actual", epoch="epoch")
     return out.select(F.col("epoch").cast("int").alias("epoch"), rnd("epoch_loss", 8).alias("epoch_loss"))
+
+
+def _register_all():
+    # importing the other catalogues registers their queries
+    from . import catalog_io, catalog_model  # noqa: F401
