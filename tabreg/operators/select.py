@@ -7,7 +7,8 @@ the whole column in one task. Here an exact rank is found by narrowing:
 1. a mergeable ``percentile_approx`` sketch brackets each wanted rank,
 2. one conditional-count aggregate verifies the bracket exactly,
 3. the bracket's *distinct values with counts* (bounded by ``max_final``) are
-   collected and the rank is read off; a bracket too wide is narrowed again.
+   collected and the rank is read off; a bracket with too many distinct
+   values (an HLL estimate from the same aggregate) is narrowed again.
 
 Every pass is a scan plus a partial aggregate; filters on the bracket reach the
 Parquet reader. A hot value holding a third of all rows collapses to a single
@@ -91,10 +92,13 @@ def select_ranks(df: DataFrame, sort_col, ranks: list[int], *, proxy=None,
                 inside = inside & (F.col("_p") >= F.lit(lo))
             if hi is not None:
                 inside = inside & (F.col("_p") <= F.lit(hi))
-            exprs += [F.count_if(lt).alias(f"b{r}"), F.count_if(inside).alias(f"i{r}")]
+            exprs += [F.count_if(lt).alias(f"b{r}"), F.count_if(inside).alias(f"i{r}"),
+                      F.approx_count_distinct(F.when(inside, F.col("_s"))).alias(f"d{r}")]
         cnt = base.agg(*exprs).first()
         nxt = {}
+        distinct = {}
         for r in keys:
+            distinct[r] = int(cnt[f"d{r}"])
             lo, hi = new_brackets[r]
             b_r, i_r = int(cnt[f"b{r}"]), int(cnt[f"i{r}"])
             if not (b_r <= r < b_r + i_r):
@@ -113,7 +117,9 @@ def select_ranks(df: DataFrame, sort_col, ranks: list[int], *, proxy=None,
                 part = part.where(F.col("_p") >= F.lit(lo))
             if hi is not None:
                 part = part.where(F.col("_p") <= F.lit(hi))
-            if sub_n[rs[0]] > max_final and not (lo is not None and lo == hi):
+            # few distinct values (e.g. one hot value) are read off directly
+            few = min(distinct.get(r, max_final + 1) for r in rs) <= 0.8 * max_final
+            if sub_n[rs[0]] > max_final and not few and not (lo is not None and lo == hi):
                 for r in rs:
                     pending[r] = (lo, hi)
                 continue
