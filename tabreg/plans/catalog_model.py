@@ -200,8 +200,16 @@ def q_mlp_gradient(spark, d):
     return mlp_gradient(first, MLP.create((8, 64, 32, 1), "relu", "xavier_normal", 42))
 
 
+_RUNS: dict = {}
+
+
 def _rust_run(spark, d):
-    return W.rust_flavour(spark, d)
+    """One training run per (application, table folder), shared by the
+    run-table queries (history, batch losses, evaluation, persistence)."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _RUNS:
+        _RUNS[key] = W.rust_flavour(spark, d)
+    return _RUNS[key]
 
 
 @query("train_mlp")

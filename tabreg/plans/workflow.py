@@ -21,6 +21,7 @@ from ..operators import rows as R
 from ..operators import scale as S
 from ..operators import train as T
 from ..operators.model import MLP
+from ..session import shared_path
 from . import housing as H
 
 
@@ -34,34 +35,40 @@ class Prepared:
     target_model: object
 
 
-def dense_positions(df: DataFrame, col: str, n: int) -> bool:
-    """True when ``col`` holds exactly 0..n-1 (one aggregate)."""
-    r = df.agg(F.min(col).alias("a"), F.max(col).alias("b")).first()
-    return n == 0 or (r["a"] == 0 and r["b"] == n - 1)
-
-
 def prepare(spark: SparkSession, sf_dir: str, *, ddof: int = 1, scale_target: bool = False,
             train_frac: float = 0.8, batch_size: int | None = None, flavour: str = "rust",
             synthetic: bool = False) -> Prepared:
-    """Scaled housing_like with positions, split 80/20 by source position and
-    labelled with positional batches. The fit is one aggregate; positions come
-    from file metadata; the split is a predicate; no data shuffle besides the
-    joins that build the table."""
-    df = H.housing_like(spark, sf_dir, position=True)
+    """housing_like with source positions, written once to the shared
+    checkpoint folder (the joins run once and the lineage of every later
+    training job starts at that table); then ONE aggregate over it fits the
+    scaler(s), counts rows and checks the positions; scaling is a projection
+    at read time; the 80/20 split is a predicate on the position and batches
+    are ``floor(position / size)``."""
+    path = shared_path(spark, "prepared")
+    H.housing_like(spark, sf_dir, position=True).write.mode("overwrite").parquet(path)
+    base = spark.read.parquet(path)
+    scalers = [S.StandardScaler(H.FEATURES, ddof)]
+    if scale_target:
+        scalers.append(S.StandardScaler([H.TARGET], ddof))
+    exprs = [e for sc in scalers for e in sc.fit_exprs()]
+    row = base.agg(*exprs, F.count(F.lit(1)).alias("_n"), F.min("row_pos").alias("_lo"),
+                   F.max("row_pos").alias("_hi")).first()
+    models = [sc.model_from_row(row) for sc in scalers]
+    fm = models[0]
+    tm = models[1] if scale_target else None
+    n = int(row["_n"])
+    sel = [fm.expr(c).alias(c) for c in H.FEATURES]
+    sel.append(tm.expr(H.TARGET).alias(H.TARGET) if tm else F.col(H.TARGET))
+    scaled = base.select(*sel, "row_pos")
     target = H.TARGET
-    scaled, fm, tm = S.preprocess(df, H.FEATURES, target, ddof=ddof,
-                                  scale_target=scale_target, keep=["row_pos"])
     if synthetic:
         scaled = H.synthetic_target(scaled, "y_syn")
         target = "y_syn"
-    n = df.count()
     k = int(train_frac * n)
-    if dense_positions(scaled, "row_pos", n):
-        pos = "row_pos"
-        data = scaled
+    if n == 0 or (row["_lo"] == 0 and row["_hi"] == n - 1):
+        data, pos = scaled, "row_pos"
     else:   # rows were lost in the joins: re-rank the surviving positions
-        data = R.row_index(scaled, "row_pos", "_rank", n=n)
-        pos = "_rank"
+        data, pos = R.row_index(scaled, "row_pos", "_rank", n=n), "_rank"
     bs = batch_size or R.default_batch_size(k, flavour)
     table = T.prepare_table(data, H.FEATURES, target, key=pos)
     train = (table.where(F.col("key") < k)
