@@ -118,8 +118,22 @@ def forward_np(params, act: str, X: np.ndarray) -> np.ndarray:
     return a
 
 
-def grad_np(params, act: str, X: np.ndarray, y: np.ndarray, tie: float = 0.0):
-    """Σ over rows of d|p - y|/dθ (flattened like ``MLP.flat``), Σ|p - y|.
+def mae_pair(diff: np.ndarray, tie: float = 0.0):
+    """MAE per cell and its derivative w.r.t. the prediction (sign; ``tie``
+    at exactly 0, 0.0 by default)."""
+    g = np.sign(diff)
+    if tie != 0.0:
+        g = np.where(diff == 0, tie, g)
+    return np.abs(diff), g
+
+
+# Loss extension point: name -> f(diff = pred - target, tie) -> (per-cell
+# value, per-cell gradient). Functions must be importable by the workers.
+LOSSES = {"mae": mae_pair}
+
+
+def grad_np(params, act: str, X: np.ndarray, y: np.ndarray, tie: float = 0.0, loss: str = "mae"):
+    """Σ over rows of d loss/dθ (flattened like ``MLP.flat``) and Σ loss.
     Sums, not means: the driver divides by the global count once."""
     acts, zs = [X], []
     a = X
@@ -129,11 +143,9 @@ def grad_np(params, act: str, X: np.ndarray, y: np.ndarray, tie: float = 0.0):
         zs.append(z)
         a = z if k == last else _act(z, act)
         acts.append(a)
-    diff = a - y.reshape(-1, a.shape[1]) if a.ndim == 2 else a - y
-    loss = float(np.abs(diff).sum())
-    g = np.sign(diff)
-    if tie != 0.0:
-        g = np.where(diff == 0, tie, g)
+    diff = a - y.reshape(-1, a.shape[1])
+    val, g = LOSSES[loss](diff, tie)
+    total = float(val.sum())
     grads = [None] * len(params)
     for k in range(last, -1, -1):
         W, _ = params[k]
@@ -143,7 +155,7 @@ def grad_np(params, act: str, X: np.ndarray, y: np.ndarray, tie: float = 0.0):
         if k > 0:
             g = g @ W.T
     flat = np.concatenate([np.concatenate([gw.ravel(), gb]) for gw, gb in grads])
-    return flat, loss
+    return flat, total
 
 
 # ---------------------------------------------------------------- scoring
@@ -204,7 +216,7 @@ def mlp_score(df: DataFrame, model: MLP, feature_cols=None, *, array_col: str |
 # --------------------------------------------------------------- gradients
 
 def gradient_job(df: DataFrame, models: list, *, x_col: str = "x", y_col: str = "y",
-                 tie: float = 0.0) -> DataFrame:
+                 tie: float = 0.0, loss: str = "mae") -> DataFrame:
     """Partial gradient sums for one or more parameter sets over the rows of
     ``df`` (already filtered to one batch): one row per partition and config,
     ``(cfg, value array)`` where ``value[:P]`` are gradient sums, ``value[P]``
@@ -218,7 +230,7 @@ def gradient_job(df: DataFrame, models: list, *, x_col: str = "x", y_col: str =
     def fn(it):
         sets = bc.value
         acc = [None] * len(sets)
-        loss = [0.0] * len(sets)
+        lsum = [0.0] * len(sets)
         cnt = 0
         for batch in it:
             if batch.num_rows == 0:
@@ -227,17 +239,19 @@ def gradient_job(df: DataFrame, models: list, *, x_col: str = "x", y_col: str =
             y = batch.column(1).fill_null(0.0).to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, 1)
             cnt += batch.num_rows
             for c, (params, act) in enumerate(sets):
-                g, lo = grad_np(params, act, X, y, tie)
+                g, lo = grad_np(params, act, X, y, tie, loss)
                 acc[c] = g if acc[c] is None else acc[c] + g
-                loss[c] += lo
+                lsum[c] += lo
         if cnt == 0:
             return
-        vals = [np.concatenate([g, [loss[c], float(cnt)]]) for c, g in enumerate(acc)]
+        vals = [np.concatenate([g, [lsum[c], float(cnt)]]) for c, g in enumerate(acc)]
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(len(vals), dtype=np.int32)), pa.array([v for v in vals], pa.list_(pa.float64()))],
             names=["cfg", "value"])
 
-    return src.mapInArrow(fn, "cfg int, value array<double>")
+    out = src.mapInArrow(fn, "cfg int, value array<double>")
+    out._tabreg_broadcasts = [bc]   # released by collect_gradients
+    return out
 
 
 # With more partial rows than this, partials are summed by a keyed aggregate
@@ -258,6 +272,8 @@ def collect_gradients(job: DataFrame, models: list):
         long = job.select("cfg", F.posexplode("value").alias("k", "v"))
         for r in long.groupBy("cfg", "k").agg(F.sum("v").alias("v")).collect():
             tot[r["cfg"]][r["k"]] += r["v"]
+    for bc in getattr(job, "_tabreg_broadcasts", []):
+        bc.unpersist()
     out = []
     for c, m in enumerate(models):
         P = m.n_params

@@ -56,6 +56,54 @@ def md5_proxy(h: Column) -> Column:
     return F.conv(F.substring(h, 1, 15), 16, 10).cast("long").cast("double")
 
 
+def hash_ranks(df: DataFrame, h, ranks, n: int, *, max_final: int = 20_000) -> list:
+    """Values of a uniform hex-hash column (md5) at 0-based ``ranks``.
+
+    Uniformity makes a prefix histogram an exact, balanced bucketing: one
+    job counts rows per leading-hex prefix (at most 16^4 groups), the driver
+    locates each rank's bucket from prefix sums, and one more job collects
+    only the target buckets (about n/16^d rows each). A bucket still too big
+    is split again on the next digits. Typically two jobs in all."""
+    hc = _c(h)
+    base = df.select(hc.alias("_h"))
+    out: dict = {}
+    # pending: prefix -> list of (rank, rank within prefix); "" = everything
+    pending = {"": [(r, r) for r in sorted(set(ranks))]}
+    sizes = {"": n}
+    while pending:
+        nxt: dict = {}
+        small = {p: rs for p, rs in pending.items() if sizes[p] <= max_final}
+        big = {p: rs for p, rs in pending.items() if sizes[p] > max_final}
+        if small:
+            cond = None
+            for p in small:
+                c = F.lit(True) if p == "" else F.col("_h").startswith(p)
+                cond = c if cond is None else cond | c
+            vals = sorted(r["_h"] for r in base.where(cond).collect())
+            for p, rs in small.items():
+                inside = [v for v in vals if v.startswith(p)]
+                for r, k in rs:
+                    out[r] = inside[k]
+        for p, rs in big.items():
+            extra = max(1, min(4, math.ceil(math.log(max(sizes[p] / 500.0, 2), 16))))
+            d = len(p) + extra
+            part = base if p == "" else base.where(F.col("_h").startswith(p))
+            hist = sorted((r["b"], r["c"]) for r in
+                          part.groupBy(F.substring("_h", 1, d).alias("b")).agg(F.count("*").alias("c")).collect())
+            acc, bounds = 0, []
+            for b, c in hist:
+                bounds.append((b, acc, c))
+                acc += c
+            for r, k in rs:
+                for b, lo, c in bounds:
+                    if lo <= k < lo + c:
+                        nxt.setdefault(b, []).append((r, k - lo))
+                        sizes[b] = c
+                        break
+        pending = nxt
+    return [out[r] for r in ranks]
+
+
 def row_index(df: DataFrame, order_by, name: str = "row_idx", *,
               n: int | None = None, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Exact 0-based position of each row in ascending order of a unique key.
@@ -149,10 +197,8 @@ def random_val_split(df: DataFrame, key, val_frac: float = 0.2, seed: int = 42,
         n = df.count()
     k = max(1, int(n * val_frac))
     h = md5_order(key, seed)
-    tmp = df.withColumn("_h", h)
-    out = split_at_rank(tmp, "_h", k, n=n, proxy=md5_proxy(F.col("_h")),
-                        first="val", rest="train", name=name)
-    return out.drop("_h")
+    (thr,) = hash_ranks(df, h, [k - 1], n)
+    return df.withColumn(name, F.when(h <= F.lit(thr), F.lit("val")).otherwise(F.lit("train")))
 
 
 def default_batch_size(n: int, flavour: str = "rust") -> int:

@@ -30,8 +30,7 @@ from ..session import ship_package
 from .matrix import _batch_matrix
 from .metrics import grade_expr, metric_exprs
 from .model import MLP, collect_gradients, forward_np, gradient_job
-from .rows import md5_order, md5_proxy, row_index
-from .select import select_ranks
+from .rows import hash_ranks, md5_order, row_index
 
 
 @dataclass(frozen=True)
@@ -53,6 +52,7 @@ class TrainConfig:
     shuffle: bool = True
     seed: int = 42
     tie: float = 0.0
+    loss: str = "mae"
     name: str = ""
 
     def __post_init__(self):
@@ -178,9 +178,8 @@ def _epoch_bounds(train: DataFrame, seed: int, epoch: int, n: int, bs: int):
     nb = math.ceil(n / bs)
     if nb <= 1:
         return []
-    h = md5_order("key", seed, epoch)
     ranks = [b * bs - 1 for b in range(1, nb)]
-    return select_ranks(train.select(h.alias("_h")), "_h", ranks, proxy=md5_proxy(F.col("_h")), n=n)
+    return hash_ranks(train, md5_order("key", seed, epoch), ranks, n)
 
 
 def _batch_filter(bounds, k: int, seed: int, epoch: int):
@@ -280,7 +279,7 @@ def fit(train: DataFrame, models: list, configs: list, *, val: DataFrame | None
                 part = train.where(_batch_filter(bounds, k, c0.seed, epoch)) if c0.shuffle \
                     else train.where(F.col(batch_col) == k)
                 cur = [template[runs.index(r)].with_flat(r.w) for r in live]
-                grads = collect_gradients(gradient_job(part, cur, tie=c0.tie), cur)
+                grads = collect_gradients(gradient_job(part, cur, tie=c0.tie, loss=c0.loss), cur)
                 for r, (g, loss, cnt) in zip(live, grads):
                     if cnt == 0:
                         continue

@@ -69,3 +69,10 @@ def test_preview_is_top_k(spark):
     df = spark.range(100).select((99 - F.col("id")).alias("k"))
     assert [r["k"] for r in R.preview(df, "k", 5).collect()] == [0, 1, 2, 3, 4]
     assert "TakeOrdered" in plan_text(R.preview(df, "k", 5))
+
+
+def test_hash_ranks_exact(spark):
+    df = spark.range(5000).select(F.md5(F.col("id").cast("string")).alias("h"))
+    hs = sorted(r["h"] for r in df.collect())
+    ranks = [0, 1, 499, 2500, 4999]
+    assert R.hash_ranks(df, "h", ranks, 5000, max_final=100) == [hs[r] for r in ranks]
