@@ -228,6 +228,7 @@ def loss_job(df: DataFrame, models: list, batch_col: str | None = "vbatch"):
 
     rows = (src.mapInArrow(fn, "cfg int, b int, s double, n long")
                .groupBy("cfg", "b").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).collect())
+    bc.unpersist()
     out = []
     for c in range(len(models)):
         per = [r["s"] / r["n"] for r in rows if r["cfg"] == c and r["n"]]

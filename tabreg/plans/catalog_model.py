@@ -129,7 +129,10 @@ def q_transpose(spark, d):
 
 # -------------------------------------------------------------- scoring
 
-SMALL = MLP([2, 2, 1], "relu", [(np.array([[0.5, -0.4], [0.3, 0.8]]), np.array([0.1, -0.2])),
+# Fixed 2-2-1 network; the hidden biases are chosen so that no input of the
+# (quantity/50, discount*10) grid lands exactly on a ReLU kink, where the
+# derivative flips with the engines' different summation orders.
+SMALL = MLP([2, 2, 1], "relu", [(np.array([[0.5, -0.4], [0.3, 0.8]]), np.array([0.1, -0.2137])),
                                 (np.array([[1.5], [-0.7]]), np.array([0.05]))])
 
 
@@ -158,6 +161,43 @@ def q_mlp_score_arrow(spark, d):
     return _small(spark, d, "arrow")
 
 
+def _small_grad_sql() -> str:
+    (W1, b1), (W2, b2) = SMALL.params
+    f = lambda v: repr(float(v))
+    z = [f"{f(b1[j])} + x0 * {f(W1[0, j])} + x1 * {f(W1[1, j])}" for j in range(2)]
+    base = (f"SELECT x0, x1, t, z0, z1, greatest(z0, 0.0) AS h0, greatest(z1, 0.0) AS h1 FROM ("
+            f"SELECT x0, x1, t, {z[0]} AS z0, {z[1]} AS z1 FROM ("
+            f"SELECT l_quantity / 50.0 AS x0, l_discount * 10.0 AS x1, l_extendedprice / 100000.0 AS t FROM lineitem))")
+    o = f"SELECT *, {f(b2[0])} + h0 * {f(W2[0, 0])} + h1 * {f(W2[1, 0])} AS o FROM ({base})"
+    s_ = "SELECT *, sign(o - t) AS s FROM (" + o + ")"
+    g = (f"SELECT *, CASE WHEN z0 > 0 THEN s * {f(W2[0, 0])} ELSE 0.0 END AS g0, "
+         f"CASE WHEN z1 > 0 THEN s * {f(W2[1, 0])} ELSE 0.0 END AS g1 FROM ({s_})")
+    parts = []
+    for i in range(2):
+        for j in range(2):
+            parts.append(f"SELECT 0 AS layer, 'weight' AS kind, {i} AS i, {j} AS j, avg(g{j} * x{i}) AS value FROM q")
+    for j in range(2):
+        parts.append(f"SELECT 0, 'bias', 0, {j}, avg(g{j}) FROM q")
+    for j in range(2):
+        parts.append(f"SELECT 1, 'weight', {j}, 0, avg(s * h{j}) FROM q")
+    parts.append("SELECT 1, 'bias', 0, 0, avg(s) FROM q")
+    parts.append("SELECT -1, 'loss', 0, 0, avg(abs(o - t)) FROM q")
+    sep = chr(10) + "UNION ALL" + chr(10)
+    return ("WITH q AS (" + g + ") SELECT CAST(layer AS INTEGER) AS layer, kind, CAST(i AS INTEGER) AS i, "
+            "CAST(j AS INTEGER) AS j, round(value, 10) + 0.0 AS value FROM (" + sep.join(parts) + ")")
+
+
+@query("mlp_gradient_small", _small_grad_sql())
+def q_mlp_gradient_small(spark, d):
+    """Exact mean MAE gradient of the fixed 2-2-1 network over every lineitem
+    row: Arrow partial sums per partition, reduced once."""
+    li = H.read(spark, d, "lineitem").select(
+        F.array((F.col("l_quantity") / 50.0), (F.col("l_discount") * 10.0)).alias("x"),
+        (F.col("l_extendedprice") / 100000.0).alias("y"))
+    g = mlp_gradient(li, SMALL)
+    return g.select("layer", "kind", "i", "j", rnd("value", 10).alias("value"))
+
+
 HOUSING_NET = MLP.create((8, 64, 32, 1), "relu", "xavier_normal", seed=42)
 
 
