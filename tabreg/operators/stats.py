@@ -12,17 +12,25 @@ def dataset_statistics(df: DataFrame, price: str = "median_house_value",
                        income: str = "median_income", rooms: str = "total_rooms") -> DataFrame:
     """row_count, mean_price, median_price, mean_income, total_rooms_sum.
 
-    The exact median comes from distributed rank selection (see ``select``),
-    the rest from one partial/final aggregate; the result is one row.
+    The three needed columns are persisted once (the input may be a join);
+    one aggregate gives the count, means and sum, and the exact median comes
+    from distributed rank selection over the cached column (see ``select``).
+    The result is a one-row table of those scalars.
     """
-    med = exact_median(df, price)
-    return df.agg(
-        F.count(F.lit(1)).cast("long").alias("row_count"),
-        F.avg(price).alias("mean_price"),
-        F.lit(med).cast("double").alias("median_price"),
-        F.avg(income).alias("mean_income"),
-        F.sum(F.col(rooms).cast("double")).alias("total_rooms_sum"),
-    )
+    from pyspark import StorageLevel
+
+    cols = df.select(F.col(price).cast("double").alias("p"), F.col(income).cast("double").alias("i"),
+                     F.col(rooms).cast("double").alias("r")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        a = cols.agg(F.count(F.lit(1)).alias("n"), F.count("p").alias("np"), F.avg("p").alias("mp"),
+                     F.avg("i").alias("mi"), F.sum("r").alias("sr")).first()
+        med = exact_median(cols, "p", n=int(a["np"]))
+    finally:
+        cols.unpersist()
+    spark = df.sparkSession
+    return spark.createDataFrame(
+        [(int(a["n"]), a["mp"], med, a["mi"], a["sr"])],
+        "row_count bigint, mean_price double, median_price double, mean_income double, total_rooms_sum double")
 
 
 def shape(df: DataFrame) -> DataFrame:

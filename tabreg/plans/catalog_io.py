@@ -25,33 +25,48 @@ def _norm(df):
     return df.select(*[(F.col(c) + F.lit(0.0)).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
-def _raw_housing_csv(spark, d) -> tuple[str, str]:
+_RAW: dict = {}
+
+
+def _raw_housing_csv(spark, d) -> tuple[str, str, str]:
     """housing_like written by Spark as a headerless CSV data file plus a
-    domain file, the reference's raw inputs."""
+    domain file: the reference's raw inputs, which exist before conversion.
+    Written once per (application, table folder); conversions write to new
+    output folders every time."""
+    key = (spark.sparkContext.applicationId, d)
+    if key in _RAW:
+        base, data = _RAW[key]
+        return shared_path(spark, "conv"), data, base
     base = shared_path(spark, "raw")
     data = f"{base}/cal_housing.data"
     H.housing_like(spark, d).write.mode("overwrite").option("header", False).csv(data)
     dom = f"{base}/cal_housing.domain"
     spark.createDataFrame([(f"{n}: continuous.",) for n in NAMES], "line string") \
         .coalesce(1).write.mode("overwrite").text(dom)
-    return base, data
+    _RAW[key] = (base, data)
+    return shared_path(spark, "conv"), data, base
+
+
+def raw_inputs(spark, d) -> None:
+    """Create the raw CSV inputs ahead of timing (used by the bench)."""
+    _raw_housing_csv(spark, d)
 
 
 @query("convert_if_needed", _NAMED_SQL)
 def q_convert_if_needed(spark, d):
-    base, data = _raw_housing_csv(spark, d)
-    out = IO.convert_if_needed(spark, "CaliforniaHousing", data, f"{base}/cal_housing.domain",
+    base, data, raw = _raw_housing_csv(spark, d)
+    out = IO.convert_if_needed(spark, "CaliforniaHousing", data, f"{raw}/cal_housing.domain",
                                f"{base}/converted", f"{base}/processed")
     # second call takes the skip path (both outputs complete)
-    IO.convert_if_needed(spark, "CaliforniaHousing", data, f"{base}/cal_housing.domain",
+    IO.convert_if_needed(spark, "CaliforniaHousing", data, f"{raw}/cal_housing.domain",
                          f"{base}/converted", f"{base}/processed")
     return _norm(spark.read.parquet(f"{out}/CaliforniaHousing.parquet"))
 
 
 @query("publish_processed", _NAMED_SQL)
 def q_publish_processed(spark, d):
-    base, data = _raw_housing_csv(spark, d)
-    IO.convert_if_needed(spark, "CaliforniaHousing", data, f"{base}/cal_housing.domain",
+    base, data, raw = _raw_housing_csv(spark, d)
+    IO.convert_if_needed(spark, "CaliforniaHousing", data, f"{raw}/cal_housing.domain",
                          f"{base}/converted", f"{base}/processed")
     return _norm(IO.read_header_csv(spark, f"{base}/processed/CaliforniaHousing.csv", IO.HOUSING_DDL))
 
@@ -59,7 +74,7 @@ def q_publish_processed(spark, d):
 @query("load_dataset", _NAMED_SQL)
 def q_load_dataset(spark, d):
     """No Parquet present: falls back to the headerless CSV, renamed."""
-    base, data = _raw_housing_csv(spark, d)
+    base, data, _ = _raw_housing_csv(spark, d)
     return _norm(IO.load_dataset(spark, f"{base}/missing.parquet", data))
 
 
