@@ -259,13 +259,15 @@ def gradient_job(df: DataFrame, models: list, *, x_col: str = "x", y_col: str =
 DRIVER_SUM_PARTITIONS = 64
 
 
-def collect_gradients(job: DataFrame, models: list):
+def collect_gradients(job: DataFrame, models: list, n_parts: int | None = None):
     """Run a gradient job; return per config (mean gradient, mean loss, n).
     The driver receives at most DRIVER_SUM_PARTITIONS partial arrays per
     config, or one summed array per config: parameter-sized either way."""
     sizes = [m.n_params + 2 for m in models]
     tot = [np.zeros(s) for s in sizes]
-    if job.rdd.getNumPartitions() <= DRIVER_SUM_PARTITIONS:
+    if n_parts is None:
+        n_parts = job.rdd.getNumPartitions()
+    if n_parts <= DRIVER_SUM_PARTITIONS:
         for r in job.collect():
             tot[r["cfg"]] += np.asarray(r["value"], dtype=np.float64)
     else:

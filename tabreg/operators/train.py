@@ -15,6 +15,7 @@ is a range predicate on the cached table, not a shuffle.
 
 from __future__ import annotations
 
+import logging
 import math
 import time
 from dataclasses import dataclass, field, replace
@@ -33,6 +34,9 @@ from .model import MLP, collect_gradients, forward_np, gradient_job
 from .rows import hash_ranks, md5_order, row_index
 
 
+LOG = logging.getLogger("tabreg.train")
+
+
 @dataclass(frozen=True)
 class TrainConfig:
     epochs: int = 200
@@ -237,7 +241,8 @@ def loss_job(df: DataFrame, models: list, batch_col: str | None = "vbatch"):
 
 
 def fit(train: DataFrame, models: list, configs: list, *, val: DataFrame | None = None,
-        n_train: int | None = None, batch_col: str = "batch") -> list:
+        n_train: int | None = None, batch_col: str = "batch", cache: bool = True,
+        batch_filter=None) -> list:
     """Train ``models[i]`` with ``configs[i]`` on one shared batch schedule.
 
     ``train`` has ``x``, ``y`` and either ``key`` (shuffled batches) or
@@ -252,11 +257,13 @@ def fit(train: DataFrame, models: list, configs: list, *, val: DataFrame | None
         if (c.batch_size, c.shuffle, c.seed) != (c0.batch_size, c0.shuffle, c0.seed):
             raise ValueError("configs in one fit must share batch_size, shuffle and seed")
     t0 = time.time()
-    train = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
+    if cache:
+        train = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
     if val is not None:
         val = spread(val).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n = train.count() if n_train is None else n_train
+        n_parts = train.rdd.getNumPartitions() if cache else None   # fixed for every step job
         bs = c0.batch_size or max(1, math.ceil(n / 10))
         nb = max(1, math.ceil(n / bs))
         runs = []
@@ -277,10 +284,14 @@ def fit(train: DataFrame, models: list, configs: list, *, val: DataFrame | None
             bounds = _epoch_bounds(train, c0.seed, epoch, n, bs) if c0.shuffle else None
             sums = {id(r): 0.0 for r in live}
             for k in range(nb):
-                part = train.where(_batch_filter(bounds, k, c0.seed, epoch)) if c0.shuffle \
-                    else train.where(F.col(batch_col) == k)
+                if c0.shuffle:
+                    part = train.where(_batch_filter(bounds, k, c0.seed, epoch))
+                elif batch_filter is not None:
+                    part = train.where(batch_filter(k))
+                else:
+                    part = train.where(F.col(batch_col) == k)
                 cur = [template[runs.index(r)].with_flat(r.w) for r in live]
-                grads = collect_gradients(gradient_job(part, cur, tie=c0.tie, loss=c0.loss), cur)
+                grads = collect_gradients(gradient_job(part, cur, tie=c0.tie, loss=c0.loss), cur, n_parts)
                 for r, (g, loss, cnt) in zip(live, grads):
                     if cnt == 0:
                         continue
@@ -297,6 +308,7 @@ def fit(train: DataFrame, models: list, configs: list, *, val: DataFrame | None
                 tr = sums[id(r)] / nb
                 r.result.history.append({"epoch": epoch, "loss": tr, "val_loss": v,
                                          "learning_rate": lr_used})
+                LOG.info("%s epoch %d loss %.6f val %s lr %g", r.cfg.name, epoch, tr, v, lr_used)
                 if r.plateau is not None and v is not None:
                     r.lr = r.plateau.step(v)
                 if v is not None and r.cfg.patience is not None:
@@ -319,7 +331,8 @@ def fit(train: DataFrame, models: list, configs: list, *, val: DataFrame | None
             out.append(res)
         return out
     finally:
-        train.unpersist()
+        if cache:
+            train.unpersist()
         if val is not None:
             val.unpersist()
 

@@ -33,6 +33,22 @@ class Prepared:
     n_test: int
     feature_model: object
     target_model: object
+    block: int = 0        # rows per position block (partition directory)
+    batch_size: int = 0
+
+
+POS_BLOCK_MIN = 1 << 20
+POS_BLOCKS_MAX = 4096
+ROWS_PER_WRITE_TASK = 4_000_000
+CACHE_ROWS = 20_000_000
+
+
+def batch_predicate(k: int, bs: int, block: int):
+    """Rows of positional mini-batch k: a position range plus the matching
+    block range, so the Parquet scan prunes to the batch's directories."""
+    lo, hi = k * bs, (k + 1) * bs
+    return ((F.col("key") >= lo) & (F.col("key") < hi)
+            & (F.col("pos_block") >= lo // block) & (F.col("pos_block") <= (hi - 1) // block))
 
 
 def prepare(spark: SparkSession, sf_dir: str, *, ddof: int = 1, scale_target: bool = False,
@@ -45,7 +61,18 @@ def prepare(spark: SparkSession, sf_dir: str, *, ddof: int = 1, scale_target: bo
     at read time; the 80/20 split is a predicate on the position and batches
     are ``floor(position / size)``."""
     path = shared_path(spark, "prepared")
-    H.housing_like(spark, sf_dir, position=True).write.mode("overwrite").parquet(path)
+    # Position blocks: at most ~4096 of them, at least 1M rows each. The data
+    # is range-partitioned on the position before the write, so each task
+    # writes one or two blocks, and a mini-batch (a position range) later
+    # reads only the files of its blocks (partition pruning).
+    est = H.read(spark, sf_dir, "lineitem").count()          # Parquet footer counts
+    block = max(POS_BLOCK_MIN, -(-est // POS_BLOCKS_MAX))
+    par = spark.sparkContext.defaultParallelism
+    parts = max(par * 10, -(-est // ROWS_PER_WRITE_TASK))   # a batch spans >= par files
+    (H.housing_like(spark, sf_dir, position=True)
+       .repartitionByRange(parts, "row_pos")
+       .withColumn("pos_block", F.floor(F.col("row_pos") / F.lit(block)).cast("long"))
+       .write.mode("overwrite").partitionBy("pos_block").parquet(path))
     base = spark.read.parquet(path)
     scalers = [S.StandardScaler(H.FEATURES, ddof)]
     if scale_target:
@@ -59,7 +86,7 @@ def prepare(spark: SparkSession, sf_dir: str, *, ddof: int = 1, scale_target: bo
     n = int(row["_n"])
     sel = [fm.expr(c).alias(c) for c in H.FEATURES]
     sel.append(tm.expr(H.TARGET).alias(H.TARGET) if tm else F.col(H.TARGET))
-    scaled = base.select(*sel, "row_pos")
+    scaled = base.select(*sel, "row_pos", "pos_block")
     target = H.TARGET
     if synthetic:
         scaled = H.synthetic_target(scaled, "y_syn")
@@ -70,12 +97,12 @@ def prepare(spark: SparkSession, sf_dir: str, *, ddof: int = 1, scale_target: bo
     else:   # rows were lost in the joins: re-rank the surviving positions
         data, pos = R.row_index(scaled, "row_pos", "_rank", n=n), "_rank"
     bs = batch_size or R.default_batch_size(k, flavour)
-    table = T.prepare_table(data, H.FEATURES, target, key=pos)
-    train = (table.where(F.col("key") < k)
+    table = T.prepare_table(data, H.FEATURES, target, key=pos, extra=["pos_block"])
+    train = (table.where((F.col("key") < k) & (F.col("pos_block") <= (k - 1) // block))
                   .withColumn("batch", F.floor(F.col("key") / F.lit(bs)).cast("int")))
-    test = table.where(F.col("key") >= k)
-    return Prepared(train.select("x", "y", "key", "batch"), test.select("x", "y", "key"),
-                    k, n - k, fm, tm)
+    test = table.where((F.col("key") >= k) & (F.col("pos_block") >= k // block))
+    return Prepared(train.select("x", "y", "key", "batch", "pos_block"), test.select("x", "y", "key"),
+                    k, n - k, fm, tm, block, bs)
 
 
 def rust_flavour(spark: SparkSession, sf_dir: str, *, epochs: int = 1, lr: float = 0.01,
@@ -87,7 +114,13 @@ def rust_flavour(spark: SparkSession, sf_dir: str, *, epochs: int = 1, lr: float
     bs = batch_size or R.default_batch_size(p.n_train, "rust")
     cfg = T.TrainConfig(epochs=epochs, lr=lr, batch_size=bs, patience=None, plateau=False,
                         shuffle=False, seed=seed, name="rust")
-    (res,) = T.fit(p.train, [model], [cfg], n_train=p.n_train)
+    # Small training sets are cached in memory (a step is then ~one job's
+    # overhead); large ones are not: a batch is a position range read
+    # straight from the block-partitioned table, so each step scans only its
+    # own files instead of the whole cache.
+    big = p.n_train > CACHE_ROWS
+    (res,) = T.fit(p.train, [model], [cfg], n_train=p.n_train, cache=not big,
+                   batch_filter=lambda k: batch_predicate(k, bs, p.block))
     return p, res
 
 
@@ -117,10 +150,15 @@ def python_flavour(spark: SparkSession, sf_dir: str, *, epochs: int = 200, lr: f
 
 
 def grid_search(spark: SparkSession, sf_dir: str, grid=None, *, seed: int = 42,
-                optimizer: str = "sgd", synthetic: bool = False) -> DataFrame:
+                optimizer: str = "sgd", synthetic: bool = False,
+                max_epochs: int | None = None) -> DataFrame:
     """All configurations trained together (one scan per step serves all),
-    then one scoring scan of the test split; one metrics row per config."""
+    then one scoring scan of the test split; one metrics row per config.
+    ``max_epochs`` overrides the settings' epoch counts (as the reference's
+    EPOCHS variable does per run)."""
     grid = grid or T.REFERENCE_GRID
+    if max_epochs is not None:
+        grid = [(min(e, max_epochs), lr, pt, label) for e, lr, pt, label in grid]
     p, tr, va, bs, n_tr = python_setup(spark, sf_dir, seed=seed, synthetic=synthetic)
     models = [MLP.create((8, 64, 32, 1), "relu", "xavier_normal", seed) for _ in grid]
     cfgs = [T.TrainConfig(epochs=e, lr=lr, patience=pt, batch_size=bs, optimizer=optimizer,
