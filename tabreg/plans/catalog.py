@@ -194,7 +194,7 @@ WITH x AS (
          CASE WHEN l_linenumber = 1 THEN NULL ELSE l_quantity END AS c_with_null
   FROM lineitem),
 st AS (SELECT coalesce(min(c_with_null), 0.0) AS lo, coalesce(max(c_with_null), 1.0) AS hi FROM x)
-SELECT l_orderkey, l_linenumber, 0.5 AS c_const, 0.5 AS c_const_null,
+SELECT l_orderkey, l_linenumber, CAST(0.5 AS DOUBLE) AS c_const, CAST(0.5 AS DOUBLE) AS c_const_null,
        round((c_with_null - lo) / (hi - lo), 6) + 0.0 AS c_with_null
 FROM x, st""")
 def q_minmax_constant(spark, d):
@@ -314,12 +314,12 @@ def q_identity(spark, d):
     return _cust(spark, d).select("c_custkey", rnd(E.identity("x"), 6).alias("x"))
 
 
-@query("relu_derivative", _elem_sql("CASE WHEN x > 0 THEN 1.0 ELSE 0.0 END", "d_relu"))
+@query("relu_derivative", _elem_sql("CAST(CASE WHEN x > 0 THEN 1.0 ELSE 0.0 END AS DOUBLE)", "d_relu"))
 def q_relu_derivative(spark, d):
     return _cust(spark, d).select("c_custkey", rnd(E.relu_derivative("x"), 6).alias("d_relu"))
 
 
-@query("linear_derivative", _elem_sql("1.0", "d_linear"))
+@query("linear_derivative", _elem_sql("CAST(1.0 AS DOUBLE)", "d_linear"))
 def q_linear_derivative(spark, d):
     return _cust(spark, d).select("c_custkey", rnd(E.linear_derivative("x"), 6).alias("d_linear"))
 

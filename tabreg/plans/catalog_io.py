@@ -194,11 +194,11 @@ def q_constant_fill(spark, d):
     return P.constant_fill(spark, int(r["n"]), 3, float(r["v"]), "c_")
 
 
-@query("zeros", "SELECT 0.0 AS z_0, 0.0 AS z_1 FROM nation")
+@query("zeros", "SELECT CAST(0.0 AS DOUBLE) AS z_0, CAST(0.0 AS DOUBLE) AS z_1 FROM nation")
 def q_zeros(spark, d):
     return P.zeros(spark, H.read(spark, d, "nation").count(), 2, "z_")
 
 
-@query("ones", "SELECT 1.0 AS o_0, 1.0 AS o_1 FROM nation")
+@query("ones", "SELECT CAST(1.0 AS DOUBLE) AS o_0, CAST(1.0 AS DOUBLE) AS o_1 FROM nation")
 def q_ones(spark, d):
     return P.ones(spark, H.read(spark, d, "nation").count(), 2, "o_")
