@@ -29,15 +29,35 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+# A join side is broadcast only when its row count, read from Parquet footers,
+# is at most this many rows; larger sides are shuffled (sort-merge join).
+BROADCAST_MAX_ROWS = 2_000_000
+_ROWS: dict = {}
+
+
+def table_rows(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Row count of a source table (footer metadata; memoized per application)."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _ROWS:
+        _ROWS[key] = read(spark, sf_dir, name).count()
+    return _ROWS[key]
+
+
+def sized_broadcast(df: DataFrame, rows: int, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    return F.broadcast(df) if rows <= max_rows else df
+
+
 def housing_like(spark: SparkSession, sf_dir: str, *, position: bool = False) -> DataFrame:
     """lineitem joined to orders, customer, part and supplier.
 
     Only the join keys and the nine value columns are read (column pruning
     reaches every scan). Dimension sides are pre-joined where that keeps the
-    fact table's shuffles to one per key (orders+customer first). No broadcast
-    hint: the planner broadcasts a side only under its measured size threshold
-    (AQE re-checks at runtime) and falls back to sort-merge otherwise; AQE's
-    skew-join split handles a hot part/supplier/order key.
+    fact table's shuffles to one per key (orders+customer first). A dimension
+    side is broadcast only behind a row-count check (``sized_broadcast``,
+    footer counts); beyond it the join is a sort-merge join, and AQE's
+    skew-join split handles a hot part/supplier/order key. (Without the check
+    the planner sizes the pre-joined dimensions as a product and picks the
+    fact table as the build side.)
 
     ``position=True`` adds ``row_pos``, the lineitem row's 0-based position in
     source-file order (the reference's implicit row order).
@@ -55,8 +75,13 @@ def housing_like(spark: SparkSession, sf_dir: str, *, position: bool = False) ->
     supp = read(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
     cust = read(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    oc = orders.join(cust, orders.o_custkey == cust.c_custkey).select(
+    n_cust = table_rows(spark, sf_dir, "customer")
+    oc = orders.join(sized_broadcast(cust, n_cust), orders.o_custkey == cust.c_custkey).select(
         "o_orderkey", "o_totalprice", "c_acctbal")
+    # orders x customer has one row per order (foreign key), so its size is the orders count
+    oc = sized_broadcast(oc, table_rows(spark, sf_dir, "orders"))
+    part = sized_broadcast(part, table_rows(spark, sf_dir, "part"))
+    supp = sized_broadcast(supp, table_rows(spark, sf_dir, "supplier"))
     j = (li.join(oc, li.l_orderkey == oc.o_orderkey)
            .join(part, li.l_partkey == part.p_partkey)
            .join(supp, li.l_suppkey == supp.s_suppkey))

@@ -65,14 +65,19 @@ def prepare(spark: SparkSession, sf_dir: str, *, ddof: int = 1, scale_target: bo
     # is range-partitioned on the position before the write, so each task
     # writes one or two blocks, and a mini-batch (a position range) later
     # reads only the files of its blocks (partition pruning).
-    est = H.read(spark, sf_dir, "lineitem").count()          # Parquet footer counts
+    est = H.table_rows(spark, sf_dir, "lineitem")            # Parquet footer counts
     block = max(POS_BLOCK_MIN, -(-est // POS_BLOCKS_MAX))
     par = spark.sparkContext.defaultParallelism
     parts = max(par * 10, -(-est // ROWS_PER_WRITE_TASK))   # a batch spans >= par files
-    (H.housing_like(spark, sf_dir, position=True)
-       .repartitionByRange(parts, "row_pos")
-       .withColumn("pos_block", F.floor(F.col("row_pos") / F.lit(block)).cast("long"))
-       .write.mode("overwrite").partitionBy("pos_block").parquet(path))
+    joined = (H.housing_like(spark, sf_dir, position=True)
+                .withColumn("pos_block", F.floor(F.col("row_pos") / F.lit(block)).cast("long")))
+    if est > CACHE_ROWS:
+        # training will read batches straight from the files: lay them out by position
+        (joined.repartitionByRange(parts, "row_pos")
+               .write.mode("overwrite").partitionBy("pos_block").parquet(path))
+    else:
+        # small enough to be cached for training: no layout shuffle needed
+        joined.write.mode("overwrite").parquet(path)
     base = spark.read.parquet(path)
     scalers = [S.StandardScaler(H.FEATURES, ddof)]
     if scale_target:
