@@ -51,11 +51,6 @@ def md5_order(key, seed, *extra) -> Column:
     return F.md5(F.concat_ws("-", *parts))
 
 
-def md5_proxy(h: Column) -> Column:
-    """60-bit numeric prefix of an md5 hex string (order-preserving)."""
-    return F.conv(F.substring(h, 1, 15), 16, 10).cast("long").cast("double")
-
-
 def hash_ranks(df: DataFrame, h, ranks, n: int, *, max_final: int = 20_000) -> list:
     """Values of a uniform hex-hash column (md5) at 0-based ``ranks``.
 

@@ -94,6 +94,16 @@ def q_dataset_statistics(spark, d):
                      rnd("total_rooms_sum", 2).alias("total_rooms_sum"))
 
 
+@query("profile", f"WITH {HOUSING_CTE}\n" + "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "column", CAST(count({c}) AS BIGINT) AS "count", {_r(f'avg({c})', 4)} AS mean,
+  {_r(f'stddev_samp({c})', 4)} AS std, {_r(f'min({c})', 4)} AS "min", {_r(f'max({c})', 4)} AS "max" FROM h"""
+    for c in FEATS + [TGT]))
+def q_profile(spark, d):
+    """count / mean / sample std / min / max of every column, one aggregate."""
+    p = ST.profile(H.housing_like(spark, d), FEATS + [TGT])
+    return p.select("column", "count", *[rnd(c, 4).alias(c) for c in ("mean", "std", "min", "max")])
+
+
 @query("shape", f"""
 WITH {HOUSING_CTE}
 SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(9 AS BIGINT) AS n_cols FROM h""")
