@@ -86,7 +86,7 @@ def convert_if_needed(spark: SparkSession, dataset_name: str, data_path: str, do
     (CSV and Parquet, judged by their _SUCCESS markers) exist, skip, only
     publishing the processed copy if it is absent; otherwise read the
     headerless CSV once, name its columns, and write both outputs from one
-    persisted read. Returns ``out_dir``."""
+    persisted read (the processed copy too). Returns ``out_dir``."""
     if not exists(spark, data_path):
         raise FileNotFoundError(f"Data file not found: {data_path}")
     if not exists(spark, domain_path):
@@ -99,17 +99,17 @@ def convert_if_needed(spark: SparkSession, dataset_name: str, data_path: str, do
             publish_processed(spark, csv_out, processed_dir, dataset_name, overwrite=False)
         return out_dir
     if dataset_name == "CaliforniaHousing":
-        df = read_headerless_csv(spark, data_path, HOUSING_DDL)
-    else:
+        df = read_headerless_csv(spark, data_path, ", ".join(f"{c} double" for c in names))
+    else:   # generic datasets keep their positional names and inferred types
         df = read_headerless_csv(spark, data_path)
     df = df.persist()
     try:
         write_csv(df, csv_out)
         write_parquet(df, pq_out)
+        if processed_dir:   # the processed copy comes from the same persisted read
+            write_csv(df, f"{processed_dir.rstrip('/')}/{dataset_name}.csv")
     finally:
         df.unpersist()
-    if processed_dir:
-        publish_processed(spark, csv_out, processed_dir, dataset_name, overwrite=True)
     return out_dir
 
 
