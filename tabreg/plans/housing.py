@@ -43,8 +43,9 @@ def table_rows(spark: SparkSession, sf_dir: str, name: str) -> int:
     return _ROWS[key]
 
 
-def sized_broadcast(df: DataFrame, rows: int, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if rows <= max_rows else df
+def sized_broadcast(df: DataFrame, rows: int, max_rows: int | None = None) -> DataFrame:
+    limit = BROADCAST_MAX_ROWS if max_rows is None else max_rows
+    return F.broadcast(df) if rows <= limit else df
 
 
 def housing_like(spark: SparkSession, sf_dir: str, *, position: bool = False) -> DataFrame:
