@@ -270,6 +270,23 @@ def q_train_mlp_python(spark, d):
     return RU.history_table(spark, res, "python")
 
 
+@query("training_history")
+def q_training_history(spark, d):
+    """The run's history table (run_id, epoch from 1, loss, val_loss,
+    learning_rate) as written by save_run."""
+    _, res = _rust_run(spark, d)
+    return RU.history_table(spark, res, "rust")
+
+
+@query("run_predictions")
+def q_run_predictions(spark, d):
+    """Predictions table of the trained run on its test split: key, out_0,
+    actual, residual (one scoring scan)."""
+    p, res = _rust_run(spark, d)
+    preds = T.score_many(p.test, [res.model], keep=("key", "y"))
+    return M.predictions_table(preds, "pred", "y", keep=["key"])
+
+
 @query("run_batch_losses")
 def q_run_batch_losses(spark, d):
     _, res = _rust_run(spark, d)

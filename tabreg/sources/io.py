@@ -8,7 +8,6 @@ schemas avoid the extra pass that CSV type inference costs.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.project import canonical_select, rename_positional
 from ..plans.housing import CALIFORNIA_COLUMNS
@@ -127,7 +126,3 @@ def write_run_record(spark: SparkSession, record: dict, path: str, schema: str |
     """Append one run's metadata/config as a JSON line to a queryable registry."""
     df = spark.createDataFrame([record], schema) if schema else spark.createDataFrame([record])
     write_json(df, path, mode="append")
-
-
-def with_ingest_time(df: DataFrame) -> DataFrame:
-    return df.withColumn("ingested_at", F.current_timestamp())

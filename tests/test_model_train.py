@@ -129,3 +129,31 @@ def test_plateau_fold_equals_class(spark):
         want.append(p.lr)
         p.step(v)
     assert got == pytest.approx(want) and min(got) < 0.1
+
+
+def test_grid_configs_share_scans_but_train_independently(spark):
+    df, _, _ = synthetic(spark, 96, seed=4)
+    tr = df.where("key >= 20")
+    va = df.where("key < 20").withColumn("vbatch", F.lit(0))
+    base = MD.MLP.create((8, 16, 1), seed=7)
+    c1 = T.TrainConfig(epochs=4, lr=0.01, patience=3, batch_size=25, seed=11)
+    c2 = T.TrainConfig(epochs=3, lr=0.003, patience=3, batch_size=25, seed=11, optimizer="adam")
+    together = T.fit(tr, [base, base], [c1, c2], val=va)
+    alone1 = T.fit(tr, [base], [c1], val=va)[0]
+    alone2 = T.fit(tr, [base], [c2], val=va)[0]
+    assert np.allclose(together[0].model.flat(), alone1.model.flat())
+    assert np.allclose(together[1].model.flat(), alone2.model.flat())
+    assert len(together[1].history) == 3 and len(together[0].history) == 4
+
+
+def test_shuffled_batches_are_exact_and_change_per_epoch(spark):
+    from tabreg.operators.train import _batch_filter, _epoch_bounds
+    df = spark.range(1000).select(F.col("id").alias("key"))
+    sizes, members = [], []
+    for ep in (1, 2):
+        b = _epoch_bounds(df, 5, ep, 1000, 128)
+        per = [set(r["key"] for r in df.where(_batch_filter(b, k, 5, ep)).collect()) for k in range(len(b) + 1)]
+        sizes.append([len(p) for p in per])
+        members.append(per[0])
+    assert sizes[0] == [128] * 7 + [104] and sizes[1] == sizes[0]
+    assert members[0] != members[1]
