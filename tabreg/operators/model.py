@@ -67,6 +67,10 @@ class MLP:
         params = [init_layer(rng, a, b, init, **init_kw) for a, b in zip(sizes[:-1], sizes[1:])]
         return cls(list(sizes), activation, params)
 
+    def __len__(self) -> int:
+        """Number of linear layers in the chain."""
+        return len(self.params)
+
     @property
     def n_params(self) -> int:
         return int(sum(W.size + b.size for W, b in self.params))

@@ -157,3 +157,22 @@ def test_shuffled_batches_are_exact_and_change_per_epoch(spark):
         members.append(per[0])
     assert sizes[0] == [128] * 7 + [104] and sizes[1] == sizes[0]
     assert members[0] != members[1]
+
+
+def test_layer_stack_length():
+    assert len(MD.MLP.create((10, 20, 1))) == 2
+    assert len(MD.MLP([10], "relu", [])) == 0
+    assert len(MD.MLP.create()) == 3 and MD.MLP.create().n_params == 8 * 64 + 64 + 64 * 32 + 32 + 32 + 1
+
+
+@pytest.mark.parametrize("rule", ["xavier_normal", "xavier_uniform", "kaiming_normal", "kaiming_uniform",
+                                  "normal", "uniform"])
+def test_init_rules_scale_and_bias(rule):
+    m = MD.MLP.create((400, 300, 1), init=rule, seed=1)
+    W, b = m.params[0]
+    want = {"xavier_normal": np.sqrt(2 / 700), "xavier_uniform": np.sqrt(6 / 700) / np.sqrt(3),
+            "kaiming_normal": np.sqrt(2 / 400), "kaiming_uniform": np.sqrt(6 / 400) / np.sqrt(3),
+            "normal": 1.0, "uniform": 2 / np.sqrt(12)}[rule]
+    assert W.std() == pytest.approx(want, rel=0.02)
+    assert np.all(b == {"normal": 0.0, "uniform": -1.0}.get(rule, 0.0))
+    assert len(set(np.round(W[:, 0], 12))) > 1   # units do not start identical
