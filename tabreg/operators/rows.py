@@ -25,24 +25,37 @@ def _c(c) -> Column:
 
 
 def with_source_position(scan: DataFrame, name: str = "row_pos") -> DataFrame:
-    """0-based position of each row in (file path, row-in-file) order.
-
-    ``scan`` must be a plain file scan (``spark.read.parquet``), before any
-    shuffle. Per-file counts (one row per file) give prefix offsets; the
-    offsets table is bounded by the file count and joined back, broadcast when
-    it is provably small. No window over the data, no shuffle of the data.
-    Deterministic under task retry: both parts come from file metadata.
+    """0-based position of each row in source-file order (file path, then
+    place in the file).
+
+    ``scan`` must be a plain file scan (``spark.read.parquet/csv``), before
+    any shuffle. Parquet exposes the row's index in its file
+    (``_metadata.row_index``). Other formats are positioned by split: the
+    split's byte offset (``_metadata.file_block_start``) orders splits inside
+    a file, and the row counter of ``monotonically_increasing_id`` (one
+    counter per task, deterministic for a fixed scan) orders rows inside a
+    split. Either way one small aggregate (one row per file or split) gives
+    prefix offsets, joined back broadcast when provably small. No window over
+    the data and no shuffle of the data.
     """
-    meta = scan.select("*", F.col("_metadata.file_path").alias("_fp"),
-                       F.col("_metadata.row_index").alias("_ri"))
-    counts = meta.groupBy("_fp").agg(F.count("*").alias("_n"))
-    w = Window.orderBy("_fp").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_fp", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    meta_fields = scan.select("_metadata").schema.fields[0].dataType.names
+    if "row_index" in meta_fields:
+        meta = scan.select("*", F.col("_metadata.file_path").alias("_fp"), F.lit(0).cast("long").alias("_fb"),
+                           F.col("_metadata.row_index").alias("_r"))
+        unit = meta.groupBy("_fp", "_fb").agg(F.count("*").alias("_n"), F.lit(0).cast("long").alias("_r0"))
+    else:
+        meta = scan.select("*", F.col("_metadata.file_path").alias("_fp"),
+                           F.col("_metadata.file_block_start").alias("_fb"),
+                           F.monotonically_increasing_id().alias("_r"))
+        unit = meta.groupBy("_fp", "_fb").agg(F.count("*").alias("_n"), F.min("_r").alias("_r0"))
+    # one row per file (Parquet) or split (others): bounded by the input layout
+    w = Window.orderBy("_fp", "_fb").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = unit.select("_fp", "_fb", "_r0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
     n_files = len(scan.inputFiles())
     if n_files <= BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
-    out = meta.join(offsets, "_fp")
-    return out.select(*scan.columns, (F.col("_off") + F.col("_ri")).cast("long").alias(name))
+    out = meta.join(offsets, ["_fp", "_fb"])
+    return out.select(*scan.columns, (F.col("_off") + F.col("_r") - F.col("_r0")).cast("long").alias(name))
 
 
 def md5_order(key, seed, *extra) -> Column:

@@ -10,6 +10,7 @@ from ..operators import scale as S
 from ..session import shared_path
 from ..sources import io as IO
 from . import housing as H
+from . import workflow as W
 from .catalog import FEATS, HOUSING_CTE, TGT, query, rnd, rnd_all
 
 NAMES = H.CALIFORNIA_COLUMNS
@@ -202,3 +203,35 @@ def q_zeros(spark, d):
 @query("ones", "SELECT CAST(1.0 AS DOUBLE) AS o_0, CAST(1.0 AS DOUBLE) AS o_1 FROM nation")
 def q_ones(spark, d):
     return P.ones(spark, H.read(spark, d, "nation").count(), 2, "o_")
+
+
+_SCALED_SQL = f"""WITH {HOUSING_CTE},
+st AS (SELECT {', '.join(f"avg({c}) AS m_{c}, CASE WHEN stddev_samp({c}) > 1e-8 THEN stddev_samp({c}) ELSE 1.0 END AS s_{c}" for c in FEATS)} FROM h)
+SELECT {', '.join(f"round(({c} - m_{c}) / s_{c}, 5) + 0.0 AS {n}" for c, n in zip(FEATS, NAMES))},
+       round({TGT}, 5) + 0.0 AS {NAMES[-1]}
+FROM h, st"""
+
+
+def _processed(spark, d):
+    base = shared_path(spark, "proc")
+    raw = f"{base}/raw.csv"
+    IO.write_csv(H.housing_named(spark, d), raw)
+    W.process_and_save(spark, raw, f"{base}/processed.csv", NAMES[:-1], NAMES[-1])
+    return base
+
+
+@query("process_and_save", _SCALED_SQL)
+def q_process_and_save(spark, d):
+    """Raw CSV -> standard-scaled features, target as is -> processed CSV,
+    read back."""
+    base = _processed(spark, d)
+    df = IO.read_header_csv(spark, f"{base}/processed.csv", IO.HOUSING_DDL)
+    return rnd_all(df, 5)
+
+
+@query("load_processed_split")
+def q_load_processed_split(spark, d):
+    """The processed CSV split 80/20 by file position (rows-only: DuckDB's
+    views expose no file order)."""
+    base = _processed(spark, d)
+    return W.load_processed_split(spark, f"{base}/processed.csv", NAMES[:-1], NAMES[-1])

@@ -175,3 +175,28 @@ def grid_search(spark: SparkSession, sf_dir: str, grid=None, *, seed: int = 42,
           r.best_epoch) for i, r in enumerate(results)],
         "cfg int, description string, epochs int, lr double, patience int, epochs_run int, best_epoch int")
     return info.join(ev, "cfg")
+
+
+def process_and_save(spark: SparkSession, raw_csv: str, processed_csv: str, features, target: str, *,
+                     scaler: str = "standard", ddof: int = 1, scale_target: bool = False):
+    """Read a headed raw CSV, scale (one fit aggregate, one select) and write
+    the processed CSV (features then target). Returns the fitted models."""
+    from ..sources import io as IO
+    raw = IO.read_header_csv(spark, raw_csv, ", ".join(f"{c} double" for c in list(features) + [target]))
+    out, fm, tm = S.preprocess(raw, features, target, scaler=scaler, ddof=ddof, scale_target=scale_target)
+    IO.write_csv(out, processed_csv)
+    return fm, tm
+
+
+def load_processed_split(spark: SparkSession, processed_csv: str, features, target: str,
+                         train_frac: float = 0.8) -> DataFrame:
+    """The binary's loader: the processed CSV in file order, first eight
+    columns features, the ninth the target, the first floor(0.8 n) rows
+    'train' and the rest 'test' -- positions from file metadata, the split a
+    predicate (no shuffle of the data)."""
+    from ..sources import io as IO
+    df = IO.read_header_csv(spark, processed_csv, ", ".join(f"{c} double" for c in list(features) + [target]))
+    pos = R.with_source_position(df, "row_pos")
+    n = df.count()
+    k = int(train_frac * n)
+    return pos.withColumn("split", F.when(F.col("row_pos") < k, F.lit("train")).otherwise(F.lit("test")))

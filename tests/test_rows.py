@@ -76,3 +76,16 @@ def test_hash_ranks_exact(spark):
     hs = sorted(r["h"] for r in df.collect())
     ranks = [0, 1, 499, 2500, 4999]
     assert R.hash_ranks(df, "h", ranks, 5000, max_final=100) == [hs[r] for r in ranks]
+
+
+def test_source_position_csv_splits(spark, tmp_path):
+    p = str(tmp_path / "t.csv")
+    spark.range(0, 5000, 1, 4).select(F.col("id").alias("v")).write.option("header", True).csv(p)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")   # several splits per file
+    try:
+        df = spark.read.option("header", True).schema("v long").csv(p)
+        got = sorted((r["row_pos"], r["v"]) for r in R.with_source_position(df).collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [x[0] for x in got] == list(range(5000))
+    assert [x[1] for x in got] == list(range(5000))   # file order = written order here
