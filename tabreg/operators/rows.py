@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from .select import select_ranks
 
-# Offsets tables above this many rows are joined without a broadcast hint.
-BROADCAST_ROWS = 200_000
+# Offsets tables (one row per bucket, file or split: a path string and two
+# longs, ~150 bytes) up to this many rows (~300 MB) are broadcast; a 100 TB
+# input of 128 MB files has ~800k files. Beyond it the join shuffles.
+BROADCAST_ROWS = 2_000_000
 ROWS_PER_BUCKET = 1_000_000
 
 
