@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from ..session import ship_package
 
 from .matrix import _batch_matrix
-from .metrics import grade_expr, metric_exprs
+from .metrics import band_expr, grade_expr, metric_exprs
 from .model import MLP, collect_gradients, forward_np, gradient_job
 from .rows import hash_ranks, md5_order, row_index
 
@@ -371,7 +371,8 @@ def evaluate_models(test: DataFrame, models: list) -> DataFrame:
     s = score_many(test, models)
     m = s.groupBy("cfg").agg(*metric_exprs("pred", "y"))
     pct, g = grade_expr(F.col("mae"), F.col("target_std"))
-    return m.withColumn("mae_pct", pct).withColumn("grade", g)
+    return (m.withColumn("mae_pct", pct).withColumn("grade", g)
+             .withColumn("mae_band", band_expr(F.col("mae"))))
 
 
 def label_val_batches(val: DataFrame, bs: int, seed: int) -> DataFrame:

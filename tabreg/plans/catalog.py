@@ -442,11 +442,12 @@ SELECT {_r('CASE WHEN target_std > 0 THEN mae / target_std * 100 ELSE 0.0 END',
        CASE WHEN (CASE WHEN target_std > 0 THEN mae / target_std * 100 ELSE 0.0 END) < 30 THEN 'Excellent'
             WHEN (CASE WHEN target_std > 0 THEN mae / target_std * 100 ELSE 0.0 END) < 50 THEN 'Good'
             WHEN (CASE WHEN target_std > 0 THEN mae / target_std * 100 ELSE 0.0 END) < 70 THEN 'Acceptable'
-            ELSE 'Poor' END AS grade
+            ELSE 'Poor' END AS grade,
+       CASE WHEN mae < 0.5 THEN 'good' WHEN mae <= 0.8 THEN 'acceptable' ELSE 'poor' END AS mae_band
 FROM m""")
 def q_mae_grade(spark, d):
     g = M.mae_grade(M.regression_metrics(H.predictions_fixture(spark, d)))
-    return g.select(rnd("mae_pct", 6).alias("mae_pct"), "grade")
+    return g.select(rnd("mae_pct", 6).alias("mae_pct"), "grade", "mae_band")
 
 
 @query("predictions_table", f"""WITH {_PRED_CTE}
