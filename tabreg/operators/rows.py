@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -80,23 +81,31 @@ def hash_ranks(df: DataFrame, h, ranks, n: int, *, max_final: int = 20_000) -> l
     # pending: prefix -> list of (rank, rank within prefix); "" = everything
     pending = {"": [(r, r) for r in sorted(set(ranks))]}
     sizes = {"": n}
+    full = 32   # md5 hex length: a prefix this long is a single value
     while pending:
         nxt: dict = {}
-        small = {p: rs for p, rs in pending.items() if sizes[p] <= max_final}
-        big = {p: rs for p, rs in pending.items() if sizes[p] > max_final}
+        small = {p: rs for p, rs in pending.items() if sizes[p] <= max_final or len(p) >= full}
+        big = {p: rs for p, rs in pending.items() if p not in small}
         if small:
             cond = None
             for p in small:
                 c = F.lit(True) if p == "" else F.col("_h").startswith(p)
                 cond = c if cond is None else cond | c
-            vals = sorted(r["_h"] for r in base.where(cond).collect())
+            # (value, count) pairs: a duplicated hash arrives as one row
+            vals = sorted((r["_h"], r["c"]) for r in
+                          base.where(cond).groupBy("_h").agg(F.count("*").alias("c")).collect())
             for p, rs in small.items():
-                inside = [v for v in vals if v.startswith(p)]
+                inside = [(v, c) for v, c in vals if v.startswith(p)]
                 for r, k in rs:
-                    out[r] = inside[k]
+                    acc = 0
+                    for v, c in inside:
+                        acc += c
+                        if k < acc:
+                            out[r] = v
+                            break
         for p, rs in big.items():
             extra = max(1, min(4, math.ceil(math.log(max(sizes[p] / 500.0, 2), 16))))
-            d = len(p) + extra
+            d = min(full, len(p) + extra)
             part = base if p == "" else base.where(F.col("_h").startswith(p))
             hist = sorted((r["b"], r["c"]) for r in
                           part.groupBy(F.substring("_h", 1, d).alias("b")).agg(F.count("*").alias("c")).collect())
@@ -116,13 +125,19 @@ def hash_ranks(df: DataFrame, h, ranks, n: int, *, max_final: int = 20_000) -> l
 
 def row_index(df: DataFrame, order_by, name: str = "row_idx", *,
               n: int | None = None, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Exact 0-based position of each row in ascending order of a unique key.
+    """Exact 0-based position of each row in ascending order of a key.
 
     Numeric keys are cut into B buckets at approximate quantiles; md5-hex keys
     (strings) are cut on their leading hex digits. Exact per-bucket counts give
-    prefix offsets (B rows, broadcast), and ``row_number()`` runs **partitioned
-    by bucket**, so each task sorts about ``rows_per_bucket`` rows. B grows
-    with the data.
+    prefix offsets (one row per bucket, broadcast), and ``row_number()`` runs
+    **partitioned by bucket**, so each task sorts about ``rows_per_bucket``
+    rows; B grows with the data.
+
+    A key value holding many rows (it repeats among the quantile cuts) gets a
+    bucket of its own, and that bucket is salted into sub-buckets by a hash of
+    the row's columns: all its keys are equal, so any order among them is a
+    valid order, and no task receives the hot value whole. (Rows identical in
+    every column hash alike and stay together.)
     """
     key = _c(order_by)
     spark = df.sparkSession
@@ -130,45 +145,72 @@ def row_index(df: DataFrame, order_by, name: str = "row_idx", *,
         n = df.count()
     par = spark.sparkContext.defaultParallelism
     B = max(1, min(4096, max(par, math.ceil(n / rows_per_bucket))))
+    target = max(1, math.ceil(n / B))
     is_string = dict(df.select(key.alias("_k")).dtypes)["_k"] == "string"
+    cols = df.columns
     base = df.withColumn("_k", key)
+    hot_values: list = []
     if is_string:
         digits = max(1, math.ceil(math.log(max(B, 2), 16)))
-        bucket = F.conv(F.substring("_k", 1, digits), 16, 10).cast("int")
+        base = base.withColumn("_b", F.conv(F.substring("_k", 1, digits), 16, 10).cast("int"))
         nb = 16 ** digits
+        splits = None
     else:
         if B > 1 and n > 0:
             probs = [i / B for i in range(1, B)]
-            cuts = base.agg(F.percentile_approx(F.col("_k").cast("double"), probs,
-                                                max(10_000, 10 * B)).alias("q")).first()["q"]
-            cuts = sorted(set(float(x) for x in cuts))
+            raw = base.agg(F.percentile_approx(F.col("_k").cast("double"), probs,
+                                               max(10_000, 10 * B)).alias("q")).first()["q"]
+            raw = [float(x) for x in raw]
+            hot_values = sorted({v for v in raw if raw.count(v) > 1})
+            cuts = sorted(set(raw) | {float(np.nextafter(v, math.inf)) for v in hot_values})
         else:
             cuts = []
         nb = len(cuts) + 1
-    if is_string:
-        base = base.withColumn("_b", bucket.cast("int"))
-    elif cuts:
-        # bucket = number of cut points <= key; Bucketizer binary-searches in the JVM
-        from pyspark.ml.feature import Bucketizer
-        base = base.withColumn("_kd", F.col("_k").cast("double"))
-        base = Bucketizer(splits=[-math.inf] + cuts + [math.inf], inputCol="_kd",
-                          outputCol="_bd", handleInvalid="keep").transform(base)
-        base = base.withColumn("_b", F.col("_bd").cast("int")).drop("_kd", "_bd")
+        splits = cuts
+        if cuts:
+            # bucket = number of cut points <= key; Bucketizer binary-searches in the JVM
+            from pyspark.ml.feature import Bucketizer
+            base = base.withColumn("_kd", F.col("_k").cast("double"))
+            base = Bucketizer(splits=[-math.inf] + cuts + [math.inf], inputCol="_kd",
+                              outputCol="_bd", handleInvalid="keep").transform(base)
+            base = base.withColumn("_b", F.col("_bd").cast("int")).drop("_kd", "_bd")
+        else:
+            base = base.withColumn("_b", F.lit(0))
+    counts = {r["_b"]: r["_n"] for r in base.groupBy("_b").agg(F.count("*").alias("_n")).collect()}
+    # single-valued buckets of hot values: [v, nextafter(v)) is bucket index(v) + 1
+    salt = {}
+    if splits:
+        for v in hot_values:
+            b = splits.index(v) + 1
+            if counts.get(b, 0) > 2 * target:
+                salt[b] = math.ceil(counts[b] / target)
+    if salt:
+        h = F.xxhash64(*[F.col(c) for c in cols])
+        sub = None
+        for b, k in salt.items():
+            sub = (F.when(F.col("_b") == b, F.pmod(h, F.lit(k))) if sub is None
+                   else sub.when(F.col("_b") == b, F.pmod(h, F.lit(k))))
+        base = base.withColumn("_s", sub.otherwise(F.lit(0)).cast("int"))
+        units = {(r["_b"], r["_s"]): r["_n"] for r in
+                 base.where(F.col("_b").isin(list(salt))).groupBy("_b", "_s").agg(F.count("*").alias("_n")).collect()}
+        for b, c in counts.items():
+            if b not in salt:
+                units[(b, 0)] = c
     else:
-        base = base.withColumn("_b", F.lit(0))
-    counts = base.groupBy("_b").agg(F.count("*").alias("_n")).collect()
-    cnt = {r["_b"]: r["_n"] for r in counts}
+        base = base.withColumn("_s", F.lit(0))
+        units = {(b, 0): c for b, c in counts.items()}
     off, offsets = 0, []
-    for b in range(nb):
-        offsets.append((b, off))
-        off += cnt.get(b, 0)
-    offsets_df = spark.createDataFrame([o for o in offsets if o[0] in cnt], "_b int, _off long")
-    if len(cnt) <= BROADCAST_ROWS:
+    for u in sorted(units):
+        offsets.append((u[0], u[1], off))
+        off += units[u]
+    del nb
+    offsets_df = spark.createDataFrame(offsets, "_b int, _s int, _off long")
+    if len(offsets) <= BROADCAST_ROWS:
         offsets_df = F.broadcast(offsets_df)
-    w = Window.partitionBy("_b").orderBy("_k")
-    out = (base.join(offsets_df, "_b")
+    w = Window.partitionBy("_b", "_s").orderBy("_k")
+    out = (base.join(offsets_df, ["_b", "_s"])
                .withColumn(name, (F.col("_off") + F.row_number().over(w) - 1).cast("long")))
-    return out.drop("_k", "_b", "_off")
+    return out.drop("_k", "_b", "_s", "_off")
 
 
 def split_at_rank(df: DataFrame, order_by, k: int, *, n: int | None = None,

@@ -89,3 +89,26 @@ def test_source_position_csv_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert [x[0] for x in got] == list(range(5000))
     assert [x[1] for x in got] == list(range(5000))   # file order = written order here
+
+
+def test_row_index_hot_key_is_salted(spark):
+    # a third of the rows share one key: positions are still exact (ties in any
+    # order) and the hot value is split over several window partitions
+    rows = [(5, i) for i in range(3000)] + [(k, -k) for k in range(10, 6010)]
+    df = spark.createDataFrame(rows, "k long, v long").repartition(5)
+    out = R.row_index(df, "k", rows_per_bucket=400)
+    got = out.collect()
+    assert sorted(r["row_idx"] for r in got) == list(range(9000))
+    hot = sorted(r["row_idx"] for r in got if r["k"] == 5)
+    assert hot == list(range(3000))
+    others = sorted((r["k"], r["row_idx"]) for r in got if r["k"] != 5)
+    assert [p for _, p in others] == list(range(3000, 9000))
+
+
+def test_hash_ranks_with_a_hot_duplicate(spark):
+    # a third of the rows carry the same hash value
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit("0" * 32))
+                                  .otherwise(F.md5(F.col("id").cast("string"))).alias("h"))
+    hs = sorted(r["h"] for r in df.collect())
+    ranks = [0, 999, 1000, 1500, 2999]
+    assert R.hash_ranks(df, "h", ranks, 3000, max_final=50) == [hs[r] for r in ranks]
