@@ -30,3 +30,19 @@ def test_rust_flavour_learns_synthetic_target(spark):
     assert len(res.batch_losses) == 20
     assert res.history[1]["loss"] < res.history[0]["loss"]
     assert res.model.n_params == 2689 and np.isfinite(res.model.flat()).all()
+
+
+def test_python_flavour_end_to_end(spark):
+    p, res = W.python_flavour(spark, SF, epochs=3, lr=1e-2, patience=2, synthetic=True)
+    assert p.n_train == 4800
+    assert [h["epoch"] for h in res.history] == [1, 2, 3]
+    assert all(h["val_loss"] is not None for h in res.history)
+    assert res.history[-1]["val_loss"] < res.history[0]["val_loss"]
+    assert len(res.batch_losses) == 30       # max(16, ceil(3840/10)) = 384 -> 10 batches/epoch
+
+
+def test_grid_search_one_row_per_setting(spark):
+    out = W.grid_search(spark, SF, max_epochs=2).orderBy("cfg").collect()
+    assert [r["lr"] for r in out] == [0.001, 0.01, 0.0005, 0.005]
+    assert all(r["epochs_run"] == 2 and r["n"] == 1200 for r in out)
+    assert {r["grade"] for r in out} <= {"Excellent", "Good", "Acceptable", "Poor"}
