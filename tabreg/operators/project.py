@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..constants import THIN_EVERY
+
 
 def rename_positional(df: DataFrame, names) -> DataFrame:
     """First ``len(names)`` columns renamed by position; extra columns are
@@ -67,7 +69,7 @@ def ones(spark: SparkSession, rows: int, cols: int, prefix: str = "c_") -> DataF
     return constant_fill(spark, rows, cols, 1.0, prefix)
 
 
-def history_thin(history: DataFrame, every: int = 20, epoch: str = "epoch",
+def history_thin(history: DataFrame, every: int = THIN_EVERY, epoch: str = "epoch",
                  by: str | None = None) -> DataFrame:
     """Keep every ``every``-th epoch (1, 21, 41, ...) and the last one (per
     run when ``by`` is given). The last epoch comes from a per-run max, a

@@ -14,6 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import constants as C
 from .select import select_ranks
 
 # Offsets tables (one row per bucket, file or split: a path string and two
@@ -230,7 +231,7 @@ def split_at_rank(df: DataFrame, order_by, k: int, *, n: int | None = None,
     return df.withColumn(name, F.when(key <= F.lit(thr), F.lit(first)).otherwise(F.lit(rest)))
 
 
-def train_test_split(df: DataFrame, order_by, train_frac: float = 0.8, *,
+def train_test_split(df: DataFrame, order_by, train_frac: float = C.TRAIN_FRACTION, *,
                      n: int | None = None, name: str = "split") -> DataFrame:
     """First ``floor(train_frac * n)`` rows are 'train', the rest 'test'."""
     if n is None:
@@ -239,7 +240,7 @@ def train_test_split(df: DataFrame, order_by, train_frac: float = 0.8, *,
     return split_at_rank(df, order_by, k, n=n, name=name)
 
 
-def random_val_split(df: DataFrame, key, val_frac: float = 0.2, seed: int = 42, *,
+def random_val_split(df: DataFrame, key, val_frac: float = C.VAL_FRACTION, seed: int = 42, *,
                      n: int | None = None, name: str = "split") -> DataFrame:
     """Seeded random permutation; the first ``max(1, floor(n * v))`` rows are
     'val', the rest 'train'. Requires 0 < v < 0.5 (as the reference asserts)."""
@@ -255,8 +256,8 @@ def random_val_split(df: DataFrame, key, val_frac: float = 0.2, seed: int = 42,
 
 def default_batch_size(n: int, flavour: str = "rust") -> int:
     """ceil(n/10) (Rust binary), or max(16, ceil(n/10)) (Python trainer)."""
-    b = max(1, math.ceil(n / 10))
-    return max(16, b) if flavour == "python" else b
+    b = max(1, math.ceil(n / C.BATCHES_PER_EPOCH))
+    return max(C.MIN_BATCH_PYTHON, b) if flavour == "python" else b
 
 
 def minibatch(df: DataFrame, order_by, batch_size: int | None = None, *,

@@ -19,7 +19,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-EPS = 1e-8
+from ..constants import SCALE_EPS as EPS
+
 PARAMS_SCHEMA = "scaler string, column string, stat string, value double"
 
 

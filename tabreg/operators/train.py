@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package
 
+from .. import constants as C
+from ..constants import REFERENCE_GRID  # noqa: F401  (re-exported)
 from .matrix import _batch_matrix
 from .metrics import band_expr, grade_expr, metric_exprs
 from .model import MLP, collect_gradients, forward_np, gradient_job
@@ -39,20 +41,20 @@ LOG = logging.getLogger("tabreg.train")
 
 @dataclass(frozen=True)
 class TrainConfig:
-    epochs: int = 200
-    lr: float = 1e-3
+    epochs: int = C.PYTHON_EPOCHS
+    lr: float = C.PYTHON_LR
     batch_size: int | None = None
-    patience: int | None = 20
-    min_delta: float = 0.0
+    patience: int | None = C.PYTHON_PATIENCE
+    min_delta: float = C.PYTHON_MIN_DELTA
     optimizer: str = "sgd"
     momentum: float = 0.0
     weight_decay: float = 0.0
-    betas: tuple = (0.9, 0.999)
-    eps: float = 1e-8
+    betas: tuple = C.ADAM_BETAS
+    eps: float = C.ADAM_EPS
     plateau: bool = True
-    plateau_factor: float = 0.5
-    plateau_patience: int = 5
-    plateau_threshold: float = 1e-4
+    plateau_factor: float = C.PLATEAU_FACTOR
+    plateau_patience: int = C.PLATEAU_PATIENCE
+    plateau_threshold: float = C.PLATEAU_THRESHOLD
     shuffle: bool = True
     seed: int = 42
     tie: float = 0.0
@@ -64,13 +66,6 @@ class TrainConfig:
             raise ValueError(f"Unsupported optimizer: {self.optimizer}. Use 'sgd' or 'adam'")
 
 
-# The reference's four sweep settings (epochs, lr, patience, label).
-REFERENCE_GRID = [
-    (200, 0.001, 20, "Baseline (current settings)"),
-    (200, 0.01, 20, "Higher LR (10x)"),
-    (300, 0.0005, 30, "Lower LR, more epochs"),
-    (150, 0.005, 15, "Medium LR, shorter patience"),
-]
 
 
 # ------------------------------------------------------ driver-side state
@@ -109,7 +104,8 @@ class Plateau:
     """Reduce-on-plateau (mode min, relative threshold): after more than
     ``patience`` epochs without a relative improvement, lr *= factor."""
 
-    def __init__(self, lr: float, factor=0.5, patience=5, threshold=1e-4, min_lr=0.0, eps=1e-8):
+    def __init__(self, lr: float, factor=C.PLATEAU_FACTOR, patience=C.PLATEAU_PATIENCE,
+                 threshold=C.PLATEAU_THRESHOLD, min_lr=0.0, eps=1e-8):
         self.lr, self.factor, self.patience = lr, factor, patience
         self.threshold, self.min_lr, self.eps = threshold, min_lr, eps
         self.best = math.inf

@@ -1,24 +1,14 @@
 """The nine-column regression table the pipeline runs on, built from the
-driver's TPC-H-like tables, and small derived fixtures.
-
-Fixed values (must equal the reference's canonical column names, in order):
-longitude, latitude, housing_median_age, total_rooms, total_bedrooms,
-population, households, median_income, median_house_value
-"""
+driver's TPC-H-like tables, and small derived fixtures."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..constants import CALIFORNIA_COLUMNS  # noqa: F401  (re-exported)
 from ..session import table_path
 
-CALIFORNIA_COLUMNS = [
-    "longitude", "latitude", "housing_median_age", "total_rooms",
-    "total_bedrooms", "population", "households", "median_income",
-    "median_house_value",
-]
-
 # housing_like: eight features and a target, in the reference's positions.
 FEATURES = ["l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice",
             "s_acctbal", "c_acctbal", "o_totalprice"]

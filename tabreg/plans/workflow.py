@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import constants as C
 from ..operators import rows as R
 from ..operators import scale as S
 from ..operators import train as T
@@ -110,12 +111,12 @@ def prepare(spark: SparkSession, sf_dir: str, *, ddof: int = 1, scale_target: bo
                     k, n - k, fm, tm, block, bs)
 
 
-def rust_flavour(spark: SparkSession, sf_dir: str, *, epochs: int = 1, lr: float = 0.01,
+def rust_flavour(spark: SparkSession, sf_dir: str, *, epochs: int = C.RUST_EPOCHS, lr: float = C.RUST_LR,
                  batch_size: int | None = None, seed: int = 42, synthetic: bool = False,
                  init: str = "xavier_normal"):
     p = prepare(spark, sf_dir, ddof=1, scale_target=False, batch_size=batch_size,
                 flavour="rust", synthetic=synthetic)
-    model = MLP.create((8, 64, 32, 1), "relu", init, seed)
+    model = MLP.create(C.NETWORK_SIZES, "relu", init, seed)
     bs = batch_size or R.default_batch_size(p.n_train, "rust")
     cfg = T.TrainConfig(epochs=epochs, lr=lr, batch_size=bs, patience=None, plateau=False,
                         shuffle=False, seed=seed, name="rust")
@@ -143,8 +144,9 @@ def python_setup(spark: SparkSession, sf_dir: str, *, val_split: float = 0.2, se
     return p, tr, va, bs, n_tr
 
 
-def python_flavour(spark: SparkSession, sf_dir: str, *, epochs: int = 200, lr: float = 1e-3,
-                   val_split: float = 0.2, patience: int = 20, min_delta: float = 0.0,
+def python_flavour(spark: SparkSession, sf_dir: str, *, epochs: int = C.PYTHON_EPOCHS,
+                   lr: float = C.PYTHON_LR, val_split: float = C.VAL_FRACTION,
+                   patience: int = C.PYTHON_PATIENCE, min_delta: float = C.PYTHON_MIN_DELTA,
                    optimizer: str = "sgd", seed: int = 42, synthetic: bool = False):
     p, tr, va, bs, n_tr = python_setup(spark, sf_dir, val_split=val_split, seed=seed, synthetic=synthetic)
     model = MLP.create((8, 64, 32, 1), "relu", "xavier_normal", seed)
