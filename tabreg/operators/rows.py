@@ -85,25 +85,22 @@ def hash_ranks(df: DataFrame, h, ranks, n: int, *, max_final: int = 20_000) -> l
     full = 32   # md5 hex length: a prefix this long is a single value
     while pending:
         nxt: dict = {}
-        small = {p: rs for p, rs in pending.items() if sizes[p] <= max_final or len(p) >= full}
+        # a full-length prefix is one hash value, however many rows share it
+        for p in [p for p in pending if len(p) >= full]:
+            for r, _ in pending.pop(p):
+                out[r] = p
+        small = {p: rs for p, rs in pending.items() if sizes[p] <= max_final}
         big = {p: rs for p, rs in pending.items() if p not in small}
         if small:
             cond = None
             for p in small:
                 c = F.lit(True) if p == "" else F.col("_h").startswith(p)
                 cond = c if cond is None else cond | c
-            # (value, count) pairs: a duplicated hash arrives as one row
-            vals = sorted((r["_h"], r["c"]) for r in
-                          base.where(cond).groupBy("_h").agg(F.count("*").alias("c")).collect())
+            vals = sorted(r["_h"] for r in base.where(cond).collect())   # bounded by max_final each
             for p, rs in small.items():
-                inside = [(v, c) for v, c in vals if v.startswith(p)]
+                inside = [v for v in vals if v.startswith(p)]
                 for r, k in rs:
-                    acc = 0
-                    for v, c in inside:
-                        acc += c
-                        if k < acc:
-                            out[r] = v
-                            break
+                    out[r] = inside[k]
         for p, rs in big.items():
             extra = max(1, min(4, math.ceil(math.log(max(sizes[p] / 500.0, 2), 16))))
             d = min(full, len(p) + extra)
