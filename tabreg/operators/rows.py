@@ -2,8 +2,9 @@
 
 A DataFrame has no row order, so every positional operator names its order:
 either the source-file order of a Parquet/CSV scan (``with_source_position``)
-or a unique sort key (``row_index``). Neither plans an unpartitioned window
-(``Exchange SinglePartition``) over data-sized input.
+or a sort key (``row_index``; ties, e.g. a hot value, take any order). Neither
+plans an unpartitioned window (``Exchange SinglePartition``) over data-sized
+input.
 """
 
 from __future__ import annotations
