@@ -100,7 +100,7 @@ def q_dataset_statistics(spark, d):
     for c in FEATS + [TGT]))
 def q_profile(spark, d):
     """count / mean / sample std / min / max of every column, one aggregate."""
-    p = ST.profile(H.housing_like(spark, d), FEATS + [TGT])
+    p = ST.profile(H.housing_table(spark, d), FEATS + [TGT])
     return p.select("column", "count", *[rnd(c, 4).alias(c) for c in ("mean", "std", "min", "max")])
 
 
@@ -108,7 +108,7 @@ def q_profile(spark, d):
 WITH {HOUSING_CTE}
 SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(9 AS BIGINT) AS n_cols FROM h""")
 def q_shape(spark, d):
-    return ST.shape(H.housing_like(spark, d))
+    return ST.shape(H.housing_table(spark, d))
 
 
 def _std_stats_sql(ddof_fn: str) -> str:
@@ -121,13 +121,13 @@ def _std_stats_sql(ddof_fn: str) -> str:
 
 @query("fit_standard_samp", _std_stats_sql("stddev_samp"))
 def q_fit_standard_samp(spark, d):
-    t = S.fit_table(H.housing_like(spark, d), S.StandardScaler(FEATS, ddof=1))
+    t = S.fit_table(H.housing_table(spark, d), S.StandardScaler(FEATS, ddof=1))
     return t.select("column", rnd("mean", 4).alias("mean"), rnd("std", 4).alias("std"))
 
 
 @query("fit_standard_pop", _std_stats_sql("stddev_pop"))
 def q_fit_standard_pop(spark, d):
-    t = S.fit_table(H.housing_like(spark, d), S.StandardScaler(FEATS, ddof=0))
+    t = S.fit_table(H.housing_table(spark, d), S.StandardScaler(FEATS, ddof=0))
     return t.select("column", rnd("mean", 4).alias("mean"), rnd("std", 4).alias("std"))
 
 
@@ -135,7 +135,7 @@ def q_fit_standard_pop(spark, d):
     f"""SELECT '{c}' AS "column", coalesce(min({c}), 0.0) + 0.0 AS "min", coalesce(max({c}), 1.0) + 0.0 AS "max" FROM h"""
     for c in FEATS))
 def q_fit_minmax(spark, d):
-    t = S.fit_table(H.housing_like(spark, d), S.MinMaxScaler(FEATS))
+    t = S.fit_table(H.housing_table(spark, d), S.MinMaxScaler(FEATS))
     return t.select("column", (F.col("min") + 0.0).alias("min"), (F.col("max") + 0.0).alias("max"))
 
 
@@ -144,7 +144,7 @@ def q_fit_minmax(spark, d):
 UNION ALL SELECT 'standard', '{c}', 'std', {_r(f'CASE WHEN stddev_samp({c}) > 1e-8 THEN stddev_samp({c}) ELSE 1.0 END', 4)} FROM h
 UNION ALL SELECT 'standard', '{c}', 'ddof', 1.0""" for c in FEATS))
 def q_scaler_params(spark, d):
-    t = S.params_from_fit(H.housing_like(spark, d), S.StandardScaler(FEATS, ddof=1))
+    t = S.params_from_fit(H.housing_table(spark, d), S.StandardScaler(FEATS, ddof=1))
     return t.select("scaler", "column", "stat", rnd("value", 4).alias("value"))
 
 
@@ -171,27 +171,27 @@ def _scaled_sql(kind: str, ddof_fn: str = "stddev_samp", scale_target: bool = Fa
 
 @query("standard_scale", _scaled_sql("standard"))
 def q_standard_scale(spark, d):
-    df = H.housing_like(spark, d)
+    df = H.housing_table(spark, d)
     m = S.StandardScaler(FEATS, ddof=1).fit(df)
     return rnd_all(m.transform(df), 5)
 
 
 @query("minmax_scale", _scaled_sql("minmax", d=6))
 def q_minmax_scale(spark, d):
-    df = H.housing_like(spark, d)
+    df = H.housing_table(spark, d)
     m = S.MinMaxScaler(FEATS).fit(df)
     return rnd_all(m.transform(df), 6)
 
 
 @query("preprocess", _scaled_sql("standard", "stddev_pop", scale_target=True))
 def q_preprocess(spark, d):
-    out, _, _ = S.preprocess(H.housing_like(spark, d), FEATS, TGT, ddof=0, scale_target=True)
+    out, _, _ = S.preprocess(H.housing_table(spark, d), FEATS, TGT, ddof=0, scale_target=True)
     return rnd_all(out, 5)
 
 
 @query("preprocess_minmax", _scaled_sql("minmax", scale_target=True, d=6))
 def q_preprocess_minmax(spark, d):
-    out, _, _ = S.preprocess(H.housing_like(spark, d), FEATS, TGT, scaler="minmax", scale_target=True)
+    out, _, _ = S.preprocess(H.housing_table(spark, d), FEATS, TGT, scaler="minmax", scale_target=True)
     return rnd_all(out, 6)
 
 
@@ -201,7 +201,7 @@ st AS (SELECT {', '.join(f"avg({c}) AS m_{c}, CASE WHEN stddev_samp({c}) > 1e-8
 SELECT {', '.join(f"{_r(f'(({c} - m_{c}) / s_{c}) * s_{c} + m_{c}', 4)} AS {c}" for c in FEATS)}, {_r(TGT, 4)} AS {TGT}
 FROM h, st""")
 def q_inverse_scale(spark, d):
-    df = H.housing_like(spark, d)
+    df = H.housing_table(spark, d)
     m = S.StandardScaler(FEATS, ddof=1).fit(df)
     return rnd_all(m.inverse(m.transform(df)), 4)
 
@@ -237,7 +237,7 @@ SELECT {_r('(' + ' + '.join(f'sum({c})' for c in FEATS) + ') / (' + ' + '.join(f
        {_r(f'min(z_{TGT})', 6)} AS target_min_after, {_r(f'max(z_{TGT})', 6)} AS target_max_after
 FROM z""")
 def q_scaling_report(spark, d):
-    df = H.housing_like(spark, d)
+    df = H.housing_table(spark, d)
     fm, tm = S.fit_many(df, [S.StandardScaler(FEATS, 0), S.StandardScaler([TGT], 0)])
     rep = S.scaling_report(df, FEATS, TGT, fm, tm)
     six = {"feature_mean_after", "target_mean_after", "target_min_after", "target_max_after"}

@@ -40,7 +40,7 @@ def _raw_housing_csv(spark, d) -> tuple[str, str, str]:
         return shared_path(spark, "conv"), data, base
     base = shared_path(spark, "raw")
     data = f"{base}/cal_housing.data"
-    H.housing_like(spark, d).write.mode("overwrite").option("header", False).csv(data)
+    H.housing_table(spark, d).write.mode("overwrite").option("header", False).csv(data)
     dom = f"{base}/cal_housing.domain"
     spark.createDataFrame([(f"{n}: continuous.",) for n in NAMES], "line string") \
         .coalesce(1).write.mode("overwrite").text(dom)
@@ -136,7 +136,7 @@ def q_write_run_record(spark, d):
 @query("rename_positional", _NAMED_SQL)
 def q_rename_positional(spark, d):
     """11 columns in, the first 9 renamed, the 2 extra dropped."""
-    wide = H.housing_like(spark, d).withColumn("x1", F.lit(1)).withColumn("x2", F.lit(2))
+    wide = H.housing_table(spark, d).withColumn("x1", F.lit(1)).withColumn("x2", F.lit(2))
     return _norm(P.rename_positional(wide, NAMES))
 
 
@@ -157,7 +157,7 @@ def q_canonical_select(spark, d):
 @query("split_features_target", f"""WITH {HOUSING_CTE}
 SELECT {', '.join(f'{c} + 0.0 AS {c}' for c in FEATS + [TGT])} FROM h""")
 def q_split_features_target(spark, d):
-    named = H.housing_like(spark, d)
+    named = H.housing_table(spark, d)
     return _norm(P.split_features_target(named, FEATS, TGT))
 
 
@@ -167,7 +167,7 @@ SELECT {', '.join(f"round(({c} - m_{c}) / s_{c}, 5) + 0.0 AS {c}" for c in FEATS
 FROM h, st""")
 def q_concat_horizontal(spark, d):
     """Scaled features and the unscaled target glued side by side: one select."""
-    df = H.housing_like(spark, d)
+    df = H.housing_table(spark, d)
     m = S.StandardScaler(FEATS, ddof=1).fit(df)
     out = P.concat_horizontal(df, [[m.expr(c).alias(c) for c in FEATS], [TGT]])
     return rnd_all(out, 5)
@@ -176,7 +176,7 @@ def q_concat_horizontal(spark, d):
 @query("cast_float32", f"""WITH {HOUSING_CTE}
 SELECT {', '.join(f'CAST({c} AS FLOAT) AS {c}' for c in FEATS + [TGT])} FROM h""")
 def q_cast_float32(spark, d):
-    return P.cast_float32(H.housing_like(spark, d))
+    return P.cast_float32(H.housing_table(spark, d))
 
 
 @query("identity_table", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")

@@ -222,7 +222,7 @@ def _net_sql(model: MLP) -> str:
 def q_mlp_score_housing(spark, d):
     """The reference network (8-64-32-1, ReLU, seeded Xavier-normal) scoring
     every standard-scaled housing_like row through Arrow batches."""
-    df = H.housing_like(spark, d)
+    df = H.housing_table(spark, d)
     m = S.StandardScaler(FEATS, ddof=1).fit(df)
     sc = m.transform(df)
     out = mlp_score(sc, HOUSING_NET, FEATS, keep=[TGT], method="arrow")
