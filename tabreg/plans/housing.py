@@ -83,24 +83,27 @@ def housing_like(spark: SparkSession, sf_dir: str, *, position: bool = False) ->
 _TABLES: dict = {}
 
 
-def housing_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """housing_like materialized once per application as Parquet under the
-    shared checkpoint folder, then read back. Queries that pass over it more
-    than once (fit, then transform or score) scan the written table instead
-    of recomputing the four joins; the lineage of every reader starts here."""
+def housing_table(spark: SparkSession, sf_dir: str, *, position: bool = False) -> DataFrame:
+    """housing_like (with source positions) materialized once per
+    application as Parquet under the shared checkpoint folder, then read
+    back. Queries that pass over it more than once (fit, then transform or
+    score; training) scan the written table instead of recomputing the four
+    joins, and their lineage starts here. ``position=True`` keeps ``row_pos``;
+    otherwise only the nine value columns are read (pruned at the scan)."""
     from ..session import shared_path
 
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _TABLES:
         path = shared_path(spark, "housing")
-        housing_like(spark, sf_dir).write.mode("overwrite").parquet(path)
+        housing_like(spark, sf_dir, position=True).write.mode("overwrite").parquet(path)
         _TABLES[key] = path
-    return spark.read.parquet(_TABLES[key])
+    df = spark.read.parquet(_TABLES[key])
+    return df if position else df.select(*FEATURES, TARGET)
 
 
 def housing_named(spark: SparkSession, sf_dir: str, *, position: bool = False) -> DataFrame:
     """housing_like under the canonical nine names (positional mapping)."""
-    df = housing_like(spark, sf_dir, position=True) if position else housing_table(spark, sf_dir)
+    df = housing_table(spark, sf_dir, position=position)
     sel = [F.col(c).alias(n) for c, n in zip(FEATURES + [TARGET], CALIFORNIA_COLUMNS)]
     if position:
         sel.append(F.col("row_pos"))

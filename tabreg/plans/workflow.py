@@ -55,31 +55,30 @@ def batch_predicate(k: int, bs: int, block: int):
 def prepare(spark: SparkSession, sf_dir: str, *, ddof: int = 1, scale_target: bool = False,
             train_frac: float = 0.8, batch_size: int | None = None, flavour: str = "rust",
             synthetic: bool = False) -> Prepared:
-    """housing_like with source positions, written once to the shared
-    checkpoint folder (the joins run once and the lineage of every later
-    training job starts at that table); then ONE aggregate over it fits the
+    """The feature table with source positions (joins run once per
+    application, written to the shared checkpoint folder; above CACHE_ROWS
+    re-laid out by position blocks); then ONE aggregate over it fits the
     scaler(s), counts rows and checks the positions; scaling is a projection
     at read time; the 80/20 split is a predicate on the position and batches
     are ``floor(position / size)``."""
-    path = shared_path(spark, "prepared")
-    # Position blocks: at most ~4096 of them, at least 1M rows each. The data
-    # is range-partitioned on the position before the write, so each task
-    # writes one or two blocks, and a mini-batch (a position range) later
-    # reads only the files of its blocks (partition pruning).
+    # Position blocks: at most ~4096 of them, at least 1M rows each.
     est = H.table_rows(spark, sf_dir, "lineitem")            # Parquet footer counts
     block = max(POS_BLOCK_MIN, -(-est // POS_BLOCKS_MAX))
     par = spark.sparkContext.defaultParallelism
     parts = max(par * 10, -(-est // ROWS_PER_WRITE_TASK))   # a batch spans >= par files
-    joined = (H.housing_like(spark, sf_dir, position=True)
-                .withColumn("pos_block", F.floor(F.col("row_pos") / F.lit(block)).cast("long")))
+    table = H.housing_table(spark, sf_dir, position=True)   # the joins, run once per application
     if est > CACHE_ROWS:
-        # training will read batches straight from the files: lay them out by position
-        (joined.repartitionByRange(parts, "row_pos")
-               .write.mode("overwrite").partitionBy("pos_block").parquet(path))
+        # training will read batches straight from the files: lay them out by
+        # position (range-partitioned, so each task writes one or two blocks
+        # and a mini-batch reads only its blocks' files)
+        path = shared_path(spark, "prepared")
+        (table.withColumn("pos_block", F.floor(F.col("row_pos") / F.lit(block)).cast("long"))
+              .repartitionByRange(parts, "row_pos")
+              .write.mode("overwrite").partitionBy("pos_block").parquet(path))
+        base = spark.read.parquet(path)
     else:
-        # small enough to be cached for training: no layout shuffle needed
-        joined.write.mode("overwrite").parquet(path)
-    base = spark.read.parquet(path)
+        # small enough to be cached for training: read the feature table as is
+        base = table.withColumn("pos_block", F.floor(F.col("row_pos") / F.lit(block)).cast("long"))
     scalers = [S.StandardScaler(H.FEATURES, ddof)]
     if scale_target:
         scalers.append(S.StandardScaler([H.TARGET], ddof))
