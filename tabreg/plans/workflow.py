@@ -181,11 +181,19 @@ def grid_search(spark: SparkSession, sf_dir: str, grid=None, *, seed: int = 42,
 def process_and_save(spark: SparkSession, raw_csv: str, processed_csv: str, features, target: str, *,
                      scaler: str = "standard", ddof: int = 1, scale_target: bool = False):
     """Read a headed raw CSV, scale (one fit aggregate, one select) and write
-    the processed CSV (features then target). Returns the fitted models."""
+    the processed CSV (features then target) **in source row order**: row
+    order is part of the model (the later split is positional), and Spark
+    packs input files into partitions by size, so the rows carry their source
+    position and are range-partitioned and sorted on it before the write
+    (file order = source order). Returns the fitted models."""
     from ..sources import io as IO
     raw = IO.read_header_csv(spark, raw_csv, ", ".join(f"{c} double" for c in list(features) + [target]))
-    out, fm, tm = S.preprocess(raw, features, target, scaler=scaler, ddof=ddof, scale_target=scale_target)
-    IO.write_csv(out, processed_csv)
+    parts = raw.rdd.getNumPartitions()
+    raw = R.with_source_position(raw, "_pos")
+    out, fm, tm = S.preprocess(raw, features, target, scaler=scaler, ddof=ddof,
+                               scale_target=scale_target, keep=["_pos"])
+    ordered = out.repartitionByRange(parts, "_pos").sortWithinPartitions("_pos").drop("_pos")
+    IO.write_csv(ordered, processed_csv)
     return fm, tm
 
 
