@@ -63,6 +63,16 @@ def with_source_position(scan: DataFrame, name: str = "row_pos") -> DataFrame:
     return out.select(*scan.columns, (F.col("_off") + F.col("_r") - F.col("_r0")).cast("long").alias(name))
 
 
+def in_source_order(scan: DataFrame, parts: int | None = None) -> DataFrame:
+    """The rows of a file scan, range-partitioned and sorted on their source
+    position (which is then dropped), so a following write produces files
+    whose order is the source row order. Spark packs input files into
+    partitions by size, so without this a read-write cycle reorders rows."""
+    n_parts = parts or scan.rdd.getNumPartitions()
+    pos = with_source_position(scan, "_src_pos")
+    return pos.repartitionByRange(n_parts, "_src_pos").sortWithinPartitions("_src_pos").drop("_src_pos")
+
+
 def md5_order(key, seed, *extra) -> Column:
     """md5 hex of ``seed-[extra-]key``: a seeded, repeatable pseudo-random order."""
     parts = [F.lit(str(seed))] + [F.lit(str(e)) for e in extra] + [_c(key).cast("string")]

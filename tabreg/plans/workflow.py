@@ -188,12 +188,9 @@ def process_and_save(spark: SparkSession, raw_csv: str, processed_csv: str, feat
     (file order = source order). Returns the fitted models."""
     from ..sources import io as IO
     raw = IO.read_header_csv(spark, raw_csv, ", ".join(f"{c} double" for c in list(features) + [target]))
-    parts = raw.rdd.getNumPartitions()
-    raw = R.with_source_position(raw, "_pos")
-    out, fm, tm = S.preprocess(raw, features, target, scaler=scaler, ddof=ddof,
-                               scale_target=scale_target, keep=["_pos"])
-    ordered = out.repartitionByRange(parts, "_pos").sortWithinPartitions("_pos").drop("_pos")
-    IO.write_csv(ordered, processed_csv)
+    out, fm, tm = S.preprocess(R.in_source_order(raw), features, target, scaler=scaler, ddof=ddof,
+                               scale_target=scale_target)
+    IO.write_csv(out, processed_csv)
     return fm, tm
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.project import canonical_select, rename_positional
+from ..operators.rows import in_source_order
 from ..plans.housing import CALIFORNIA_COLUMNS
 
 HOUSING_DDL = ", ".join(f"{c} double" for c in CALIFORNIA_COLUMNS)
@@ -85,7 +86,8 @@ def convert_if_needed(spark: SparkSession, dataset_name: str, data_path: str, do
     (CSV and Parquet, judged by their _SUCCESS markers) exist, skip, only
     publishing the processed copy if it is absent; otherwise read the
     headerless CSV once, name its columns, and write both outputs from one
-    persisted read (the processed copy too). Returns ``out_dir``."""
+    persisted read (the processed copy too), in source row order. Returns
+    ``out_dir``."""
     if not exists(spark, data_path):
         raise FileNotFoundError(f"Data file not found: {data_path}")
     if not exists(spark, domain_path):
@@ -101,7 +103,7 @@ def convert_if_needed(spark: SparkSession, dataset_name: str, data_path: str, do
         df = read_headerless_csv(spark, data_path, ", ".join(f"{c} double" for c in names))
     else:   # generic datasets keep their positional names and inferred types
         df = read_headerless_csv(spark, data_path)
-    df = df.persist()
+    df = in_source_order(df).persist()     # outputs keep the source row order
     try:
         write_csv(df, csv_out)
         write_parquet(df, pq_out)
@@ -118,7 +120,7 @@ def publish_processed(spark: SparkSession, csv_dir: str, processed_dir: str, dat
     ``overwrite``, else only if absent (``mode('ignore')``)."""
     dest = f"{processed_dir.rstrip('/')}/{dataset_name}.csv"
     df = read_header_csv(spark, csv_dir, HOUSING_DDL if dataset_name == "CaliforniaHousing" else None)
-    df.write.mode("overwrite" if overwrite else "ignore").option("header", True).csv(dest)
+    in_source_order(df).write.mode("overwrite" if overwrite else "ignore").option("header", True).csv(dest)
     return dest
 
 

@@ -35,3 +35,19 @@ def test_load_dataset_fallbacks(spark, tmp_path):
     assert IO.load_dataset(spark, str(tmp_path / "none.parquet"), narrow).columns == CALIFORNIA_COLUMNS[:7]
     with pytest.raises(FileNotFoundError):
         IO.load_dataset(spark, str(tmp_path / "a"), str(tmp_path / "b"))
+
+
+def test_conversion_keeps_source_row_order(spark, tmp_path):
+    from tabreg.operators.rows import with_source_position
+    data = str(tmp_path / "ord.data")
+    # files of different sizes, so Spark's size-ordered packing would reorder them
+    spark.range(0, 3000, 1, 3).select(*[(F.col("id") * (j + 1)).cast("double").alias(f"c{j}") for j in range(9)]) \
+        .write.option("header", False).csv(data)
+    dom = str(tmp_path / "ord.domain")
+    spark.createDataFrame([("x",)], "l string").write.text(dom)
+    out = IO.convert_if_needed(spark, "CaliforniaHousing", data, dom, str(tmp_path / "o"), str(tmp_path / "p"))
+    for path, reader in [(f"{out}/CaliforniaHousing.csv", lambda p: IO.read_header_csv(spark, p, IO.HOUSING_DDL)),
+                         (f"{out}/CaliforniaHousing.parquet", spark.read.parquet),
+                         (f"{tmp_path}/p/CaliforniaHousing.csv", lambda p: IO.read_header_csv(spark, p, IO.HOUSING_DDL))]:
+        got = sorted((r["row_pos"], r["longitude"]) for r in with_source_position(reader(path)).collect())
+        assert [v for _, v in got] == [float(i) for i in range(3000)]
