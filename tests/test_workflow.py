@@ -46,3 +46,14 @@ def test_grid_search_one_row_per_setting(spark):
     assert [r["lr"] for r in out] == [0.001, 0.01, 0.0005, 0.005]
     assert all(r["epochs_run"] == 2 and r["n"] == 1200 for r in out)
     assert {r["grade"] for r in out} <= {"Excellent", "Good", "Acceptable", "Poor"}
+
+
+def test_entry_loads_by_file_path(spark):
+    import importlib.util
+    import os
+    path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "__spark_entry__.py")
+    spec = importlib.util.spec_from_file_location("entry_by_path", path)
+    mod = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(mod)
+    assert set(mod.oracle_sql()) <= set(mod.queries())
+    assert mod.entry(spark).columns == H.FEATURES + [H.TARGET]
