@@ -3,9 +3,11 @@ same rows, where SQL can express them."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import ngram_jaccard
+from . import bpe, ngram_jaccard, toxicity
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -51,3 +53,18 @@ FROM n LEFT JOIN c ON n.k = c.k AND n.n_shingles > 0 LEFT JOIN comp ON comp.rep
 @query("op1_ngram_jaccard", NGRAM_SQL.format(docs="documents"))
 def op1(spark, sf_dir):
     return ngram_jaccard.link_components(table(spark, sf_dir, "documents"))
+
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@query("op2_byte_bpe")
+def op2(spark, sf_dir):
+    out = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), RANKS), RANKS)
+    return out.select("doc_id", bpe.n_tokens().alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op10_toxicity")
+def op10(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -63,7 +63,7 @@ class Words:
     """Words of one slice: ``hash`` per word, ``first[d]:first[d+1]`` are the
     words of document d, ``begin``/``end`` their byte offsets in ``data``."""
 
-    __slots__ = ("data", "begin", "end", "hash", "first", "offsets")
+    __slots__ = ("data", "begin", "end", "hash", "first", "offsets", "_run")
 
     def __init__(self, data, offsets, sep: np.ndarray):
         low = _LOWER[data]
@@ -86,6 +86,12 @@ class Words:
         h = (run[self.end] - run[self.begin]) * q[self.begin]
         self.hash = mix(h + (self.end - self.begin).astype(U) * U(0xD6E8FEB86659FD93))
         self.first = np.searchsorted(self.begin, offsets)
+        self._run = run
+
+    def heads(self, p: int) -> np.ndarray:
+        """A hash of the first p bytes of each word (all, if it has fewer)."""
+        stop = np.minimum(self.begin + p, self.end)
+        return mix((self._run[stop] - self._run[self.begin]) * _powers(len(self._run))[1][self.begin])
 
 
 def text_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
