@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, ngram_jaccard, toxicity
+from . import bpe, language, licenses, ngram_jaccard, toxicity
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -68,3 +68,14 @@ def op2(spark, sf_dir):
 @query("op10_toxicity")
 def op10(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op9_language_id")
+def op9(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op8_license_scan")
+def op8(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents")) \
+        .select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
