@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, licenses, ngram_jaccard, toxicity
+from . import bpe, embedding_dedup, language, licenses, ngram_jaccard, toxicity, url_filter
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -79,3 +79,46 @@ def op9(spark, sf_dir):
 def op8(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents")) \
         .select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+# The rules of the registered query (host, path, verdict).
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+_FITS = "ends_with('.' || host, '.{host}') AND starts_with(path, '{path}')"
+_CASES = sorted(URL_RULES, key=lambda r: -len(r[0] + r[1]))
+URL_SQL = rf"""
+WITH u AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '{UPPER}', '{LOWER}') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages)
+SELECT page_id, host, path,
+  CASE {' '.join(f"WHEN {_FITS.format(host=h, path=p)} THEN '{h + p}'" for h, p, _ in _CASES)} END AS rule,
+  CASE {' '.join(f"WHEN {_FITS.format(host=h, path=p)} THEN '{v}'" for h, p, v in _CASES)} ELSE 'allow' END AS verdict
+FROM u"""
+
+
+@query("op7_url_filter", URL_SQL)
+def op7(spark, sf_dir):
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+# exact: every pair of a label by cosine, then reachability
+EMBEDDING_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT vec_id AS x, vec_id AS y FROM v UNION SELECT l.x, r.y FROM reach r JOIN link l ON l.y = r.x),
+comp AS (SELECT x, min(y) AS c FROM reach GROUP BY 1),
+cnt AS (SELECT x, count(*) AS n FROM link GROUP BY 1)
+SELECT e.vec_id, coalesce(cnt.n, 0)::BIGINT AS n_links, coalesce(comp.c, e.vec_id) AS component_id,
+       coalesce(comp.c, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN comp ON comp.x = e.vec_id LEFT JOIN cnt ON cnt.x = e.vec_id"""
+
+
+@query("op5_embedding_dedup", EMBEDDING_SQL)
+def op5(spark, sf_dir):
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
