@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embedding_dedup, language, licenses, ngram_jaccard, toxicity, url_filter
+from . import bpe, decontaminate, embedding_dedup, language, licenses, ngram_jaccard, toxicity, url_filter
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -122,3 +122,8 @@ FROM embeddings e LEFT JOIN comp ON comp.x = e.vec_id LEFT JOIN cnt ON cnt.x = e
 @query("op5_embedding_dedup", EMBEDDING_SQL)
 def op5(spark, sf_dir):
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op4_decontaminate")
+def op4(spark, sf_dir):
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
