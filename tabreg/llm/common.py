@@ -48,5 +48,34 @@ def few_rows(df: DataFrame, limit: int) -> bool:
 def keep_ids(df: DataFrame, ids: DataFrame, key: str, limit: int = 2_000_000) -> DataFrame:
     """Rows of ``df`` whose ``key`` is in ``ids``: the ids are broadcast when they
     are at most ``limit`` (16 MB of longs), else both sides are shuffled on the key."""
-    ids = ids.select(F.col(ids.columns[0]).alias(key)).distinct()
-    return df.join(F.broadcast(ids) if few_rows(ids, limit) else ids, key, "left_semi")
+    return _by_ids(df, ids, key, limit, "left_semi")
+
+
+def drop_ids(df: DataFrame, ids: DataFrame, key: str, limit: int = 2_000_000) -> DataFrame:
+    """The other rows: those whose ``key`` is null or not in ``ids``."""
+    return _by_ids(df, ids, key, limit, "left_anti")
+
+
+def _by_ids(df, ids, key, limit, how):
+    ids = write_table(ids.select(F.col(ids.columns[0]).alias(key)).filter(F.col(key).isNotNull()).distinct(), "ids")
+    return df.join(F.broadcast(ids) if few_rows(ids, limit) else ids, key, how).select(*df.columns)
+
+
+def keep_rows(df: DataFrame, masks: Callable[[Iterator[pa.Array]], Iterator], text: str = "text") -> DataFrame:
+    """The rows of ``df`` that pass, all columns as they are: ``masks`` gets each
+    batch's text column and yields a boolean array for each, in order. Rows are
+    judged where they stand, so no key is needed and nothing is shuffled."""
+    at = df.columns.index(text)
+
+    def run(batches):
+        seen = []
+
+        def texts():
+            for b in batches:
+                seen.append(b)
+                col = b.column(at)
+                yield col if pa.types.is_string(col.type) or pa.types.is_large_string(col.type) else col.cast(pa.string())
+        for mask in masks(texts()):
+            yield seen.pop(0).filter(pa.array(mask, pa.bool_()))
+    prepare(df.sparkSession)
+    return df.mapInArrow(run, df.schema)

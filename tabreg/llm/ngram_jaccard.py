@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import text as X
-from .common import batch, keep_ids, map_batches, write_table
+from .common import batch, drop_ids, keep_ids, map_batches, write_table
 from .graph import components
 
 SHINGLE = 5
@@ -57,7 +57,8 @@ _SETS = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("k1", pa
 _COUNTS = pa.schema([("token", pa.int64()), ("n", pa.int64())])
 _SIGS = pa.schema([("sig", pa.int64()), ("doc", pa.int64()), ("n", pa.int32()), ("kb", pa.int32()),
                    ("hot", pa.bool_())])
-_FULL = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("hist", pa.binary()), ("tokens", pa.binary())])
+_HIST = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("hist", pa.binary())])
+_FULL = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("tokens", pa.binary())])
 
 
 def _sets(batches, k: int):
@@ -182,17 +183,25 @@ def _emit(batches, k: int, hot_bytes):
         yield flush()
 
 
+def _flushed(schema, rows, limit: int = 8 << 20):
+    held, size = [], 0
+    for r in rows:
+        held.append(r)
+        size += len(r[-1])
+        if size > limit:
+            yield batch(schema, *zip(*held))
+            held, size = [], 0
+    if held:
+        yield batch(schema, *zip(*held))
+
+
+def _hist(batches, k: int):
+    count = lambda s: np.minimum(np.bincount((s >> U(56)).astype(np.int64), minlength=256), 255).astype(np.uint8)
+    yield from _flushed(_HIST, ((doc, len(s), count(s).tobytes()) for doc, s in _sets(batches, k)))
+
+
 def _full(batches, k: int):
-    rows, size = [], 0
-    for doc, s in _sets(batches, k):
-        hist = np.minimum(np.bincount((s >> U(56)).astype(np.int64), minlength=256), 255).astype(np.uint8)
-        rows.append((doc, len(s), hist.tobytes(), s.tobytes()))
-        size += 8 * len(s)
-        if size > 8 << 20:
-            yield batch(_FULL, *zip(*rows))
-            rows, size = [], 0
-    if rows:
-        yield batch(_FULL, *zip(*rows))
+    yield from _flushed(_FULL, ((doc, len(s), s.tobytes()) for doc, s in _sets(batches, k)))
 
 
 def _possible(batches):
@@ -219,18 +228,15 @@ def _linked(batches):
 
 
 def verify(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
-    """The pairs (a, b) of documents that link."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
-    full = write_table(map_batches(keep_ids(texts, ends, "doc_id"), lambda it: _full(it, k),
-                                   "doc long, n long, hist binary, tokens binary"), "sets")
-    for col, out in (("hist", "h"), ("tokens", "t")):
-        own = full.select("doc", "n", col)
+    """The pairs (a, b) of documents that link: by histograms of all documents on a
+    pair, then by the full sets of those on a pair that is still possible."""
+    for fill, col, out, test in ((_hist, "hist", "h", _possible), (_full, "tokens", "t", _linked)):
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
+        known = write_table(map_batches(keep_ids(texts, ends, "doc_id"), lambda it, f=fill: f(it, k),
+                                        f"doc long, n long, {col} binary"), col)
         for end in ("a", "b"):
-            pairs = pairs.join(own.select(F.col("doc").alias(end), F.col("n").alias("n" + end),
-                                          F.col(col).alias(out + end)), end)
-        pairs = map_batches(pairs.select("a", "b", "na", "nb", out + "a", out + "b"),
-                            _possible if col == "hist" else _linked, "a long, b long")
-        pairs = write_table(pairs, "pairs")
+            pairs = pairs.join(known.select(F.col("doc").alias(end), F.col("n").alias("n" + end), F.col(col).alias(out + end)), end)
+        pairs = write_table(map_batches(pairs.select("a", "b", "na", "nb", out + "a", out + "b"), test, "a long, b long"), "pairs")
     return pairs
 
 
@@ -253,7 +259,8 @@ def link_components(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     sets = write_table(map_batches(texts, lambda it: _describe(it, k), "doc_id long, n_shingles long, k1 long, k2 long"),
                        "setkeys")
     same = sets.filter("n_shingles > 0 and doc_id is not null")
-    rep = same.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep"))
+    rep = same.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count("*").alias("_c")).filter("_c > 1")
+    rep = write_table(rep.drop("_c"), "classes")       # its join can then be split where a class is hot
 
     counts = map_batches(known, lambda it: _local_counts(it, k), "token long, n long")
     tokens = same.agg(F.sum("n_shingles")).first()[0] or 0
@@ -263,17 +270,18 @@ def link_components(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     hot_bytes = spark.sparkContext.broadcast(hot.tobytes())
     sigs = map_batches(known, lambda it: _emit(it, k, hot_bytes), "sig long, doc long, n int, kb int, hot boolean")
 
-    # rare signatures: groups are bounded by the frequency classes; frequent
-    # pairs may be hot, so they are counted with partial sums and joined back
-    rare = sigs.filter("not hot").withColumn("_c", F.count("*").over(Window.partitionBy("sig"))) \
-        .filter("_c > 1").drop("_c")
-    rare = write_table(rare.select("sig", "doc", "n", "kb"), "rare")
-    freq = write_table(sigs.filter("hot").select("sig", "doc", "n", "kb"), "frequent") if len(hot) else None
-    runs = rare if freq is None else rare.unionByName(
-        freq.join(freq.groupBy("sig").count().filter("count > 1").select("sig"), "sig", "left_semi"))
-
-    lead = runs.groupBy("sig").agg(F.min(F.struct("kb", "doc", "n")).alias("l"))
-    near = runs.join(lead, "sig").filter(F.col("doc") != F.col("l.doc")) \
+    # rare signatures: a group is bounded by the frequency classes, so a window finds
+    # its size and leader; frequent pairs may be hot: partial sums, joined back
+    own = F.struct("kb", "doc", "n")
+    one = Window.partitionBy("sig")
+    rare = sigs.filter("not hot").withColumn("size", F.count("*").over(one)).withColumn("l", F.min(own).over(one))
+    runs = write_table(rare.filter("size > 1").drop("hot"), "rare")
+    if len(hot):
+        freq = write_table(sigs.filter("hot").drop("hot"), "frequent")
+        lead = freq.groupBy("sig").agg(F.count("*").alias("size"), F.min(own).alias("l")).filter("size > 1")
+        runs = runs.unionByName(write_table(freq.join(lead, "sig"), "frequent-runs"))
+
+    near = runs.filter(F.col("doc") != F.col("l.doc")) \
         .filter((F.col("l.n") <= _reach(F.col("n"), F.col("kb"))) & (F.col("n") <= _reach(F.col("l.n"), F.col("l.kb"))))
     stars = write_table(near.select(F.col("doc").alias("a"), F.col("l.doc").alias("b")).distinct(), "stars")
     links = verify(stars, known, k)
@@ -283,9 +291,11 @@ def link_components(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     first = write_table(links.unionByName(classes), "links")
     comp = components(first)
 
-    # what is left: pairs of one signature in different components
-    named = runs.join(comp.select(F.col("id").alias("doc"), F.col("component").alias("c")), "doc", "left") \
+    # what is left: pairs of one signature of three or more, in different components
+    named = runs.filter("size > 2").select("sig", "doc", "n", "kb") \
+        .join(comp.select(F.col("id").alias("doc"), F.col("component").alias("c")), "doc", "left") \
         .withColumn("c", F.coalesce("c", "doc"))
+    named = write_table(named, "named")
     span = named.groupBy("sig").agg(F.min("n").alias("lo"), F.max(_reach(F.col("n"), F.col("kb"))).alias("hi"),
                                     F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 <> c1").drop("c0", "c1")
     open_ = named.join(span, "sig").filter((F.col("lo") <= _reach(F.col("n"), F.col("kb"))) & (F.col("n") <= F.col("hi")))
@@ -305,3 +315,18 @@ def link_components(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
             comp = components(first.unionByName(more))
     return sets.select("doc_id", "n_shingles").join(comp.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left") \
         .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is the smallest of its group, with all their
+    columns. Rows that share a doc_id are one document, of which the first row by
+    text stays; rows with a null doc_id have no group and stay."""
+    comp = link_components(docs, k)
+    gone = comp.filter("doc_id <> component_id").select("doc_id")
+    kept = drop_ids(docs, gone, "doc_id")
+    again = write_table(docs.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select("doc_id"), "repeated")
+    if again.isEmpty():
+        return kept
+    first = Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
+    some = keep_ids(kept, again, "doc_id").withColumn("_row", F.row_number().over(first)).filter("_row = 1").drop("_row")
+    return drop_ids(kept, again, "doc_id").unionByName(some.select(*docs.columns))
