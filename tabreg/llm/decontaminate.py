@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as X
-from .common import batch, map_batches
+from .common import batch, keep_rows, map_batches
 
 EDITS = 0.2              # edits allowed, as a share of the item's words
 WALKS, TABLES, K = 4, 4, 4
@@ -180,33 +180,41 @@ class ItemIndex:
         return found
 
 
+def _found(col: pa.Array, index: ItemIndex):
+    """(documents in the slice, {(document, item): (edits, start word)}) of each slice."""
+    for lo, hi, offsets, data in X.slices(col):
+        w = X.Words(data, offsets, _SEP)
+        best: dict = {}
+        for item, start in sorted(index.hits(w.hash), key=lambda x: (x[1], x[0])):
+            words = index.words[item]
+            slack = int(EDITS * len(words))
+            # the text that holds the window: starts shift by the edits before it
+            for d in {int(np.searchsorted(w.first, max(start, 0), "right")) - 1,
+                      int(np.searchsorted(w.first, min(start + len(words), len(w.hash)) - 1, "right")) - 1}:
+                if best.get((d, item), (1,))[0] == 0:
+                    continue
+                first, last = int(w.first[d]), int(w.first[d + 1])
+                begin, end = max(start - slack, first), min(start + len(words) + slack, last)
+                if first <= start and start + len(words) <= last and (w.hash[start:start + len(words)] == words).all():
+                    edits, stop = 0, start + len(words)
+                else:
+                    edits, stop = edit_distance(words, w.hash[begin:end])
+                    stop += begin
+                if edits <= slack:
+                    best[d, item] = min(best.get((d, item), (1 << 60, 0)), (edits, max(stop - len(words), first) - first))
+        yield hi - lo, best
+
+
 def _search(batches, shared):
     index: ItemIndex = shared.value
     for b in batches:
-        for lo, hi, offsets, data in X.slices(b.column(1)):
-            w = X.Words(data, offsets, _SEP)
-            best: dict = {}
-            for item, start in sorted(index.hits(w.hash), key=lambda x: (x[1], x[0])):
-                words = index.words[item]
-                slack = int(EDITS * len(words))
-                # the text that holds the window: starts shift by the edits before it
-                for d in {int(np.searchsorted(w.first, max(start, 0), "right")) - 1,
-                          int(np.searchsorted(w.first, min(start + len(words), len(w.hash)) - 1, "right")) - 1}:
-                    if best.get((d, item), (1,))[0] == 0:
-                        continue
-                    first, last = int(w.first[d]), int(w.first[d + 1])
-                    begin, end = max(start - slack, first), min(start + len(words) + slack, last)
-                    if first <= start and start + len(words) <= last and (w.hash[start:start + len(words)] == words).all():
-                        edits, stop = 0, start + len(words)
-                    else:
-                        edits, stop = edit_distance(words, w.hash[begin:end])
-                        stop += begin
-                    if edits <= slack:
-                        best[d, item] = min(best.get((d, item), (1 << 60, 0)), (edits, max(stop - len(words), first) - first))
+        at = 0
+        for n, best in _found(b.column(1), index):
             if best:
-                doc = b.column(0).slice(lo, hi - lo).to_pylist()
+                doc = b.column(0).slice(at, n).to_pylist()
                 yield batch(_OUT, *zip(*[(doc[d], index.ids[i], start, edits, len(index.words[i]))
                                          for (d, i), (edits, start) in sorted(best.items())]))
+            at += n
 
 
 def item_words(texts: list[str]) -> list[np.ndarray]:
@@ -217,6 +225,27 @@ def item_words(texts: list[str]) -> list[np.ndarray]:
     return out
 
 
+def indexes(benchmark: DataFrame, block: int = BLOCK):
+    """Broadcast indexes of the items, a block at a time."""
+    sc = benchmark.sparkSession.sparkContext
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")) \
+        .filter("text is not null")
+    ids, texts = [], []
+
+    def index():
+        kept = [(i, w) for i, w in zip(ids, item_words(texts)) if len(w)]
+        return sc.broadcast(ItemIndex([i for i, _ in kept], [w for _, w in kept]))
+
+    for r in items.toLocalIterator():
+        ids.append(r["item_id"])
+        texts.append(r["text"])
+        if len(ids) == block:
+            yield index()
+            ids, texts = [], []
+    if ids:
+        yield index()
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFrame:
     """(doc_id, item_id, start_word, edits, n_words): each text that holds an item.
 
@@ -226,27 +255,26 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFram
     doc_ids or item_ids are searched each by itself, null ids included; extra
     columns are ignored; empty tables give an empty table.
     """
-    spark = docs.sparkSession
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")) \
-        .filter("text is not null")
-    parts, ids, texts = [], [], []
+    schema = "doc_id long, item_id long, start_word long, edits long, n_words long"
+    out = docs.sparkSession.createDataFrame([], schema)
+    for shared in indexes(benchmark, block):
+        out = out.unionByName(map_batches(src, lambda it, s=shared: _search(it, s), schema))
+    return out
 
-    def search():
-        kept = [(i, w) for i, w in zip(ids, item_words(texts)) if len(w)]
-        shared = spark.sparkContext.broadcast(ItemIndex([i for i, _ in kept], [w for _, w in kept]))
-        return map_batches(src, lambda it: _search(it, shared),
-                           "doc_id long, item_id long, start_word long, edits long, n_words long")
 
-    for r in items.toLocalIterator():             # a block at a time
-        ids.append(r["item_id"])
-        texts.append(r["text"])
-        if len(ids) == block:
-            parts.append(search())
-            ids, texts = [], []
-    if ids or not parts:
-        parts.append(search())
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def _clean(cols, shared):
+    for c in cols:
+        mask = [np.zeros(0, bool)]
+        for n, best in _found(c, shared.value):
+            own = np.ones(n, bool)
+            own[[d for d, _ in best]] = False
+            mask.append(own)
+        yield np.concatenate(mask)
+
+
+def accepted(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFrame:
+    """The rows of ``docs`` that hold no item, with all their columns."""
+    for shared in indexes(benchmark, block):
+        docs = keep_rows(docs, lambda cols, s=shared: _clean(cols, s))
+    return docs

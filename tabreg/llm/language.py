@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import text as X
-from .common import batch, map_batches
+from .common import batch, keep_rows, map_batches
 
 DIM = 1 << 13
 CLUSTERS = 4
@@ -175,23 +175,36 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
                  np.array([r["floor"] for r in rows]), idf)
 
 
+def _judge(col: pa.Array, m: Model):
+    """(languages, scores, rejected) of each slice of a text column."""
+    for lo, hi, offsets, data in X.slices(col):
+        letter = has_letter(offsets, data)
+        lang, score, out = [UNKNOWN] * (hi - lo), np.zeros(hi - lo), ~letter
+        for at in range(0, hi - lo if m.langs else 0, 256):          # 8 MB of vectors at once
+            end = min(at + 256, hi - lo)
+            sim = vectors(offsets[at:end + 1] - offsets[at], data[offsets[at]:offsets[end]], m.idf) @ m.centroids.T
+            best = sim.argmax(axis=1)
+            top = np.clip(sim[np.arange(end - at), best], 0, 1)
+            own = m.owner[best]
+            for i in np.flatnonzero(letter[at:end]):
+                lang[at + i], score[at + i] = m.langs[own[i]], top[i]
+                out[at + i] = top[i] < m.floors[own[i]]
+        yield lang, score, out
+
+
 def _predict(batches, shared):
     schema = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])
-    m: Model = shared.value
     for b in batches:
-        for lo, hi, offsets, data in X.slices(b.column(1)):
-            letter = has_letter(offsets, data)
-            lang, score, out = [UNKNOWN] * (hi - lo), np.zeros(hi - lo), ~letter
-            for at in range(0, hi - lo if m.langs else 0, 256):          # 8 MB of vectors at once
-                end = min(at + 256, hi - lo)
-                sim = vectors(offsets[at:end + 1] - offsets[at], data[offsets[at]:offsets[end]], m.idf) @ m.centroids.T
-                best = sim.argmax(axis=1)
-                top = np.clip(sim[np.arange(end - at), best], 0, 1)
-                own = m.owner[best]
-                for i in np.flatnonzero(letter[at:end]):
-                    lang[at + i], score[at + i] = m.langs[own[i]], top[i]
-                    out[at + i] = top[i] < m.floors[own[i]]
-            yield batch(schema, b.column(0).slice(lo, hi - lo), lang, score, out)
+        at = 0
+        for lang, score, out in _judge(b.column(1), shared.value):
+            yield batch(schema, b.column(0).slice(at, len(lang)), lang, score, out)
+            at += len(lang)
+
+
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` that are not rejected, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return keep_rows(docs, lambda cols: (np.concatenate([~out for _, _, out in _judge(c, shared.value)] or [[]]) for c in cols))
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as X
-from .common import batch, map_batches
+from .common import batch, keep_rows, map_batches
 
 BUCKETS = 1 << 18
 FACTORS = 4
@@ -124,13 +124,31 @@ def fit(rows: list[tuple[int, np.ndarray]], share: float) -> Model:
     return model
 
 
+def _scores(col: pa.Array, m: Model):
+    """Scores of each slice of a text column."""
+    for lo, hi, offsets, data in X.slices(col):
+        yield m.scores(hi - lo, *terms(X.Words(data, offsets, _SEP)))
+
+
 def _score(batches, model):
     schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
     m = Model(*model.value)
     for b in batches:
-        for lo, hi, offsets, data in X.slices(b.column(1)):
-            doc, bucket = terms(X.Words(data, offsets, _SEP))
-            yield batch(schema, b.column(0).slice(lo, hi - lo), m.scores(hi - lo, doc, bucket))
+        at = 0
+        for s in _scores(b.column(1), m):
+            yield batch(schema, b.column(0).slice(at, len(s)), s)
+            at += len(s)
+
+
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` that are predicted not toxic, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.w0, model.w, model.v))
+
+    def masks(cols):
+        m = Model(*shared.value)
+        for c in cols:
+            yield np.concatenate([s < 0.5 for s in _scores(c, m)] or [[]])
+    return keep_rows(docs, masks)
 
 
 def held_out(key: str, mod: int):
