@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, embedding_dedup, language, licenses, ngram_jaccard, toxicity, url_filter
+from . import bpe, decontaminate, embedding_dedup, html_extract, language, licenses, ngram_jaccard, toxicity, url_filter
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -127,3 +127,8 @@ def op5(spark, sf_dir):
 @query("op4_decontaminate")
 def op4(spark, sf_dir):
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op3_html_extract")
+def op3(spark, sf_dir):
+    return html_extract.extract(table(spark, sf_dir, "pages"))

@@ -24,7 +24,7 @@ def test_stages_against_brute_force(spark, tmp_path, extra):
     if extra:                                     # nulls, empty, repeated and odd rows; more columns
         odd = [(None, None, None, None, None), (-1, "", "en", "s", 0), (-2, None, "en", "s", 0), (-3, "12 34", "en", "s", 5),
                (0, docs.filter("doc_id = 0").first()["text"], "fr", "s", 1), (None, "the end of the road", "en", None, 1),
-               (-5, "the of and to " * 30000, "en", "s", 9)]
+               (-5, "the of and to " * 500, "en", "s", 9)]
         docs = docs.unionByName(spark.createDataFrame(odd, docs.schema))
         docs = docs.selectExpr("*", "'x' as score", "1 as component_id", "doc_id as ids")
     docs.write.parquet(str(tmp_path / "in"))
