@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, embedding_dedup, html_extract, language, licenses, ngram_jaccard, toxicity, url_filter
+from . import bpe, decontaminate, embedding_dedup, html_extract, language, licenses, ngram_jaccard, quality, toxicity, url_filter
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -132,3 +132,8 @@ def op4(spark, sf_dir):
 @query("op3_html_extract")
 def op3(spark, sf_dir):
     return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op6_quality")
+def op6(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
