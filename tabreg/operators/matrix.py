@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,14 +32,21 @@ def _x(c) -> Column:
 
 
 def _batch_matrix(batch: pa.RecordBatch, cols, array_col: str | None) -> np.ndarray:
-    """Rows x features float64 matrix from an Arrow batch; nulls -> 0.0."""
+    """Rows x features float64 matrix from an Arrow batch; nulls -> 0.0, a null
+    array -> a row of zeros. Arrays of different lengths are an error."""
     if array_col is not None:
         arr = batch.column(batch.schema.get_field_index(array_col))
         n = len(arr)
         if n == 0:
             return np.zeros((0, 0))
         flat = arr.flatten().fill_null(0.0).to_numpy(zero_copy_only=False).astype(np.float64)
-        return flat.reshape(n, -1)
+        known = ~arr.is_null().to_numpy(zero_copy_only=False)
+        widths = np.unique(pc.list_value_length(arr).drop_null().to_numpy(zero_copy_only=False))
+        if len(widths) > 1:
+            raise ValueError(f"arrays of column {array_col} have different lengths: {widths[:5].tolist()}")
+        out = np.zeros((n, int(widths[0]) if len(widths) else 0))
+        out[known] = flat.reshape(int(known.sum()), -1) if out.shape[1] else 0.0
+        return out
     mats = []
     for c in cols:
         a = batch.column(batch.schema.get_field_index(c))

@@ -94,7 +94,7 @@ class MLP:
 
 def _act(z, name):
     if name == "relu":
-        return np.maximum(np.nan_to_num(z, nan=0.0), 0.0)
+        return np.where(np.isnan(z), 0.0, np.maximum(z, 0.0))       # NaN reads 0, infinities stay
     if name == "sigmoid":
         with np.errstate(over="ignore"):
             return 1.0 / (1.0 + np.exp(-z))
@@ -105,7 +105,7 @@ def _act(z, name):
 
 def _act_grad(z, a, name):
     if name == "relu":
-        return (np.nan_to_num(z, nan=0.0) > 0).astype(np.float64)
+        return (z > 0).astype(np.float64)                            # NaN > 0 is false
     if name == "sigmoid":
         return a * (1.0 - a)
     if name == "tanh":
@@ -131,12 +131,32 @@ def mae_pair(diff: np.ndarray, tie: float = 0.0):
     return np.abs(diff), g
 
 
+def mse_pair(diff: np.ndarray, tie: float = 0.0):
+    """Squared error per cell and its derivative w.r.t. the prediction."""
+    return diff * diff, 2.0 * diff
+
+
 # Loss extension point: name -> f(diff = pred - target, tie) -> (per-cell
-# value, per-cell gradient). Functions must be importable by the workers.
-LOSSES = {"mae": mae_pair}
+# value, per-cell gradient). Jobs look a name up on the driver and ship the
+# function itself, so a loss added here by a user works in the workers.
+LOSSES = {"mae": mae_pair, "mse": mse_pair}
+
+
+def loss_function(loss):
+    """A function of ``LOSSES`` by name, or the function itself."""
+    if callable(loss):
+        return loss
+    if loss not in LOSSES:
+        raise ValueError(f"unknown loss {loss!r}; known: {', '.join(sorted(LOSSES))}")
+    return LOSSES[loss]
+
+
+def per_model(value, models: list) -> list:
+    """One value for each model: a list as it is, else the same for all."""
+    return list(value) if isinstance(value, (list, tuple)) else [value] * len(models)
 
 
-def grad_np(params, act: str, X: np.ndarray, y: np.ndarray, tie: float = 0.0, loss: str = "mae"):
+def grad_np(params, act: str, X: np.ndarray, y: np.ndarray, tie: float = 0.0, loss="mae"):
     """Σ over rows of d loss/dθ (flattened like ``MLP.flat``) and Σ loss.
     Sums, not means: the driver divides by the global count once."""
     acts, zs = [X], []
@@ -148,7 +168,7 @@ def grad_np(params, act: str, X: np.ndarray, y: np.ndarray, tie: float = 0.0, lo
         a = z if k == last else _act(z, act)
         acts.append(a)
     diff = a - y.reshape(-1, a.shape[1])
-    val, g = LOSSES[loss](diff, tie)
+    val, g = loss_function(loss)(diff, tie)
     total = float(val.sum())
     grads = [None] * len(params)
     for k in range(last, -1, -1):
@@ -220,15 +240,17 @@ def mlp_score(df: DataFrame, model: MLP, feature_cols=None, *, array_col: str |
 # --------------------------------------------------------------- gradients
 
 def gradient_job(df: DataFrame, models: list, *, x_col: str = "x", y_col: str = "y",
-                 tie: float = 0.0, loss: str = "mae") -> DataFrame:
+                 tie=0.0, loss="mae") -> DataFrame:
     """Partial gradient sums for one or more parameter sets over the rows of
     ``df`` (already filtered to one batch): one row per partition and config,
     ``(cfg, value array)`` where ``value[:P]`` are gradient sums, ``value[P]``
-    the loss sum and ``value[P+1]`` the row count. No shuffle."""
+    the loss sum and ``value[P+1]`` the row count. No shuffle. ``tie`` and
+    ``loss`` (a name of ``LOSSES`` or a function) may be lists, one per model."""
     ship_package(df.sparkSession)
     spark = df.sparkSession
     payload = [(m.params, m.activation) for m in models]
     bc = spark.sparkContext.broadcast(payload)
+    ties, losses = per_model(tie, models), [loss_function(f) for f in per_model(loss, models)]
     src = df.select(F.col(x_col).alias("_x"), F.col(y_col).cast("double").alias("_y"))
 
     def fn(it):
@@ -243,7 +265,7 @@ def gradient_job(df: DataFrame, models: list, *, x_col: str = "x", y_col: str =
             y = batch.column(1).fill_null(0.0).to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, 1)
             cnt += batch.num_rows
             for c, (params, act) in enumerate(sets):
-                g, lo = grad_np(params, act, X, y, tie, loss)
+                g, lo = grad_np(params, act, X, y, ties[c], losses[c])
                 acc[c] = g if acc[c] is None else acc[c] + g
                 lsum[c] += lo
         if cnt == 0:

@@ -2,20 +2,20 @@
 
 A DataFrame has no row order, so every positional operator names its order:
 either the source-file order of a Parquet/CSV scan (``with_source_position``)
-or a sort key (``row_index``; ties, e.g. a hot value, take any order). Neither
-plans an unpartitioned window (``Exchange SinglePartition``) over data-sized
-input.
+or a sort key (``row_index``; nulls last, ties in any order). Neither plans an
+unpartitioned window (``Exchange SinglePartition``) over data-sized input.
 """
 
 from __future__ import annotations
 
 import math
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from .. import constants as C
+from ..session import shared_path
 from .select import select_ranks
 
 # Offsets tables (one row per bucket, file or split: a path string and two
@@ -29,9 +29,10 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def with_source_position(scan: DataFrame, name: str = "row_pos") -> DataFrame:
+def with_source_position(scan: DataFrame, name: str = "row_pos", *, written: bool = False) -> DataFrame:
     """0-based position of each row in source-file order (file path, then
-    place in the file).
+    place in the file). ``written``: the files are one Spark write, ordered by
+    the number of their partition (from 100,000 on, names no longer sort so).
 
     ``scan`` must be a plain file scan (``spark.read.parquet/csv``), before
     any shuffle. Parquet exposes the row's index in its file
@@ -54,12 +55,17 @@ def with_source_position(scan: DataFrame, name: str = "row_pos") -> DataFrame:
                            F.monotonically_increasing_id().alias("_r"))
         unit = meta.groupBy("_fp", "_fb").agg(F.count("*").alias("_n"), F.min("_r").alias("_r0"))
     # one row per file (Parquet) or split (others): bounded by the input layout
-    w = Window.orderBy("_fp", "_fb").rowsBetween(Window.unboundedPreceding, -1)
+    part = F.regexp_extract("_fp", r"part-(\d+)", 1) if written else F.lit("")
+    w = Window.orderBy(F.length(part), part, "_fp", "_fb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = unit.select("_fp", "_fb", "_r0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    n_files = len(scan.inputFiles())
-    if n_files <= BROADCAST_ROWS:
-        offsets = F.broadcast(offsets)
-    out = meta.join(offsets, ["_fp", "_fb"])
+    if "row_index" in meta_fields and not written:
+        few = len(scan.inputFiles()) <= BROADCAST_ROWS
+    else:                       # computed once, and counted: a row for each split, not file
+        path = shared_path(scan.sparkSession, "offsets")
+        offsets.write.parquet(path)
+        offsets = scan.sparkSession.read.schema(offsets.schema).parquet(path)
+        few = offsets.count() <= BROADCAST_ROWS
+    out = meta.join(F.broadcast(offsets) if few else offsets, ["_fp", "_fb"])
     return out.select(*scan.columns, (F.col("_off") + F.col("_r") - F.col("_r0")).cast("long").alias(name))
 
 
@@ -134,100 +140,56 @@ def hash_ranks(df: DataFrame, h, ranks, n: int, *, max_final: int = 20_000) -> l
 
 def row_index(df: DataFrame, order_by, name: str = "row_idx", *,
               n: int | None = None, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Exact 0-based position of each row in ascending order of a key.
-
-    Numeric keys are cut into B buckets at approximate quantiles; md5-hex keys
-    (strings) are cut on their leading hex digits. Exact per-bucket counts give
-    prefix offsets (one row per bucket, broadcast), and ``row_number()`` runs
-    **partitioned by bucket**, so each task sorts about ``rows_per_bucket``
-    rows; B grows with the data.
-
-    A key value holding many rows (it repeats among the quantile cuts) gets a
-    bucket of its own, and that bucket is salted into sub-buckets by a hash of
-    the row's columns: all its keys are equal, so any order among them is a
-    valid order, and no task receives the hot value whole. (Rows identical in
-    every column hash alike and stay together.)
+    """Exact 0-based position of each row in ascending order of a key of any
+    orderable type; null keys come last, ties take any order.
+
+    The rows are range-partitioned and sorted on (key, hash of the row's place),
+    about ``rows_per_bucket`` to a partition, and written once to the shared
+    folder; positions are then each file's offset plus the row's index in it.
+    Equal keys differ in the second part of the sort key, so a hot value (rows
+    equal in every column too) is spread over as many partitions as it needs,
+    and the number of partitions grows with the rows without a bound.
     """
-    key = _c(order_by)
     spark = df.sparkSession
     if n is None:
         n = df.count()
-    par = spark.sparkContext.defaultParallelism
-    B = max(1, min(4096, max(par, math.ceil(n / rows_per_bucket))))
-    target = max(1, math.ceil(n / B))
-    is_string = dict(df.select(key.alias("_k")).dtypes)["_k"] == "string"
-    cols = df.columns
-    base = df.withColumn("_k", key)
-    hot_values: list = []
-    if is_string:
-        digits = max(1, math.ceil(math.log(max(B, 2), 16)))
-        base = base.withColumn("_b", F.conv(F.substring("_k", 1, digits), 16, 10).cast("int"))
-        nb = 16 ** digits
-        splits = None
-    else:
-        if B > 1 and n > 0:
-            probs = [i / B for i in range(1, B)]
-            raw = base.agg(F.percentile_approx(F.col("_k").cast("double"), probs,
-                                               max(10_000, 10 * B)).alias("q")).first()["q"]
-            raw = [float(x) for x in raw]
-            hot_values = sorted({v for v in raw if raw.count(v) > 1})
-            cuts = sorted(set(raw) | {float(np.nextafter(v, math.inf)) for v in hot_values})
-        else:
-            cuts = []
-        nb = len(cuts) + 1
-        splits = cuts
-        if cuts:
-            # bucket = number of cut points <= key; Bucketizer binary-searches in the JVM
-            from pyspark.ml.feature import Bucketizer
-            base = base.withColumn("_kd", F.col("_k").cast("double"))
-            base = Bucketizer(splits=[-math.inf] + cuts + [math.inf], inputCol="_kd",
-                              outputCol="_bd", handleInvalid="keep").transform(base)
-            base = base.withColumn("_b", F.col("_bd").cast("int")).drop("_kd", "_bd")
-        else:
-            base = base.withColumn("_b", F.lit(0))
-    counts = {r["_b"]: r["_n"] for r in base.groupBy("_b").agg(F.count("*").alias("_n")).collect()}
-    # single-valued buckets of hot values: [v, nextafter(v)) is bucket index(v) + 1
-    salt = {}
-    if splits:
-        for v in hot_values:
-            b = splits.index(v) + 1
-            if counts.get(b, 0) > 2 * target:
-                salt[b] = math.ceil(counts[b] / target)
-    if salt:
-        h = F.xxhash64(*[F.col(c) for c in cols])
-        sub = None
-        for b, k in salt.items():
-            sub = (F.when(F.col("_b") == b, F.pmod(h, F.lit(k))) if sub is None
-                   else sub.when(F.col("_b") == b, F.pmod(h, F.lit(k))))
-        base = base.withColumn("_s", sub.otherwise(F.lit(0)).cast("int"))
-        units = {(r["_b"], r["_s"]): r["_n"] for r in
-                 base.where(F.col("_b").isin(list(salt))).groupBy("_b", "_s").agg(F.count("*").alias("_n")).collect()}
-        for b, c in counts.items():
-            if b not in salt:
-                units[(b, 0)] = c
+    parts = max(spark.sparkContext.defaultParallelism, math.ceil(n / rows_per_bucket))
+    base = df.select("*", _c(order_by).alias("_k"), F.xxhash64(F.monotonically_increasing_id()).alias("_t"))
+    order = [F.col("_k").asc_nulls_last(), F.col("_t")]
+    placed = base.repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("_k", "_t")
+    path = shared_path(spark, "positions")
+    placed.write.parquet(path)
+    return with_source_position(spark.read.schema(placed.schema).parquet(path), name, written=True)
+
+
+def _label_first(df: DataFrame, key: Column, thr, k: int, first: str, rest: str, name: str) -> DataFrame:
+    """``first`` for exactly k rows: all below the threshold value, and as many
+    of those equal to it (null: nulls, which come last) as are still missing.
+    Without ties, or when all of them belong to the first part, the label is a
+    predicate; else only the tied rows are ranked, by a hash of the row."""
+    if thr is None:
+        below, same = key.isNotNull(), key.isNull()
     else:
-        base = base.withColumn("_s", F.lit(0))
-        units = {(b, 0): c for b, c in counts.items()}
-    off, offsets = 0, []
-    for u in sorted(units):
-        offsets.append((u[0], u[1], off))
-        off += units[u]
-    del nb
-    offsets_df = spark.createDataFrame(offsets, "_b int, _s int, _off long")
-    if len(offsets) <= BROADCAST_ROWS:
-        offsets_df = F.broadcast(offsets_df)
-    w = Window.partitionBy("_b", "_s").orderBy("_k")
-    out = (base.join(offsets_df, ["_b", "_s"])
-               .withColumn(name, (F.col("_off") + F.row_number().over(w) - 1).cast("long")))
-    return out.drop("_k", "_b", "_s", "_off")
+        below, same = F.coalesce(key < F.lit(thr), F.lit(False)), F.coalesce(key == F.lit(thr), F.lit(False))
+    c = df.agg(F.count_if(below).alias("below"), F.count_if(same).alias("same")).first()
+    quota = k - c["below"]
+    if quota == c["same"]:
+        return df.withColumn(name, F.when(below | same, F.lit(first)).otherwise(F.lit(rest)))
+    plain = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    tied = row_index(df.where(same), F.xxhash64(*plain), "_tie", n=c["same"])
+    tied = tied.withColumn(name, F.when(F.col("_tie") < quota, F.lit(first)).otherwise(F.lit(rest))).drop("_tie")
+    others = df.where(~same).withColumn(name, F.when(below, F.lit(first)).otherwise(F.lit(rest)))
+    return others.unionByName(tied)
 
 
 def split_at_rank(df: DataFrame, order_by, k: int, *, n: int | None = None,
                   proxy=None, first: str = "train", rest: str = "test",
                   name: str = "split") -> DataFrame:
-    """Label the first ``k`` rows (in ``order_by`` order) ``first``, the rest
-    ``rest``. The k-th key is found by exact rank selection; the split itself
-    is a plain predicate, with no shuffle and no window."""
+    """Label the first ``k`` rows (in ``order_by`` order, nulls last) ``first``,
+    the rest ``rest``; exactly k rows, ties in any order. For a numeric key the
+    k-th value is found by exact rank selection and the split is a predicate
+    (ties at that value apart), with no shuffle of the data; other keys are
+    ranked by ``row_index``."""
     key = _c(order_by)
     if n is None:
         n = df.count()
@@ -235,8 +197,13 @@ def split_at_rank(df: DataFrame, order_by, k: int, *, n: int | None = None,
         return df.withColumn(name, F.lit(rest))
     if k >= n:
         return df.withColumn(name, F.lit(first))
-    (thr,) = select_ranks(df, key, [k - 1], proxy=proxy, n=n)
-    return df.withColumn(name, F.when(key <= F.lit(thr), F.lit(first)).otherwise(F.lit(rest)))
+    kind = df.select(key.alias("_k")).schema[0].dataType
+    if proxy is None and not isinstance(kind, NumericType):
+        out = row_index(df, key, "_rank", n=n)
+        return out.withColumn(name, F.when(F.col("_rank") < k, F.lit(first)).otherwise(F.lit(rest))).drop("_rank")
+    known = df.where(key.isNotNull()).count()
+    thr = None if k > known else select_ranks(df, key, [k - 1], proxy=proxy, n=known)[0]
+    return _label_first(df, key, thr, k, first, rest, name)
 
 
 def train_test_split(df: DataFrame, order_by, train_frac: float = C.TRAIN_FRACTION, *,
@@ -257,9 +224,11 @@ def random_val_split(df: DataFrame, key, val_frac: float = C.VAL_FRACTION, seed:
     if n is None:
         n = df.count()
     k = max(1, int(n * val_frac))
+    if n == 0:
+        return df.withColumn(name, F.lit("train"))
     h = md5_order(key, seed)
     (thr,) = hash_ranks(df, h, [k - 1], n)
-    return df.withColumn(name, F.when(h <= F.lit(thr), F.lit("val")).otherwise(F.lit("train")))
+    return _label_first(df, h, thr, k, "val", "train", name)
 
 
 def default_batch_size(n: int, flavour: str = "rust") -> int:

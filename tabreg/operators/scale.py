@@ -171,7 +171,11 @@ class MinMaxScaler:
         return m.transform(df), m
 
 
-def make_scaler(kind: str, columns, ddof: int = 1):
+def make_scaler(kind, columns, ddof: int = 1):
+    """A scaler by name, or from a factory (columns -> object with ``fit_exprs``
+    and ``model_from_row``): the extension point for scalers of one's own."""
+    if callable(kind):
+        return kind(list(columns))
     if kind == "standard":
         return StandardScaler(columns, ddof)
     if kind == "minmax":
@@ -259,15 +263,16 @@ def model_from_params(params: DataFrame, scaler: str = "standard"):
 # ---------------------------------------------------------- the pipeline
 
 
-def preprocess(df: DataFrame, features, target: str, *, scaler: str = "standard",
-               ddof: int = 1, scale_target: bool = False, keep=(),
+def preprocess(df: DataFrame, features, target: str, *, scaler="standard",
+               ddof: int = 1, scale_target: bool = False, target_scaler=None, keep=(),
                fit_on: DataFrame | None = None):
     """Select features + target, fit the feature scaler (and optionally the
     target scaler) in **one** aggregate, and apply both in **one** select.
 
     Rust flavour: ``scaler='standard'|'minmax', ddof=1, scale_target=False``.
     Python flavour: ``ddof=0, scale_target=True``. ``fit_on`` fits on another
-    DataFrame (e.g. the train split) instead of all rows.
+    DataFrame (e.g. the train split) instead of all rows. ``target_scaler``: any
+    kind that ``make_scaler`` takes, for a target scaled unlike the features.
     Returns ``(scaled_df, feature_model, target_model_or_None)``.
     """
     features = list(features)
@@ -279,8 +284,9 @@ def preprocess(df: DataFrame, features, target: str, *, scaler: str = "standard"
     data = df.select(*cols)
     fsc = make_scaler(scaler, features, ddof)
     scs = [fsc]
+    scale_target = scale_target or target_scaler is not None
     if scale_target:
-        scs.append(StandardScaler([target], ddof) if scaler == "standard" else MinMaxScaler([target]))
+        scs.append(make_scaler(scaler if target_scaler is None else target_scaler, [target], ddof))
     models = fit_many((fit_on if fit_on is not None else data), scs)
     fm = models[0]
     tm = models[1] if scale_target else None

@@ -29,10 +29,9 @@ from pyspark.sql import functions as F
 from ..session import ship_package
 
 from .. import constants as C
-from ..constants import REFERENCE_GRID  # noqa: F401  (re-exported)
 from .matrix import _batch_matrix
 from .metrics import band_expr, grade_expr, metric_exprs
-from .model import MLP, collect_gradients, forward_np, gradient_job
+from .model import MLP, collect_gradients, forward_np, gradient_job, loss_function, per_model
 from .rows import hash_ranks, md5_order, row_index
 
 
@@ -58,12 +57,12 @@ class TrainConfig:
     shuffle: bool = True
     seed: int = 42
     tie: float = 0.0
-    loss: str = "mae"
+    loss: object = "mae"      # a name of model.LOSSES, or a function
     name: str = ""
 
     def __post_init__(self):
         if self.optimizer.lower() not in ("sgd", "adam"):
-            raise ValueError(f"Unsupported optimizer: {self.optimizer}. Use 'sgd' or 'adam'")
+            raise ValueError(f"optimizer {self.optimizer!r} is not known: sgd or adam")
 
 
 
@@ -193,12 +192,15 @@ def _batch_filter(bounds, k: int, seed: int, epoch: int):
     return cond
 
 
-def loss_job(df: DataFrame, models: list, batch_col: str | None = "vbatch"):
-    """Per config (and batch): MAE sums and counts; returns, per config, the
-    mean of per-batch mean losses (the reference's validation loss)."""
+def loss_job(df: DataFrame, models: list, batch_col: str | None = "vbatch", loss="mae"):
+    """Per config (and batch): loss sums and counts; returns, per config, the
+    mean of per-batch mean losses (the reference's validation loss). The means
+    are taken on Spark: one row per config reaches the driver. ``loss`` may be a
+    list, one per model."""
     ship_package(df.sparkSession)
     spark = df.sparkSession
     bc = spark.sparkContext.broadcast([(m.params, m.activation) for m in models])
+    losses = [loss_function(f) for f in per_model(loss, models)]
     cols = [F.col("x").alias("_x"), F.col("y").alias("_y")]
     cols.append(F.col(batch_col).cast("int").alias("_b") if batch_col else F.lit(0).alias("_b"))
     src = df.select(*cols)
@@ -213,7 +215,7 @@ def loss_job(df: DataFrame, models: list, batch_col: str | None = "vbatch"):
             y = batch.column(1).fill_null(0.0).to_numpy(zero_copy_only=False).astype(np.float64)
             b = batch.column(2).to_numpy(zero_copy_only=False)
             for c, (params, act) in enumerate(sets):
-                e = np.abs(forward_np(params, act, X)[:, 0] - y)
+                e = losses[c](forward_np(params, act, X)[:, 0] - y, 0.0)[0]
                 for bb in np.unique(b):
                     m = b == bb
                     s, n = acc.get((c, int(bb)), (0.0, 0))
@@ -227,13 +229,11 @@ def loss_job(df: DataFrame, models: list, batch_col: str | None = "vbatch"):
             names=["cfg", "b", "s", "n"])
 
     rows = (src.mapInArrow(fn, "cfg int, b int, s double, n long")
-               .groupBy("cfg", "b").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).collect())
+               .groupBy("cfg", "b").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+               .groupBy("cfg").agg(F.avg(F.col("s") / F.col("n")).alias("v")).collect())
     bc.unpersist()
-    out = []
-    for c in range(len(models)):
-        per = [r["s"] / r["n"] for r in rows if r["cfg"] == c and r["n"]]
-        out.append(float(np.mean(per)) if per else float("nan"))
-    return out
+    mean = {r["cfg"]: float(r["v"]) for r in rows}
+    return [mean.get(c, float("nan")) for c in range(len(models))]
 
 
 def fit(train: DataFrame, models: list, configs: list, *, val: DataFrame | None = None,
@@ -287,7 +287,8 @@ def fit(train: DataFrame, models: list, configs: list, *, val: DataFrame | None
                 else:
                     part = train.where(F.col(batch_col) == k)
                 cur = [template[runs.index(r)].with_flat(r.w) for r in live]
-                grads = collect_gradients(gradient_job(part, cur, tie=c0.tie, loss=c0.loss), cur, n_parts)
+                grads = collect_gradients(gradient_job(part, cur, tie=[r.cfg.tie for r in live],
+                                                       loss=[r.cfg.loss for r in live]), cur, n_parts)
                 for r, (g, loss, cnt) in zip(live, grads):
                     if cnt == 0:
                         continue
@@ -298,7 +299,8 @@ def fit(train: DataFrame, models: list, configs: list, *, val: DataFrame | None
                     r.w = r.opt.step(r.w, g, r.lr)
             vals = [None] * len(live)
             if val is not None:
-                vals = loss_job(val, [template[runs.index(r)].with_flat(r.w) for r in live])
+                vals = loss_job(val, [template[runs.index(r)].with_flat(r.w) for r in live],
+                                loss=[r.cfg.loss for r in live])
             for r, v in zip(live, vals):
                 lr_used = r.lr
                 tr = sums[id(r)] / nb

@@ -270,6 +270,46 @@ def q_random_val_split(spark, d):
     return R.random_val_split(o, "o_orderkey", 0.2, seed=42)
 
 
+@query("row_index_string", """
+SELECT o_orderkey, CAST(row_number() OVER (ORDER BY o_orderpriority || '/' || CAST(o_orderkey AS VARCHAR)) - 1 AS BIGINT) AS row_idx
+FROM orders""")
+def q_row_index_string(spark, d):
+    """Positions in the order of a text key that is not hex."""
+    key = F.concat_ws("/", "o_orderpriority", F.col("o_orderkey").cast("string"))
+    return R.row_index(H.read(spark, d, "orders").select("o_orderkey", "o_orderpriority"), key).drop("o_orderpriority")
+
+
+@query("row_index_nulls", """
+WITH r AS (SELECT l_quantity AS q, row_number() OVER (ORDER BY l_quantity NULLS LAST) - 1 AS i
+           FROM (SELECT CASE WHEN l_linenumber = 2 THEN NULL ELSE l_quantity END AS l_quantity FROM lineitem))
+SELECT q, count(*) AS n, CAST(min(i) AS BIGINT) AS first_idx, CAST(max(i) AS BIGINT) AS last_idx FROM r GROUP BY q""")
+def q_row_index_nulls(spark, d):
+    """A key of few values and many nulls: each value's rows take one run of positions, nulls the last."""
+    li = H.read(spark, d, "lineitem").select(F.when(F.col("l_linenumber") != 2, F.col("l_quantity")).alias("q"))
+    return R.row_index(li, "q").groupBy("q").agg(F.count("*").alias("n"), F.min("row_idx").alias("first_idx"),
+                                                 F.max("row_idx").alias("last_idx"))
+
+
+@query("train_test_split_ties", """
+WITH r AS (SELECT l_quantity AS q, CASE WHEN row_number() OVER (ORDER BY l_quantity) <= floor(0.5 * count(*) OVER ())
+                                        THEN 'train' ELSE 'test' END AS split FROM lineitem)
+SELECT split, q, count(*) AS n FROM r GROUP BY split, q""")
+def q_train_test_split_ties(spark, d):
+    """The first half by a key that repeats thousands of times: exactly half."""
+    li = H.read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").alias("q"))
+    return R.train_test_split(li, "q", 0.5).groupBy("split", "q").agg(F.count("*").alias("n"))
+
+
+@query("random_val_split_ties", """
+WITH r AS (SELECT l_returnflag AS f, CASE WHEN row_number() OVER (ORDER BY md5('42-' || l_returnflag))
+                  <= greatest(1, CAST(floor(count(*) OVER () * 0.2) AS BIGINT)) THEN 'val' ELSE 'train' END AS split FROM lineitem)
+SELECT split, f, count(*) AS n FROM r GROUP BY split, f""")
+def q_random_val_split_ties(spark, d):
+    """A split key of three values: exactly a fifth of the rows, though whole values are tied."""
+    li = H.read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_returnflag").alias("f"))
+    return R.random_val_split(li, "f", 0.2, seed=42).groupBy("split", "f").agg(F.count("*").alias("n"))
+
+
 @query("minibatch", """
 SELECT o_orderkey, CAST(floor((row_number() OVER (ORDER BY o_orderkey) - 1) / ceil(count(*) OVER () / 10.0)) AS INTEGER) AS batch
 FROM orders""")
@@ -483,7 +523,10 @@ b AS (SELECT epoch, pred, actual,
 bl AS (SELECT epoch, batch, avg(abs(pred - actual)) AS l FROM b GROUP BY epoch, batch)
 SELECT CAST(epoch AS INTEGER) AS epoch, {_r('avg(l)', 8)} AS epoch_loss FROM bl GROUP BY epoch""")
 def q_epoch_loss(spark, d):
-    p = H.predictions_fixture(spark, d)
+    from ..session import shared_path
+    path = shared_path(spark, "predictions")        # the join runs once, not in every epoch's passes
+    H.predictions_fixture(spark, d).write.parquet(path)
+    p = spark.read.parquet(path)
     n = p.count()
     parts = []
     for ep in (1, 2, 3):

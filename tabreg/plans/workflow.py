@@ -162,7 +162,7 @@ def grid_search(spark: SparkSession, sf_dir: str, grid=None, *, seed: int = 42,
     then one scoring scan of the test split; one metrics row per config.
     ``max_epochs`` overrides the settings' epoch counts (as the reference's
     EPOCHS variable does per run)."""
-    grid = grid or T.REFERENCE_GRID
+    grid = grid or C.REFERENCE_GRID
     if max_epochs is not None:
         grid = [(min(e, max_epochs), lr, pt, label) for e, lr, pt, label in grid]
     p, tr, va, bs, n_tr = python_setup(spark, sf_dir, seed=seed, synthetic=synthetic)
@@ -188,8 +188,9 @@ def process_and_save(spark: SparkSession, raw_csv: str, processed_csv: str, feat
     (file order = source order). Returns the fitted models."""
     from ..sources import io as IO
     raw = IO.read_header_csv(spark, raw_csv, ", ".join(f"{c} double" for c in list(features) + [target]))
+    # the fit needs no order: only the written rows are ranged and sorted
     out, fm, tm = S.preprocess(R.in_source_order(raw), features, target, scaler=scaler, ddof=ddof,
-                               scale_target=scale_target)
+                               scale_target=scale_target, fit_on=raw)
     IO.write_csv(out, processed_csv)
     return fm, tm
 

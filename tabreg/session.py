@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -45,13 +46,17 @@ def get_session(master: str | None = None, app: str = "tabreg",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) a fresh folder is created and
-    registered, so ``DataFrame.checkpoint()`` and written tables agree.
+    Where the setting is absent, a local session (one machine) gets a fresh
+    folder, so ``DataFrame.checkpoint()`` and written tables agree. On a cluster
+    that folder would be the driver's own, so a missing setting is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set, and {master or 'the cluster'} needs a shared folder")
         root = tempfile.mkdtemp(prefix="tabreg-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -75,8 +75,11 @@ def load_dataset(spark: SparkSession, parquet_path: str, csv_path: str,
     if exists(spark, parquet_path):
         return canonical_select(spark.read.parquet(parquet_path), names)
     if exists(spark, csv_path):
-        return rename_positional(read_headerless_csv(spark, csv_path), names)
-    raise FileNotFoundError(f"Dataset not found: {parquet_path} or {csv_path}")
+        # the types are known: the first line's width is all that is read ahead
+        first = spark.read.text(csv_path).first()
+        width = first[0].count(",") + 1 if first else len(names)
+        return read_headerless_csv(spark, csv_path, ", ".join(f"{c} double" for c in names[:width]))
+    raise FileNotFoundError(f"neither {parquet_path} nor {csv_path} exists")
 
 
 def convert_if_needed(spark: SparkSession, dataset_name: str, data_path: str, domain_path: str,
@@ -89,9 +92,9 @@ def convert_if_needed(spark: SparkSession, dataset_name: str, data_path: str, do
     persisted read (the processed copy too), in source row order. Returns
     ``out_dir``."""
     if not exists(spark, data_path):
-        raise FileNotFoundError(f"Data file not found: {data_path}")
+        raise FileNotFoundError(f"no data at {data_path}")
     if not exists(spark, domain_path):
-        raise FileNotFoundError(f"Domain file not found: {domain_path}")
+        raise FileNotFoundError(f"no column description at {domain_path}")
     out_dir = out_dir.rstrip("/")
     csv_out = f"{out_dir}/{dataset_name}.csv"
     pq_out = f"{out_dir}/{dataset_name}.parquet"
@@ -117,10 +120,13 @@ def convert_if_needed(spark: SparkSession, dataset_name: str, data_path: str, do
 def publish_processed(spark: SparkSession, csv_dir: str, processed_dir: str, dataset_name: str,
                       *, overwrite: bool) -> str:
     """Copy the converted CSV to the processed folder: always when
-    ``overwrite``, else only if absent (``mode('ignore')``)."""
+    ``overwrite``, else only if no complete copy is there (a half-written one
+    has no _SUCCESS marker and is replaced)."""
     dest = f"{processed_dir.rstrip('/')}/{dataset_name}.csv"
+    if not overwrite and complete(spark, dest):
+        return dest
     df = read_header_csv(spark, csv_dir, HOUSING_DDL if dataset_name == "CaliforniaHousing" else None)
-    in_source_order(df).write.mode("overwrite" if overwrite else "ignore").option("header", True).csv(dest)
+    in_source_order(df).write.mode("overwrite").option("header", True).csv(dest)
     return dest
 
 

@@ -51,3 +51,15 @@ def test_conversion_keeps_source_row_order(spark, tmp_path):
                          (f"{tmp_path}/p/CaliforniaHousing.csv", lambda p: IO.read_header_csv(spark, p, IO.HOUSING_DDL))]:
         got = sorted((r["row_pos"], r["longitude"]) for r in with_source_position(reader(path)).collect())
         assert [v for _, v in got] == [float(i) for i in range(3000)]
+
+
+def test_half_written_copy_is_replaced(spark, tmp_path):
+    import os
+    src, dest = str(tmp_path / "src.csv"), tmp_path / "processed"
+    spark.createDataFrame([(1.0,), (2.0,)], "v double").write.option("header", True).csv(src)
+    os.makedirs(dest / "Own.csv")
+    IO.publish_processed(spark, src, str(dest), "Own", overwrite=False)
+    assert IO.read_header_csv(spark, str(dest / "Own.csv")).count() == 2
+    before = sorted(os.listdir(dest / "Own.csv"))
+    IO.publish_processed(spark, src, str(dest), "Own", overwrite=False)
+    assert sorted(os.listdir(dest / "Own.csv")) == before

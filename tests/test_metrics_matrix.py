@@ -63,3 +63,34 @@ def test_weight_and_bias_gradient(spark):
     assert w[(1, 0)] == pytest.approx((2 * 0.5 - 1 * 1.5) / 2)
     b = X.bias_gradient(df, ["g"]).first()["value"]
     assert b == pytest.approx(1.0)
+
+
+def test_null_and_ragged_arrays(spark):
+    from tabreg.operators.model import MLP, mlp_score
+    rows = [(1, [1.0, 2.0]), (2, None), (3, [None, 4.0])]
+    df = spark.createDataFrame(rows, "id int, x array<double>").coalesce(1)
+    net = MLP.create((2, 3, 1), "relu", seed=1)
+    got = {r["id"]: r["pred"] for r in mlp_score(df, net, array_col="x", keep=["id"], method="arrow").collect()}
+    flat = spark.createDataFrame([(1, 1.0, 2.0), (2, 0.0, 0.0), (3, 0.0, 4.0)], "id int, a double, b double")
+    want = {r["id"]: r["pred"] for r in mlp_score(flat, net, ["a", "b"], keep=["id"], method="native").collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+    ragged = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0])], "id int, x array<double>").coalesce(1)
+    with pytest.raises(Exception, match="different lengths"):
+        mlp_score(ragged, net, array_col="x", keep=["id"], method="arrow").collect()
+
+
+def test_infinities_agree(spark):
+    from tabreg.operators.model import MLP, mlp_score
+    net = MLP((1, 1, 1), "relu", [(np.array([[2.0]]), np.zeros(1)), (np.array([[1.0]]), np.zeros(1))])
+    df = spark.createDataFrame([(float("inf"),), (float("-inf"),), (1.0,), (None,)], "a double")
+    for method in ("native", "arrow"):
+        got = sorted(r["pred"] for r in mlp_score(df, net, ["a"], method=method).collect())
+        assert got == [0.0, 0.0, 2.0, float("inf")], method
+
+
+def test_metrics_drop_pairs_with_a_null(spark):
+    from tabreg.operators import metrics as M
+    df = spark.createDataFrame([(1.0, 2.0), (3.0, 3.0), (None, 9.0), (4.0, None)], "pred double, actual double")
+    full = M.regression_metrics(df).first()
+    clean = M.regression_metrics(df.dropna()).first()
+    assert full == clean and full["n"] == 2

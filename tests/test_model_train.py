@@ -176,3 +176,25 @@ def test_init_rules_scale_and_bias(rule):
     assert W.std() == pytest.approx(want, rel=0.02)
     assert np.all(b == {"normal": 0.0, "uniform": -1.0}.get(rule, 0.0))
     assert len(set(np.round(W[:, 0], 12))) > 1   # units do not start identical
+
+
+def test_mixed_losses_equal_separate_runs(spark):
+    """Configs in one fit keep their own loss and tie; a user's loss works in the workers and in validation."""
+    from tabreg.operators import model as MO
+    from tabreg.operators import train as TR
+    rng = np.random.default_rng(0)
+    rows = [([float(a), float(b)], float(a - 2 * b), i, i % 2, i % 3) for i, (a, b) in enumerate(rng.normal(size=(60, 2)))]
+    df = spark.createDataFrame(rows, "x array<double>, y double, key long, batch int, vbatch int")
+    huber = lambda d, tie: (np.where(abs(d) < 1, d * d / 2, abs(d) - 0.5), np.clip(d, -1, 1))
+    cfgs = [TR.TrainConfig(epochs=2, lr=0.05, batch_size=30, shuffle=False, loss=f, name=str(k))
+            for k, f in enumerate(("mae", "mse", huber))]
+    nets = [MO.MLP.create((2, 4, 1), seed=3) for _ in cfgs]
+    val = df.select("x", "y", "vbatch")
+    together = TR.fit(df, nets, cfgs, val=val)
+    for net, cfg, res in zip(nets, cfgs, together):
+        (alone,) = TR.fit(df, [net], [cfg], val=val)
+        assert np.allclose(alone.model.flat(), res.model.flat(), atol=1e-12)
+        assert [h["val_loss"] for h in alone.history] == pytest.approx([h["val_loss"] for h in res.history])
+    assert not np.allclose(together[0].model.flat(), together[1].model.flat())
+    with pytest.raises(ValueError, match="unknown loss"):
+        MO.loss_function("nope")

@@ -1,5 +1,6 @@
 import random
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -112,3 +113,44 @@ def test_hash_ranks_with_a_hot_duplicate(spark):
     hs = sorted(r["h"] for r in df.collect())
     ranks = [0, 999, 1000, 1500, 2999]
     assert R.hash_ranks(df, "h", ranks, 3000, max_final=50) == [hs[r] for r in ranks]
+
+
+def test_row_index_strings_and_nulls(spark):
+    names = ["grape", "zebra", "apple", "fig", "Pear", "kiwi", "", "10", "9", "été", None, None]
+    df = spark.createDataFrame([(x, i) for i, x in enumerate(names)], "k string, v int").repartition(4)
+    got = sorted((r["row_idx"], r["k"]) for r in R.row_index(df, "k", rows_per_bucket=3).collect())
+    want = sorted((x for x in names if x is not None), key=lambda x: x.encode()) + [None, None]
+    assert [k for _, k in got] == want and [i for i, _ in got] == list(range(12))
+    nums = spark.createDataFrame([(x,) for x in [3.0, None, 1.0, None, 2.0, float("nan")]], "k double")
+    got = sorted((r["row_idx"], str(r["k"])) for r in R.row_index(nums, "k").collect())
+    assert [k for _, k in got] == ["1.0", "2.0", "3.0", "nan", "None", "None"]
+    assert R.row_index(df.limit(0), "k").count() == 0
+
+
+def test_row_index_splits_equal_rows(spark):
+    df = spark.range(3000).select(F.lit("same").alias("k"))
+    out = R.row_index(df, "k", rows_per_bucket=300)
+    assert sorted(r["row_idx"] for r in out.collect()) == list(range(3000))
+    files = [f.removeprefix("file:").replace("//", "/") for f in out.inputFiles() if "/positions-" in f]
+    sizes = [pq.read_metadata(f).num_rows for f in files]
+    assert len(sizes) >= 8 and max(sizes) < 900
+
+
+def test_splits_are_exact_on_ties(spark):
+    df = spark.createDataFrame([(5 if i < 600 else i, i) for i in range(1000)], "k long, v long").repartition(3)
+    out = R.train_test_split(df, "k", 0.5)
+    assert sorted(map(tuple, out.groupBy("split").count().collect())) == [("test", 500), ("train", 500)]
+    assert out.where("split = 'train' and k <> 5").count() == 0
+    val = R.random_val_split(df, "k", 0.2, seed=1)
+    assert val.where("split = 'val'").count() == 200 and val.count() == 1000
+    names = df.select(F.concat(F.lit("n"), "k").alias("s"), "v")
+    assert R.train_test_split(names, "s", 0.3).where("split = 'train'").count() == 300
+
+
+def test_splits_with_null_keys(spark):
+    df = spark.createDataFrame([(None if i % 4 == 0 else i, i) for i in range(100)], "k long, v long")
+    for frac, n in ((0.5, 50), (0.9, 90)):
+        out = R.train_test_split(df, "k", frac)
+        assert out.where("split = 'train'").count() == n
+        assert out.where("split = 'train' and k is null").count() == max(0, n - 75)
+    assert R.random_val_split(df, "k", 0.2).where("split = 'val'").count() == 20

@@ -90,3 +90,13 @@ def test_unfitted_column_missing_raises(spark):
     m = S.StandardScaler(["x"]).fit(df)
     with pytest.raises(ValueError):
         m.transform(df.select(F.col("x").alias("z")))
+
+
+def test_target_scaler_of_any_kind(spark):
+    from tabreg.operators import scale as SC
+    df = spark.createDataFrame([(float(i), float(i * i)) for i in range(10)], "a double, t double")
+    out, fm, tm = SC.preprocess(df, ["a"], "t", scaler="standard", target_scaler="minmax")
+    vals = [r["t"] for r in out.collect()]
+    assert (fm.kind, tm.kind) == ("standard", "minmax") and (min(vals), max(vals)) == (0.0, 1.0)
+    own, _, model = SC.preprocess(df, ["a"], "t", target_scaler=lambda cols: SC.StandardScaler(cols, 0))
+    assert model.ddof == 0 and abs(sum(r["t"] for r in own.collect())) < 1e-9
