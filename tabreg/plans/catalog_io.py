@@ -235,3 +235,24 @@ def q_load_processed_split(spark, d):
     views expose no file order)."""
     base = _processed(spark, d)
     return W.load_processed_split(spark, f"{base}/processed.csv", NAMES[:-1], NAMES[-1])
+
+
+_PY_COLS = ["o_orderkey", "o_custkey", "o_totalprice"]
+
+
+@query("process_and_save_python", f"""
+WITH s AS (SELECT {', '.join(f"avg({c}) AS m_{c}, CASE WHEN stddev_pop({c}) > 1e-8 THEN stddev_pop({c}) ELSE 1.0 END AS s_{c}" for c in _PY_COLS)} FROM orders)
+SELECT {', '.join(f"round(({c} - m_{c}) / s_{c}, 6) + 0.0 AS {c}" for c in _PY_COLS)},
+       CAST(row_number() OVER (ORDER BY o_orderkey) - 1 AS BIGINT) AS row_pos,
+       CASE WHEN row_number() OVER (ORDER BY o_orderkey) <= floor(0.8 * count(*) OVER ()) THEN 'train' ELSE 'test' END AS split
+FROM orders, s""")
+def q_process_and_save_python(spark, d):
+    """The Python preparation end to end: a raw CSV in key order; features and
+    target scaled with the population std; the processed CSV in the same order;
+    the first 80% of its rows for training."""
+    base = shared_path(spark, "python-prep")
+    raw = H.read(spark, d, "orders").select(*[F.col(c).cast("double").alias(c) for c in _PY_COLS])
+    IO.write_csv(raw.repartitionByRange(8, "o_orderkey").sortWithinPartitions("o_orderkey"), f"{base}/raw.csv")
+    W.process_and_save(spark, f"{base}/raw.csv", f"{base}/processed.csv", _PY_COLS[:-1], _PY_COLS[-1], ddof=0, scale_target=True)
+    out = W.load_processed_split(spark, f"{base}/processed.csv", _PY_COLS[:-1], _PY_COLS[-1])
+    return rnd_all(out, 6)

@@ -379,17 +379,29 @@ def q_run_state(spark, d):
                         batch_size=res.config.batch_size)
 
 
-@query("save_run")
+@query("save_run", f"""WITH {HOUSING_CTE},
+n AS (SELECT count(*) AS n FROM h)
+SELECT * FROM (VALUES ('batch_losses', CAST(10 AS BIGINT)), ('optimizer_state', 1), ('parameters', {HOUSING_NET.n_params}),
+  ('run_state', 1), ('scaling_params', {3 * len(FEATS)}), ('training_history', 1)) AS t(table_name, n_rows)
+UNION ALL SELECT 'predictions', n - CAST(floor(0.8 * n) AS BIGINT) FROM n""")
 def q_save_run(spark, d):
-    """All tables of one run written to the shared run registry; the
-    registry's history table is read back."""
+    """Every table of one run written to the shared run registry and read back: parameters, optimizer, scaling,
+    history, batch losses, predictions of the test split, and the nested run state; a row count for each."""
     from ..session import shared_path
     p, res = _rust_run(spark, d)
     root = shared_path(spark, "runs")
     preds = T.score_many(p.test, [res.model], keep=("key", "y"))
     preds = M.predictions_table(preds, "pred", "y", keep=["key"])
-    RU.save_run(spark, root, "rust", res, predictions=preds)
-    return spark.read.parquet(f"{root}/training_history")
+    metrics = T.evaluate_models(p.test, [res.model]).first().asDict()
+    state = RU.run_state(spark, "rust", res, metrics, features=FEATS, target="y_syn", feature_scaling="standard",
+                         target_scaling=None, batch_size=res.config.batch_size)
+    RU.save_run(spark, root, "rust", res, predictions=preds, scaler_params=S.params_table(spark, p.feature_model), state=state)
+    out = None
+    for name in ("batch_losses", "optimizer_state", "parameters", "predictions", "run_state", "scaling_params", "training_history"):
+        t = spark.read.schema(state.schema).json(f"{root}/{name}") if name == "run_state" else spark.read.parquet(f"{root}/{name}")
+        n = t.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
+        out = n if out is None else out.unionByName(n)
+    return out
 
 
 # ------------------------------------------------------ run-level folds
