@@ -26,13 +26,13 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship_package
+from ..session import shared_path, ship_package
 
 from .. import constants as C
 from .matrix import _batch_matrix
 from .metrics import band_expr, grade_expr, metric_exprs
 from .model import MLP, collect_gradients, forward_np, gradient_job, loss_function, per_model
-from .rows import hash_ranks, md5_order, row_index
+from .rows import epoch_shuffle, hash_ranks, md5_order, row_index
 
 
 LOG = logging.getLogger("tabreg.train")
@@ -192,6 +192,16 @@ def _batch_filter(bounds, k: int, seed: int, epoch: int):
     return cond
 
 
+def _epoch_table(train: DataFrame, seed: int, epoch: int, n: int, bs: int) -> DataFrame:
+    """This epoch's permutation, written once with a directory for each
+    mini-batch, so a step reads its own files and no others. Positions come from
+    ``row_index``; nothing about ranks or batches reaches the driver."""
+    path = shared_path(train.sparkSession, f"epoch-{epoch}")
+    table = epoch_shuffle(train, "key", seed, epoch, bs, n=n, name="batch_no")
+    table.write.partitionBy("batch_no").parquet(path)
+    return train.sparkSession.read.schema(table.schema).parquet(path)
+
+
 def loss_job(df: DataFrame, models: list, batch_col: str | None = "vbatch", loss="mae"):
     """Per config (and batch): loss sums and counts; returns, per config, the
     mean of per-batch mean losses (the reference's validation loss). The means
@@ -244,7 +254,9 @@ def fit(train: DataFrame, models: list, configs: list, *, val: DataFrame | None
     ``train`` has ``x``, ``y`` and either ``key`` (shuffled batches) or
     ``batch_col`` (fixed batches); it is persisted here and unpersisted at the
     end. ``val`` (``x``, ``y``, ``vbatch``) enables validation loss, plateau
-    schedule and early stopping.
+    schedule and early stopping. ``cache=False`` (tables too large for memory)
+    keeps nothing: shuffled batches are then read from a table that each epoch
+    writes with a directory for each batch.
     """
     if not configs:
         return []
@@ -255,7 +267,7 @@ def fit(train: DataFrame, models: list, configs: list, *, val: DataFrame | None
     t0 = time.time()
     if cache:
         train = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
-    if val is not None:
+    if val is not None and cache:
         val = spread(val).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n = train.count() if n_train is None else n_train
@@ -277,10 +289,13 @@ def fit(train: DataFrame, models: list, configs: list, *, val: DataFrame | None
             live = [r for r in runs if r.active and epoch <= r.cfg.epochs]
             if not live:
                 break
-            bounds = _epoch_bounds(train, c0.seed, epoch, n, bs) if c0.shuffle else None
+            bounds = _epoch_bounds(train, c0.seed, epoch, n, bs) if c0.shuffle and cache else None
+            laid_out = _epoch_table(train, c0.seed, epoch, n, bs) if c0.shuffle and not cache else None
             sums = {id(r): 0.0 for r in live}
             for k in range(nb):
-                if c0.shuffle:
+                if laid_out is not None:
+                    part = laid_out.where(F.col("batch_no") == k)
+                elif c0.shuffle:
                     part = train.where(_batch_filter(bounds, k, c0.seed, epoch))
                 elif batch_filter is not None:
                     part = train.where(batch_filter(k))
@@ -331,7 +346,7 @@ def fit(train: DataFrame, models: list, configs: list, *, val: DataFrame | None
     finally:
         if cache:
             train.unpersist()
-        if val is not None:
+        if val is not None and cache:
             val.unpersist()
 
 

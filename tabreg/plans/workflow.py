@@ -151,7 +151,7 @@ def python_flavour(spark: SparkSession, sf_dir: str, *, epochs: int = C.PYTHON_E
     model = MLP.create((8, 64, 32, 1), "relu", "xavier_normal", seed)
     cfg = T.TrainConfig(epochs=epochs, lr=lr, batch_size=bs, patience=patience, min_delta=min_delta,
                         optimizer=optimizer, shuffle=True, seed=seed, name="python")
-    (res,) = T.fit(tr, [model], [cfg], val=va, n_train=n_tr)
+    (res,) = T.fit(tr, [model], [cfg], val=va, n_train=n_tr, cache=n_tr <= CACHE_ROWS)
     return p, res
 
 
@@ -169,7 +169,7 @@ def grid_search(spark: SparkSession, sf_dir: str, grid=None, *, seed: int = 42,
     models = [MLP.create((8, 64, 32, 1), "relu", "xavier_normal", seed) for _ in grid]
     cfgs = [T.TrainConfig(epochs=e, lr=lr, patience=pt, batch_size=bs, optimizer=optimizer,
                           shuffle=True, seed=seed, name=label) for e, lr, pt, label in grid]
-    results = T.fit(tr, models, cfgs, val=va, n_train=n_tr)
+    results = T.fit(tr, models, cfgs, val=va, n_train=n_tr, cache=n_tr <= CACHE_ROWS)
     ev = T.evaluate_models(p.test, [r.model for r in results])
     info = spark.createDataFrame(
         [(i, r.config.name, r.config.epochs, r.config.lr, r.config.patience, len(r.history),

@@ -198,3 +198,30 @@ def test_mixed_losses_equal_separate_runs(spark):
     assert not np.allclose(together[0].model.flat(), together[1].model.flat())
     with pytest.raises(ValueError, match="unknown loss"):
         MO.loss_function("nope")
+
+
+def test_epoch_directories_equal_the_cached_table(spark):
+    """The path for tables too large to cache: the same batches, each read from its own directory."""
+    from tabreg.operators import model as MO
+    from tabreg.operators import train as TR
+    rng = np.random.default_rng(2)
+    rows = [([float(a), float(b)], float(a + b), i) for i, (a, b) in enumerate(rng.normal(size=(50, 2)))]
+    df = spark.createDataFrame(rows, "x array<double>, y double, key long")
+    val = df.where("key < 10").selectExpr("x", "y", "cast(key % 2 as int) as vbatch")
+    cfg = TR.TrainConfig(epochs=2, lr=0.05, batch_size=16, shuffle=True, seed=9)
+    a, b = (TR.fit(df, [MO.MLP.create((2, 3, 1), seed=1)], [cfg], val=val, cache=c)[0] for c in (True, False))
+    assert np.allclose(a.model.flat(), b.model.flat(), atol=1e-12)
+    assert [x["batch_loss"] for x in a.batch_losses] == pytest.approx([x["batch_loss"] for x in b.batch_losses])
+    part = TR._epoch_table(df, 9, 1, 50, 16).where("batch_no = 2")
+    assert part.count() == 16 and "PartitionFilters: [isnotnull(batch_no" in part._jdf.queryExecution().toString()
+
+
+def test_large_run_paths_equal_the_small_ones(spark, monkeypatch):
+    """Lowered limits: block directories, no cache and shuffled joins give the same model."""
+    from tabreg.plans import workflow as WF
+    sf = "/root/testdata/sf0.001"
+    _, small = WF.rust_flavour(spark, sf, synthetic=True)
+    monkeypatch.setattr(WF, "CACHE_ROWS", 100)
+    monkeypatch.setattr(WF, "POS_BLOCK_MIN", 1000)
+    _, large = WF.rust_flavour(spark, sf, synthetic=True)
+    assert np.allclose(small.model.flat(), large.model.flat(), atol=1e-9)
