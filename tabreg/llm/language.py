@@ -180,8 +180,8 @@ def _judge(col: pa.Array, m: Model):
     for lo, hi, offsets, data in X.slices(col):
         letter = has_letter(offsets, data)
         lang, score, out = [UNKNOWN] * (hi - lo), np.zeros(hi - lo), ~letter
-        for at in range(0, hi - lo if m.langs else 0, 256):          # 8 MB of vectors at once
-            end = min(at + 256, hi - lo)
+        for at in range(0, hi - lo if m.langs else 0, 128):          # 4 MB of vectors at once
+            end = min(at + 128, hi - lo)
             sim = vectors(offsets[at:end + 1] - offsets[at], data[offsets[at]:offsets[end]], m.idf) @ m.centroids.T
             best = sim.argmax(axis=1)
             top = np.clip(sim[np.arange(end - at), best], 0, 1)

@@ -48,7 +48,7 @@ from .graph import components
 SHINGLE = 5
 HOT_MIN = 64              # a token of fewer documents is never frequent
 HOT_SHARE = 2_000_000     # at most so many frequent tokens: those with tokens / HOT_SHARE documents or more
-CHUNK_TOKENS = 4_000_000  # tokens whose partial counts a task holds at once
+CHUNK_TOKENS = 2_000_000  # tokens whose partial counts a task holds at once
 
 U = np.uint64
 _SEP = X.separators(X.SPACES)
