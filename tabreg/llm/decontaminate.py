@@ -130,6 +130,14 @@ def edit_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return int(row[end]), end
 
 
+def absent(item: np.ndarray, text: np.ndarray) -> int:
+    """How many of the item's words the text lacks: a lower bound of their edit distance."""
+    if not len(text):
+        return len(item)
+    own = np.sort(text)
+    return int((own[np.minimum(own.searchsorted(item), len(own) - 1)] != item).sum())
+
+
 class ItemIndex:
     """Keys of a block of items: sorted keys, and for each its item and anchor."""
 
@@ -197,6 +205,8 @@ def _found(col: pa.Array, index: ItemIndex):
                 begin, end = max(start - slack, first), min(start + len(words) + slack, last)
                 if first <= start and start + len(words) <= last and (w.hash[start:start + len(words)] == words).all():
                     edits, stop = 0, start + len(words)
+                elif absent(words, w.hash[begin:end]) > slack:
+                    continue                     # each word that is nowhere here costs an edit
                 else:
                     edits, stop = edit_distance(words, w.hash[begin:end])
                     stop += begin
