@@ -32,7 +32,7 @@ from .common import batch, keep_ids, map_batches, write_table
 
 ORDER = 5
 QUANTILE = 0.99
-BLOCK_ROWS = 3_000_000   # model rows in one broadcast: 72 MB of hash table
+BLOCK_ROWS = 3_000_000   # model rows in one broadcast: 36 MB, and 96 MB of hash table in a worker
 HELD_OUT = 5             # crc32(doc_id) mod 5 = 0: for thresholds, not for counts
 CHUNK_TYPES = 2_000_000  # distinct grams whose counts a task holds at once
 START = 2                # a byte that stands before a text's first
@@ -156,11 +156,8 @@ def _key(order: int, gram, kind: int):
 class Block:
     """The rows of some shards: grams (kind 1) and contexts (kind 2) of all orders."""
 
-    def __init__(self, order, gram, logp, loggap, shards=None):
-        order, gram = np.asarray(order, np.int64), np.asarray(gram, np.int64).view(U)
-        kind = np.where(np.isnan(loggap), 1, 2)
-        keys = gram | ((kind << 3 | order).astype(U) << U(48))
-        self.table = Table(keys, np.where(kind == 1, logp, loggap).astype(np.float32))
+    def __init__(self, keys: bytes, values: bytes, shards=None):
+        self.table = Table(np.frombuffer(keys, "<u8"), np.frombuffer(values, "<f4"))
         self.shards = None if shards is None else np.isin(np.arange(256), shards)
 
     def logs(self, offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
@@ -195,6 +192,24 @@ def _sums(batches, shared):
             yield batch(_SUMS, *(b.column(i).slice(lo, hi - lo) for i in range(3)), np.diff(offsets), block.logs(offsets, data))
 
 
+_PACKED = pa.schema([("keys", pa.binary()), ("vals", pa.binary())])
+
+
+def _pack(batches):
+    for b in batches:
+        if len(b):
+            yield batch(_PACKED, [b.column(0).to_numpy().astype("<i8").tobytes()], [b.column(1).to_numpy().astype("<f4").tobytes()])
+
+
+def packed_rows(rows: DataFrame) -> tuple[bytes, bytes]:
+    """Keys and values of a block's rows as two byte strings, 12 bytes a row."""
+    kind = F.when(F.col("loggap").isNull(), 1).otherwise(2)
+    key = F.col("gram").bitwiseOR(F.shiftleft((kind * 8 + F.col("order")).cast("long"), 48))
+    flat = rows.select(key.alias("key"), F.coalesce("logp", "loggap").cast("float").alias("val"))
+    got = map_batches(flat, _pack, "keys binary, vals binary").collect()
+    return b"".join(bytes(r["keys"]) for r in got), b"".join(bytes(r["vals"]) for r in got)
+
+
 def blocks(rows: DataFrame, limit: int = BLOCK_ROWS):
     """Lists of shards (previous bytes) of about equal work, each of at most ``limit`` rows or one shard."""
     shard = shard_of("order", "gram", "loggap")
@@ -231,9 +246,7 @@ def log_probabilities(docs: DataFrame, rows: DataFrame, limit: int = BLOCK_ROWS)
     out = None
     for shards in packed:
         own = rows if len(packed) == 1 else rows.filter(shard_of("order", "gram", "loggap").isin([-1, *shards]))
-        pdf = own.toPandas()
-        shared = sc.broadcast((pdf["order"].to_numpy(), pdf["gram"].to_numpy(), pdf["logp"].to_numpy(float),
-                               pdf["loggap"].to_numpy(float), None if len(packed) == 1 else shards))
+        shared = sc.broadcast((*packed_rows(own), None if len(packed) == 1 else shards))
         part = map_batches(src, lambda it, s=shared: _sums(it, s), "row long, doc_id long, lang string, n_bytes long, logp double")
         out = part if out is None else out.unionByName(part)
     if len(packed) > 1:
