@@ -86,23 +86,37 @@ def _units(batches):
             yield batch(_NODE, *zip(*out))
 
 
-_KEYS = pa.schema([("node", pa.int64()), ("label", pa.string()), ("weight", pa.int64()), ("t", pa.int32()), ("key", pa.int64()),
-                   ("keys", pa.binary()), ("unit", pa.binary())])
+_HASHED = pa.schema([("node", pa.int64()), ("label", pa.string()), ("weight", pa.int64()), ("unit", pa.binary()),
+                     ("keys", pa.binary())])
 
 
-def _tables(batches, k, tables):
+def _hashed(batches, k, tables):
+    """Packed keys of every table; vectors of one dimension are hashed together."""
     for b in batches:
         if not len(b):
             continue
-        raw = b.column("unit").to_pylist()
-        rows = []
-        for width in {len(r) for r in raw}:                  # vectors of one dimension together
+        raw, out = b.column("unit").to_pylist(), [b""] * len(b)
+        for width in {len(r) for r in raw}:
             at = [i for i, r in enumerate(raw) if len(r) == width]
-            got = keys(np.frombuffer(b"".join(raw[i] for i in at), "<f8").reshape(len(at), -1), k, tables)
+            got = keys(np.frombuffer(b"".join(raw[i] for i in at), "<f8").reshape(len(at), -1), k, tables) ^ width
             for i, own in zip(at, got):
-                node, label, weight = (b.column(c)[i].as_py() for c in ("node", "label", "weight"))
-                rows += [(node, label, weight, t, int(own[t]) ^ width, own.tobytes(), raw[i]) for t in range(tables)]
-        yield batch(_KEYS, *zip(*rows))
+                out[i] = own.astype("<i8").tobytes()
+        yield batch(_HASHED, *(b.column(c) for c in ("node", "label", "weight", "unit")), out)
+
+
+_BUCKETS = pa.schema([("node", pa.int64()), ("label", pa.string()), ("t", pa.int32()), ("key", pa.int64())])
+
+
+def _buckets(batches):
+    """One row for each node and table."""
+    for b in batches:
+        if not len(b):
+            continue
+        own = np.frombuffer(b"".join(b.column("keys").to_pylist()), "<i8").reshape(len(b), -1)
+        tables = own.shape[1]
+        at = np.repeat(np.arange(len(b)), tables)
+        yield batch(_BUCKETS, b.column("node").take(pa.array(at)), b.column("label").take(pa.array(at)),
+                    np.tile(np.arange(tables, dtype=np.int32), len(b)), own.ravel())
 
 
 def _links(pdf: pd.DataFrame, cosine: float) -> pd.DataFrame:
@@ -150,13 +164,16 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float =
     nodes = write_table(same, "nodes")
     rows = nodes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     k, tables = plan(rows, cosine, recall)
-    hashed = map_batches(nodes, lambda it: _tables(it, k, tables),
-                         "node long, label string, weight long, t int, key long, keys binary, unit binary")
+    hashed = write_table(map_batches(nodes.select("node", "label", "weight", "unit"), lambda it: _hashed(it, k, tables),
+                                     "node long, label string, weight long, unit binary, keys binary"), "hashed")
     bucket = ["label", "t", "key"]
-    small = hashed.select("node", *bucket)
+    # keys alone find the shared buckets; vectors go only there
+    small = write_table(map_batches(hashed.select("node", "label", "keys"), _buckets, "node long, label string, t int, key long"),
+                        "buckets")
     sizes = small.groupBy(*bucket).count().filter("count > 1") \
         .withColumn("blocks", F.ceil(F.col("count") / BLOCK).cast("int")).drop("count")
-    grouped = hashed.join(sizes, bucket).withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int"))
+    grouped = small.join(sizes, bucket).join(hashed.drop("label"), "node") \
+        .withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int"))
     # a node goes to every pair of blocks that has its own
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     grouped = grouped.withColumn("_o", other).withColumn("x", F.least("block", "_o")).withColumn("y", F.greatest("block", "_o"))
