@@ -4,9 +4,11 @@ A page's skeleton is its tree of elements (tag and class words), runs of equal
 siblings folded into one. The wrapper of a host is the skeleton most of its pages
 have. Every page is aligned with it by simple tree matching (the largest number of
 equal nodes that keep order and ancestry), and the text of each wrapper node is
-compared over the host's distinct pages: a node whose text is the same on
-``CONSTANT`` of them is template, the others are slots. The main text of a page is
-the text of its slots, and of its nodes that the wrapper lacks, inside the article
+compared over the host's pages of distinct main content: a node that has the same
+text, and not an empty one, on ``CONSTANT`` of them is template, the others are
+slots. A page loses its elements at a template node only where their text is that
+template's. The main text of a page is the text of its slots, of template nodes that
+read otherwise there, and of its nodes that the wrapper lacks, inside the article
 (or main, or body), without the elements that HTML or their class words mark as
 menus, headers, footers, sidebars, notices, adverts, forms or comments.
 
@@ -33,7 +35,7 @@ from .url_filter import host
 
 CONSTANT = 0.9           # a node is template if so many of the host's distinct pages have the same text there
 MIN_PAGES = 5            # and at least so many distinct pages have the node
-FEW = 50_000             # wrappers that are broadcast (about 0.5 KB each)
+FEW = 50_000             # wrappers that are broadcast (about 1 KB each)
 DEPTH = 12               # levels of a skeleton; deeper elements belong to their ancestor's text
 CELLS = 250_000          # larger sibling tables are matched in order of labels instead
 
@@ -53,6 +55,7 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
           "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "tfoot": {"tr", "td", "th", "tbody"}}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"},
           "option": {"select"}, "tbody": {"table"}, "tfoot": {"table"}}
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 P_SCOPE = set("td th li button table body article section div main aside footer header nav form blockquote dd".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|"
@@ -292,6 +295,19 @@ def main_text(page: Node) -> str:
     return "\n".join(line for node in roots(page) for line in blocks(node, boilerplate))
 
 
+def content(page: Node) -> list[str]:
+    """What tells pages apart: the main text but for its headings, or all of it if there is nothing else."""
+    found = roots(page)
+    return [line for node in found for line in blocks(node, lambda n, inside: n.tag in HEADINGS or boilerplate(n, inside))] \
+        or [line for node in found for line in blocks(node, boilerplate)]
+
+
+def _text(nodes: list[Node]) -> int | None:
+    """Digest of the text of some elements; None for an empty text."""
+    lines = [line for n in nodes for line in blocks(n)]
+    return _digest(lines) if lines else None
+
+
 def _digest(parts: list[str]) -> int:
     return xxhash.xxh3_64_intdigest("\n".join(parts)) - (1 << 63)
 
@@ -314,9 +330,9 @@ def _texts(batches):
         rows = []
         for h, text, shape in zip(*(c.to_pylist() for c in b.columns)):
             page = parse(text or "")
-            whole = _digest([text or ""])
+            own = _digest(content(page))
             for number, nodes in align(wrapper(shape), page).items():
-                rows.append((h, number, _digest([line for n in nodes for line in blocks(n)]), whole))
+                rows.append((h, number, _text(nodes), own))
         if rows:
             yield batch(_TEXTS, *zip(*rows))
 
@@ -328,9 +344,11 @@ def _extract(batches):
             page = parse(text or "")
             if shape and constant:
                 found = align(wrapper(shape), page)
-                for number in constant:
-                    for node in found.get(number, ()):
-                        node.drop = True
+                for c in constant:
+                    nodes = found.get(c["node"], ())
+                    if nodes and _text(nodes) == c["text"]:
+                        for node in nodes:
+                            node.drop = True
             out = main_text(page)
             rows.append((page_id, url, out, len(out)))
         if rows:
@@ -338,7 +356,7 @@ def _extract(batches):
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, skeleton, constant array<int>) of every host of (host, html)."""
+    """(host, skeleton, constant array<struct<node, text>>) of every host of (host, html): the text is a digest."""
     shapes = map_batches(pages.select("host", "html"), _shapes, "host string, skeleton string")
     best = shapes.groupBy("host", "skeleton").count().groupBy("host") \
         .agg(F.max(F.struct("count", "skeleton")).alias("b")).select("host", F.col("b.skeleton").alias("skeleton"))
@@ -346,9 +364,10 @@ def wrappers(pages: DataFrame) -> DataFrame:
     joined = _with_wrapper(pages, best).select("host", "html", "skeleton")
     texts = map_batches(joined, _texts, "host string, node int, text long, page long").distinct()
     same = texts.groupBy("host", "node", "text").count()
-    constant = same.groupBy("host", "node").agg(F.sum("count").alias("n"), F.max("count").alias("top")) \
-        .filter((F.col("n") >= MIN_PAGES) & (F.col("top") >= CONSTANT * F.col("n")))
-    constant = constant.groupBy("host").agg(F.sort_array(F.collect_list("node")).alias("constant"))
+    filled = F.when(F.col("text").isNotNull(), F.struct("count", "text"))        # an empty text is no template
+    constant = same.groupBy("host", "node").agg(F.sum("count").alias("n"), F.max(filled).alias("top")) \
+        .filter((F.col("n") >= MIN_PAGES) & (F.col("top.count") >= CONSTANT * F.col("n")))
+    constant = constant.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("node", "top.text"))).alias("constant"))
     return write_table(best.join(constant, "host", "left"), "wrappers")
 
 
@@ -360,8 +379,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every row's whole html.
 
     Null and empty html: an empty text of 0 characters. Rows with a null or repeated
-    page_id stay; null urls share the empty host. A host of fewer than ``MIN_PAGES``
-    distinct pages has no template nodes, so its pages lose only marked elements.
+    page_id stay; null urls share the empty host. A host with fewer than ``MIN_PAGES``
+    pages of distinct main content has no template nodes, so its pages lose only marked elements.
     Ties between skeletons go to the one last in order. Extra columns are left out.
     """
     src = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),

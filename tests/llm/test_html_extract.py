@@ -100,3 +100,18 @@ def test_query_gives_the_source_text(spark):
     got = queries.QUERIES["op3_html_extract"](spark, sf).collect()
     assert len(got) == spark.read.parquet(f"{sf}/pages.parquet").count()
     assert all(" ".join(r["text"].split("\n")[1:]) in docs for r in got)
+
+
+def test_only_the_template_text_is_dropped(spark):
+    """A filled optional slot, a page whose node reads otherwise, and copies of one article keep their text."""
+    def page(i):
+        return f"<body><div>{'Brand' if i else 'Own words'}</div><table>{'<td>Box 7' if i == 7 else ''}</table><p>Text {i}</p></body>"
+    rows = [(i, f"http://a.example/{i}", page(i)) for i in range(20)]
+    rows += [(50, "http://a.example/x", "<body><div>All of the article</div></body>")]
+    rows += [(100 + i, "http://b.example/", f"<body><title>{i}</title><script>{i}</script><div class='ad'>Buy {i}</div><h1>Part {i}</h1>"
+                                            f"<div>The article</div></body>") for i in range(30)]
+    text = {r["page_id"]: r["text"] for r in H.extract(pages_of(spark, rows)).collect()}
+    for i in range(1, 20):
+        assert text[i] == ("Box 7\n" if i == 7 else "") + f"Text {i}"
+    assert text[0] == "Own words\nText 0" and text[50] == "All of the article"
+    assert all(text[100 + i] == f"Part {i}\nThe article" for i in range(30))
