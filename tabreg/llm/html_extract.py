@@ -9,8 +9,11 @@ text, and not an empty one, on ``CONSTANT`` of them is template, the others are
 slots. A page loses its elements at a template node only where their text is that
 template's. The main text of a page is the text of its slots, of template nodes that
 read otherwise there, and of its nodes that the wrapper lacks, inside the article
-(or main, or body), without the elements that HTML or their class words mark as
-menus, headers, footers, sidebars, notices, adverts, forms or comments.
+(or main, or body), without the elements that HTML or a whole token of their class or
+role marks as menus, headers, footers, sidebars, notices, adverts, forms or comments.
+Marks that also name parts of articles (``LOOSE``) do not count inside an article or
+main, nor at a node where the host's pages each have a text of their own; no mark
+drops an element that holds an article or main, but for lists of comments and teasers.
 
 Three passes over the pages: skeletons (counted with partial sums), node texts
 (hashes, counted), extraction. Wrappers are joined by host: broadcast while at
@@ -35,7 +38,7 @@ from .url_filter import host
 
 CONSTANT = 0.9           # a node is template if so many of the host's distinct pages have the same text there
 MIN_PAGES = 5            # and at least so many distinct pages have the node
-FEW = 50_000             # wrappers that are broadcast (about 1 KB each)
+FEW = 50_000             # wrappers that are broadcast (about 2 KB each)
 DEPTH = 12               # levels of a skeleton; deeper elements belong to their ancestor's text
 CELLS = 250_000          # larger sibling tables are matched in order of labels instead
 
@@ -50,6 +53,8 @@ WORDS = set("ad ads advert adverts advertisement advertising banner breadcrumb b
             "disqus footer menu modal nav navbar navigation newsletter notice notices pager pagination popup promo related replies "
             "reply respond share sharing sidebar social sponsor sponsored subscribe toolbar widget login signup search alert gdpr "
             "complementary contentinfo masthead toc skip".split())
+OTHERS = set("comment comments disqus replies reply respond related".split())      # other articles than the page's own
+LOOSE = set("alert banner login menu modal notice notices popup promo search signup skip subscribe toc widget".split())
 HEADERS = set("header topbar".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "tfoot": {"tr", "td", "th", "tbody"}}
@@ -60,15 +65,17 @@ P_SCOPE = set("td th li button table body article section div main aside footer
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|"
                   r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
+_TOKENS = re.compile(r"(?:^|\s)(?:class|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 _HINT = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 _WORD = re.compile(r"[a-z]+|\d+")
 
 
 class Node:
-    __slots__ = ("tag", "words", "kids", "drop")
+    __slots__ = ("tag", "words", "marks", "kids", "drop", "slot", "holds")
 
-    def __init__(self, tag: str, words: tuple = ()):
-        self.tag, self.words, self.kids, self.drop = tag, words, [], False
+    def __init__(self, tag: str, words: tuple = (), marks: frozenset = frozenset()):
+        self.tag, self.words, self.marks, self.kids = tag, words, marks, []
+        self.drop = self.slot = self.holds = False      # template text; a text of its own on each page; has an article or main
 
     def label(self) -> str:
         return ".".join((self.tag, *self.words))
@@ -80,6 +87,12 @@ def _words(attrs: str) -> tuple:
     return tuple(sorted(w for w in set(_WORD.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", found).lower())) if w.isalpha()))
 
 
+@lru_cache(maxsize=4096)
+def _marks(attrs: str) -> frozenset:
+    """Whole tokens of class and role that are in ``WORDS`` or ``HEADERS``."""
+    return frozenset(t for v in _TOKENS.findall(attrs) for t in html.unescape(v.strip("\"'")).lower().split() if t in WORDS or t in HEADERS)
+
+
 def parse(text: str) -> Node:
     """The element tree of a page: text is kept as it is written, between nodes."""
     root = Node("#root")
@@ -109,8 +122,13 @@ def parse(text: str) -> Node:
             _close(stack, {"p"}, P_SCOPE)
         if name in CLOSES:
             _close(stack, CLOSES[name], SCOPES[name])
-        node = Node(name, _words(attrs) if attrs.strip(" /") else ())
+        node = Node(name, _words(attrs), _marks(attrs)) if attrs.strip(" /") else Node(name)
         stack[-1].kids.append(node)
+        if name in ("article", "main"):
+            for above in reversed(stack):
+                if above.holds:
+                    break
+                above.holds = True
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(text, pos) if not attrs.endswith("/") else None
             pos = end.end() if end else (size if not attrs.endswith("/") else pos)
@@ -243,7 +261,7 @@ def blocks(root: Node, skip=lambda node, inside: False) -> list[str]:
             held.append(kid)
         elif kid.tag == "br":
             held.append(" ")
-        elif kid.tag not in DROPPED and not skip(kid, inside):
+        elif not unread(kid) and not skip(kid, inside):
             inside = inside or kid.tag in ("article", "main")
             block = kid.tag in BLOCKS
             if block:
@@ -254,15 +272,28 @@ def blocks(root: Node, skip=lambda node, inside: False) -> list[str]:
     return out
 
 
+def unread(node: Node) -> bool:
+    """Elements that HTML keeps out of the text; a form around an article or main is layout."""
+    return node.tag in DROPPED and not (node.tag == "form" and node.holds)
+
+
+def bare(node: Node, inside: bool) -> bool:
+    """Template text, or marked beyond doubt."""
+    return node.drop or not node.holds and node.tag not in ("body", "html") and not (
+        node.marks & OTHERS if node.tag in ("article", "main") else node.marks & WORDS) <= LOOSE
+
+
 def boilerplate(node: Node, inside: bool) -> bool:
-    """Marked as no article text. A header with a heading inside an article is the article's own."""
-    if node.drop or WORDS.intersection(node.words) and node.tag not in ("body", "html", "article", "main"):
+    """Template text, or marked as no article text. A header with a heading inside an article is the article's own."""
+    if bare(node, inside) or node.holds and not node.marks.isdisjoint(OTHERS) and node.tag not in ("body", "html", "main"):
         return True
-    if node.tag == "article" and {"comment", "comments", "reply", "related"}.intersection(node.words):
+    if node.holds or node.tag in ("article", "main", "body", "html"):
+        return False
+    if not inside and not node.slot and not node.marks.isdisjoint(LOOSE):
         return True
-    if node.tag == "header" or HEADERS.intersection(node.words):
-        return not (inside and any(isinstance(k, Node) and re.fullmatch("h[1-6]", k.tag) for k in _all(node)))
-    return False
+    if node.tag == "header":
+        return not (inside and any(isinstance(k, Node) and k.tag in HEADINGS for k in _all(node)))
+    return not inside and not node.marks.isdisjoint(HEADERS)
 
 
 def _all(node: Node):
@@ -274,17 +305,17 @@ def _all(node: Node):
                 todo.append(k)
 
 
-def roots(page: Node) -> list[Node]:
+def roots(page: Node, skip=boilerplate) -> list[Node]:
     """Articles outside boilerplate and other articles; else main; else the page."""
     for tag in ("article", "main"):
         found, todo = [], [(page, False)]
         while todo:
             node, inside = todo.pop()
-            if node.tag in DROPPED or boilerplate(node, inside):
+            if unread(node) or skip(node, inside):
                 continue
             if node.tag == tag:
                 found.append(node)
-            else:
+            elif node.holds:
                 todo.extend((k, inside or node.tag == "main") for k in reversed(node.kids) if isinstance(k, Node))
         if found:
             return found
@@ -292,14 +323,18 @@ def roots(page: Node) -> list[Node]:
 
 
 def main_text(page: Node) -> str:
-    return "\n".join(line for node in roots(page) for line in blocks(node, boilerplate))
+    for skip in (boilerplate, bare):              # where the marks leave nothing, they tell nothing
+        lines = [line for node in roots(page, skip) for line in blocks(node, skip)]
+        if lines:
+            break
+    return "\n".join(lines)
 
 
 def content(page: Node) -> list[str]:
     """What tells pages apart: the main text but for its headings, or all of it if there is nothing else."""
     found = roots(page)
-    return [line for node in found for line in blocks(node, lambda n, inside: n.tag in HEADINGS or boilerplate(n, inside))] \
-        or [line for node in found for line in blocks(node, boilerplate)]
+    return [line for node in found for line in blocks(node, lambda n, inside: n.tag in HEADINGS or bare(n, inside))] \
+        or [line for node in found for line in blocks(node, bare)]
 
 
 def _text(nodes: list[Node]) -> int | None:
@@ -340,13 +375,16 @@ def _texts(batches):
 def _extract(batches):
     for b in batches:
         rows = []
-        for page_id, url, text, shape, constant in zip(*(c.to_pylist() for c in b.columns)):
+        for page_id, url, text, shape, known in zip(*(c.to_pylist() for c in b.columns)):
             page = parse(text or "")
-            if shape and constant:
+            if shape and known:
                 found = align(wrapper(shape), page)
-                for c in constant:
+                for c in known:
                     nodes = found.get(c["node"], ())
-                    if nodes and _text(nodes) == c["text"]:
+                    if c["text"] is None:
+                        for node in nodes:
+                            node.slot = True
+                    elif nodes and _text(nodes) == c["text"]:
                         for node in nodes:
                             node.drop = True
             out = main_text(page)
@@ -356,7 +394,10 @@ def _extract(batches):
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, skeleton, constant array<struct<node, text>>) of every host of (host, html): the text is a digest."""
+    """(host, skeleton, nodes array<struct<node, text>>) of every host of (host, html).
+
+    Template nodes with their text's digest; with null, nodes where pages each have a text of their own.
+    """
     shapes = map_batches(pages.select("host", "html"), _shapes, "host string, skeleton string")
     best = shapes.groupBy("host", "skeleton").count().groupBy("host") \
         .agg(F.max(F.struct("count", "skeleton")).alias("b")).select("host", F.col("b.skeleton").alias("skeleton"))
@@ -365,10 +406,13 @@ def wrappers(pages: DataFrame) -> DataFrame:
     texts = map_batches(joined, _texts, "host string, node int, text long, page long").distinct()
     same = texts.groupBy("host", "node", "text").count()
     filled = F.when(F.col("text").isNotNull(), F.struct("count", "text"))        # an empty text is no template
-    constant = same.groupBy("host", "node").agg(F.sum("count").alias("n"), F.max(filled).alias("top")) \
-        .filter((F.col("n") >= MIN_PAGES) & (F.col("top.count") >= CONSTANT * F.col("n")))
-    constant = constant.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("node", "top.text"))).alias("constant"))
-    return write_table(best.join(constant, "host", "left"), "wrappers")
+    nodes = same.groupBy("host", "node").agg(F.sum("count").alias("n"), F.count("text").alias("texts"), F.max(filled).alias("top")) \
+        .filter(F.col("n") >= MIN_PAGES)
+    constant = F.col("top.count") >= CONSTANT * F.col("n")
+    nodes = nodes.filter(constant | (F.col("texts") >= CONSTANT * F.col("n"))) \
+        .select("host", F.struct("node", F.when(constant, F.col("top.text")).alias("text")).alias("one"))
+    nodes = nodes.groupBy("host").agg(F.sort_array(F.collect_list("one")).alias("nodes"))
+    return write_table(best.join(nodes, "host", "left"), "wrappers")
 
 
 def _with_wrapper(pages: DataFrame, table: DataFrame) -> DataFrame:
@@ -387,5 +431,5 @@ def extract(pages: DataFrame) -> DataFrame:
                        F.col("html").cast("string").alias("html"))
     src = src.withColumn("host", host(F.col("url")))
     joined = _with_wrapper(src, wrappers(src))
-    return map_batches(joined.select("page_id", "url", "html", "skeleton", "constant"), _extract,
+    return map_batches(joined.select("page_id", "url", "html", "skeleton", "nodes"), _extract,
                        "page_id long, url string, text string, n_chars long")

@@ -115,3 +115,24 @@ def test_only_the_template_text_is_dropped(spark):
         assert text[i] == ("Box 7\n" if i == 7 else "") + f"Text {i}"
     assert text[0] == "Own words\nText 0" and text[50] == "All of the article"
     assert all(text[100 + i] == f"Part {i}\nThe article" for i in range(30))
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<body><div {mark}><div><article><h1>T</h1><p>x</p></article></div></div><p>y</p></body>", "T\nx") for mark in (
+        'class="has-sidebar"', 'class="content-sidebar-wrap"', 'class="ad-free"', 'class="no-comments"', 'class="widget"', 'id="search"',
+        'class="sidebar"', 'class="header"', 'role="banner"')] + [
+    ('<article><section id="search-methods"><h2 id="comments-on-the-law">C</h2><p class="notice">n</p></section><i class="ad">b</i></article>',
+     "C\nn"), ('<form id="aspnet"><main>m</main></form>', "m"), ('<main>m<div class="ad-free">a</div><div class="lead AD">b</div></main>', "m\na"),
+    ('<article>a</article><div class="related"><article>r</article></div>', "a"), ('<div class="widget">w</div>', "w"),
+    ('<div class="sidebar">s</div>', ""), ('<div class="related"><article>a</article></div>', "a"), ('<p>p</p><div class="widget">w</div>', "p"),
+    ('<p>p</p><section class="comments"><article>c</article></section>', "p")])
+def test_layout_classes(page, text):
+    assert H.main_text(H.parse(page)) == text
+
+
+def test_wrapper_shows_article_slots(spark):
+    """A marked element with a text of its own on each page stays; one with few texts goes."""
+    rows = [(i, f"http://a.example/{i}", f'<body><p>Intro {i}</p><div class="widget">Text {i}</div><div class="promo">Deal {i % 2}</div></body>')
+            for i in range(20)]
+    text = {r["page_id"]: r["text"] for r in H.extract(pages_of(spark, rows)).collect()}
+    assert all(text[i] == f"Intro {i}\nText {i}" for i in range(20))
