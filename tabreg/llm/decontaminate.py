@@ -1,24 +1,18 @@
-"""Benchmark decontamination by CGK embedding and bit-sampling LSH.
-
-Texts are sequences of word hashes (ASCII punctuation and case do not count). The
-CGK embedding walks a sequence: step j copies the current symbol, then moves on
-one symbol if bit j of that symbol's random bits is set. Two windows at a small edit
-distance fall back into step after an edit, so their walks agree at most steps:
-edit distance becomes Hamming distance. A table's key is the symbols of ``K``
-sampled steps; ``WALKS`` independent walks with ``TABLES`` samples each make
-windows at up to ``EDITS`` of their words meet in some table.
-
-Windows of an item's size begin at anchors: words whose pair hash is smallest in
-some run of ``w`` neighbours. The rule looks at the words only, so an item copied
-into a text has the same anchors there, with the same pairs; a text's windows
-begin at its anchors with a pair that some item's window begins with. Length classes (8-15, 16-31, 32 or more
-words from the anchor) sample the part of the walk that such a window covers;
-items give the anchors of their first half, one window each.
-
-The item keys (a block of at most ``BLOCK`` items, about 1 KB each) are broadcast;
-further blocks are further passes. A key hit is verified exactly in the same task:
-the smallest edit distance between the item's words and any passage around the
-hit, at most ``EDITS`` of the item's words. Nothing is shuffled.
+"""Benchmark decontamination by exact pieces of the items, and edit distance.
+
+Texts are sequences of word hashes (ASCII punctuation and case do not count). A
+passage leaks an item if at most k = ``EDITS`` of the item's words are edited. An item
+is cut into k + 1 pieces that do not overlap: k edits touch at most k of them, so one
+piece at least stands in the passage word for word. A text's runs of words that equal
+some piece therefore propose every leak, at every length and up to the full ``EDITS``.
+
+Pieces have 1 to 5 words; their hashes (a block of at most ``BLOCK`` items, about 1 KB
+each) are broadcast; further blocks are further passes. A proposal is verified exactly
+in the same task: the smallest edit distance between the item's words and any passage
+around the piece, at most ``EDITS`` of the item's words. Nothing is shuffled.
+
+The CGK embedding ``walk`` (edit distance becomes Hamming distance) proposed passages
+before; its sampled keys missed some of the edited ones, so the search does without it.
 """
 
 from __future__ import annotations
@@ -32,11 +26,7 @@ from . import text as X
 from .common import batch, keep_rows, map_batches
 
 EDITS = 0.2              # edits allowed, as a share of the item's words
-WALKS, TABLES, K = 4, 4, 4
-RUN = 8                  # anchors: smallest of so many neighbours (fewer for short items)
-CLASSES = (3, 4, 5)      # 2^c words at least from the anchor to the item's end; the last has no upper end
 BLOCK = 20_000           # items in one broadcast
-CHUNK = 1 << 13          # windows embedded at once
 
 U = np.uint64
 _SEP = X.separators(X.NOT_ALNUM)
@@ -44,40 +34,18 @@ _OUT = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("start_word"
                   ("n_words", pa.int64())])
 
 
-def steps(c: int) -> int:
-    """Steps of the walk that a window of 2^c words covers (it moves every other step)."""
-    return max(2, 3 * (1 << c) // 2)
-
-
-def _samples() -> dict:
-    """Sampled steps of each (class, walk, table)."""
-    rng = np.random.RandomState(11)
-    return {(c, r, t): np.sort(rng.choice(steps(c), min(K, steps(c)), replace=False))
-            for c in range(CLASSES[-1] + 1) for r in range(WALKS) for t in range(TABLES)}
-
+def pieces(n: int) -> list[tuple[int, int]]:
+    """(first word, words) of the pieces of an item of n words: one more than its edits."""
+    at = np.linspace(0, n, int(EDITS * n) + 2).astype(int).tolist()
+    return [(a, b - a) for a, b in zip(at, at[1:])]
 
-SAMPLES = _samples()
 
-
-def anchors(h: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions whose pair hash is the smallest of some w neighbours, and those hashes."""
-    n = len(h) - 1
-    if n < w:
-        return np.zeros(0, np.int64), np.zeros(0, U)
-    a = X.mix(h[:-1] * U(0x8CB92BA72F3D8DD7) + h[1:] * U(0xC2B2AE3D27D4EB4F))
-    low, width = a, 1
-    while width < w:                                  # sliding minimum by doubling
-        by = min(width, w - width)
-        low = np.minimum(low[:-by], low[by:])
-        width += by
-    top = np.concatenate([np.zeros(w - 1, U), low, np.zeros(w - 1, U)])
-    width = 1
-    while width < w:                                  # the largest minimum of the runs over a position
-        by = min(width, w - width)
-        top = np.maximum(top[:-by], top[by:])
-        width += by
-    at = np.flatnonzero(top == a)
-    return at, a[at]
+def runs(h: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the runs of n words."""
+    out = np.full(max(len(h) - n + 1, 0), U(n))
+    for i in range(n if len(out) else 0):
+        out += h[i:i + len(out)] * U(X._SHINGLE[i])
+    return X.mix(out)
 
 
 class Lookup:
@@ -108,15 +76,6 @@ def walk(h: np.ndarray, at: np.ndarray, r: int, n: int) -> np.ndarray:
     return out
 
 
-def table_keys(symbols: np.ndarray, c: int, r: int):
-    """One key array for each table of a class."""
-    for t in range(TABLES):
-        key = np.full(symbols.shape[1], U((c << 16 | r << 8 | t) + 1))
-        for j in SAMPLES[c, r, t]:
-            key = (key ^ symbols[j]) * U(0x9FB21C651E98DF25)
-        yield X.mix(key)
-
-
 def edit_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     """(smallest edit distance between ``item`` and any part of ``text``, end of that part)."""
     at = np.arange(len(text) + 1)
@@ -139,53 +98,34 @@ def absent(item: np.ndarray, text: np.ndarray) -> int:
 
 
 class ItemIndex:
-    """Keys of a block of items: sorted keys, and for each its item and anchor."""
+    """Pieces of a block of items by their number of words: sorted hashes, and for each its item and first word."""
 
     def __init__(self, ids: list[int], words: list[np.ndarray]):
         self.ids, self.words = ids, words
-        shortest = min((len(w) for w in words), default=1)
-        self.run = max(1, min(RUN, (shortest - 1) // 2))
-        keys, items, places, begins, single = [], [], [], [], []
-        self.classes: set[int] = set()
+        held: dict = {}
         for i, w in enumerate(words):
-            if len(w) == 1:
-                at = np.zeros(1, np.int64)
-                single.append(w[0])
-            else:
-                at, pair = anchors(w, self.run)
-                first = (len(w) - at) * 2 >= len(w)
-                at = at[first]
-                begins.append(pair[first])
-            for p in at.tolist():
-                c = min(CLASSES[-1], int(len(w) - p).bit_length() - 1)
-                self.classes.add(c)
-                for r in range(WALKS):
-                    s = walk(w, np.array([p]), r, steps(c))
-                    for key in table_keys(s, c, r):
-                        keys.append(key[0])
-                        items.append(i)
-                        places.append(p)
-        keys, items, places = np.array(keys, U), np.array(items, np.int64), np.array(places, np.int64)
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.items, self.places = keys[order], items[order], places[order]
-        self.known, self.begins = Lookup(self.keys), Lookup(np.concatenate(begins) if begins else np.zeros(0, U))
-        self.single = Lookup(np.array(single, U))
-
-    def hits(self, h: np.ndarray) -> set:
-        """(item, start of the item in the text) proposed for a text slice."""
-        found: set = set()
-        at, pair = anchors(h, self.run)
-        at = np.union1d(at[self.begins.find(pair)], self.single.find(h))
-        for lo in range(0, len(at), CHUNK):
-            part = at[lo:lo + CHUNK]
-            for r in range(WALKS):
-                s = walk(h, part, r, steps(max(self.classes)))
-                for c in self.classes:
-                    for key in table_keys(s, c, r):
-                        for k in self.known.find(key):
-                            a, b = np.searchsorted(self.keys, key[k], "left"), np.searchsorted(self.keys, key[k], "right")
-                            found.update((int(self.items[x]), int(part[k] - self.places[x])) for x in range(a, b))
-        return found
+            for at, n in pieces(len(w)):
+                held.setdefault(n, []).append((runs(w[at:at + n], n)[0], i, at))
+        self.pieces = {}
+        for n, rows in held.items():
+            keys, items, places = (np.array(x, t) for x, t in zip(zip(*rows), (U, np.int64, np.int64)))
+            order = np.argsort(keys, kind="stable")
+            self.pieces[n] = Lookup(keys), keys[order], items[order], places[order]
+
+    def hits(self, w: X.Words) -> list:
+        """(start of the item in the slice, item, document) proposed for a text slice, in order."""
+        out = []
+        for n, (known, keys, items, places) in self.pieces.items():
+            h = runs(w.hash, n)
+            at = known.find(h)
+            doc = np.searchsorted(w.first, at, "right") - 1
+            within = at + n <= w.first[doc + 1]
+            at, doc = at[within], doc[within]
+            lo, hi = np.searchsorted(keys, h[at], "left"), np.searchsorted(keys, h[at], "right")
+            own = np.repeat(np.arange(len(at)), hi - lo)
+            x = np.arange(len(own)) - np.repeat(np.cumsum(hi - lo) - hi, hi - lo)
+            out.append(np.stack([at[own] - places[x], items[x], doc[own]]))
+        return np.unique(np.concatenate(out, 1), axis=1).T.tolist() if out else []
 
 
 def _found(col: pa.Array, index: ItemIndex):
@@ -193,25 +133,23 @@ def _found(col: pa.Array, index: ItemIndex):
     for lo, hi, offsets, data in X.slices(col):
         w = X.Words(data, offsets, _SEP)
         best: dict = {}
-        for item, start in sorted(index.hits(w.hash), key=lambda x: (x[1], x[0])):
+        for start, item, d in index.hits(w):
+            if best.get((d, item), (1,))[0] == 0:
+                continue
             words = index.words[item]
             slack = int(EDITS * len(words))
-            # the text that holds the window: starts shift by the edits before it
-            for d in {int(np.searchsorted(w.first, max(start, 0), "right")) - 1,
-                      int(np.searchsorted(w.first, min(start + len(words), len(w.hash)) - 1, "right")) - 1}:
-                if best.get((d, item), (1,))[0] == 0:
-                    continue
-                first, last = int(w.first[d]), int(w.first[d + 1])
-                begin, end = max(start - slack, first), min(start + len(words) + slack, last)
-                if first <= start and start + len(words) <= last and (w.hash[start:start + len(words)] == words).all():
-                    edits, stop = 0, start + len(words)
-                elif absent(words, w.hash[begin:end]) > slack:
-                    continue                     # each word that is nowhere here costs an edit
-                else:
-                    edits, stop = edit_distance(words, w.hash[begin:end])
-                    stop += begin
-                if edits <= slack:
-                    best[d, item] = min(best.get((d, item), (1 << 60, 0)), (edits, max(stop - len(words), first) - first))
+            first, last = int(w.first[d]), int(w.first[d + 1])
+            # starts shift by the edits before the piece
+            begin, end = max(start - slack, first), min(start + len(words) + slack, last)
+            if first <= start and start + len(words) <= last and (w.hash[start:start + len(words)] == words).all():
+                edits, stop = 0, start + len(words)
+            elif absent(words, w.hash[begin:end]) > slack:
+                continue                     # each word that is nowhere here costs an edit
+            else:
+                edits, stop = edit_distance(words, w.hash[begin:end])
+                stop += begin
+            if edits <= slack:
+                best[d, item] = min(best.get((d, item), (1 << 60, 0)), (edits, max(stop - len(words), first) - first))
         yield hi - lo, best
 
 

@@ -96,3 +96,34 @@ def test_query_finds_every_whole_item(spark):
         text = " " + " ".join(words(d["text"])) + " "
         whole |= {(d["doc_id"], i) for i, x in items if x in text}
     assert whole and whole <= got
+
+
+def edited(rng, copy, n, vocab):
+    """n edits: replaced, deleted and inserted words."""
+    copy = list(copy)
+    for at in sorted(rng.choice(len(copy), n, replace=False).tolist(), reverse=True):
+        copy[at:at + 1] = [[f"new{rng.randint(10**6)}"], [], [copy[at], rng.choice(vocab)]][rng.choice(3, p=(0.8, 0.1, 0.1))]
+    return copy
+
+
+def test_recall_by_length_and_edits(spark, docs_of):
+    """Every copy is found at every length up to the full EDITS, alone or inside a text."""
+    rng = np.random.RandomState(5)
+    vocab = vocabulary(rng, 800)
+    items, docs, leaked = {}, [], {}
+    for n in (1, 2, 4, 5, 8, 10, 15, 16, 20, 30, 60, 200):
+        for edits in range(int(D.EDITS * n) + 1) if n < 60 else (int(0.1 * n), int(D.EDITS * n)):
+            for k in range(20):
+                i = len(items)
+                items[i] = [f"i{i}w{j}" if n < 5 else w for j, w in enumerate(rng.choice(vocab, n))]
+                text = edited(rng, items[i], edits, vocab)
+                if k % 4:
+                    text = [*rng.choice(vocab, rng.randint(30)), *text, *rng.choice(vocab, rng.randint(30))]
+                docs.append((i, " ".join(text)))
+                leaked.setdefault((n, edits), set()).add(i)
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["edits"] for r in D.leaks(docs_of(docs), bench).collect()}
+    for (n, edits), ids in leaked.items():
+        assert sum((i, i) in got for i in ids) == len(ids), (n, edits)
+        assert all(got[i, i] == brute(items[i], words(docs[i][1])) <= edits for i in ids)
+    assert all(len(items[i]) >= 5 or i == d for d, i in got)
