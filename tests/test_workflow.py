@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 import __spark_entry__ as E
 from tabreg.plans import housing as H
@@ -57,3 +58,17 @@ def test_entry_loads_by_file_path(spark):
     spec.loader.exec_module(mod)
     assert set(mod.oracle_sql()) <= set(mod.queries())
     assert mod.entry(spark).columns == H.FEATURES + [H.TARGET]
+
+
+def test_registered_training_runs_have_the_reference_epochs(spark, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    def fit(train, models, configs, **_):
+        raise Seen([(c.epochs, c.lr, c.patience) for c in configs])
+    monkeypatch.setattr(W.T, "fit", fit)
+    for name, settings in (("train_mlp_python", [(200, 0.01, 2)]),
+                           ("grid_search", [(200, 0.001, 20), (200, 0.01, 20), (300, 0.0005, 30), (150, 0.005, 15)])):
+        with pytest.raises(Seen) as seen:
+            E.queries()[name](spark, SF)
+        assert seen.value.args[0] == settings
