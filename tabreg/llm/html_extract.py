@@ -27,7 +27,9 @@ import html
 import json
 import re
 from functools import lru_cache
+from math import isqrt
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -39,8 +41,8 @@ from .url_filter import host
 CONSTANT = 0.9           # a node is template if so many of the host's distinct pages have the same text there
 MIN_PAGES = 5            # and at least so many distinct pages have the node
 FEW = 50_000             # wrappers that are broadcast (about 2 KB each)
-DEPTH = 12               # levels of a skeleton; deeper elements belong to their ancestor's text
-CELLS = 250_000          # larger sibling tables are matched in order of labels instead
+DEPTH = 1 << 62          # levels of a skeleton: all
+CELLS = 250_000          # larger sibling tables are made with arrays, and only some rows are kept
 
 # Element and class names.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -162,23 +164,120 @@ def folded(node: Node) -> list[tuple[str, list[Node]]]:
 
 def skeleton(node: Node, depth: int = DEPTH) -> list:
     """Nested [label, children]; a run is described by its first element."""
-    return [[label, skeleton(run[0], depth - 1) if depth > 1 else []] for label, run in folded(node)]
+    out: list = []
+    todo = [(node, out, depth)]
+    while todo:
+        node, kids, left = todo.pop()
+        for label, run in folded(node):
+            kids.append([label, []])
+            if left > 1:
+                todo.append((run[0], kids[-1][1], left - 1))
+    return out
+
+
+def dumps(tree: list) -> str:
+    """A skeleton of any depth as JSON."""
+    out, todo = [], [tree]
+    while todo:
+        x = todo.pop()
+        if isinstance(x, str):
+            out.append(x)
+        else:
+            out.append("[")
+            todo.append("]")
+            for at in range(len(x) - 1, -1, -1):
+                todo.append("]")
+                todo.append(x[at][1])
+                todo.append(("," if at else "") + "[" + json.dumps(x[at][0]) + ",")
+    return "".join(out)
+
+
+_JSON = re.compile(r'"(?:[^"\\]|\\.)*"|[\[\]]')
+
+
+def loads(text: str) -> list:
+    """The nested lists of ``dumps``."""
+    stack: list = [[]]
+    for m in _JSON.finditer(text):
+        t = m.group()
+        if t == "[":
+            stack.append([])
+        elif t == "]":
+            done = stack.pop()
+            stack[-1].append(done)
+        else:
+            stack[-1].append(json.loads(t))
+    return stack[0][0]
+
+
+class Shapes:
+    """Numbers of child lists by skeleton: equal ones share a number, parts have smaller numbers than the whole, none is 0."""
+
+    def __init__(self, base: Shapes | None = None):
+        self.base = base
+        self.own: dict = {} if base else {(): 0}
+        self.first = len(base.own) if base else 0
+        self.list: list = [] if base else [()]
+        self.sizes: list = [] if base else [0]
+
+    def number(self, parts: tuple) -> int:
+        """Of a tuple of (label, number)."""
+        at = self.base.own.get(parts) if self.base else None
+        if at is None:
+            at = self.own.get(parts)
+        if at is None:
+            at = self.own[parts] = self.first + len(self.list)
+            self.list.append(parts)
+            self.sizes.append(sum(1 + self.size(n) for _, n in parts))
+        return at
+
+    def size(self, number: int) -> int:
+        """Nodes of the skeleton."""
+        return self.base.sizes[number] if number < self.first else self.sizes[number - self.first]
+
+    def parts(self, number: int) -> tuple:
+        return self.base.list[number] if number < self.first else self.list[number - self.first]
+
+    def pages(self, node: Node) -> dict[int, int]:
+        """Numbers of the elements below a node and of the node itself, by id()."""
+        out: dict[int, int] = {}
+        order, todo = [], [node]
+        while todo:
+            one = todo.pop()
+            runs = folded(one)
+            order.append((one, runs))
+            for _, run in runs:
+                todo.extend(run)
+        for one, runs in reversed(order):
+            out[id(one)] = self.number(tuple((label, out[id(run[0])]) for label, run in runs))
+        return out
+
+
+class Kids(list):
+    """The top child list of a wrapper."""
+    __slots__ = ("shapes", "shape")
 
 
 class Wrapper:
-    """A skeleton with numbered nodes (preorder)."""
+    """A skeleton with numbered nodes (preorder): kids are (label, number, kids, shape)."""
 
     def __init__(self, text: str):
-        self.size = 0
-        self.kids = self._number(json.loads(text))
-
-    def _number(self, tree):
-        out = []
-        for label, kids in tree:
-            number = self.size
-            self.size += 1
-            out.append((label, number, self._number(kids)))
-        return out
+        self.shapes = Shapes()
+        tree = loads(text)
+        order, todo = [], [("", tree)]
+        while todo:
+            node = todo.pop()
+            order.append(node)
+            todo.extend(reversed(node[1]))
+        self.size = len(order) - 1
+        kids, shape = {}, {}
+        for number in range(self.size, -1, -1):
+            own = order[number][1]
+            kids[id(own)] = [(label, kids[id(k), "at"], kids[id(k)], shape[id(k)]) for label, k in own]
+            kids[id(own), "at"] = number - 1
+            shape[id(own)] = self.shapes.number(tuple((label, shape[id(k)]) for label, k in own))
+        self.kids = Kids(kids[id(tree)])
+        self.kids.shapes, self.kids.shape = self.shapes, shape[id(tree)]
 
 
 @lru_cache(maxsize=256)
@@ -186,63 +285,136 @@ def wrapper(text: str) -> Wrapper:
     return Wrapper(text)
 
 
-def _weight(kids: list, run: Node, depth: int) -> int:
-    return 1 + (sum(w for _, _, w in _match(kids, folded(run), depth - 1)) if depth > 1 and kids else 0)
+class Matching:
+    """Simple tree matching of a wrapper's child lists with a page's, exact at every size and depth.
 
+    Weights depend only on the two shapes, so each pair of shapes is matched once,
+    those with smaller parts first.
+    """
 
-def _match(kids: list, runs: list, depth: int) -> list[tuple[int, int, int]]:
-    """Simple tree matching of two child lists: (i, j, weight) of matched children."""
-    m, n = len(kids), len(runs)
-    if not m or not n:
-        return []
-    if m * n > CELLS:
-        out, j = [], 0
-        for i in range(m):
-            k = next((k for k in range(j, n) if runs[k][0] == kids[i][0]), None)
-            if k is not None:
-                out.append((i, k, 1))
-                j = k + 1
-        return out
-    table = [[0] * (n + 1) for _ in range(m + 1)]
-    weights = {}
-    for i in range(m):
-        row, nxt = table[i], table[i + 1]
-        for j in range(n):
-            best = row[j + 1] if row[j + 1] >= nxt[j] else nxt[j]
-            if kids[i][0] == runs[j][0]:
-                weights[i, j] = w = _weight(kids[i][2], runs[j][1][0], depth)
-                if row[j] + w > best:
-                    best = row[j] + w
-            nxt[j + 1] = best
-    out, i, j = [], m, n
-    while i and j:
-        if table[i][j] == table[i - 1][j]:
-            i -= 1
-        elif table[i][j] == table[i][j - 1]:
-            j -= 1
-        else:
-            i, j = i - 1, j - 1
-            out.append((i, j, weights[i, j]))
-    return out[::-1]
+    def __init__(self, shapes: Shapes):
+        self.shapes, self.weights = Shapes(shapes), {}
+
+    def weight(self, kids: list, shape: int, number: int) -> int:
+        """Nodes matched between a wrapper's child list and a page's."""
+        found, todo = [], [(kids, shape, number)]
+        while todo:
+            kids, shape, number = todo.pop()
+            if not shape or not number or (shape, number) in self.weights:
+                continue
+            self.weights[shape, number] = self.shapes.size(number) if shape == number else 0
+            if shape == number:                   # the only matching of all nodes
+                continue
+            found.append((number, shape, kids))
+            below: dict = {}
+            for label, n in self.shapes.parts(number):
+                below.setdefault(label, set()).add(n)
+            for label, _, under, own in kids:
+                todo.extend((under, own, n) for n in below.get(label, ()))
+        for number, shape, kids in sorted(found, key=lambda f: f[0]):
+            a, b = [(k[0], k[3]) for k in kids], self.shapes.parts(number)
+            for row in self._rows(a, b):
+                pass
+            self.weights[shape, number] = int(row[-1])
+        return self.weights.get((shape, number), 0)
+
+    def _rows(self, a: list, b, row=None, first: int = 0):
+        """Rows of the table of sibling lists: the largest weight of the first i and the first j."""
+        n = len(b)
+        if len(a) * n > CELLS:
+            row = np.zeros(n + 1, np.int64) if row is None else row
+            at: dict = {}
+            for j, (label, _) in enumerate(b):
+                at.setdefault(label, []).append(j)
+            at = {label: (np.array(js), *np.unique([b[j][1] for j in js], return_inverse=True)) for label, js in at.items()}
+            for label, shape in a[first:]:
+                new = row.copy()
+                if label in at:
+                    js, numbers, back = at[label]
+                    w = np.array([1 + self.weights.get((shape, x), 0) for x in numbers.tolist()])[back]
+                    new[js + 1] = np.maximum(new[js + 1], row[js] + w)
+                    np.maximum.accumulate(new, out=new)
+                row = new
+                yield row
+            return
+        row = [0] * (n + 1) if row is None else row
+        for label, shape in a[first:]:
+            new, best = [0], 0
+            for j in range(n):
+                if row[j + 1] > best:
+                    best = row[j + 1]
+                if b[j][0] == label:
+                    w = row[j] + 1 + self.weights.get((shape, b[j][1]), 0)
+                    if w > best:
+                        best = w
+                new.append(best)
+            row = new
+            yield row
+
+    def pairs(self, kids: list, b: tuple, shape: int, number: int) -> list[tuple[int, int, int]]:
+        """(i, j, weight) of matched children."""
+        if shape == number:
+            return [(i, i, 1 + self.shapes.size(k[3])) for i, k in enumerate(kids)]
+        self.weight(kids, shape, number)
+        a = [(k[0], k[3]) for k in kids]
+        m, n = len(a), len(b)
+        if not m or not n:
+            return []
+        step = 1 if m * n <= CELLS else isqrt(m)
+        kept = {0: None}
+        for i, row in enumerate(self._rows(a, b), 1):
+            if i % step == 0:
+                kept[i] = row
+        zero = [0] * (n + 1)
+        rows = kept if step == 1 else {}
+        out, i, j = [], m, n
+        while i and j:
+            if i not in rows or i - 1 not in rows:
+                lo = (i - 1) // step * step       # this part of the table again
+                rows = {lo: kept[lo]}
+                for k, row in enumerate(self._rows(a, b, kept[lo], lo), lo + 1):
+                    rows[k] = row
+                    if k == i:
+                        break
+            row, above = rows[i], zero if rows[i - 1] is None else rows[i - 1]
+            if row[j] == above[j]:
+                i -= 1
+            elif row[j] == row[j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                out.append((i, j, 1 + self.weights.get((a[i][1], b[j][1]), 0)))
+        return out[::-1]
+
+
+def _match(kids: Kids, runs: list, depth: int = DEPTH) -> list[tuple[int, int, int]]:
+    """(i, j, weight) of a wrapper's children and runs of a page's."""
+    matching = Matching(kids.shapes)
+    b = tuple((label, matching.shapes.pages(run[0])[id(run[0])]) for label, run in runs)
+    return matching.pairs(kids, b, kids.shape, matching.shapes.number(b))
 
 
 def align(w: Wrapper, page: Node) -> dict[int, list[Node]]:
     """Elements of a page that stand at each node of the wrapper."""
     found: dict[int, list[Node]] = {}
-    todo = [(w.kids, page, DEPTH)]
+    matching = Matching(w.shapes)
+    number = matching.shapes.pages(page)
+    todo = [(w.kids, w.kids.shape, page)]
     while todo:
-        kids, node, depth = todo.pop()
+        kids, shape, node = todo.pop()
         runs = folded(node)
-        for i, j, _ in _match(kids, runs, depth):
-            _, number, below = kids[i]
-            found.setdefault(number, []).extend(runs[j][1])
-            if depth > 1:
-                todo.extend((below, one, depth - 1) for one in runs[j][1] if below)
+        b = tuple((label, number[id(run[0])]) for label, run in runs)
+        for i, j, _ in matching.pairs(kids, b, shape, number[id(node)]):
+            _, at, below, own = kids[i]
+            found.setdefault(at, []).extend(runs[j][1])
+            todo.extend((below, own, one) for one in runs[j][1] if below)
     return found
 
 
-def blocks(root: Node, skip=lambda node, inside: False) -> list[str]:
-    """Texts of the blocks below a node, decoded and trimmed; empty ones are left out."""
+def blocks(root: Node, skip=lambda node, inside: False, spans: dict | None = None) -> list[str]:
+    """Texts of the blocks below a node, decoded and trimmed; empty ones are left out.
+
+    ``spans`` gets the first and the last line (not included) of each block element, by id()."""
     out: list[str] = []
     held: list[str] = []
 
@@ -257,6 +429,8 @@ def blocks(root: Node, skip=lambda node, inside: False) -> list[str]:
         kid, inside = todo.pop()
         if kid is None:
             flush()
+            if spans is not None:
+                spans[inside[0]] = inside[1], len(out)
         elif isinstance(kid, str):
             held.append(kid)
         elif kid.tag == "br":
@@ -266,7 +440,7 @@ def blocks(root: Node, skip=lambda node, inside: False) -> list[str]:
             block = kid.tag in BLOCKS
             if block:
                 flush()
-                todo.append((None, False))
+                todo.append((None, (id(kid), len(out))))
             todo.extend((k, inside) for k in reversed(kid.kids))
     flush()
     return out
@@ -337,10 +511,17 @@ def content(page: Node) -> list[str]:
         or [line for node in found for line in blocks(node, bare)]
 
 
-def _text(nodes: list[Node]) -> int | None:
-    """Digest of the text of some elements; None for an empty text."""
-    lines = [line for n in nodes for line in blocks(n)]
-    return _digest(lines) if lines else None
+def texts(page: Node, found: dict[int, list[Node]]) -> dict[int, int | None]:
+    """Digest of the text of some elements of a page; None for an empty text."""
+    spans: dict = {}
+    lines = blocks(page, spans=spans)
+    out = {}
+    for number, nodes in found.items():
+        own: list = []
+        for n in nodes:
+            own += blocks(n) if n.tag not in BLOCKS else lines[slice(*spans.get(id(n), (0, 0)))]
+        out[number] = _digest(own) if own else None
+    return out
 
 
 def _digest(parts: list[str]) -> int:
@@ -354,7 +535,7 @@ _OUT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.str
 
 def _shapes(batches):
     for b in batches:
-        rows = [(h, json.dumps(skeleton(parse(t or "")), separators=(",", ":")))
+        rows = [(h, dumps(skeleton(parse(t or ""))))
                 for h, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
         if rows:
             yield batch(_SHAPES, *zip(*rows))
@@ -366,8 +547,7 @@ def _texts(batches):
         for h, text, shape in zip(*(c.to_pylist() for c in b.columns)):
             page = parse(text or "")
             own = _digest(content(page))
-            for number, nodes in align(wrapper(shape), page).items():
-                rows.append((h, number, _text(nodes), own))
+            rows += [(h, number, digest, own) for number, digest in texts(page, align(wrapper(shape), page)).items()]
         if rows:
             yield batch(_TEXTS, *zip(*rows))
 
@@ -379,13 +559,13 @@ def _extract(batches):
             page = parse(text or "")
             if shape and known:
                 found = align(wrapper(shape), page)
-                for c in known:
-                    nodes = found.get(c["node"], ())
-                    if c["text"] is None:
-                        for node in nodes:
+                constant = {c["node"]: c["text"] for c in known if c["node"] in found}
+                digests = texts(page, {number: found[number] for number, digest in constant.items() if digest is not None})
+                for number, digest in constant.items():
+                    for node in found[number]:
+                        if digest is None:
                             node.slot = True
-                    elif nodes and _text(nodes) == c["text"]:
-                        for node in nodes:
+                        elif digests[number] == digest:
                             node.drop = True
             out = main_text(page)
             rows.append((page_id, url, out, len(out)))

@@ -136,3 +136,27 @@ def test_wrapper_shows_article_slots(spark):
             for i in range(20)]
     text = {r["page_id"]: r["text"] for r in H.extract(pages_of(spark, rows)).collect()}
     assert all(text[i] == f"Intro {i}\nText {i}" for i in range(20))
+
+
+def test_large_sibling_lists_are_matched_exactly(monkeypatch):
+    """The tables made with arrays give the same matches as the small ones."""
+    rng = random.Random(9)
+    cases = [[H.parse(as_html(tree(rng, 3))) for _ in range(2)] for _ in range(150)]
+    one = lambda a, b: H._match(H.Wrapper(H.dumps(H.skeleton(a))).kids, H.folded(b), H.DEPTH)
+    small = [one(a, b) for a, b in cases]
+    monkeypatch.setattr(H, "CELLS", 0)
+    assert small == [one(a, b) for a, b in cases]
+
+
+def test_template_in_long_and_deep_pages_is_found(spark):
+    """A sibling that is missing early and occurs late, and elements of any depth, are aligned."""
+    def page(i):
+        early = "" if i % 20 == 1 else "<ul>Menu</ul>"
+        text = "".join(f"<p>Text {i} {k}</p><h2>Head {i} {k}</h2>" for k in range(300))
+        return f"<body>{early}<div>{'<section>' * 20}<b>Slogan</b>{'</section>' * 20}</div>{text}<h6>Terms</h6><ul>Own {i}</ul></body>"
+    rows = [(i, f"http://a.example/{i}", page(i)) for i in range(20)]
+    rows += [(100 + i, "http://b.example/", "<div>" * 1500 + f"<h6>Terms</h6><p>Text {i}</p>" + "</div>" * 1500) for i in range(6)]
+    text = {r["page_id"]: r["text"] for r in H.extract(pages_of(spark, rows)).collect()}
+    for i in range(20):
+        assert text[i] == "\n".join(x for k in range(300) for x in (f"Text {i} {k}", f"Head {i} {k}")) + f"\nOwn {i}"
+    assert all(text[100 + i] == f"Text {i}" for i in range(6))
