@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, embedding_dedup, html_extract, language, licenses, ngram_jaccard, quality, toxicity, url_filter
+from . import bpe, conversation_trie, decontaminate, embedding_dedup, html_extract, language, licenses, line_dedup, ngram_jaccard, quality, toxicity, \
+    url_filter
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -137,3 +138,59 @@ def op3(spark, sf_dir):
 @query("op6_quality")
 def op6(spark, sf_dir):
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+# crc32 of decimal digits, bit by bit; h = crc32(conv_id) % 4
+_CRC = """xor(4294967295, list_reduce(
+    list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda i: ord(substr(conv_id::VARCHAR, i, 1))::BIGINT),
+    lambda acc, b: list_reduce([xor(acc, b), 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda x, z: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)), 4294967295))"""
+TRIE_SQL = rf"""
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i,
+         {{{{'role': coalesce(role, ''), 'text': coalesce(text, '')}}}} AS x
+  FROM {{conversations}} WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 20 AS base, {_CRC} % 4 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (SELECT c.conv_id, 0 AS src, t.i, t.x FROM c JOIN t ON t.conv_id = c.base AND t.i <= c.h
+      UNION ALL SELECT c.conv_id, 1, t.i, t.x FROM c JOIN t ON t.conv_id = c.conv_id AND t.i > c.h),
+s AS (SELECT c.conv_id, coalesce(list(r.x ORDER BY r.src, r.i) FILTER (r.i IS NOT NULL), []) AS seq
+      FROM c LEFT JOIN r ON r.conv_id = c.conv_id GROUP BY 1),
+p AS (SELECT conv_id, len(seq) AS n, d, seq[1:d] AS node FROM s, unnest(range(0, len(seq) + 1)) AS u(d)),
+n AS (SELECT node, d::BIGINT AS depth, min(conv_id) AS conv_id, count(*)::BIGINT AS n_convs,
+             sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256,
+             (count(*) - 1) * CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(node[d].text, '[^ 	-
+]+')) END AS saved
+      FROM p GROUP BY node, d),
+k AS (SELECT node[1:depth - 1] AS node, depth - 1 AS depth, count(*)::BIGINT AS n_children FROM n WHERE depth > 0 GROUP BY 1, 2),
+m AS (SELECT n.*, coalesce(k.n_children, 0)::BIGINT AS n_children FROM n LEFT JOIN k ON k.depth = n.depth AND k.node = n.node),
+b AS (SELECT m.node[1:e] AS node, e AS depth, sum(saved)::BIGINT AS saved_tokens, sum((n_children = 0)::INT)::BIGINT AS n_leaves
+      FROM m, unnest(range(0, m.depth + 1)) AS u(e) GROUP BY 1, 2)
+SELECT m.conv_id, m.depth, u.conv_id AS parent_conv_id, m.n_convs, m.n_children, b.n_leaves, b.saved_tokens, m.ends_sha256
+FROM m JOIN b ON b.depth = m.depth AND b.node = m.node
+LEFT JOIN m u ON u.depth = m.depth - 1 AND u.node = m.node[1:m.depth - 1]"""
+
+
+@query("op12_conversation_trie", TRIE_SQL.format(conversations="conversations"))
+def op12(spark, sf_dir):
+    trie = conversation_trie.build(table(spark, sf_dir, "conversations"))
+    node = conversation_trie.NODE
+    return trie.nodes.join(conversation_trie.end_digests(trie), node, "left") \
+        .select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+                F.coalesce("ends_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("ends_sha256"))
+
+
+_SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+LINES_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM {{docs}}),
+l AS (SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM d),
+k AS (SELECT r, doc_id, line, pos, translate(trim(line, {_SPACES}), '{UPPER}', '{LOWER}') AS key FROM l),
+hot AS (SELECT key FROM (SELECT DISTINCT doc_id, key FROM k WHERE key <> '') GROUP BY key HAVING count(*) >= 10)
+SELECT k.doc_id, count(*)::BIGINT AS n_lines, count(hot.key)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (hot.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN hot ON hot.key = k.key GROUP BY k.r, k.doc_id"""
+
+
+@query("op13_line_dedup", LINES_SQL.format(docs="documents"))
+def op13(spark, sf_dir):
+    out = line_dedup.drop_common_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
