@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, conversation_trie, decontaminate, embedding_dedup, html_extract, language, licenses, line_dedup, ngram_jaccard, quality, toxicity, \
-    url_filter
+from . import bpe, conversation_trie, decontaminate, embedding_dedup, html_extract, language, licenses, line_dedup, ngram_jaccard, periodic, quality, \
+    toxicity, url_filter
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -140,6 +140,21 @@ def op6(spark, sf_dir):
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op11_periodic_runs")
+def op11(spark, sf_dir):
+    out = periodic.periodic_runs(table(spark, sf_dir, "documents"), periodic.planted_order)
+    # runs come by start, then period, so the first of equal exponents stays
+    best = F.reduce(F.slice("runs", 2, F.greatest(F.size("runs") - 1, F.lit(0))), F.get("runs", F.lit(0)),
+                    lambda a, r: F.when(r["length"] * a["period"] > a["length"] * r["period"], r).otherwise(a))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n")))
+    sha = lambda c: F.sha2(c.cast("binary"), 256)
+    out = out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("b"),
+                     sha(F.array_join(lines, "")).alias("runs_sha256"), sha(F.col("collapsed")).alias("collapsed_sha256"))
+    return out.select("doc_id", "n_runs", "b.start", "b.length", "b.period",
+                      F.expr("(1000 * b.length) div b.period").alias("exponent_milli"),
+                      "runs_sha256", "collapsed_sha256")
+
+
 # crc32 of decimal digits, bit by bit; h = crc32(conv_id) % 4
 _CRC = """xor(4294967295, list_reduce(
     list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda i: ord(substr(conv_id::VARCHAR, i, 1))::BIGINT),
