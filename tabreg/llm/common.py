@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 
 from ..session import shared_path, ship_package
 
-BATCH_ROWS = 1000      # rows of whole texts in one Arrow batch: bounds a worker's memory
+BATCH_BYTES = 8 << 20      # of one Arrow batch sent to a worker, or one row if that is longer
 
 
 def prepare(spark: SparkSession) -> None:
-    """Workers can import this package; batches of whole texts stay small."""
+    """Workers can import this package; Arrow batches are bounded by bytes, so that
+    whole texts of any length, or pairs of sets, keep a worker's memory flat."""
     ship_package(spark)
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key, "10000")) > BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key, "0").rstrip("b") or 0) != BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
 
 
 def write_table(df: DataFrame, name: str) -> DataFrame:

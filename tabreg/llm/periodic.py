@@ -250,7 +250,7 @@ def _detect(batches: Iterator[pa.RecordBatch], rewrite):
     for b in batches:
         ids = b.column(0).to_pylist()
         for lo, hi, offsets, data in X.slices(b.column(1)):
-            w = X.Words(data, offsets, _SEP)
+            w = X.Words(data, offsets, _SEP, fold=False)
             raw, out = data.tobytes(), []
             for i in range(hi - lo):
                 h = w.hash[w.first[i]:w.first[i + 1]]

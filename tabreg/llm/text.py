@@ -61,12 +61,13 @@ def separators(codes) -> np.ndarray:
 
 class Words:
     """Words of one slice: ``hash`` per word, ``first[d]:first[d+1]`` are the
-    words of document d, ``begin``/``end`` their byte offsets in ``data``."""
+    words of document d, ``begin``/``end`` their byte offsets in ``data``. A-Z count
+    as a-z where ``fold``."""
 
     __slots__ = ("data", "begin", "end", "hash", "first", "offsets", "_run")
 
-    def __init__(self, data, offsets, sep: np.ndarray):
-        low = _LOWER[data]
+    def __init__(self, data, offsets, sep: np.ndarray, fold: bool = True):
+        low = _LOWER[data] if fold else data
         n = len(low)
         self.data, self.offsets = data, offsets
         word = ~sep[low]
