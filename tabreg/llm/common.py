@@ -18,7 +18,7 @@ def prepare(spark: SparkSession) -> None:
     whole texts of any length, or pairs of sets, keep a worker's memory flat."""
     ship_package(spark)
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(spark.conf.get(key, "0").rstrip("b") or 0) != BATCH_BYTES:
+    if spark.conf.get(key) != str(BATCH_BYTES):
         spark.conf.set(key, str(BATCH_BYTES))
 
 
