@@ -11,9 +11,9 @@ all its lines in every document; the other lines stay, joined by line feeds.
    spread over all tasks.
 2. Lines are exploded with their places and joined with the dropped hashes; only
    the hits go on, as one array of places for each text.
-3. Documents are joined with their places and reassembled. Where the places are few
-   (``FEW_TEXTS`` and ``FEW_PLACES``, counted) they are broadcast and no text is
-   shuffled.
+3. Documents are joined with their places, by a shuffle of each text once at every
+   size, and reassembled. Copies of one document share a key; adaptive execution
+   splits such a hot key of the join.
 """
 
 from __future__ import annotations
@@ -27,8 +27,6 @@ SPACES = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 FEW_KEYS = 500_000        # dropped hashes broadcast: 16 bytes each
-FEW_TEXTS = 100_000       # texts with dropped lines, and their places, broadcast
-FEW_PLACES = 1_000_000
 
 
 def _lines(text: Column) -> Column:
@@ -70,8 +68,6 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -
     hits = lines.select("doc_id", "t1", "t2", "at", *_hashes("key")).join(gone, ["h1", "h2"], "left_semi")
     hits = write_table(hits.groupBy("doc_id", "t1", "t2").agg(F.collect_set("at").alias("places")), "places")
     h = hits.select(F.col("doc_id").alias("_d"), F.col("t1").alias("_t1"), F.col("t2").alias("_t2"), "places")
-    if few_rows(hits, FEW_TEXTS) and (hits.agg(F.sum(F.size("places"))).first()[0] or 0) <= FEW_PLACES:
-        h = F.broadcast(h)
     out = docs.join(h, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("t1") == F.col("_t1")) & (F.col("t2") == F.col("_t2")), "left")
     n = F.size(_lines(F.col("text")))
     stay = F.array_except(F.sequence(F.lit(0), n - 1), "places")
