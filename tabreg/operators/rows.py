@@ -8,8 +8,10 @@ unpartitioned window (``Exchange SinglePartition``) over data-sized input.
 
 from __future__ import annotations
 
+import hashlib
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -264,6 +266,95 @@ def epoch_shuffle(df: DataFrame, key, seed: int, epoch: int, batch_size: int, *,
     return out.drop("_h")
 
 
+# A keyed permutation of 0 .. n-1: a Feistel network over the smallest power of two
+# that holds n, applied again while the result is n or more (cycle walking). The
+# halves have b // 2 and b - b // 2 bits and change sides in each round.
+ROUNDS = 6
+MAX_BITS = 54              # the round function gives 27 bits
+WALKS = 96                 # fewer than half of all values walk on at each step
+
+
+def shuffle_keys(seed: int, *more) -> list[int]:
+    """The round keys of a permutation: 30 bits each, from md5 of the arguments."""
+    tag = "-".join(map(str, (seed, *more)))
+    return [int(hashlib.md5(f"{tag}-{i}".encode()).hexdigest()[:8], 16) >> 2 for i in range(ROUNDS)]
+
+
+def _halves(n: int) -> tuple[int, int]:
+    bits = max(2, (max(n, 1) - 1).bit_length())
+    if bits > MAX_BITS:
+        raise ValueError(f"at most 2^{MAX_BITS} rows can be permuted")
+    return bits // 2, bits - bits // 2
+
+
+def _round(v, left: int, right: int, key: int, shl, shr, xor, mask):
+    low = mask(v, (1 << right) - 1)
+    t = (xor(low, key) * 1103515245 + 12345) % 2147483648
+    t = (xor(t, shr(t, 15)) * 48271 + key) % 2147483647
+    return shl(low, left) + xor(shr(v, right), mask(shr(t, 4), (1 << left) - 1))
+
+
+def _step(left: int, right: int, key: int, ops):
+    return lambda v: _round(v, left, right, key, *ops)
+
+
+def permuted(pos, n: int, keys: list[int]) -> Column:
+    """Where a keyed permutation of 0 .. n-1 puts position ``pos`` (long); null stays
+    null. No shuffle, no sort: each row computes its own place."""
+    left, right = _halves(n)
+    ops = (F.shiftleft, F.shiftright, lambda a, b: a.bitwiseXOR(b if isinstance(b, Column) else F.lit(b).cast("long")),
+           lambda a, m: a.bitwiseAND(F.lit(m).cast("long")))
+
+    def encrypt(x: Column) -> Column:
+        a, b = left, right
+        for key in keys:
+            # a one-element array binds the round's input once
+            x = F.transform(F.array(x), _step(a, b, key, ops))[0]
+            a, b = b, a
+        return x
+
+    x = F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), encrypt(_c(pos).cast("long")),
+                    lambda v, _: F.when(v >= n, encrypt(v)).otherwise(v))
+    return F.when(x >= n, F.raise_error(F.lit("a permutation's walk did not end")).cast("long")).otherwise(x)
+
+
+def permute_np(pos: np.ndarray, n: int, keys: list[int]) -> np.ndarray:
+    """``permuted`` for an array of positions, inside a task."""
+    left, right = _halves(n)
+    ops = (lambda a, k: a << k, lambda a, k: a >> k, lambda a, b: a ^ b, lambda a, m: a & m)
+
+    def encrypt(x):
+        a, b = left, right
+        for key in keys:
+            x = _round(x, a, b, key, *ops)
+            a, b = b, a
+        return x
+
+    x = encrypt(np.asarray(pos, np.int64))
+    while len(far := np.flatnonzero(x >= n)):
+        x[far] = encrypt(x[far])
+    return x
+
+
+def permuted_batch(pos, n: int, batch_size: int, seed: int, epoch: int) -> Column:
+    """The mini-batch of a row in an epoch whose order is a fresh keyed permutation:
+    every batch has exactly ``batch_size`` rows, the last one the rest."""
+    return F.floor(permuted(pos, n, shuffle_keys(seed, "epoch", epoch)) / F.lit(batch_size)).cast("int")
+
+
+def permuted_split(df: DataFrame, pos: str, n: int, val_frac: float, seed: int, *, name: str = "split",
+                   rank: str = "rank") -> DataFrame:
+    """A seeded random split of rows with positions 0 .. n-1, without a shuffle: the
+    first ``max(1, floor(n * v))`` places of a keyed permutation are 'val'. ``rank`` is
+    the place within the row's own part, from 0 and without gaps."""
+    if not 0.0 < val_frac < 0.5:
+        raise ValueError("val_frac must be in (0, 0.5)")
+    k = max(1, int(n * val_frac))
+    out = df.withColumn(rank, permuted(pos, n, shuffle_keys(seed, "split")))
+    return out.withColumn(name, F.when(F.col(rank) < k, "val").otherwise("train")) \
+        .withColumn(rank, F.when(F.col(rank) < k, F.col(rank)).otherwise(F.col(rank) - k))
+
+
 def preview(df: DataFrame, order_by, k: int = 5) -> DataFrame:
     """First ``k`` rows in key order: a top-k (TakeOrdered), not a sort."""
     return df.orderBy(_c(order_by)).limit(k)

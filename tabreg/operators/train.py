@@ -1,23 +1,26 @@
 """Data-parallel mini-batch training of one or several MLPs.
 
-Steps are sequential by nature (each uses the previous step's weights), so
-each mini-batch is one Spark job over the cached, batch-labelled training
-table: broadcast parameters -> per-partition gradient partial sums ->
-keyed sum -> driver update. The driver holds only parameters, optimizer state
-and per-epoch scalars. Several configurations (a grid) share every job: one
-scan per step serves all of them.
+Steps are sequential by nature (each uses the previous step's weights), so each
+mini-batch is one Spark job: broadcast parameters -> gradient sums of each partition
+-> sum -> driver update. The driver holds only parameters, optimizer state and
+per-epoch scalars. Where every task's rows fit in one block (``BLOCK_ROWS``), the rows
+are packed once into persisted NumPy blocks and a step is a job without a plan or a
+scan; beyond that it is a query over the table. Both paths run the same loop
+(``_loop``). Several configurations (a grid) share every step. (One barrier job with
+an ``allGather`` for each step was tried: Spark answers a barrier once a second.)
 
 Batch order: ``shuffle=False`` keeps position order (the Rust binary);
-``shuffle=True`` draws a fresh seeded permutation per epoch (md5 of
-seed-epoch-key) and cuts it into exact batches by rank selection, so a step
-is a range predicate on the cached table, not a shuffle.
+``shuffle=True`` draws a fresh keyed permutation per epoch (``rows.permuted``): a row
+computes its own batch, so nothing is sorted, ranked or shuffled.
 """
 
 from __future__ import annotations
 
 import logging
 import math
+import pickle
 import time
+import uuid
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,9 +34,13 @@ from ..session import shared_path, ship_package
 from .. import constants as C
 from .matrix import _batch_matrix
 from .metrics import band_expr, grade_expr, metric_exprs
-from .model import MLP, collect_gradients, forward_np, gradient_job, loss_function, per_model
-from .rows import epoch_shuffle, hash_ranks, md5_order, row_index
+from .model import DRIVER_SUM_PARTITIONS, MLP, collect_gradients, forward_np, grad_np, gradient_job, loss_function, per_model
+from .rows import permute_np, permuted_batch, row_index, shuffle_keys
 
+# Rows of one packed block: a step sends a block to its worker (72 bytes a row for
+# eight features). Fewer rows than the minimum do not pay for another task.
+BLOCK_ROWS = 500_000
+BLOCK_ROWS_MIN = 10_000
 
 LOG = logging.getLogger("tabreg.train")
 
@@ -65,8 +72,6 @@ class TrainConfig:
             raise ValueError(f"optimizer {self.optimizer!r} is not known: sgd or adam")
 
 
-
-
 # ------------------------------------------------------ driver-side state
 
 class Optimizer:
@@ -147,6 +152,7 @@ class _Run:
     wait: int = 0
     active: bool = True
     result: TrainResult | None = None
+    index: int = 0
 
 
 # ------------------------------------------------------------- the loop
@@ -172,32 +178,12 @@ def prepare_table(df: DataFrame, features, target: str, *, key: str | None = Non
     return df.select(*cols)
 
 
-def _epoch_bounds(train: DataFrame, seed: int, epoch: int, n: int, bs: int):
-    """md5 thresholds that cut this epoch's permutation into exact batches."""
-    nb = math.ceil(n / bs)
-    if nb <= 1:
-        return []
-    ranks = [b * bs - 1 for b in range(1, nb)]
-    return hash_ranks(train, md5_order("key", seed, epoch), ranks, n)
-
-
-def _batch_filter(bounds, k: int, seed: int, epoch: int):
-    h = md5_order("key", seed, epoch)
-    cond = None
-    if k > 0:
-        cond = h > F.lit(bounds[k - 1])
-    if k < len(bounds):
-        c2 = h <= F.lit(bounds[k])
-        cond = c2 if cond is None else cond & c2
-    return cond
-
-
 def _epoch_table(train: DataFrame, seed: int, epoch: int, n: int, bs: int) -> DataFrame:
     """This epoch's permutation, written once with a directory for each
-    mini-batch, so a step reads its own files and no others. Positions come from
-    ``row_index``; nothing about ranks or batches reaches the driver."""
+    mini-batch, so a step reads its own files and no others. Rows compute their
+    batch where they stand: no shuffle."""
     path = shared_path(train.sparkSession, f"epoch-{epoch}")
-    table = epoch_shuffle(train, "key", seed, epoch, bs, n=n, name="batch_no")
+    table = train.withColumn("batch_no", permuted_batch("key", n, bs, seed, epoch))
     table.write.partitionBy("batch_no").parquet(path)
     return train.sparkSession.read.schema(table.schema).parquet(path)
 
@@ -246,17 +232,224 @@ def loss_job(df: DataFrame, models: list, batch_col: str | None = "vbatch", loss
     return [mean.get(c, float("nan")) for c in range(len(models))]
 
 
+def _loop(runs: list, nb: int, gradients, val_losses) -> None:
+    """Epochs x batches for all runs. ``gradients(epoch, k, live)`` gives, for each live
+    run, (mean gradient, mean loss, rows) of batch k; ``val_losses(live)`` the
+    validation losses, or None without validation rows."""
+    batch_no = [0] * len(runs)
+    for epoch in range(1, max(r.cfg.epochs for r in runs) + 1):
+        live = [r for r in runs if r.active and epoch <= r.cfg.epochs]
+        if not live:
+            break
+        sums = [0.0] * len(live)
+        for k in range(nb):
+            for j, (r, (g, loss, cnt)) in enumerate(zip(live, gradients(epoch, k, live))):
+                if cnt == 0:
+                    continue
+                batch_no[r.index] += 1
+                r.result.batch_losses.append({"epoch": epoch, "batch": batch_no[r.index], "batch_loss": loss})
+                sums[j] += loss
+                r.w = r.opt.step(r.w, g, r.lr)
+        for r, s, v in zip(live, sums, val_losses(live) or [None] * len(live)):
+            r.result.history.append({"epoch": epoch, "loss": s / nb, "val_loss": v, "learning_rate": r.lr})
+            LOG.info("%s epoch %d loss %.6f val %s lr %g", r.cfg.name, epoch, s / nb, v, r.lr)
+            if r.plateau is not None and v is not None:
+                r.lr = r.plateau.step(v)
+            if v is not None and r.cfg.patience is not None:
+                if v + r.cfg.min_delta < r.best_val:
+                    r.best_val, r.best_w, r.best_epoch, r.wait = v, r.w.copy(), epoch, 0
+                else:
+                    r.wait += 1
+                    if r.wait >= r.cfg.patience:
+                        r.active = False
+                        r.result.stop_epoch = epoch
+
+
+def _job_loop(train, val, models, runs, n, bs, nb, batch_col, cache, batch_filter) -> None:
+    """Each step is a Spark job over the persisted table, or over the files of its batch."""
+    c0 = runs[0].cfg
+    if cache:
+        train = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
+        val = spread(val).persist(StorageLevel.MEMORY_AND_DISK) if val is not None else None
+    n_parts = train.rdd.getNumPartitions() if cache else None   # fixed for every step job
+    laid_out = {}
+
+    def rows(epoch, k):
+        if not c0.shuffle:
+            return train.where(batch_filter(k) if batch_filter is not None else F.col(batch_col) == k)
+        if cache:
+            return train.where(permuted_batch("key", n, bs, c0.seed, epoch) == k)
+        if epoch not in laid_out:
+            laid_out.clear()
+            laid_out[epoch] = _epoch_table(train, c0.seed, epoch, n, bs)
+        return laid_out[epoch].where(F.col("batch_no") == k)
+
+    def current(live):
+        return [models[r.index].with_flat(r.w) for r in live]
+
+    def gradients(epoch, k, live):
+        cur = current(live)
+        return collect_gradients(gradient_job(rows(epoch, k), cur, tie=[r.cfg.tie for r in live],
+                                              loss=[r.cfg.loss for r in live]), cur, n_parts)
+
+    def val_losses(live):
+        return None if val is None else loss_job(val, current(live), loss=[r.cfg.loss for r in live])
+
+    try:
+        _loop(runs, nb, gradients, val_losses)
+    finally:
+        if cache:
+            train.unpersist()
+            if val is not None:
+                val.unpersist()
+
+
+def _pack(batches):
+    """All rows of a task as one pickled block of arrays: x, y and place of the
+    training rows, x, y and batch of the validation rows."""
+    xs, cols = [], ([], [], [])
+    for b in batches:
+        if b.num_rows:
+            xs.append(_batch_matrix(b, None, "x"))
+            for out, c, null in zip(cols, range(1, 4), (0.0, -1, -1)):
+                out.append(b.column(c).fill_null(null).to_numpy(zero_copy_only=False))
+    if not xs:
+        return
+    X, (y, place, vb) = np.concatenate(xs), (np.concatenate(c) for c in cols)
+    y, v = y.astype(np.float64), vb >= 0
+    block = (X[~v], y[~v].reshape(-1, 1), place[~v].astype(np.int64), X[v], y[v], vb[v].astype(np.int64))
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(block)], pa.binary())], names=["block"])
+
+
+_ORDER: dict = {}      # in a worker: (run, task) -> (epoch, row order by batch, where batches begin)
+
+
+def _order(run: str, task: int, epoch: int, place: np.ndarray, shuffle: bool, seed: int, n: int, bs: int, nb: int):
+    """A block's rows by batch in one epoch; kept while steps of that epoch follow."""
+    epoch = epoch if shuffle else 0
+    held = _ORDER.get((run, task))
+    if held is None or held[0] != epoch:
+        for key in [k for k in _ORDER if k[0] != run]:
+            del _ORDER[key]
+        b = permute_np(place, n, shuffle_keys(seed, "epoch", epoch)) // bs if shuffle else place
+        order = np.argsort(b, kind="stable")
+        held = _ORDER[run, task] = epoch, order, np.searchsorted(b[order], np.arange(nb + 1))
+    return held[1:]
+
+
+def _block_loop(train, val, models, runs, n, bs, nb, batch_col, tasks) -> None:
+    """Each step is a small job over packed blocks: no plan, no scan. The validation
+    losses of an epoch come with the first gradients of the next, which need the
+    same weights and nothing that the losses decide."""
+    spark = train.sparkSession
+    sc = spark.sparkContext
+    ship_package(spark)
+    shuffle, seed, has_val = runs[0].cfg.shuffle, runs[0].cfg.seed, val is not None
+    src = train.select("x", F.col("y").cast("double").alias("y"),
+                       F.col("key" if shuffle else batch_col).cast("long").alias("_p"), F.lit(-1).cast("long").alias("_v"))
+    if has_val:
+        src = src.unionByName(val.select("x", F.col("y").cast("double").alias("y"), F.lit(-1).cast("long").alias("_p"),
+                                         F.col("vbatch").cast("long").alias("_v")))
+    blocks = src.repartition(tasks).mapInArrow(_pack, "block binary").rdd.map(lambda r: bytes(r[0])) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    nv = 1 + ((val.agg(F.max("vbatch")).first()[0] if has_val else None) or 0)
+    run = uuid.uuid4().hex
+    nets = [(m.sizes, m.activation) for m in models]
+    losses, ties = [loss_function(r.cfg.loss) for r in runs], [r.cfg.tie for r in runs]
+    size = [len(r.w) for r in runs]
+    ready: dict = {}       # gradients computed along with the last validation
+
+    def ask(live, epoch, k, validate):
+        """Sums over all blocks: for each live run its gradient, loss and row count of
+        batch k (if there is one), then, for each, the validation loss of every batch."""
+        bc = sc.broadcast([(r.index, r.w) for r in live])
+
+        def part(task, it):
+            from pyspark import TaskContext
+            for raw in it:
+                X, y, place, Xv, yv, vb = pickle.loads(raw)
+                out = []
+                order, cut = _order(run, TaskContext.get().partitionId(), epoch, place, shuffle, seed, n, bs, nb)
+                at = order[cut[k]:cut[k + 1]]
+                bx, by = X[at], y[at]
+                for i, w in bc.value:
+                    net = _net(nets[i], w)
+                    g, lo = grad_np(net.params, net.activation, bx, by, ties[i], losses[i]) if len(at) else (np.zeros(len(w)), 0.0)
+                    out.append(np.concatenate([g, [lo, float(len(at))]]))
+                    if validate:
+                        e = losses[i](forward_np(net.params, net.activation, Xv)[:, 0] - yv, 0.0)[0]
+                        out.append(np.bincount(vb, weights=e, minlength=nv))
+                if validate:
+                    out.append(np.bincount(vb, minlength=nv).astype(np.float64))
+                yield np.concatenate(out)
+
+        sums = blocks.mapPartitionsWithIndex(part)
+        if tasks > DRIVER_SUM_PARTITIONS:
+            total = sums.treeReduce(np.add)
+        else:
+            total = sum(sums.collect())
+        bc.unpersist()
+        grads, vals, at = {}, [], 0
+        counts = total[-nv:]
+        for r in live:
+            g, (lo, cnt) = total[at:at + size[r.index]], total[at + size[r.index]:at + size[r.index] + 2]
+            grads[r.index] = (g / cnt, float(lo / cnt), int(cnt)) if cnt else (np.zeros(len(g)), math.nan, 0)
+            at += size[r.index] + 2
+            if validate:
+                v = total[at:at + nv]
+                at += nv
+                vals.append(float((v[counts > 0] / counts[counts > 0]).mean()) if (counts > 0).any() else math.nan)
+        return grads, vals
+
+    def gradients(epoch, k, live):
+        now["epoch"] = epoch
+        got = ready.pop((epoch, k), None) or ask(live, epoch, k, False)[0]
+        return [got[r.index] for r in live]
+
+    def val_losses(live):
+        if not has_val:
+            return None
+        ahead = now["epoch"] + 1
+        ready[ahead, 0], vals = ask(live, ahead, 0, True)
+        return vals
+
+    now: dict = {}
+    try:
+        _loop(runs, nb, gradients, val_losses)
+    finally:
+        blocks.unpersist()
+
+
+def _net(shape, w: np.ndarray) -> MLP:
+    sizes, act = shape
+    zero = [(np.zeros((i, o)), np.zeros(o)) for i, o in zip(sizes, sizes[1:])]
+    return MLP(list(sizes), act, zero).with_flat(w)
+
+
+def _new_run(i: int, c: TrainConfig, w: np.ndarray, has_val: bool, model) -> _Run:
+    plateau = Plateau(c.lr, c.plateau_factor, c.plateau_patience, c.plateau_threshold) if c.plateau and has_val else None
+    return _Run(c, w, Optimizer(c, len(w)), plateau, c.lr, best_w=w.copy(), result=TrainResult(c, model), index=i)
+
+
+def block_tasks(df: DataFrame, n: int) -> int:
+    """Blocks of a run over n rows, or 0 where a block would have more than ``BLOCK_ROWS`` rows."""
+    most = max(1, df.sparkSession.sparkContext.defaultParallelism)
+    tasks = max(1, min(most, -(-n // BLOCK_ROWS_MIN)))
+    return tasks if n <= tasks * BLOCK_ROWS else 0
+
+
 def fit(train: DataFrame, models: list, configs: list, *, val: DataFrame | None = None,
         n_train: int | None = None, batch_col: str = "batch", cache: bool = True,
-        batch_filter=None) -> list:
+        batch_filter=None, mode: str = "auto") -> list:
     """Train ``models[i]`` with ``configs[i]`` on one shared batch schedule.
 
-    ``train`` has ``x``, ``y`` and either ``key`` (shuffled batches) or
-    ``batch_col`` (fixed batches); it is persisted here and unpersisted at the
-    end. ``val`` (``x``, ``y``, ``vbatch``) enables validation loss, plateau
-    schedule and early stopping. ``cache=False`` (tables too large for memory)
-    keeps nothing: shuffled batches are then read from a table that each epoch
-    writes with a directory for each batch.
+    ``train`` has ``x``, ``y`` and either ``key`` (shuffled batches; a position from 0
+    without gaps, else rows are ranked by it once) or ``batch_col`` (fixed batches).
+    ``val`` (``x``, ``y``, ``vbatch``) enables validation loss, plateau schedule and
+    early stopping. ``mode``: 'blocks' steps over packed blocks in memory, 'jobs' over
+    the table, 'auto' the first where ``block_tasks`` allows it. ``cache=False`` (tables
+    too large for memory) keeps nothing: shuffled batches are then read from a table
+    that each epoch writes with a directory for each batch.
     """
     if not configs:
         return []
@@ -264,90 +457,35 @@ def fit(train: DataFrame, models: list, configs: list, *, val: DataFrame | None
     for c in configs[1:]:
         if (c.batch_size, c.shuffle, c.seed) != (c0.batch_size, c0.shuffle, c0.seed):
             raise ValueError("configs in one fit must share batch_size, shuffle and seed")
+    if mode not in ("auto", "blocks", "jobs"):
+        raise ValueError(f"mode {mode!r} is not known: auto, blocks or jobs")
+    for c in configs:
+        loss_function(c.loss)
     t0 = time.time()
-    if cache:
-        train = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
-    if val is not None and cache:
-        val = spread(val).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    if c0.shuffle:
+        n, lo, hi = train.agg(F.count("*"), F.min("key"), F.max("key")).first()
+        if n and (lo, hi) != (0, n - 1):
+            train = row_index(train, "key", "_rank").drop("key").withColumnRenamed("_rank", "key")
+    else:
         n = train.count() if n_train is None else n_train
-        n_parts = train.rdd.getNumPartitions() if cache else None   # fixed for every step job
-        bs = c0.batch_size or max(1, math.ceil(n / 10))
-        nb = max(1, math.ceil(n / bs))
-        runs = []
-        for m, c in zip(models, configs):
-            w = m.flat()
-            runs.append(_Run(c, w, Optimizer(c, len(w)),
-                             Plateau(c.lr, c.plateau_factor, c.plateau_patience, c.plateau_threshold)
-                             if (c.plateau and val is not None) else None,
-                             c.lr, best_w=w.copy(),
-                             result=TrainResult(c, m)))
-        template = models
-        max_epochs = max(c.epochs for c in configs)
-        batch_no = {id(r): 0 for r in runs}
-        for epoch in range(1, max_epochs + 1):
-            live = [r for r in runs if r.active and epoch <= r.cfg.epochs]
-            if not live:
-                break
-            bounds = _epoch_bounds(train, c0.seed, epoch, n, bs) if c0.shuffle and cache else None
-            laid_out = _epoch_table(train, c0.seed, epoch, n, bs) if c0.shuffle and not cache else None
-            sums = {id(r): 0.0 for r in live}
-            for k in range(nb):
-                if laid_out is not None:
-                    part = laid_out.where(F.col("batch_no") == k)
-                elif c0.shuffle:
-                    part = train.where(_batch_filter(bounds, k, c0.seed, epoch))
-                elif batch_filter is not None:
-                    part = train.where(batch_filter(k))
-                else:
-                    part = train.where(F.col(batch_col) == k)
-                cur = [template[runs.index(r)].with_flat(r.w) for r in live]
-                grads = collect_gradients(gradient_job(part, cur, tie=[r.cfg.tie for r in live],
-                                                       loss=[r.cfg.loss for r in live]), cur, n_parts)
-                for r, (g, loss, cnt) in zip(live, grads):
-                    if cnt == 0:
-                        continue
-                    batch_no[id(r)] += 1
-                    r.result.batch_losses.append({"epoch": epoch, "batch": batch_no[id(r)],
-                                                  "batch_loss": loss})
-                    sums[id(r)] += loss
-                    r.w = r.opt.step(r.w, g, r.lr)
-            vals = [None] * len(live)
-            if val is not None:
-                vals = loss_job(val, [template[runs.index(r)].with_flat(r.w) for r in live],
-                                loss=[r.cfg.loss for r in live])
-            for r, v in zip(live, vals):
-                lr_used = r.lr
-                tr = sums[id(r)] / nb
-                r.result.history.append({"epoch": epoch, "loss": tr, "val_loss": v,
-                                         "learning_rate": lr_used})
-                LOG.info("%s epoch %d loss %.6f val %s lr %g", r.cfg.name, epoch, tr, v, lr_used)
-                if r.plateau is not None and v is not None:
-                    r.lr = r.plateau.step(v)
-                if v is not None and r.cfg.patience is not None:
-                    if v + r.cfg.min_delta < r.best_val:
-                        r.best_val, r.best_w, r.best_epoch, r.wait = v, r.w.copy(), epoch, 0
-                    else:
-                        r.wait += 1
-                        if r.wait >= r.cfg.patience:
-                            r.active = False
-                            r.result.stop_epoch = epoch
-        out = []
-        for i, r in enumerate(runs):
-            res = r.result
-            use_best = val is not None and r.cfg.patience is not None and r.best_epoch is not None
-            res.model = template[i].with_flat(r.best_w if use_best else r.w)
-            res.best_epoch = r.best_epoch
-            if res.stop_epoch is None:
-                res.stop_epoch = len(res.history)
-            res.seconds = time.time() - t0
-            out.append(res)
-        return out
-    finally:
-        if cache:
-            train.unpersist()
-        if val is not None and cache:
-            val.unpersist()
+    bs = c0.batch_size or max(1, math.ceil(n / 10))
+    nb = max(1, math.ceil(n / bs))
+    runs = [_new_run(i, c, m.flat(), val is not None, m) for i, (m, c) in enumerate(zip(models, configs))]
+    tasks = block_tasks(train, n) if mode == "blocks" or mode == "auto" and cache else 0
+    if mode == "blocks" and not tasks:
+        raise ValueError("the rows do not fit in blocks on this cluster")
+    if tasks:
+        _block_loop(train, val, models, runs, n, bs, nb, batch_col, tasks)
+    else:
+        _job_loop(train, val, models, runs, n, bs, nb, batch_col, cache, batch_filter)
+    for r, m in zip(runs, models):
+        use_best = val is not None and r.cfg.patience is not None and r.best_epoch is not None
+        r.result.model = m.with_flat(r.best_w if use_best else r.w)
+        r.result.best_epoch = r.best_epoch
+        if r.result.stop_epoch is None:
+            r.result.stop_epoch = len(r.result.history)
+        r.result.seconds = time.time() - t0
+    return [r.result for r in runs]
 
 
 # ---------------------------------------------------------- evaluation
@@ -386,10 +524,3 @@ def evaluate_models(test: DataFrame, models: list) -> DataFrame:
     pct, g = grade_expr(F.col("mae"), F.col("target_std"))
     return (m.withColumn("mae_pct", pct).withColumn("grade", g)
              .withColumn("mae_band", band_expr(F.col("mae"))))
-
-
-def label_val_batches(val: DataFrame, bs: int, seed: int) -> DataFrame:
-    """Validation batches in the split's permutation order (md5 of
-    seed-key, the order ``random_val_split`` used), not reshuffled."""
-    v = row_index(val.withColumn("_h", md5_order("key", seed)), "_h", "_vpos")
-    return v.withColumn("vbatch", F.floor(F.col("_vpos") / F.lit(bs)).cast("int")).drop("_h", "_vpos")

@@ -329,6 +329,33 @@ def q_epoch_shuffle(spark, d):
                            batch_size=R.default_batch_size(n, "python"), n=n)
 
 
+def _feistel_sql(source: str, keys: list[int]) -> str:
+    """One pass of the keyed permutation over ``source`` (o_orderkey, x, n, a, b):
+    a and b are the bits of the two halves, which change sides in each round."""
+    for i, key in enumerate(keys):
+        left, right = ("a", "b") if i % 2 == 0 else ("b", "a")
+        t = f"((xor(x & ((1::BIGINT << {right}) - 1), {key}) * 1103515245 + 12345) % 2147483648)"
+        source = f"""(SELECT o_orderkey, n, a, b, ((x & ((1::BIGINT << {right}) - 1)) << {left})
+          + xor(x >> {right}, (((xor({t}, {t} >> 15) * 48271 + {key}) % 2147483647) >> 4) & ((1::BIGINT << {left}) - 1)) AS x
+          FROM {source})"""
+    return source
+
+
+@query("epoch_shuffle_keyed", f"""
+WITH RECURSIVE c AS (SELECT count(*)::BIGINT AS n, greatest(2, length(ltrim(bin(count(*) - 1), '0')))::INT AS bits FROM orders),
+p AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS x, n, bits // 2 AS a, bits - bits // 2 AS b FROM orders, c),
+w AS (SELECT o_orderkey, x, n, a, b FROM {_feistel_sql('p', R.shuffle_keys(42, 'epoch', 3))}
+      UNION ALL SELECT o_orderkey, x, n, a, b FROM {_feistel_sql('(SELECT * FROM w WHERE x >= n)', R.shuffle_keys(42, 'epoch', 3))})
+SELECT o_orderkey, x AS place, CAST(x // greatest(16, CAST(ceil(n / 10.0) AS BIGINT)) AS INTEGER) AS batch FROM w WHERE x < n""")
+def q_epoch_shuffle_keyed(spark, d):
+    """The trainer's epoch order: a keyed permutation of the row positions; every row computes its own batch."""
+    o = R.row_index(H.read(spark, d, "orders").select("o_orderkey"), "o_orderkey", "pos")
+    n = o.count()
+    keys = R.shuffle_keys(42, "epoch", 3)
+    return o.select("o_orderkey", R.permuted("pos", n, keys).alias("place"),
+                    R.permuted_batch("pos", n, R.default_batch_size(n, "python"), 42, 3).alias("batch"))
+
+
 @query("preview", """
 SELECT event_id, user_id, event_type, value FROM events ORDER BY event_id LIMIT 5""")
 def q_preview(spark, d):

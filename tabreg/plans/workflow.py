@@ -134,12 +134,13 @@ def python_setup(spark: SparkSession, sf_dir: str, *, val_split: float = 0.2, se
     """Scaled table, positional test split, seeded validation split; returns
     (prepared, train_rows, val_rows, batch size, n_tr)."""
     p = prepare(spark, sf_dir, ddof=0, scale_target=True, flavour="python", synthetic=synthetic)
-    labelled = R.random_val_split(p.train, "key", val_split, seed=seed, n=p.n_train)
     n_val = max(1, int(p.n_train * val_split))
     n_tr = p.n_train - n_val
     bs = batch_size or max(16, math.ceil(n_tr / 10))
-    tr = labelled.where(F.col("split") == "train").select("x", "y", "key")
-    va = T.label_val_batches(labelled.where(F.col("split") == "val").select("x", "y", "key"), bs, seed)
+    # a row's place in the seeded permutation tells its part and its position there
+    labelled = R.permuted_split(p.train, "key", p.n_train, val_split, seed).drop("key")
+    tr = labelled.where(F.col("split") == "train").select("x", "y", F.col("rank").alias("key"))
+    va = labelled.where(F.col("split") == "val").select("x", "y", F.floor(F.col("rank") / F.lit(bs)).cast("int").alias("vbatch"))
     return p, tr, va, bs, n_tr
 
 
@@ -156,15 +157,11 @@ def python_flavour(spark: SparkSession, sf_dir: str, *, epochs: int = C.PYTHON_E
 
 
 def grid_search(spark: SparkSession, sf_dir: str, grid=None, *, seed: int = 42,
-                optimizer: str = "sgd", synthetic: bool = False,
-                max_epochs: int | None = None) -> DataFrame:
-    """All configurations trained together (one scan per step serves all),
-    then one scoring scan of the test split; one metrics row per config.
-    ``max_epochs`` overrides the settings' epoch counts (as the reference's
-    EPOCHS variable does per run)."""
+                optimizer: str = "sgd", synthetic: bool = False) -> DataFrame:
+    """All configurations trained together (every step serves all), then one
+    scoring scan of the test split; one metrics row per config. ``grid`` has
+    (epochs, lr, patience, description) rows."""
     grid = grid or C.REFERENCE_GRID
-    if max_epochs is not None:
-        grid = [(min(e, max_epochs), lr, pt, label) for e, lr, pt, label in grid]
     p, tr, va, bs, n_tr = python_setup(spark, sf_dir, seed=seed, synthetic=synthetic)
     models = [MLP.create((8, 64, 32, 1), "relu", "xavier_normal", seed) for _ in grid]
     cfgs = [T.TrainConfig(epochs=e, lr=lr, patience=pt, batch_size=bs, optimizer=optimizer,

@@ -147,16 +147,55 @@ def test_grid_configs_share_scans_but_train_independently(spark):
 
 
 def test_shuffled_batches_are_exact_and_change_per_epoch(spark):
-    from tabreg.operators.train import _batch_filter, _epoch_bounds
+    from tabreg.operators.rows import permuted_batch
     df = spark.range(1000).select(F.col("id").alias("key"))
     sizes, members = [], []
     for ep in (1, 2):
-        b = _epoch_bounds(df, 5, ep, 1000, 128)
-        per = [set(r["key"] for r in df.where(_batch_filter(b, k, 5, ep)).collect()) for k in range(len(b) + 1)]
+        rows = df.select("key", permuted_batch("key", 1000, 128, 5, ep).alias("b"))
+        assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+        per = [set() for _ in range(8)]
+        for r in rows.collect():
+            per[r["b"]].add(r["key"])
         sizes.append([len(p) for p in per])
         members.append(per[0])
     assert sizes[0] == [128] * 7 + [104] and sizes[1] == sizes[0]
-    assert members[0] != members[1]
+    assert len(members[0] & members[1]) < 40
+
+
+@pytest.mark.parametrize("shuffle", [True, False])
+def test_blocks_equal_queries_over_the_table(spark, shuffle):
+    rng = np.random.default_rng(3)
+    rows = [([float(v) for v in x], float(x[0] - x[1]) if i % 7 else None, i, i // 40) for i, x in enumerate(rng.normal(size=(231, 8)))]
+    df = spark.createDataFrame(rows, "x array<double>, y double, key long, batch int").repartition(3)
+    val = df.where("key % 5 = 0").selectExpr("x", "y", "cast(key % 3 as int) as vbatch")
+    huber = lambda d, tie: (np.where(abs(d) < 1, d * d / 2, abs(d) - 0.5), np.clip(d, -1, 1))
+    cfgs = [T.TrainConfig(epochs=6, lr=0.05, batch_size=40, patience=2, min_delta=0.02, shuffle=shuffle, seed=4),
+            T.TrainConfig(epochs=4, lr=0.01, batch_size=40, optimizer="adam", loss=huber, shuffle=shuffle, seed=4),
+            T.TrainConfig(epochs=3, lr=0.01, batch_size=40, momentum=0.9, weight_decay=0.01, loss="mse", shuffle=shuffle, seed=4)]
+    nets = [MD.MLP.create((8, 6, 1), seed=i) for i in range(3)]
+    one, many = (T.fit(df, nets, cfgs, val=val, mode=m) for m in ("blocks", "jobs"))
+    for a, b in zip(one, many):
+        assert np.allclose(a.model.flat(), b.model.flat(), atol=1e-9)
+        assert (a.best_epoch, a.stop_epoch, len(a.batch_losses)) == (b.best_epoch, b.stop_epoch, len(b.batch_losses))
+        for x, y in zip(a.history, b.history):
+            assert x == pytest.approx(y)
+        assert [x["batch_loss"] for x in a.batch_losses] == pytest.approx([x["batch_loss"] for x in b.batch_losses])
+    assert one[0].config.loss == "mae" and one[1].config.loss is huber
+
+
+def test_blocks_need_rows_that_fit(spark, monkeypatch):
+    df, _, _ = synthetic(spark, 64)
+    cfg = T.TrainConfig(epochs=1, batch_size=32, patience=None)
+    monkeypatch.setattr(T, "BLOCK_ROWS_MIN", 4)                     # more blocks than rows in some
+    (small,) = T.fit(df, [MD.MLP.create((8, 4, 1), seed=1)], [cfg], mode="blocks")
+    monkeypatch.setattr(T, "DRIVER_SUM_PARTITIONS", 1)              # sums below the driver
+    (tree,) = T.fit(df, [MD.MLP.create((8, 4, 1), seed=1)], [cfg], mode="blocks")
+    monkeypatch.setattr(T, "BLOCK_ROWS", 3)
+    with pytest.raises(ValueError, match="do not fit"):
+        T.fit(df, [MD.MLP.create((8, 4, 1), seed=1)], [cfg], mode="blocks")
+    (res,) = T.fit(df, [MD.MLP.create((8, 4, 1), seed=1)], [cfg])      # a query for each step
+    assert len(res.batch_losses) == 2
+    assert np.allclose(res.model.flat(), small.model.flat(), atol=1e-9) and np.allclose(tree.model.flat(), small.model.flat(), atol=1e-9)
 
 
 def test_layer_stack_length():
@@ -209,7 +248,7 @@ def test_epoch_directories_equal_the_cached_table(spark):
     df = spark.createDataFrame(rows, "x array<double>, y double, key long")
     val = df.where("key < 10").selectExpr("x", "y", "cast(key % 2 as int) as vbatch")
     cfg = TR.TrainConfig(epochs=2, lr=0.05, batch_size=16, shuffle=True, seed=9)
-    a, b = (TR.fit(df, [MO.MLP.create((2, 3, 1), seed=1)], [cfg], val=val, cache=c)[0] for c in (True, False))
+    a, b = (TR.fit(df, [MO.MLP.create((2, 3, 1), seed=1)], [cfg], val=val, cache=c, mode="jobs")[0] for c in (True, False))
     assert np.allclose(a.model.flat(), b.model.flat(), atol=1e-12)
     assert [x["batch_loss"] for x in a.batch_losses] == pytest.approx([x["batch_loss"] for x in b.batch_losses])
     part = TR._epoch_table(df, 9, 1, 50, 16).where("batch_no = 2")

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -154,3 +155,38 @@ def test_splits_with_null_keys(spark):
         assert out.where("split = 'train'").count() == n
         assert out.where("split = 'train' and k is null").count() == max(0, n - 75)
     assert R.random_val_split(df, "k", 0.2).where("split = 'val'").count() == 20
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 17, 64, 1001, 4097, 99_999])
+def test_permutation_is_a_bijection_on_any_size(spark, n):
+    keys = R.shuffle_keys(7, "epoch", 2)
+    want = R.permute_np(np.arange(n), n, keys)
+    assert sorted(want.tolist()) == list(range(n))
+    if n in (1, 3, 1001, 4097):
+        got = spark.range(n).select("id", R.permuted("id", n, keys).alias("p")).orderBy("id").collect()
+        assert [r["p"] for r in got] == want.tolist()
+    if n > 1000:                                   # neighbours scatter, and another epoch has another order
+        assert abs(np.corrcoef(np.arange(n), want)[0, 1]) < 0.1
+        assert (R.permute_np(np.arange(n), n, R.shuffle_keys(7, "epoch", 3)) == want).mean() < 0.01
+
+
+def test_permutation_of_huge_and_null_positions(spark):
+    n = (1 << 45) + 12345
+    keys = R.shuffle_keys(1)
+    pos = [0, 1, n - 1, n // 2]
+    want = R.permute_np(np.array(pos), n, keys).tolist()
+    got = spark.createDataFrame([(p,) for p in [*pos, None]], "p long").select("p", R.permuted("p", n, keys).alias("q")).collect()
+    assert {r["p"]: r["q"] for r in got} == dict(zip(pos, want)) | {None: None} and max(want) < n
+    with pytest.raises(ValueError, match="2\\^54"):
+        R.permuted("p", 1 << 60, keys)
+
+
+def test_permuted_split_sizes(spark):
+    df = spark.range(997).withColumnRenamed("id", "pos")
+    out = R.permuted_split(df, "pos", 997, 0.2, seed=3)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    rows = out.collect()
+    for part, size in (("val", 199), ("train", 798)):
+        assert sorted(r["rank"] for r in rows if r["split"] == part) == list(range(size))
+    with pytest.raises(ValueError):
+        R.permuted_split(df, "pos", 997, 0.5, seed=3)

@@ -43,7 +43,8 @@ def test_python_flavour_end_to_end(spark):
 
 
 def test_grid_search_one_row_per_setting(spark):
-    out = W.grid_search(spark, SF, max_epochs=2).orderBy("cfg").collect()
+    grid = [(2, *rest) for _, *rest in W.C.REFERENCE_GRID]
+    out = W.grid_search(spark, SF, grid).orderBy("cfg").collect()
     assert [r["lr"] for r in out] == [0.001, 0.01, 0.0005, 0.005]
     assert all(r["epochs_run"] == 2 and r["n"] == 1200 for r in out)
     assert {r["grade"] for r in out} <= {"Excellent", "Good", "Acceptable", "Poor"}
