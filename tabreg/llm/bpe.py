@@ -7,7 +7,10 @@ little-endian unsigned 32-bit integers, the form a training shard holds.
 Long texts are split at safe boundaries before encoding: between a letter or a
 digit and a following ASCII space or line feed. No alternative of the pre-split
 pattern matches a non-space followed by white space, and its only look-ahead is
-inside white space, so a cut there never changes a match.
+inside white space, so a cut there never changes a match. A very long run of white
+space, on which the library's look-ahead gives up, is cut out first as the match that
+the pattern makes of it: all of it at the end of a text, else all but its last
+character.
 """
 
 from __future__ import annotations
@@ -27,9 +30,12 @@ from .common import batch, map_batches
 
 RANK_BYTES = 64 << 20
 PIECE_CHARS = 1 << 16      # a text is cut at the first safe boundary after so many characters
+LONG_SPACE = 10_000        # white space of so many characters is cut out as a match of its own
 OUT_BYTES = 8 << 20        # packed ids or bytes in one output batch
 
 _SAFE = regex.compile(r"(?<=[\p{L}\p{N}])(?=[ \n])")
+_SPACE = regex.compile(r"\p{White_Space}{%d,}+" % LONG_SPACE)
+_WHOLE = r"[\s\S]+"        # a pattern that takes a text as one match
 _ENCODERS: dict[str, tiktoken.Encoding] = {}
 
 
@@ -61,8 +67,21 @@ def pieces(text: str, size: int = PIECE_CHARS):
     yield text[at:]
 
 
-def encode_text(enc: tiktoken.Encoding, text: str) -> bytes:
-    return b"".join(np.array(enc.encode_ordinary(p), "<u4").tobytes() for p in pieces(text))
+def parts(text: str):
+    """(part of a text, whether it is one match): long runs of white space, and what lies between."""
+    at = 0
+    if len(text) >= LONG_SPACE:
+        for m in _SPACE.finditer(text):
+            stop = m.end() if m.end() == len(text) else m.end() - 1
+            yield from ((p, False) for p in pieces(text[at:m.start()]))
+            yield text[m.start():stop], True
+            at = stop
+    yield from ((p, False) for p in pieces(text[at:]))
+
+
+def encode_text(enc: tiktoken.Encoding, one: tiktoken.Encoding, text: str) -> bytes:
+    """Packed ids of a whole text; ``one`` has the same ranks and takes a text as one match."""
+    return b"".join(np.array((one if whole else enc).encode_ordinary(p), "<u4").tobytes() for p, whole in parts(text))
 
 
 def _flushed(rows, schema, weigh):
@@ -82,12 +101,12 @@ _BYTES = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("decoded", pa
 
 
 def _encode(batches, raw):
-    enc = encoder(raw.value)
+    enc, one = encoder(raw.value), encoder(raw.value, _WHOLE)
 
     def rows():
         for b in batches:
             for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
-                yield doc, encode_text(enc, text.as_py() or "")
+                yield doc, encode_text(enc, one, text.as_py() or "")
     yield from _flushed(rows(), _IDS, lambda r: len(r[1]))
 
 

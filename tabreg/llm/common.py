@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_path, ship_package
 
-BATCH_BYTES = 8 << 20      # of one Arrow batch sent to a worker, or one row if that is longer
+BATCH_BYTES = 4 << 20      # of one Arrow batch sent to a worker, or one row if that is longer
 
 
 def prepare(spark: SparkSession) -> None:

@@ -327,6 +327,11 @@ def one_of_each(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     again = write_table(docs.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select("doc_id"), "repeated")
     if again.isEmpty():
         return kept
-    first = Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-    some = keep_ids(kept, again, "doc_id").withColumn("_row", F.row_number().over(first)).filter("_row = 1").drop("_row")
+    # the other columns order rows of one text, but for maps and variants, which have no order
+    plain = [c for c, t in docs.dtypes if c not in ("doc_id", "text") and "map<" not in t and "variant" not in t]
+    row = "_row"
+    while row in docs.columns:
+        row += "_"
+    first = Window.partitionBy("doc_id").orderBy("text", *plain)
+    some = keep_ids(kept, again, "doc_id").withColumn(row, F.row_number().over(first)).filter(F.col(row) == 1).drop(row)
     return drop_ids(kept, again, "doc_id").unionByName(some.select(*docs.columns))

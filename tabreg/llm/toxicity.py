@@ -168,8 +168,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         picked = part if picked is None else picked.unionByName(part)
     if picked is None:
         return fit([], 0.0)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = map_batches(texts.join(F.broadcast(picked), "doc_id").select("text", "toxic"),     # 2 * sample ids
+    # one text for each id, however many rows repeat it: the sample bounds what is collected
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
+        .join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))     # 2 * sample ids
+    rows = map_batches(texts.select("text", "toxic"),
                        _features, "toxic int, terms binary").collect()
     known.unpersist()
     rows = sorted((r["toxic"], bytes(r["terms"])) for r in rows)

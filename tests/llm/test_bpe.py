@@ -57,3 +57,23 @@ def test_query_against_library(spark):
         assert r["n_tokens"] == len(ids)
         assert r["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256((d["text"] or "").encode()).hexdigest()
+
+
+def own_matches(text):
+    """The ids of the pattern's own matches, each encoded as one piece."""
+    import regex
+    one = bpe.encoder(bpe.read_ranks(RANKS), bpe._WHOLE)
+    return [i for m in regex.finditer(public_tokenizers.PATTERN, text) for i in one.encode_ordinary(m.group())]
+
+
+def test_long_white_space(docs_of):
+    enc, one = reference(), bpe.encoder(bpe.read_ranks(RANKS), bpe._WHOLE)
+    got = lambda t: np.frombuffer(bpe.encode_text(enc, one, t), "<u4").tolist()
+    big = bpe.LONG_SPACE
+    for space in (" ", "\n", "\t", " \n", "\x85", "\x1c", "　"):                 # \x1c is no white space here
+        for t in (space * big, "a" + space * big, space * big + "b", "a1" + space * (big - 1) + "!x", f"a{space * big}b {space * big}c"):
+            assert got(t) == enc.encode_ordinary(t)
+    for t in (" " * 2_000_000 + "x", "x" + "\n" * 2_000_000, "a " + " \n\t" * 700_000 + " b" + "\n" * 1_000_000 + "7"):
+        assert got(t) == own_matches(t)
+    out = bpe.decode(bpe.encode(docs_of([(1, " " * 2_000_000 + "x")]), RANKS), RANKS).first()
+    assert bytes(out["decoded"]) == b" " * 2_000_000 + b"x"
