@@ -106,7 +106,7 @@ def collect_small_matrix(df: DataFrame, cols, order_by) -> np.ndarray:
     cols = list(cols)
     n = df.count()
     if n * max(1, len(cols)) > MAX_SMALL_CELLS:
-        raise ValueError(f"matrix of {n}x{len(cols)} is too large to ship with a job")
+        raise ValueError(f"matrix of {n}x{len(cols)} is too large to ship with a job; block_matmul multiplies large matrices")
     rows = df.orderBy(order_by).select(*[_x(c).alias(c) for c in cols]).collect()
     return np.array([[r[c] for c in cols] for r in rows], dtype=np.float64).reshape(n, len(cols))
 
@@ -122,6 +122,78 @@ def matmul(a: DataFrame, a_cols, b: DataFrame, b_cols, b_order, *, keep=(),
     return linear_transform(a, a_cols, Bm, None, prefix=prefix, keep=keep)
 
 
+# Rows and columns of a tile of a block matrix: 512 KB of doubles.
+TILE = 256
+
+
+def to_tiles(coords: DataFrame, tile: int = TILE) -> DataFrame:
+    """A matrix in coordinate form (i, j, value) as tiles (ti, tj, at, v): the cells of
+    a tile by their place in it (row-major) and their values. Absent cells and null
+    values are 0; a cell that occurs more than once counts with its sum; rows without
+    i or j are left out. A tile is bounded, so is every group."""
+    cells = coords.filter("i is not null and j is not null") \
+        .select(F.col("i").cast("long").alias("i"), F.col("j").cast("long").alias("j"), _x("value").alias("v")) \
+        .groupBy("i", "j").agg(F.sum("v").alias("v"))
+    spot = ((F.col("i") % tile) * tile + F.col("j") % tile).cast("int")
+    cells = cells.select(F.floor(F.col("i") / tile).cast("long").alias("ti"), F.floor(F.col("j") / tile).cast("long").alias("tj"),
+                         F.struct(spot.alias("at"), "v").alias("c"))
+    return cells.groupBy("ti", "tj").agg(F.collect_list("c").alias("c")).select("ti", "tj", F.col("c.at").alias("at"), F.col("c.v").alias("v"))
+
+
+def _dense(at: pa.Scalar, v: pa.Scalar, tile: int) -> np.ndarray:
+    out = np.zeros(tile * tile)
+    out[at.values.to_numpy()] = v.values.to_numpy()
+    return out.reshape(tile, tile)
+
+
+_PARTIAL = pa.schema([("ti", pa.int64()), ("tj", pa.int64()), ("part", pa.binary())])
+_CELLS = pa.schema([("i", pa.int64()), ("j", pa.int64()), ("value", pa.float64())])
+
+
+def block_matmul(a: DataFrame, b: DataFrame, tile: int = TILE) -> DataFrame:
+    """C = A·B for two matrices of any size in coordinate form (i, j, value); the cells of
+    C that are not 0, as (i, j, value). Indices start at 0.
+
+    Both become tiles; tiles that share an inner index are joined, each pair is one
+    NumPy product, and the partial tiles of a cell of C are added as they stream by,
+    sorted by tile. Nothing is collected and no pairs of cells are emitted: a tile
+    meets as many others as the other matrix has tiles in a row or column. A hot inner
+    index is split by the adaptive skew join."""
+    ship_package(a.sparkSession)
+    x = to_tiles(a, tile).select("ti", F.col("tj").alias("tk"), F.col("at").alias("at1"), F.col("v").alias("v1"))
+    y = to_tiles(b, tile).select(F.col("ti").alias("tk"), "tj", F.col("at").alias("at2"), F.col("v").alias("v2"))
+
+    def product(batches):
+        for r in batches:
+            for ti, tj, *cells in zip(*(r.column(c) for c in ("ti", "tj", "at1", "v1", "at2", "v2"))):
+                c = _dense(cells[0], cells[1], tile) @ _dense(cells[2], cells[3], tile)
+                yield pa.RecordBatch.from_arrays([pa.array([ti.as_py()]), pa.array([tj.as_py()]), pa.array([c.tobytes()], pa.binary())],
+                                                 schema=_PARTIAL)
+
+    def add(batches):
+        here, acc = None, None
+
+        def cells():
+            at = np.flatnonzero(acc)
+            return pa.RecordBatch.from_arrays([pa.array(here[0] * tile + at // tile), pa.array(here[1] * tile + at % tile),
+                                               pa.array(acc[at])], schema=_CELLS)
+        for r in batches:
+            for ti, tj, part in zip(r.column(0).to_pylist(), r.column(1).to_pylist(), r.column(2)):
+                v = np.frombuffer(part.as_buffer())
+                if (ti, tj) != here:
+                    if here is not None:
+                        yield cells()
+                    here, acc = (ti, tj), v.copy()
+                else:
+                    acc += v
+        if here is not None:
+            yield cells()
+
+    parts = x.join(y, "tk").select("ti", "tj", "at1", "v1", "at2", "v2").mapInArrow(product, "ti long, tj long, part binary")
+    parts = parts.repartition("ti", "tj").sortWithinPartitions("ti", "tj")
+    return parts.mapInArrow(add, "i long, j long, value double")
+
+
 def cross_product(df: DataFrame, left=None, right=None, *, left_array: str | None = None,
                   right_array: str | None = None, scale: float = 1.0) -> DataFrame:
     """Σ_rows left_iᵀ·right_j as a long table (i, j, value), times ``scale``.

@@ -98,6 +98,16 @@ def q_matmul(spark, d):
     return g.select("i", "j", rnd("value", 8).alias("value"))
 
 
+@query("matmul_blocks", f"""WITH {_EMB_LONG}
+SELECT CAST(a.k AS BIGINT) AS i, CAST(b.k AS BIGINT) AS j, {_r('sum(a.v * b.v)', 6)} AS value
+FROM e a JOIN e b ON a.vec_id = b.vec_id GROUP BY a.k, b.k HAVING sum(a.v * b.v) <> 0""")
+def q_matmul_blocks(spark, d):
+    """Xᵀ · X with both as block matrices: the inner side is the table's row count."""
+    x = X.to_coordinates(H.read(spark, d, "embeddings"), "vec_id", array_col="embedding")
+    xt = x.select(F.col("j").alias("i"), F.col("i").alias("j"), "value")
+    return X.block_matmul(xt, x).select("i", "j", rnd("value", 6).alias("value"))
+
+
 @query("matmul_table", f"""WITH {_EMB_LONG},
 g AS (SELECT a.k AS i, b.k AS j, sum(a.v * b.v) / (SELECT count(*) FROM embeddings) AS gv
       FROM e a JOIN e b ON a.vec_id = b.vec_id GROUP BY a.k, b.k)

@@ -94,3 +94,22 @@ def test_metrics_drop_pairs_with_a_null(spark):
     full = M.regression_metrics(df).first()
     clean = M.regression_metrics(df.dropna()).first()
     assert full == clean and full["n"] == 2
+
+
+def test_block_matmul_of_two_large_tables(spark, monkeypatch):
+    """A product that no driver or task holds whole: tiles of 4, both sides above the small-matrix limit."""
+    rng = np.random.default_rng(5)
+    A, B = (np.where(rng.random(s) < 0.4, rng.normal(size=s), 0.0) for s in ((23, 17), (17, 31)))
+    coords = lambda m: [(int(i), int(j), float(m[i, j])) for i, j in zip(*np.nonzero(m))]
+    left = coords(A) + [(0, 0, 1.5), (0, 0, None), (None, 3, 9.0)]              # a repeated cell, a null, no row
+    A[0, 0] += 1.5
+    a, b = (spark.createDataFrame(r, "i long, j int, value double") for r in (left, coords(B)))
+    monkeypatch.setattr(X, "MAX_SMALL_CELLS", 10)
+    out = X.block_matmul(a, b, tile=4)
+    got = np.zeros((23, 31))
+    for r in out.collect():
+        got[r["i"], r["j"]] += r["value"]
+    assert np.allclose(got, A @ B, atol=1e-12)
+    assert X.block_matmul(a.limit(0), b, tile=4).collect() == []
+    with pytest.raises(ValueError, match="block_matmul"):
+        X.collect_small_matrix(b, ["i", "j"], "i")
