@@ -28,6 +28,10 @@ def test_edit_distance():
     for _ in range(200):
         a, b = rng.randint(0, 4, rng.randint(1, 9)), rng.randint(0, 4, rng.randint(0, 15))
         assert D.edit_distance(a, b)[0] == brute(a.tolist(), b.tolist())
+    a, b = rng.randint(0, 9, (50, 6)), rng.randint(0, 9, (50, 11))
+    got, end = D.distances(a, b)
+    assert [(x, y) for x, y in zip(got.tolist(), end.tolist())] == [D.edit_distance(x, y) for x, y in zip(a, b)]
+    assert all(D.absent(a, b) <= got)
 
 
 def test_walks_fall_back_into_step():
@@ -38,7 +42,7 @@ def test_walks_fall_back_into_step():
         a = rng.randint(0, 1 << 62, 40).astype(np.uint64)
         b = np.delete(a, rng.randint(5, 35))
         c = rng.randint(0, 1 << 62, 40).astype(np.uint64)
-        x, y, z = (D.walk(s, np.zeros(1, np.int64), 0, 48)[:, 0] for s in (a, b, c))
+        x, y, z = (D.walk(s, 0, 1, 48)[0][:, 0] for s in (a, b, c))
         near.append((x != y).mean())
         far.append((x != z).mean())
     assert np.mean(near) < 0.45 < 0.95 < np.mean(far)
@@ -66,7 +70,7 @@ def test_recall_and_exactness(spark, docs_of):
             leaked[k] = i
         docs.append((k, ", ".join(text) if k % 3 else "\n".join(text).upper()))
     bench = spark.createDataFrame([(i, " ".join(w), "x") for i, w in items.items()], "item_id long, text string, doc_id string")
-    for block in (D.BLOCK, 7):
+    for block in (D.BLOCK, 300):
         got = {(r["doc_id"], r["item_id"]): r["edits"] for r in D.leaks(docs_of(docs), bench, block).collect()}
         for (k, i), edits in got.items():          # exact, and at the threshold at most
             assert edits == brute(items[i], words(docs[k][1])) <= D.EDITS * len(items[i])
@@ -106,24 +110,66 @@ def edited(rng, copy, n, vocab):
     return copy
 
 
-def test_recall_by_length_and_edits(spark, docs_of):
-    """Every copy is found at every length up to the full EDITS, alone or inside a text."""
-    rng = np.random.RandomState(5)
+def copies(seed, lengths):
+    """(items, texts, {(words, edits): ids}): text i holds item i with so many of its words edited."""
+    rng = np.random.RandomState(seed)
     vocab = vocabulary(rng, 800)
-    items, docs, leaked = {}, [], {}
-    for n in (1, 2, 4, 5, 8, 10, 15, 16, 20, 30, 60, 200):
+    items, docs, leaked = [], [], {}
+    for n, times in lengths:
         for edits in range(int(D.EDITS * n) + 1) if n < 60 else (int(0.1 * n), int(D.EDITS * n)):
-            for k in range(20):
+            for k in range(times):
                 i = len(items)
-                items[i] = [f"i{i}w{j}" if n < 5 else w for j, w in enumerate(rng.choice(vocab, n))]
+                items.append([f"i{i}w{j}" if n < 5 else w for j, w in enumerate(rng.choice(vocab, n))])
                 text = edited(rng, items[i], edits, vocab)
                 if k % 4:
                     text = [*rng.choice(vocab, rng.randint(30)), *text, *rng.choice(vocab, rng.randint(30))]
                 docs.append((i, " ".join(text)))
                 leaked.setdefault((n, edits), set()).add(i)
-    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    return items, docs, leaked
+
+
+def test_recall_by_length_and_edits(spark, docs_of):
+    """Every copy of a short item is found, and 0.98 of the others at every length up to the full EDITS."""
+    items, docs, leaked = copies(5, [(n, 20) for n in (1, 2, 4, 5, 8)] + [(n, 50) for n in (10, 15, 16, 20, 30)] + [(60, 20), (200, 20)])
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
     got = {(r["doc_id"], r["item_id"]): r["edits"] for r in D.leaks(docs_of(docs), bench).collect()}
     for (n, edits), ids in leaked.items():
-        assert sum((i, i) in got for i in ids) == len(ids), (n, edits)
-        assert all(got[i, i] == brute(items[i], words(docs[i][1])) <= edits for i in ids)
+        assert sum((i, i) in got for i in ids) >= (1 if n < D.SHORT else 0.98) * len(ids), (n, edits)
+        assert all(got[i, i] == brute(items[i], words(docs[i][1])) <= edits for i in ids if (i, i) in got)
     assert all(len(items[i]) >= 5 or i == d for d, i in got)
+
+
+def found(texts, items, short):
+    import pyarrow as pa
+
+    index = D.ItemIndex(list(range(len(items))), D.item_words([" ".join(w) for w in items]), short)
+    out, at = {}, 0
+    for n, best in D._found(pa.array(texts), index):
+        out |= {(at + d, i): v for (d, i), v in best.items()}
+        at += n
+    return out
+
+
+def test_walks_against_exact_pieces():
+    """Pieces of all items miss nothing: the walks find 0.98 of it at the full EDITS, with the same edits."""
+    for n in (10, 15, 20, 30, 60):
+        items, docs, leaked = copies(n, [(n, 120 if n == 60 else 60)])
+        own = sorted(leaked[n, int(D.EDITS * n)])
+        texts = [docs[i][1] for i in own]
+        exact, got = (found(texts, [items[i] for i in own], short) for short in (1 << 30, D.SHORT))
+        assert len(exact) >= len(own) and set(got) <= set(exact)
+        assert len(got) >= 0.98 * len(exact), n
+        assert all(exact[k][0] == v[0] for k, v in got.items())
+
+
+def test_common_runs_of_words():
+    """Many items that share a run of words are proposed by each place of it and verified together."""
+    items = [["which", "of", "the", "following", *(f"a{i}x{j}" for j in range(12))] for i in range(3000)]
+    text = " ".join(["which of the following"] * 200 + items[7] + ["which of the following"] * 20)
+    assert found([text, "which of the following", ""], items, D.SHORT) == {(0, 7): (0, 800)}
+
+
+def test_repeated_words_and_ends():
+    same, tail = ["so"] * 12, [f"w{i}" for i in range(12)]
+    texts = ["so " * 11, "so " * 40, " ".join(tail[3:]), " ".join(tail[:10]), " ".join(tail[:9]), " ".join(tail[6:] + tail[:6])]
+    assert {k: v[0] for k, v in found(texts, [same, tail], D.SHORT).items()} == {(0, 0): 1, (1, 0): 0, (3, 1): 2}
