@@ -10,16 +10,26 @@ Rules kept from the reference:
   null) -> 1.0; std <= 1e-8 -> 1.0; nulls stay null on transform.
 * min-max: all-null min -> 0.0, max -> 1.0; when max - min <= 1e-8 **every**
   cell of that column becomes 0.5, nulls included; otherwise nulls stay null.
+
+A scaler of one's own is a class with ``kind``, ``columns``, ``names`` (its fitted
+statistics of a column), ``constants`` (statistics that need no data) and either
+``fit_exprs`` (aggregates named ``<column>__<name>``, fitted together with other
+scalers' in one pass) or ``fit_stats(df)``, as jobs of its own. With
+``register_scaler`` its kind works by name everywhere: ``make_scaler``, ``fit_table``,
+``params_from_fit``, ``model_from_params``, ``preprocess``. ``RobustScaler`` is one.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import SCALE_EPS as EPS
+from .select import select_ranks
 
 PARAMS_SCHEMA = "scaler string, column string, stat string, value double"
 
@@ -91,6 +101,34 @@ class MinMaxScalerModel:
         return [(c, {"min": lo, "max": hi}) for c, lo, hi in zip(self.columns, self.mins, self.maxs)]
 
 
+@dataclass(frozen=True)
+class RobustScalerModel:
+    columns: tuple
+    medians: tuple
+    iqrs: tuple
+
+    kind = "robust"
+
+    def expr(self, c: str, src: Column | None = None) -> Column:
+        i = self.columns.index(c)
+        x = F.col(c) if src is None else src
+        return (x.cast("double") - F.lit(self.medians[i])) / F.lit(self.iqrs[i])
+
+    def inverse_expr(self, c: str, src: Column | None = None) -> Column:
+        i = self.columns.index(c)
+        x = F.col(c) if src is None else src
+        return x.cast("double") * F.lit(self.iqrs[i]) + F.lit(self.medians[i])
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return _apply(df, self.columns, self.expr)
+
+    def inverse(self, df: DataFrame) -> DataFrame:
+        return _apply(df, self.columns, self.inverse_expr)
+
+    def stats(self):
+        return [(c, {"median": m, "iqr": q}) for c, m, q in zip(self.columns, self.medians, self.iqrs)]
+
+
 def _apply(df: DataFrame, columns, fn) -> DataFrame:
     missing = [c for c in columns if c not in df.columns]
     if missing:
@@ -124,87 +162,159 @@ def minmax_fit_exprs(columns) -> list[Column]:
     return out
 
 
-class StandardScaler:
+class _Fitted:
+    """What fitting needs of a scaler's kind, its columns and its statistics."""
+
+    constants: dict = {}
+
+    def __init__(self, columns):
+        self.columns = tuple(columns)
+
+    def model_from_row(self, row):
+        return model_of(self.kind, self.columns, {
+            c: {k: float(row[f"{_ident(c)}__{k}"]) for k in self.names} | self.constants for c in self.columns})
+
+    def fit(self, df: DataFrame):
+        return fit_many(df, [self])[0]
+
+    def fit_transform(self, df: DataFrame):
+        m = self.fit(df)
+        return m.transform(df), m
+
+
+class StandardScaler(_Fitted):
     """z-score scaler; ``ddof=1`` sample std (Rust flavour), ``ddof=0``
     population std (Python flavour)."""
 
+    kind, names = "standard", ("mean", "std")
+
     def __init__(self, columns, ddof: int = 1):
-        self.columns = tuple(columns)
+        super().__init__(columns)
         self.ddof = ddof
+        self.constants = {"ddof": float(ddof)}
 
     def fit_exprs(self):
         return standard_fit_exprs(self.columns, self.ddof)
 
-    def model_from_row(self, row) -> StandardScalerModel:
-        return StandardScalerModel(
-            self.columns,
-            tuple(float(row[f"{_ident(c)}__mean"]) for c in self.columns),
-            tuple(float(row[f"{_ident(c)}__std"]) for c in self.columns),
-            self.ddof)
 
-    def fit(self, df: DataFrame) -> StandardScalerModel:
-        return self.model_from_row(df.agg(*self.fit_exprs()).first())
+class MinMaxScaler(_Fitted):
+    kind, names = "minmax", ("min", "max")
 
-    def fit_transform(self, df: DataFrame):
-        m = self.fit(df)
-        return m.transform(df), m
+    def fit_exprs(self):
+        return minmax_fit_exprs(self.columns)
 
 
-class MinMaxScaler:
-    def __init__(self, columns):
-        self.columns = tuple(columns)
+class RobustScaler(_Fitted):
+    """(x - median) / interquartile range, which outliers do not move.
 
-    def fit_exprs(self):
-        return minmax_fit_exprs(self.columns)
+    The quartiles are exact (linear between neighbours), by distributed rank
+    selection over the columns, persisted once: no task holds a column's values.
+    Nulls are not counted and stay null; an all-null column has median 0.0; a range of
+    at most 1e-8 counts as 1.0.
+    """
 
-    def model_from_row(self, row) -> MinMaxScalerModel:
-        return MinMaxScalerModel(
-            self.columns,
-            tuple(float(row[f"{_ident(c)}__min"]) for c in self.columns),
-            tuple(float(row[f"{_ident(c)}__max"]) for c in self.columns))
+    kind, names = "robust", ("median", "iqr")
 
-    def fit(self, df: DataFrame) -> MinMaxScalerModel:
-        return self.model_from_row(df.agg(*self.fit_exprs()).first())
+    def fit_stats(self, df: DataFrame) -> dict:
+        from pyspark import StorageLevel
 
-    def fit_transform(self, df: DataFrame):
-        m = self.fit(df)
-        return m.transform(df), m
+        held = df.select(*[F.col(c).cast("double").alias(_ident(c)) for c in self.columns]).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            counts = held.agg(*[F.count(_ident(c)).alias(_ident(c)) for c in self.columns]).first()
+            return {c: self._quartiles(held, _ident(c), counts[_ident(c)]) for c in self.columns}
+        finally:
+            held.unpersist()
+
+    @staticmethod
+    def _quartiles(held: DataFrame, column: str, n: int) -> dict:
+        if not n:
+            return {"median": 0.0, "iqr": 1.0}
+        places = [(n - 1) * q for q in (0.25, 0.5, 0.75)]
+        ranks = sorted({r for h in places for r in (math.floor(h), math.ceil(h))})
+        value = dict(zip(ranks, map(float, select_ranks(held, column, ranks, n=n))))
+        low, mid, high = (value[math.floor(h)] + (h - math.floor(h)) * (value[math.ceil(h)] - value[math.floor(h)]) for h in places)
+        return {"median": mid, "iqr": high - low if high - low > EPS else 1.0}
+
+
+# -------------------------------------------------------------- kinds
+
+
+@dataclass(frozen=True)
+class ScalerKind:
+    make: Callable        # (columns, ddof) -> scaler
+    model: Callable       # (columns, {column: {statistic: value}}) -> fitted model
+
+
+_KINDS: dict[str, ScalerKind] = {}
+
+
+def register_scaler(kind: str, make: Callable, model: Callable) -> None:
+    """Make a kind of scaler known by name: ``make(columns, ddof)`` gives the scaler,
+    ``model(columns, stats)`` its fitted model from the statistics in a params table."""
+    _KINDS[kind] = ScalerKind(make, model)
+
+
+def _kind(kind: str) -> ScalerKind:
+    if kind not in _KINDS:
+        raise ValueError(f"unknown scaler {kind!r}")
+    return _KINDS[kind]
+
+
+def model_of(kind: str, columns, stats: dict):
+    return _kind(kind).model(tuple(columns), stats)
+
+
+def _each(columns, stats: dict, name: str) -> tuple:
+    return tuple(stats[c][name] for c in columns)
+
+
+def _standard_model(columns, stats):
+    ddof = int(stats[columns[0]].get("ddof", 1.0)) if columns else 1
+    return StandardScalerModel(columns, _each(columns, stats, "mean"), _each(columns, stats, "std"), ddof)
+
+
+register_scaler("standard", StandardScaler, _standard_model)
+register_scaler("minmax", lambda columns, ddof: MinMaxScaler(columns),
+                lambda columns, st: MinMaxScalerModel(columns, _each(columns, st, "min"), _each(columns, st, "max")))
+register_scaler("robust", lambda columns, ddof: RobustScaler(columns),
+                lambda columns, st: RobustScalerModel(columns, _each(columns, st, "median"), _each(columns, st, "iqr")))
 
 
 def make_scaler(kind, columns, ddof: int = 1):
-    """A scaler by name, or from a factory (columns -> object with ``fit_exprs``
-    and ``model_from_row``): the extension point for scalers of one's own."""
+    """A scaler by the name of its registered kind, or from a factory (columns ->
+    scaler): the extension point for scalers of one's own."""
     if callable(kind):
         return kind(list(columns))
-    if kind == "standard":
-        return StandardScaler(columns, ddof)
-    if kind == "minmax":
-        return MinMaxScaler(columns)
-    raise ValueError(f"unknown scaler {kind!r}")
+    return _kind(kind).make(list(columns), ddof)
 
 
 def fit_many(df: DataFrame, scalers: list):
-    """Fit several scalers (e.g. features and target) in one aggregate."""
-    exprs = [e for s in scalers for e in s.fit_exprs()]
-    row = df.agg(*exprs).first()
-    return [s.model_from_row(row) for s in scalers]
+    """Fit several scalers (e.g. features and target): one aggregate for all that
+    fit by aggregates, the jobs of its own for each other."""
+    exprs = [e for s in scalers if hasattr(s, "fit_exprs") for e in s.fit_exprs()]
+    row = df.agg(*exprs).first() if exprs else None
+    return [s.model_from_row(row) if hasattr(s, "fit_exprs")
+            else model_of(s.kind, s.columns, {c: st | s.constants for c, st in s.fit_stats(df).items()}) for s in scalers]
+
+
+def _fitted_row(df: DataFrame, scaler) -> DataFrame:
+    """One row of fitted statistics, ``<column>__<name>``; lazy for aggregates."""
+    if hasattr(scaler, "fit_exprs"):
+        return df.agg(*scaler.fit_exprs())
+    stats = scaler.fit_stats(df)
+    return df.sparkSession.range(1).select(*[F.lit(float(stats[c][k])).alias(f"{_ident(c)}__{k}")
+                                             for c in scaler.columns for k in scaler.names])
 
 
 def fit_table(df: DataFrame, scaler) -> DataFrame:
-    """The fitted statistics as a lazy long table: one row per column.
-
-    standard -> (column, mean, std); minmax -> (column, min, max). One aggregate,
-    then an ``inline`` of a k-element array (k = number of columns)."""
-    one = df.agg(*scaler.fit_exprs())
-    if isinstance(scaler, StandardScaler):
-        names = ("mean", "std")
-    else:
-        names = ("min", "max")
-    rows = F.array(*[F.struct(F.lit(c).alias("column"),
-                              F.col(f"{_ident(c)}__{names[0]}").alias(names[0]),
-                              F.col(f"{_ident(c)}__{names[1]}").alias(names[1]))
+    """The fitted statistics as a long table: one row per column.
+
+    standard -> (column, mean, std); minmax -> (column, min, max); any other kind its
+    ``names``. One aggregate (lazy) or the kind's own jobs, then an ``inline`` of a
+    k-element array (k = number of columns)."""
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), *[F.col(f"{_ident(c)}__{k}").alias(k) for k in scaler.names])
                      for c in scaler.columns])
-    return one.select(F.inline(rows))
+    return _fitted_row(df, scaler).select(F.inline(rows))
 
 
 # ------------------------------------------------------------ persistence
@@ -222,42 +332,23 @@ def params_table(spark: SparkSession, *models) -> DataFrame:
 
 
 def params_from_fit(df: DataFrame, scaler) -> DataFrame:
-    """Lazy ``(scaler, column, stat, value)`` table straight from the fit
-    aggregate (no driver round trip)."""
-    one = df.agg(*scaler.fit_exprs())
-    if isinstance(scaler, StandardScaler):
-        kind, stats = "standard", ("mean", "std")
-    else:
-        kind, stats = "minmax", ("min", "max")
+    """``(scaler, column, stat, value)`` table straight from the fit (lazy and
+    without a driver round trip for kinds that fit by aggregates)."""
     items = []
     for c in scaler.columns:
-        for s in stats:
-            items.append(F.struct(F.lit(kind).alias("scaler"), F.lit(c).alias("column"),
-                                  F.lit(s).alias("stat"),
-                                  F.col(f"{_ident(c)}__{s}").alias("value")))
-        if kind == "standard":
-            items.append(F.struct(F.lit(kind).alias("scaler"), F.lit(c).alias("column"),
-                                  F.lit("ddof").alias("stat"),
-                                  F.lit(float(scaler.ddof)).alias("value")))
-    return one.select(F.inline(F.array(*items)))
+        values = [(k, F.col(f"{_ident(c)}__{k}")) for k in scaler.names]
+        for stat, value in values + [(k, F.lit(float(v))) for k, v in scaler.constants.items()]:
+            items.append(F.struct(F.lit(scaler.kind).alias("scaler"), F.lit(c).alias("column"), F.lit(stat).alias("stat"),
+                                  value.alias("value")))
+    return _fitted_row(df, scaler).select(F.inline(F.array(*items)))
 
 
 def model_from_params(params: DataFrame, scaler: str = "standard"):
-    """Rebuild a fitted model from a params table (bounded: rows per column)."""
-    rows = params.where(F.col("scaler") == scaler).collect()
-    cols: list[str] = []
+    """Rebuild a fitted model of a registered kind from a params table (bounded: rows per column)."""
     st: dict = {}
-    for r in rows:
-        if r["column"] not in st:
-            cols.append(r["column"])
-            st[r["column"]] = {}
-        st[r["column"]][r["stat"]] = r["value"]
-    if scaler == "standard":
-        ddof = int(next(iter(st.values())).get("ddof", 1.0)) if st else 1
-        return StandardScalerModel(tuple(cols), tuple(st[c]["mean"] for c in cols),
-                                   tuple(st[c]["std"] for c in cols), ddof)
-    return MinMaxScalerModel(tuple(cols), tuple(st[c]["min"] for c in cols),
-                             tuple(st[c]["max"] for c in cols))
+    for r in params.where(F.col("scaler") == scaler).collect():
+        st.setdefault(r["column"], {})[r["stat"]] = r["value"]
+    return model_of(scaler, tuple(st), st)
 
 
 # ---------------------------------------------------------- the pipeline

@@ -195,6 +195,31 @@ def q_preprocess_minmax(spark, d):
     return rnd_all(out, 6)
 
 
+_QUARTILES_CTE = f"""WITH {HOUSING_CTE},
+st AS (SELECT {', '.join(f"quantile_cont({c}, 0.5) AS m_{c}, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS q_{c}" for c in FEATS)}
+       FROM h)"""
+
+
+@query("fit_robust", _QUARTILES_CTE + "\n" + "\nUNION ALL\n".join(
+    f"""SELECT 'robust' AS scaler, '{c}' AS "column", 'median' AS stat, {_r(f'm_{c}', 4)} AS value FROM st
+UNION ALL SELECT 'robust', '{c}', 'iqr', {_r(f'CASE WHEN q_{c} > 1e-8 THEN q_{c} ELSE 1.0 END', 4)} FROM st""" for c in FEATS))
+def q_fit_robust(spark, d):
+    """A kind from the scaler registry with statistics of its own: exact medians and quartile ranges."""
+    t = S.params_from_fit(H.housing_table(spark, d), S.make_scaler("robust", FEATS))
+    return t.select("scaler", "column", "stat", rnd("value", 4).alias("value"))
+
+
+@query("preprocess_robust", _QUARTILES_CTE + f"""
+SELECT {', '.join(_r(f'({c} - m_{c}) / CASE WHEN q_{c} > 1e-8 THEN q_{c} ELSE 1.0 END', 5) + f' AS {c}' for c in FEATS)},
+       {_r(TGT, 5)} AS {TGT} FROM h, st""")
+def q_preprocess_robust(spark, d):
+    """Robust scaling with parameters reloaded from their table."""
+    h = H.housing_table(spark, d)
+    _, m, _ = S.preprocess(h, FEATS, TGT, scaler="robust")
+    back = S.model_from_params(S.params_table(spark, m), "robust")
+    return rnd_all(back.transform(h.select(*FEATS, TGT)), 5)
+
+
 @query("inverse_scale", f"""
 WITH {HOUSING_CTE},
 st AS (SELECT {', '.join(f"avg({c}) AS m_{c}, CASE WHEN stddev_samp({c}) > 1e-8 THEN stddev_samp({c}) ELSE 1.0 END AS s_{c}" for c in FEATS)} FROM h)

@@ -100,3 +100,62 @@ def test_target_scaler_of_any_kind(spark):
     assert (fm.kind, tm.kind) == ("standard", "minmax") and (min(vals), max(vals)) == (0.0, 1.0)
     own, _, model = SC.preprocess(df, ["a"], "t", target_scaler=lambda cols: SC.StandardScaler(cols, 0))
     assert model.ddof == 0 and abs(sum(r["t"] for r in own.collect())) < 1e-9
+
+
+def test_robust_scaler_quartiles_params_and_inverse(spark):
+    import numpy as np
+    rng = np.random.RandomState(3)
+    vals = [float(v) for v in np.round(rng.standard_cauchy(501), 2)]
+    rows = [(v, None if i % 3 else float(i % 5), 2.0, None) for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "`x.y` double, b double, same double, none double")
+    df = df.withColumnRenamed("x.y", "x_y").repartition(5)
+    cols = ["x_y", "b", "same", "none"]
+    m = S.make_scaler("robust", cols).fit(df)
+    for i, c in enumerate(cols[:2]):
+        own = [r[i] for r in rows if r[i] is not None]
+        q1, q2, q3 = np.quantile(own, [0.25, 0.5, 0.75])
+        assert m.medians[i] == pytest.approx(q2) and m.iqrs[i] == pytest.approx(q3 - q1)
+    assert (m.medians[2:], m.iqrs[2:]) == ((2.0, 0.0), (1.0, 1.0))
+    assert S.model_from_params(S.params_table(spark, m), "robust") == m
+    assert S.model_from_params(S.params_from_fit(df, S.RobustScaler(cols)), "robust") == m
+    t = {r["column"]: (r["median"], r["iqr"]) for r in S.fit_table(df, S.RobustScaler(cols)).collect()}
+    assert t["same"] == (2.0, 1.0)
+    back = m.inverse(m.transform(df)).select("x_y").collect()
+    assert sorted(r[0] for r in back) == pytest.approx(sorted(vals))
+    assert m.transform(df).filter("none is not null").count() == 0
+    assert S.RobustScaler(["x_y"]).fit(df.limit(0)).medians == (0.0,)
+
+
+def test_registered_scaler_of_ones_own(spark):
+    from dataclasses import dataclass
+
+    @dataclass(frozen=True)
+    class MaxAbsModel:
+        columns: tuple
+        tops: tuple
+        kind = "maxabs"
+
+        def expr(self, c, src=None):
+            return (F.col(c) if src is None else src) / F.lit(self.tops[self.columns.index(c)])
+
+        def stats(self):
+            return [(c, {"top": t}) for c, t in zip(self.columns, self.tops)]
+
+    class MaxAbs(S._Fitted):
+        kind, names = "maxabs", ("top",)
+
+        def fit_exprs(self):
+            return [F.max(F.abs(F.col(c))).alias(f"{c}__top") for c in self.columns]
+
+    S.register_scaler("maxabs", lambda cols, ddof: MaxAbs(cols), lambda cols, st: MaxAbsModel(cols, tuple(st[c]["top"] for c in cols)))
+    try:
+        df = spark.createDataFrame([(-4.0, 1.0), (2.0, 3.0)], "a double, y double")
+        out, fm, tm = S.preprocess(df, ["a"], "y", scaler="maxabs", target_scaler="robust")
+        assert sorted(r["a"] for r in out.collect()) == [-1.0, 0.5]
+        assert (fm.tops, tm.medians, tm.iqrs) == ((4.0,), (2.0,), (1.0,))
+        assert S.model_from_params(S.params_table(spark, fm, tm), "maxabs") == fm
+        assert S.fit_table(df, S.make_scaler("maxabs", ["a"])).first()["top"] == 4.0
+    finally:
+        del S._KINDS["maxabs"]
+    with pytest.raises(ValueError):
+        S.make_scaler("maxabs", ["a"])
