@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .model import MLP, params_rows
 from .project import history_thin
+from .registry import commit_run, read_table
 
 HISTORY_SCHEMA = "run_id string, epoch int, loss double, val_loss double, learning_rate double"
 BATCH_SCHEMA = "run_id string, epoch int, batch int, batch_loss double"
@@ -67,20 +68,28 @@ def params_table(spark: SparkSession, model: MLP, model_id: str) -> DataFrame:
     return spark.createDataFrame([(model_id,) + r for r in params_rows(model)], PARAM_SCHEMA)
 
 
+def model_rows(spark: SparkSession, model: MLP, model_id: str) -> DataFrame:
+    """Every parameter as a row (layer, kind, i, j, value), with the architecture in the row layout."""
+    return params_table(spark, model, model_id).drop("model_id").withColumn("activation", F.lit(model.activation))
+
+
+def _place(path: str) -> tuple[str, str]:
+    root, _, name = path.rstrip("/").rpartition("/")
+    return root, name
+
+
 def save_model(spark: SparkSession, model: MLP, path: str, model_id: str) -> None:
-    """Every parameter as a row (model_id, layer, kind, i, j, value), with the
-    architecture in the row layout; appended, partitioned by model_id."""
-    (params_table(spark, model, model_id)
-        .withColumn("activation", F.lit(model.activation))
-        .write.mode("append").partitionBy("model_id").parquet(path))
+    """Commit a network's parameter rows to the table at ``path`` (a registry's folder
+    and a table name); saved again under its id, the network replaces the one before."""
+    root, name = _place(path)
+    commit_run(spark, root, model_id, {name: model_rows(spark, model, model_id)})
 
 
 def load_model(spark: SparkSession, path: str, model_id: str) -> MLP:
-    """Rebuild the network from its parameter rows (bounded by its size;
-    the model_id predicate prunes other partitions)."""
-    rows = spark.read.parquet(path).where(F.col("model_id") == model_id).collect()
-    if not rows:
-        raise FileNotFoundError(f"model {model_id} not found under {path}")
+    """Rebuild the network from its committed parameter rows (bounded by its size;
+    only that model's folder is read)."""
+    root, name = _place(path)
+    rows = read_table(spark, root, name, model_id).collect()
     act = rows[0]["activation"]
     layers = sorted({r["layer"] for r in rows})
     params = []
@@ -232,21 +241,20 @@ def run_state(spark: SparkSession, run_id: str, result, metrics: dict | None, *,
     return spark.createDataFrame([row], " ".join(RUN_STATE_SCHEMA.split()))
 
 
+RUN_TABLES = ("training_history", "batch_losses", "optimizer_state", "parameters", "predictions", "scaling_params", "run_state")
+
+
 def save_run(spark: SparkSession, root: str, run_id: str, result, *, predictions: DataFrame | None = None,
              scaler_params: DataFrame | None = None, state: DataFrame | None = None) -> str:
-    """Write every table of one run under ``root``, partitioned by run_id
-    (append: the folder is a registry of runs). Returns the run id."""
-    root = root.rstrip("/")
-    w = lambda df, name: df.write.mode("append").partitionBy("run_id").parquet(f"{root}/{name}")
-    w(history_table(spark, result, run_id), "training_history")
+    """Commit every table of one run to the registry of runs under ``root`` (see
+    ``registry``): readers see all of them or none, and saving the run again
+    replaces them. Read with ``registry.read_table``. Returns the run id."""
+    tables = {"training_history": history_table(spark, result, run_id),
+              "optimizer_state": optimizer_table(spark, result.config, run_id),
+              "parameters": model_rows(spark, result.model, run_id)}
     if result.batch_losses:
-        w(batch_losses_table(spark, result, run_id), "batch_losses")
-    w(optimizer_table(spark, result.config, run_id), "optimizer_state")
-    save_model(spark, result.model, f"{root}/parameters", run_id)
-    if predictions is not None:
-        w(predictions.withColumn("run_id", F.lit(run_id)), "predictions")
-    if scaler_params is not None:
-        w(scaler_params.withColumn("run_id", F.lit(run_id)), "scaling_params")
-    if state is not None:
-        state.write.mode("append").json(f"{root}/run_state")
+        tables["batch_losses"] = batch_losses_table(spark, result, run_id)
+    tables |= {name: df for name, df in (("predictions", predictions), ("scaling_params", scaler_params), ("run_state", state))
+               if df is not None}
+    commit_run(spark, root, run_id, tables, formats={"run_state": "json"}, withdraw=RUN_TABLES)
     return run_id

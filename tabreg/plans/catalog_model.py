@@ -4,6 +4,7 @@ run-level folds. Importing this module registers them in ``catalog``."""
 from __future__ import annotations
 
 import numpy as np
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import matrix as X
@@ -12,6 +13,7 @@ from ..operators import runs as RU
 from ..operators import scale as S
 from ..operators import train as T
 from ..operators.model import MLP, mlp_gradient, mlp_score
+from ..operators.registry import commit_run, read_table, stage_table
 from . import housing as H
 from . import workflow as W
 from .catalog import FEATS, HOUSING_CTE, TGT, _r, query, rnd, rnd_all
@@ -405,12 +407,45 @@ def q_save_run(spark, d):
     RU.save_run(spark, root, "rust", res, predictions=preds, scaler_params=S.params_table(spark, p.feature_model), state=state)
     out = None
     for name in ("batch_losses", "optimizer_state", "parameters", "predictions", "run_state", "scaling_params", "training_history"):
-        t = spark.read.schema(state.schema).json(f"{root}/{name}") if name == "run_state" else spark.read.parquet(f"{root}/{name}")
+        t = read_table(spark, root, name, "rust", schema=state.schema if name == "run_state" else None)
         n = t.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
         out = n if out is None else out.unionByName(n)
     return out
 
 
+@query("run_registry", f"""{_net_rows_sql()},
+e AS (SELECT CASE event_type WHEN 'view' THEN 'seen' ELSE event_type END AS run_id, CAST(ts AS DATE) AS day, avg(value) AS loss
+      FROM events GROUP BY ALL)
+SELECT run_id, 'training_history' AS table_name, CAST(row_number() OVER (PARTITION BY run_id ORDER BY day) AS BIGINT) AS row_id,
+       {_r('loss', 8)} AS value FROM e
+UNION ALL SELECT 'net', 'predictions', CAST({_r('actual', 0)} AS BIGINT), {_r('pred', 6)} FROM p""")
+def q_run_registry(spark, d):
+    """Runs committed to the registry and read back, value by value: a loss curve for each kind of event, and a
+    network's predictions over all rows. Every run is committed twice, wrong rows first; an attempt that is
+    written but not published, as by a driver lost in between, changes nothing."""
+    from ..session import shared_path
+    root = shared_path(spark, "registry")
+    day = F.to_date("ts")
+    kind = F.when(F.col("event_type") == "view", "seen").otherwise(F.col("event_type"))
+    curve = H.read(spark, d, "events").groupBy(kind.alias("run"), day.alias("day")).agg(F.avg("value").alias("loss"))
+    order = Window.partitionBy("run").orderBy("day")
+    curve = curve.select("run", F.row_number().over(order).cast("long").alias("epoch"), "loss").persist()
+    preds = T.score_many(_net_table(spark, d), [HOUSING_NET], keep=("y",)).select("y", "pred")
+    for wrong in (True, False):
+        for r in sorted(x[0] for x in curve.select("run").distinct().collect()):       # one run for each kind
+            own = curve.filter(F.col("run") == r).drop("run")
+            commit_run(spark, root, r, {"training_history": own.withColumn("loss", F.lit(-1.0)) if wrong else own})
+    commit_run(spark, root, "net", {"predictions": preds.limit(3), "training_history": curve.limit(3)})
+    commit_run(spark, root, "net", {"predictions": preds}, withdraw=RU.RUN_TABLES)
+    stage_table(preds.limit(5), root, "predictions", "net", "lost")
+    curve.unpersist()
+    history = read_table(spark, root, "training_history").select(
+        "run_id", F.lit("training_history").alias("table_name"), F.col("epoch").alias("row_id"), rnd("loss", 8).alias("value"))
+    scored = read_table(spark, root, "predictions", "net").select(
+        "run_id", F.lit("predictions").alias("table_name"), F.round("y", 0).cast("long").alias("row_id"), rnd("pred", 6).alias("value"))
+    return history.unionByName(scored)
+
+
 # ------------------------------------------------------ run-level folds
 
 _CURVE_CTE = """c AS (

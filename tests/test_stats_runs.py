@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabreg.operators import project as P
+from tabreg.operators import registry as RG
 from tabreg.operators import runs as RU
 from tabreg.operators import scale as S
 from tabreg.operators import stats as ST
@@ -71,6 +72,52 @@ def test_run_state_and_save_run(spark, tmp_path):
     assert st["training_state"]["total_epochs"] == 3 and st["config"]["loss_function"] == "MAE"
     root = str(tmp_path / "runs")
     RU.save_run(spark, root, "r1", res)
-    back = spark.read.parquet(f"{root}/training_history").orderBy("epoch").collect()
+    back = RG.read_table(spark, root, "training_history").orderBy("epoch").collect()
     assert [r["epoch"] for r in back] == [1, 2, 3] and back[0]["run_id"] == "r1"
     assert RU.load_model(spark, f"{root}/parameters", "r1").n_params == m.n_params
+
+
+def test_a_run_saved_twice_is_one_run(spark, tmp_path):
+    from tabreg.operators.model import MLP
+    from tabreg.operators.train import TrainConfig, TrainResult
+    root = str(tmp_path / "runs")
+
+    def result(seed, epochs, batches=()):
+        return TrainResult(TrainConfig(epochs=epochs, patience=None), MLP.create((2, 2, 1), seed=seed),
+                           history=[{"epoch": e, "loss": seed + 1.0 / e, "val_loss": None, "learning_rate": 0.01} for e in range(1, epochs + 1)],
+                           batch_losses=[{"epoch": 1, "batch": b, "batch_loss": 1.0} for b in batches], stop_epoch=epochs, seconds=1.0)
+    first, second = result(1, 3, (1, 2)), result(2, 2)
+    state = spark.createDataFrame([("r", 1)], "run_id string, x int")
+    RU.save_run(spark, root, "r", first, state=state)
+    RU.save_run(spark, root, "other/1", first)
+    RU.save_run(spark, root, "r", second)
+    h = RG.read_table(spark, root, "training_history", "r").collect()
+    assert sorted((r["epoch"], r["loss"]) for r in h) == [(1, 3.0), (2, 2.5)]
+    assert RG.read_table(spark, root, "training_history").count() == 5
+    assert RG.read_table(spark, root, "parameters", "r").count() == second.model.n_params
+    got = RU.load_model(spark, f"{root}/parameters", "r")
+    assert all((a == b).all() for x, y in zip(got.params, second.model.params) for a, b in zip(x, y))
+    for gone in ("batch_losses", "run_state"):           # the second save had none
+        with pytest.raises(FileNotFoundError):
+            RG.read_table(spark, root, gone, "r", schema=None)
+    assert RG.read_table(spark, root, "run_state", "r", schema=state.schema).count() == 0
+
+
+def test_a_failed_commit_leaves_what_was_there(spark, tmp_path):
+    root = str(tmp_path / "runs")
+    rows = lambda *v: spark.createDataFrame([(x,) for x in v], "v int")
+    with pytest.raises(FileNotFoundError):
+        RG.read_table(spark, root, "a")
+    assert RG.committed(spark, root).count() == 0
+    fails = spark.createDataFrame([("x",)], "v string").select(F.expr("raise_error('lost')").cast("int").alias("v"))
+    with pytest.raises(Exception, match="lost"):
+        RG.commit_run(spark, root, "r", {"a": rows(0), "b": fails})
+    with pytest.raises(FileNotFoundError):
+        RG.read_table(spark, root, "a", "r")
+    RG.commit_run(spark, root, "r", {"a": rows(1, 2), "b": rows(3)})
+    with pytest.raises(Exception, match="lost"):
+        RG.commit_run(spark, root, "r", {"a": rows(7, 8, 9), "b": fails})
+    assert sorted(r["v"] for r in RG.read_table(spark, root, "a", "r").collect()) == [1, 2]
+    assert [r["v"] for r in RG.read_table(spark, root, "b").collect()] == [3]
+    RG.commit_run(spark, root, "r", {"a": rows(5)})       # only that table changes
+    assert [[r["v"] for r in RG.read_table(spark, root, n, "r").collect()] for n in ("a", "b")] == [[5], [3]]
