@@ -11,13 +11,16 @@ template's. The main text of a page is the text of its slots, of template nodes
 read otherwise there, and of its nodes that the wrapper lacks, inside the article
 (or main, or body), without the elements that HTML or a whole token of their class or
 role marks as menus, headers, footers, sidebars, notices, adverts, forms or comments.
+A joined token (``comments-section``, ``site-nav``) marks where each of its words is a mark
+or names a part of a page (``PARTS``), so ``has-sidebar`` and ``search-methods`` do not; ids
+mark by the same rule, but not inside an article and not a heading, paragraph or link.
 Marks that also name parts of articles (``LOOSE``) do not count inside an article or
 main, nor at a node where the host's pages each have a text of their own; no mark
 drops an element that holds an article or main, but for lists of comments and teasers.
 
 Three passes over the pages: skeletons (counted with partial sums), node texts
 (hashes, counted), extraction. Wrappers are joined by host: broadcast while at
-most ``FEW`` hosts, else shuffled, where AQE splits a hot host. No host's pages
+most ``BROADCAST_BYTES``, else shuffled, where AQE splits a hot host. No host's pages
 ever meet in one task.
 """
 
@@ -35,12 +38,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, few_rows, map_batches, write_table
+from .common import batch, map_batches, write_table
 from .url_filter import host
 
 CONSTANT = 0.9           # a node is template if so many of the host's distinct pages have the same text there
 MIN_PAGES = 5            # and at least so many distinct pages have the node
-FEW = 50_000             # wrappers that are broadcast (about 2 KB each)
+BROADCAST_BYTES = 64 << 20      # of wrappers that are broadcast; more are shuffled
 DEPTH = 1 << 62          # levels of a skeleton: all
 CELLS = 250_000          # larger sibling tables are made with arrays, and only some rows are kept
 
@@ -58,6 +61,10 @@ WORDS = set("ad ads advert adverts advertisement advertising banner breadcrumb b
 OTHERS = set("comment comments disqus replies reply respond related".split())      # other articles than the page's own
 LOOSE = set("alert banner login menu modal notice notices popup promo search signup skip subscribe toc widget".split())
 HEADERS = set("header topbar".split())
+PARTS = set("site main top bottom left right primary secondary global page post block box area section list links link bar wrapper wrap "
+            "container panel row thread form buttons inner outer item body author meta bottom mobile sticky fixed floating".split())
+SITE = set("site global top sticky fixed mobile".split())      # whose header is not a text's own
+TEXTS = set("h1 h2 h3 h4 h5 h6 p a span b i em strong li td th dt dd sup sub".split())      # their ids name places in a text
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "tfoot": {"tr", "td", "th", "tbody"}}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"},
@@ -73,10 +80,10 @@ _WORD = re.compile(r"[a-z]+|\d+")
 
 
 class Node:
-    __slots__ = ("tag", "words", "marks", "kids", "drop", "slot", "holds")
+    __slots__ = ("tag", "words", "marks", "ids", "kids", "drop", "slot", "holds")
 
-    def __init__(self, tag: str, words: tuple = (), marks: frozenset = frozenset()):
-        self.tag, self.words, self.marks, self.kids = tag, words, marks, []
+    def __init__(self, tag: str, words: tuple = (), marks: frozenset = frozenset(), ids: frozenset = frozenset()):
+        self.tag, self.words, self.marks, self.ids, self.kids = tag, words, marks, ids, []
         self.drop = self.slot = self.holds = False      # template text; a text of its own on each page; has an article or main
 
     def label(self) -> str:
@@ -89,10 +96,27 @@ def _words(attrs: str) -> tuple:
     return tuple(sorted(w for w in set(_WORD.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", found).lower())) if w.isalpha()))
 
 
+def _named(value: str) -> set:
+    """The marks that tokens name: whole ones, and joined ones of marks and ``PARTS`` only."""
+    out: set = set()
+    for token in html.unescape(value.strip("\"'")).split():
+        parts = re.sub(r"(?<=[a-z])(?=[A-Z])", "-", token).lower().replace("_", "-").split("-")
+        named = [t for t in parts if t in WORDS or t in HEADERS and (len(parts) == 1 or not SITE.isdisjoint(parts))]
+        if named and all(t in WORDS or t in HEADERS or t in PARTS or not t for t in parts):
+            out.update(named)
+    return out
+
+
 @lru_cache(maxsize=4096)
 def _marks(attrs: str) -> frozenset:
-    """Whole tokens of class and role that are in ``WORDS`` or ``HEADERS``."""
-    return frozenset(t for v in _TOKENS.findall(attrs) for t in html.unescape(v.strip("\"'")).lower().split() if t in WORDS or t in HEADERS)
+    """Marks of class and role."""
+    return frozenset(t for v in _TOKENS.findall(attrs) for t in _named(v))
+
+
+@lru_cache(maxsize=4096)
+def _ids(attrs: str) -> frozenset:
+    """Marks of the id."""
+    return frozenset(t for k, v in _HINT.findall(attrs) if k.lower() == "id" for t in _named(v))
 
 
 def parse(text: str) -> Node:
@@ -124,7 +148,7 @@ def parse(text: str) -> Node:
             _close(stack, {"p"}, P_SCOPE)
         if name in CLOSES:
             _close(stack, CLOSES[name], SCOPES[name])
-        node = Node(name, _words(attrs), _marks(attrs)) if attrs.strip(" /") else Node(name)
+        node = Node(name, _words(attrs), _marks(attrs), frozenset() if name in TEXTS else _ids(attrs)) if attrs.strip(" /") else Node(name)
         stack[-1].kids.append(node)
         if name in ("article", "main"):
             for above in reversed(stack):
@@ -463,11 +487,11 @@ def boilerplate(node: Node, inside: bool) -> bool:
         return True
     if node.holds or node.tag in ("article", "main", "body", "html"):
         return False
-    if not inside and not node.slot and not node.marks.isdisjoint(LOOSE):
+    if not inside and (not node.ids <= LOOSE | HEADERS or not node.slot and not LOOSE.isdisjoint(node.marks | node.ids)):
         return True
     if node.tag == "header":
         return not (inside and any(isinstance(k, Node) and k.tag in HEADINGS for k in _all(node)))
-    return not inside and not node.marks.isdisjoint(HEADERS)
+    return not inside and not HEADERS.isdisjoint(node.marks | node.ids)
 
 
 def _all(node: Node):
@@ -596,7 +620,12 @@ def wrappers(pages: DataFrame) -> DataFrame:
 
 
 def _with_wrapper(pages: DataFrame, table: DataFrame) -> DataFrame:
-    return pages.join(F.broadcast(table) if few_rows(table, FEW) else table, "host", "left")
+    """Pages with their host's row of a written table: broadcast if its size, which is summed, is bounded."""
+    size = F.length("host") + F.length("skeleton") + 64
+    if "nodes" in table.columns:
+        size = size + F.greatest(F.size("nodes"), F.lit(0)) * 24
+    total = table.agg(F.sum(F.coalesce(size, F.lit(64)).cast("long"))).first()[0] or 0
+    return pages.join(F.broadcast(table) if total <= BROADCAST_BYTES else table.hint("merge"), "host", "left")
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -89,7 +89,7 @@ def test_wrapper_drops_constant_nodes(spark):
 def test_shuffled_wrappers_give_the_same(spark, monkeypatch):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     a = sorted(map(tuple, H.extract(pages).collect()))
-    monkeypatch.setattr(H, "FEW", 0)
+    monkeypatch.setattr(H, "BROADCAST_BYTES", 0)
     assert a == sorted(map(tuple, H.extract(pages).collect()))
 
 
@@ -160,3 +160,36 @@ def test_template_in_long_and_deep_pages_is_found(spark):
     for i in range(20):
         assert text[i] == "\n".join(x for k in range(300) for x in (f"Text {i} {k}", f"Head {i} {k}")) + f"\nOwn {i}"
     assert all(text[100 + i] == f"Text {i}" for i in range(6))
+
+
+CHROME = ['id="comments"', 'class="comment-list"', 'class="comments-section"', 'class="site-nav"', 'class="main-menu"', 'class="footer-links"',
+          'class="sidebar-left"', 'id="advert"', 'class="siteNav"', 'id="site_footer"', 'class="x related-posts-x related-post"',
+          'class="site-header"', 'id="cookie-banner"', 'id="main-menu"']
+
+
+@pytest.mark.parametrize("mark", CHROME)
+def test_joined_tokens_and_ids_mark_parts_of_a_page(mark):
+    assert H.main_text(H.parse(f"<body><h1>T</h1><p>x</p><div {mark}><p>Not the text</p></div><p>y</p></body>")) == "T\nx\ny"
+
+
+@pytest.mark.parametrize("mark", ['class="page-header"', 'class="search-methods"', 'id="comments-on-the-law"', 'class="add"', 'class="article-footer-notes"',
+                                  'class="no-sidebar"', 'class="shared-memory"', 'class="main"', 'class="post-body"', 'class="-"'])
+def test_other_tokens_do_not(mark):
+    assert H.main_text(H.parse(f"<body><p>x</p><div {mark}><h2>Text</h2></div><p>y</p></body>")) == "x\nText\ny"
+
+
+def test_ids_inside_an_article_name_its_sections():
+    page = ('<body><div id="comments">c</div><article><p>x</p><section id="comments"><p>How to write comments</p></section>'
+            '<div class="cookie-banner">We use cookies</div><div class="notice-box">n</div></article></body>')
+    assert H.main_text(H.parse(page)) == "x\nHow to write comments\nn"
+
+
+@pytest.mark.parametrize("pages", [1, 50])
+def test_reader_comments_and_menus_go_without_an_article(spark, pages):
+    """Comments differ from page to page, so no template shows them; a small host has no template at all."""
+    def page(i):
+        said = "".join(f'<div class="comment-item">Reader {i} {k} says {i * k}</div>' for k in range(4))
+        return (f'<body><div class="site-nav"><a>Home</a><a>News</a></div><h1>Title {i}</h1><p>Text {i}</p>'
+                f'<div id="comments"><h3>{i} comments</h3>{said}</div><div class="cookie-notice">Cookies</div><div class="footer-links">Terms</div></body>')
+    got = H.extract(pages_of(spark, [(i, f"http://a.example/{i}", page(i)) for i in range(pages)])).collect()
+    assert sorted(r["text"] for r in got) == sorted(f"Title {i}\nText {i}" for i in range(pages))
