@@ -10,11 +10,11 @@ for a fifth held out for the thresholds. Everything is counted over all of it:
 * probabilities by joins: a gram with its context, and with its own suffix one order down.
 
 A document's log probability is a sum over its bytes, and a byte's lookups (its
-gram of each order, and the back-off weights of its contexts) all have the same
-previous byte. So the model is sharded by that byte; shards are packed into blocks
-of at most ``BLOCK_ROWS`` rows (or one shard), and every block is joined with the
-texts by a broadcast of itself. More blocks are more passes, whose partial sums
-are added.
+gram of each order, and the back-off weights of its contexts) of order 3 and more all
+have the same two previous bytes. So the model is sharded by them into blocks of about
+``BLOCK_ROWS`` rows, written to the shared folder; each task opens the block that it
+needs there, and nothing of the model passes through the driver. More blocks are more
+passes over the texts, whose partial sums are added.
 
 Perplexity is per byte. A document is kept if it is at most the ``QUANTILE`` of the
 held-out trusted documents of its language (of all, for a language without any).
@@ -24,15 +24,19 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.dataset as pads
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_path
+from ..sources.files import open_fs
 from . import text as X
 from .common import batch, keep_ids, map_batches, write_table
 
 ORDER = 5
 QUANTILE = 0.99
-BLOCK_ROWS = 3_000_000   # model rows in one broadcast: 36 MB, and 96 MB of hash table in a worker
+BLOCK_ROWS = 3_000_000   # model rows of one block: 36 MB, and 96 MB of hash table in a worker
 HELD_OUT = 5             # crc32(doc_id) mod 5 = 0: for thresholds, not for counts
 CHUNK_TYPES = 2_000_000  # distinct grams whose counts a task holds at once
 START = 2                # a byte that stands before a text's first
@@ -154,17 +158,27 @@ def _key(order: int, gram, kind: int):
 
 
 class Block:
-    """The rows of some shards: grams (kind 1) and contexts (kind 2) of all orders."""
-
-    def __init__(self, keys: bytes, values: bytes, shards=None):
-        self.table = Table(np.frombuffer(keys, "<u8"), np.frombuffer(values, "<f4"))
-        self.shards = None if shards is None else np.isin(np.arange(256), shards)
+    """The rows of a block: grams (kind 1) and contexts (kind 2) of all orders."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, block: int = 0, blocks: int = 1):
+        self.table = Table(keys, values)
+        self.own = None if blocks == 1 else block_of_pair(np.arange(1 << 16), blocks) == block
+
+    @classmethod
+    def read(cls, path: str, block: int, blocks: int) -> Block:
+        """Built in a task from the block's folder of the written model."""
+        fs, root = open_fs(path)
+        folder = f"{root}/block={block}"
+        if fs.get_file_info(folder).type == pafs.FileType.NotFound:
+            return cls(np.zeros(0, U), np.zeros(0, np.float32), block, blocks)
+        t = pads.dataset(folder, filesystem=fs, format="parquet").to_table(columns=["key", "val"])
+        return cls(t.column("key").to_numpy().view(U), t.column("val").to_numpy(), block, blocks)
 
     def logs(self, offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
-        """Log probability of each document's bytes that are in this block's shards."""
+        """Log probability of each document's bytes that belong to this block."""
         g, doc = grams(offsets, data)
-        if self.shards is not None:
-            own = self.shards[(g >> U(8) & U(255)).astype(np.int64)]
+        if self.own is not None:
+            own = self.own[(g >> U(8) & U(0xffff)).astype(np.int64)]
             g, doc = g[own], doc[own]
         logs = np.zeros(len(g))
         left = np.arange(len(g))
@@ -185,71 +199,47 @@ class Block:
 _SUMS = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("lang", pa.string()), ("n_bytes", pa.int64()), ("logp", pa.float64())])
 
 
-def _sums(batches, shared):
-    block = Block(*shared.value)
+def _sums(batches, path, at, blocks):
+    block = None
     for b in batches:
+        if block is None:
+            block = Block.read(path, at, blocks)
         for lo, hi, offsets, data in X.slices(b.column(3)):
             yield batch(_SUMS, *(b.column(i).slice(lo, hi - lo) for i in range(3)), np.diff(offsets), block.logs(offsets, data))
 
 
-_PACKED = pa.schema([("keys", pa.binary()), ("vals", pa.binary())])
-
-
-def _pack(batches):
-    for b in batches:
-        if len(b):
-            yield batch(_PACKED, [b.column(0).to_numpy().astype("<i8").tobytes()], [b.column(1).to_numpy().astype("<f4").tobytes()])
-
-
-def packed_rows(rows: DataFrame) -> tuple[bytes, bytes]:
-    """Keys and values of a block's rows as two byte strings, 12 bytes a row."""
-    kind = F.when(F.col("loggap").isNull(), 1).otherwise(2)
-    key = F.col("gram").bitwiseOR(F.shiftleft((kind * 8 + F.col("order")).cast("long"), 48))
-    flat = rows.select(key.alias("key"), F.coalesce("logp", "loggap").cast("float").alias("val"))
-    got = map_batches(flat, _pack, "keys binary, vals binary").collect()
-    return b"".join(bytes(r["keys"]) for r in got), b"".join(bytes(r["vals"]) for r in got)
-
-
-def blocks(rows: DataFrame, limit: int = BLOCK_ROWS):
-    """Lists of shards (previous bytes) of about equal work, each of at most ``limit`` rows or one shard."""
-    shard = shard_of("order", "gram", "loggap")
-    sizes = sorted(((r["n"], r["shard"]) for r in rows.groupBy(shard.alias("shard")).agg(F.count("*").alias("n")).collect()),
-                   key=lambda x: (-x[0], x[1]))             # 257 rows at most
-    out: list = []
-    for n, s in sizes:
-        if s < 0:
-            continue
-        for b in out:
-            if b[0] + n <= limit:
-                b[0] += n
-                b[1].append(s)
-                break
-        else:
-            out.append([n, [s]])
-    return [b for _, b in out]
+def block_of_pair(pair, blocks: int):
+    """Block of the two previous bytes; NumPy arrays and columns alike."""
+    return pair * 40503 % 65521 % blocks
 
 
-def shard_of(order, gram, loggap):
-    """Previous byte: of a gram its last but one, of a context its last; -1 for order 1."""
-    last = F.col(gram).bitwiseAND(F.lit(255))
-    before = F.shiftrightunsigned(F.col(gram), 8).bitwiseAND(F.lit(255))
-    return F.when(F.col(order) == 1, F.lit(-1)).when(F.col(loggap).isNull(), before).otherwise(last).cast("int")
+def write_blocks(rows: DataFrame, limit: int = BLOCK_ROWS) -> tuple[str, int]:
+    """Writes the model as (key, val) by block of about ``limit`` rows, in folders
+    ``block=...`` of the shared folder; returns that path and the number of blocks.
+    Only the count of rows reaches the driver. Orders 1 and 2 (66,000 rows at most)
+    lie in every block, longer grams and contexts in that of their two previous bytes."""
+    blocks = max(1, -(-rows.count() // limit))
+    of_gram = F.col("loggap").isNull()
+    pair = F.when(of_gram, F.shiftrightunsigned("gram", 8)).otherwise(F.col("gram")).bitwiseAND(F.lit(0xffff))
+    every = F.sequence(F.lit(0), F.lit(blocks - 1))
+    at = F.when(F.col("order") <= 2, every).otherwise(F.array(block_of_pair(pair, blocks).cast("int")))
+    key = F.col("gram").bitwiseOR(F.shiftleft((F.when(of_gram, 1).otherwise(2) * 8 + F.col("order")).cast("long"), 48))
+    flat = rows.select(key.alias("key"), F.coalesce("logp", "loggap").cast("float").alias("val"), F.explode(at).alias("block"))
+    path = shared_path(rows.sparkSession, "blocks")
+    flat.repartition(blocks, "block").write.partitionBy("block").parquet(path)
+    return path, blocks
 
 
 def log_probabilities(docs: DataFrame, rows: DataFrame, limit: int = BLOCK_ROWS) -> DataFrame:
     """(row, doc_id, lang, n_bytes, logp) of each row of ``docs`` under a model."""
-    sc = docs.sparkSession.sparkContext
     src = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                       F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    packed = blocks(rows, limit) or [[]]
-    packed[0] = packed[0] + sorted(set(range(256)) - {s for b in packed for s in b})      # bytes that no gram follows
+    path, blocks = write_blocks(rows, limit)
     out = None
-    for shards in packed:
-        own = rows if len(packed) == 1 else rows.filter(shard_of("order", "gram", "loggap").isin([-1, *shards]))
-        shared = sc.broadcast((*packed_rows(own), None if len(packed) == 1 else shards))
-        part = map_batches(src, lambda it, s=shared: _sums(it, s), "row long, doc_id long, lang string, n_bytes long, logp double")
+    for at in range(blocks):
+        part = map_batches(src, lambda it, at=at: _sums(it, path, at, blocks), "row long, doc_id long, lang string, n_bytes long, logp double")
         out = part if out is None else out.unionByName(part)
-    if len(packed) > 1:
+    if blocks > 1:
         out = out.groupBy("row", "doc_id", "lang", "n_bytes").agg(F.sum("logp").alias("logp"))
     return out
 
