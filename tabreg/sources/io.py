@@ -12,18 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.project import canonical_select, rename_positional
 from ..operators.rows import in_source_order
 from ..plans.housing import CALIFORNIA_COLUMNS
+from .files import copy_folder, data_files, hadoop_path
 
 HOUSING_DDL = ", ".join(f"{c} double" for c in CALIFORNIA_COLUMNS)
-
-
-def _fs_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+LISTED_FILES = 100_000        # file names given to one scan (about 10 MB of settings)
+SPLIT_BYTES = 4 << 20         # a smaller file is not split for more tasks
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs_path(spark, path)
+    fs, p = hadoop_path(spark, path)
     return bool(fs.exists(p))
 
 
@@ -41,6 +38,30 @@ def read_headerless_csv(spark: SparkSession, path: str, schema: str | None = Non
     return r.option("inferSchema", True).csv(path)
 
 
+def scan_in_order(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """``read_headerless_csv`` whose partitions are the splits of the files in
+    source order (file name, then place in the file), one split a task. A write
+    that follows numbers its files likewise, so the outputs keep the row order
+    without positions, a shuffle or a sort.
+
+    Spark's file source packs splits by size. The lines come from Hadoop's text
+    input instead, which keeps the order of the files it is given, and are parsed
+    by Spark's CSV reader on the JVM side. Where the names cannot be listed so
+    (more than ``LISTED_FILES``, or with a comma or a glob character), the rows
+    are ordered by their source position."""
+    files = data_files(spark, path)
+    names = [uri for uri, _ in files]
+    if not files or len(files) > LISTED_FILES or any(set(n) & set(",{}[]*?\\") for n in names):
+        return in_source_order(read_headerless_csv(spark, path, schema))
+    sc = spark.sparkContext
+    size = sum(n for _, n in files)
+    lines = sc._jsc.textFile(",".join(names), max(1, min(size // SPLIT_BYTES, sc.defaultParallelism)))
+    table = spark._jsparkSession.createDataset(lines.rdd(), sc._jvm.org.apache.spark.sql.Encoders.STRING())
+    r = spark._jsparkSession.read().option("header", False).option("sep", ",")
+    r = r.schema(schema) if schema else r.option("inferSchema", True)
+    return DataFrame(r.csv(table), spark)
+
+
 def read_header_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     r = spark.read.option("header", True).option("sep", ",")
     if schema:
@@ -88,9 +109,9 @@ def convert_if_needed(spark: SparkSession, dataset_name: str, data_path: str, do
     """Idempotent ingestion: fail if an input is missing; when both outputs
     (CSV and Parquet, judged by their _SUCCESS markers) exist, skip, only
     publishing the processed copy if it is absent; otherwise read the
-    headerless CSV once, name its columns, and write both outputs from one
-    persisted read (the processed copy too), in source row order. Returns
-    ``out_dir``."""
+    headerless CSV, name its columns, and write both outputs in source row order,
+    a file for each split. Each output parses the lines again: nothing is shuffled
+    or held. The processed copy is a copy of the CSV's files. Returns ``out_dir``."""
     if not exists(spark, data_path):
         raise FileNotFoundError(f"no data at {data_path}")
     if not exists(spark, domain_path):
@@ -102,31 +123,24 @@ def convert_if_needed(spark: SparkSession, dataset_name: str, data_path: str, do
         if processed_dir:
             publish_processed(spark, csv_out, processed_dir, dataset_name, overwrite=False)
         return out_dir
-    if dataset_name == "CaliforniaHousing":
-        df = read_headerless_csv(spark, data_path, ", ".join(f"{c} double" for c in names))
-    else:   # generic datasets keep their positional names and inferred types
-        df = read_headerless_csv(spark, data_path)
-    df = in_source_order(df).persist()     # outputs keep the source row order
-    try:
-        write_csv(df, csv_out)
-        write_parquet(df, pq_out)
-        if processed_dir:   # the processed copy comes from the same persisted read
-            write_csv(df, f"{processed_dir.rstrip('/')}/{dataset_name}.csv")
-    finally:
-        df.unpersist()
+    # generic datasets keep their positional names and inferred types
+    known = dataset_name == "CaliforniaHousing"
+    df = scan_in_order(spark, data_path, ", ".join(f"{c} double" for c in names) if known else None)
+    write_csv(df, csv_out)
+    write_parquet(df, pq_out)
+    if processed_dir:
+        publish_processed(spark, csv_out, processed_dir, dataset_name, overwrite=True)
     return out_dir
 
 
 def publish_processed(spark: SparkSession, csv_dir: str, processed_dir: str, dataset_name: str,
                       *, overwrite: bool) -> str:
-    """Copy the converted CSV to the processed folder: always when
+    """Copy the converted CSV's files to the processed folder: always when
     ``overwrite``, else only if no complete copy is there (a half-written one
     has no _SUCCESS marker and is replaced)."""
     dest = f"{processed_dir.rstrip('/')}/{dataset_name}.csv"
-    if not overwrite and complete(spark, dest):
-        return dest
-    df = read_header_csv(spark, csv_dir, HOUSING_DDL if dataset_name == "CaliforniaHousing" else None)
-    in_source_order(df).write.mode("overwrite").option("header", True).csv(dest)
+    if overwrite or not complete(spark, dest):
+        copy_folder(spark, csv_dir, dest)
     return dest
 
 

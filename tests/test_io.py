@@ -63,3 +63,53 @@ def test_half_written_copy_is_replaced(spark, tmp_path):
     before = sorted(os.listdir(dest / "Own.csv"))
     IO.publish_processed(spark, src, str(dest), "Own", overwrite=False)
     assert sorted(os.listdir(dest / "Own.csv")) == before
+
+
+def test_conversion_neither_shuffles_nor_holds(spark, tmp_path):
+    data, _ = raw(spark, tmp_path)
+    plan = IO.scan_in_order(spark, data, IO.HOUSING_DDL)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "InMemoryRelation" not in plan
+
+
+def test_scan_in_order_fallback_and_types(spark, tmp_path, monkeypatch):
+    data, _ = raw(spark, tmp_path, width=3)
+    want = [(float(i), 2.0 * i, 3.0 * i) for i in range(20)]
+    assert [tuple(r) for r in IO.scan_in_order(spark, data).collect()] == want       # inferred, as Spark names them
+    assert IO.scan_in_order(spark, data).columns == ["_c0", "_c1", "_c2"]
+    assert IO.scan_in_order(spark, data).dtypes == IO.read_headerless_csv(spark, data).dtypes
+    monkeypatch.setattr(IO, "LISTED_FILES", 0)
+    assert [tuple(r) for r in IO.scan_in_order(spark, data, "a double, b double, c double").collect()] == want
+
+
+def test_splits_of_one_file_stay_in_order(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(IO, "SPLIT_BYTES", 1000)
+    path = tmp_path / "one.data"
+    path.write_text("".join(f"{i},x{i}\n" for i in range(5000)))
+    df = IO.scan_in_order(spark, str(path), "i long, s string")
+    assert df.rdd.getNumPartitions() > 1
+    assert [r["i"] for r in df.collect()] == list(range(5000))
+
+
+def test_published_files_are_equal_bytes(spark, tmp_path):
+    src, dest = tmp_path / "src.csv", tmp_path / "processed"
+    spark.range(0, 5000, 1, 7).selectExpr("id", "'ü,\"' || id AS s").write.option("header", True).csv(str(src))
+    IO.publish_processed(spark, str(src), str(dest), "Own", overwrite=True)
+    IO.publish_processed(spark, str(src), str(dest), "Own", overwrite=True)          # in place of the first
+    data = {p.name: p.read_bytes() for p in src.iterdir() if p.name[0] not in "_."}
+    got = {p.name: p.read_bytes() for p in (dest / "Own.csv").iterdir() if p.name[0] not in "_."}
+    assert len(data) == 7 and got == data
+    assert [p.name for p in dest.iterdir()] == ["Own.csv"]                           # no staging folder is left
+
+
+def test_failed_copy_leaves_the_old_one(spark, tmp_path, monkeypatch):
+    from tabreg.sources import files
+    src, dest = tmp_path / "src.csv", tmp_path / "processed"
+    spark.range(5).write.option("header", True).csv(str(src))
+    IO.publish_processed(spark, str(src), str(dest), "Own", overwrite=True)
+    before = sorted(p.name for p in (dest / "Own.csv").iterdir())
+    spark.range(9).write.mode("overwrite").option("header", True).csv(str(src))
+    listed = files.data_files
+    monkeypatch.setattr(files, "data_files", lambda s, p: [(u, n + 1) for u, n in listed(s, p)])
+    with pytest.raises(OSError):
+        IO.publish_processed(spark, str(src), str(dest), "Own", overwrite=True)
+    assert sorted(p.name for p in (dest / "Own.csv").iterdir()) == before

@@ -113,3 +113,12 @@ def test_block_matmul_of_two_large_tables(spark, monkeypatch):
     assert X.block_matmul(a.limit(0), b, tile=4).collect() == []
     with pytest.raises(ValueError, match="block_matmul"):
         X.collect_small_matrix(b, ["i", "j"], "i")
+
+
+def test_nulls_follow_one_rule(spark):
+    from tabreg.operators import metrics as M
+    df = spark.createDataFrame([(0, 1.0, 2.0), (0, None, 9.0), (0, 3.0, 0.0), (1, 5.0, None), (2, 4.0, 8.0)],
+                               "batch int, p double, t double")
+    assert {r["batch"]: r["batch_loss"] for r in M.batch_losses(df, "p", "t").collect()} == {1: 2.0, 2: None, 3: 4.0}
+    assert M.epoch_loss(df, "p", "t").first()["epoch_loss"] == 3.0
+    assert abs(M.regression_metrics(df, "p", "t").first()["mae"] - 8 / 3) < 1e-12
