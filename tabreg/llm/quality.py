@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_path
-from ..sources.files import open_fs
+from ..sources.files import open_fs, qualified
 from . import text as X
 from .common import batch, keep_ids, map_batches, write_table
 
@@ -227,7 +227,7 @@ def write_blocks(rows: DataFrame, limit: int = BLOCK_ROWS) -> tuple[str, int]:
     flat = rows.select(key.alias("key"), F.coalesce("logp", "loggap").cast("float").alias("val"), F.explode(at).alias("block"))
     path = shared_path(rows.sparkSession, "blocks")
     flat.repartition(blocks, "block").write.partitionBy("block").parquet(path)
-    return path, blocks
+    return qualified(rows.sparkSession, path), blocks
 
 
 def log_probabilities(docs: DataFrame, rows: DataFrame, limit: int = BLOCK_ROWS) -> DataFrame:
