@@ -1,23 +1,33 @@
 """Run tables: history, batch losses, optimizer and scaler state, parameters,
 predictions, run records -- all queryable, keyed by ``run_id``.
 
-Run-level folds (early stopping, plateau schedule) operate per run over that
-run's epochs: the group size is bounded by the epoch count of a training
-run, not by the data.
+Run-level folds (early stopping, plateau schedule) stream each run's epochs in
+order through one task, which keeps a few numbers of the run it is in: many
+runs, or a very long one, are the same to it.
 """
 
 from __future__ import annotations
 
+import math
 import time
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType
+
+from ..session import ship_package
 
 from .model import MLP, params_rows
 from .project import history_thin
 from .registry import commit_run, read_table
+from .train import Plateau
 
+REPLAY_ROWS = 10_000      # rows of one output batch of a fold
 HISTORY_SCHEMA = "run_id string, epoch int, loss double, val_loss double, learning_rate double"
 BATCH_SCHEMA = "run_id string, epoch int, batch int, batch_loss double"
 PARAM_SCHEMA = "model_id string, layer int, kind string, i int, j int, value double"
@@ -111,64 +121,79 @@ def load_model(spark: SparkSession, path: str, model_id: str) -> MLP:
 
 # ------------------------------------------------------------ run folds
 
+def _in_epoch_order(history: DataFrame, by: str, epoch: str, val: str) -> DataFrame:
+    """(run, epoch, value), each run in one partition and sorted there: a run streams
+    through its task from the sorted (and spilled) shuffle, however long it is."""
+    cols = history.select(F.col(by).alias("run"), F.col(epoch).cast("int").alias("at"), F.col(val).cast("double").alias("v"))
+    return cols.repartition("run").sortWithinPartitions("run", "at", "v")
+
+
+def _replay(history: DataFrame, by: str, epoch: str, val: str, fold, fields: str) -> DataFrame:
+    """One pass over each run in epoch order. ``fold`` gets an iterator of (epoch,
+    value) and yields the run's output rows without ``by``; it must read to the end."""
+    key = history.schema[by].dataType
+    schema = StructType([StructField(by, key), *StructType.fromDDL(fields).fields])
+    arrow = to_arrow_schema(schema)
+
+    def rows(batches):
+        for b in batches:
+            yield from zip(*(c.to_pylist() for c in b.columns))
+
+    def run(batches):
+        out: list = []
+        for k, of_run in groupby(rows(batches), itemgetter(0)):
+            for r in fold((e, v) for _, e, v in of_run):
+                out.append((k, *r))
+                if len(out) == REPLAY_ROWS:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)
+                    out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)
+
+    ship_package(history.sparkSession)
+    return _in_epoch_order(history, by, epoch, val).mapInArrow(run, schema)
+
+
 def early_stopping(history: DataFrame, patience: int, min_delta: float = 0.0, *,
                    by: str = "run_id", epoch: str = "epoch", val: str = "val_loss") -> DataFrame:
     """Replays early stopping over a history table: per run, best epoch,
     best validation loss, the epoch training stopped at and whether it
-    stopped early. An ``aggregate`` fold over the run's epochs in order
-    (``best`` moves only on a counted improvement, so with ``min_delta > 0``
-    a running minimum would not be equivalent)."""
-    init = F.struct(F.lit(float("inf")).alias("best"), F.lit(0).alias("wait"),
-                    F.lit(None).cast("int").alias("best_epoch"), F.lit(None).cast("int").alias("stop"),
-                    F.lit(False).alias("done"))
-
-    def step(acc, x):
-        imp = (x[val] + F.lit(float(min_delta))) < acc["best"]
-        wait = F.when(imp, F.lit(0)).otherwise(acc["wait"] + 1)
-        done = wait >= F.lit(int(patience))
-        nxt = F.struct(F.when(imp, x[val]).otherwise(acc["best"]).alias("best"),
-                       wait.alias("wait"),
-                       F.when(imp, x[epoch]).otherwise(acc["best_epoch"]).alias("best_epoch"),
-                       F.when(done, x[epoch]).otherwise(acc["stop"]).alias("stop"),
-                       done.alias("done"))
-        return F.when(acc["done"], acc).otherwise(nxt)
-
-    per = history.groupBy(by).agg(
-        F.sort_array(F.collect_list(F.struct(F.col(epoch).alias(epoch), F.col(val).alias(val)))).alias("_h"),
-        F.max(epoch).alias("_last"))
-    s = per.select(by, "_last", F.aggregate("_h", init, step).alias("_s"))
-    return s.select(by,
-                    F.col("_s.best_epoch").cast("int").alias("best_epoch"),
-                    F.col("_s.best").alias("best_val"),
-                    F.coalesce(F.col("_s.stop"), F.col("_last")).cast("int").alias("stop_epoch"),
-                    F.col("_s.done").alias("stopped_early"))
+    stopped early. A fold over the run's epochs in order (``best`` moves only
+    on a counted improvement, so with ``min_delta > 0`` a running minimum would
+    not be equivalent). A null or NaN loss is no improvement; epochs of one
+    number are taken in order of loss, null epochs first. A null run is a run."""
+
+    def fold(epochs):
+        best, wait, best_epoch, stop, done, last = math.inf, 0, None, None, False, None
+        for e, v in epochs:
+            last = e
+            if done:
+                continue
+            if v is not None and v + min_delta < best:
+                best, wait, best_epoch = v, 0, e
+            else:
+                wait += 1
+            if wait >= patience:
+                stop, done = e, True
+        yield best_epoch, best, last if stop is None else stop, done
+
+    return _replay(history, by, epoch, val, fold, "best_epoch int, best_val double, stop_epoch int, stopped_early boolean")
 
 
 def plateau_schedule(history: DataFrame, lr0: float, *, factor: float = 0.5, patience: int = 5,
                      threshold: float = 1e-4, min_lr: float = 0.0, eps: float = 1e-8,
                      by: str = "run_id", epoch: str = "epoch", val: str = "val_loss") -> DataFrame:
     """Learning rate in effect at every epoch under reduce-on-plateau (mode
-    min, relative threshold), replayed per run by an ``aggregate`` fold."""
-    init = F.struct(F.lit(float(lr0)).alias("lr"), F.lit(float("inf")).alias("best"),
-                    F.lit(0).alias("bad"),
-                    F.array().cast("array<struct<epoch:int,learning_rate:double>>").alias("out"))
-
-    def step(acc, x):
-        out = F.concat(acc["out"], F.array(F.struct(x[epoch].cast("int").alias("epoch"),
-                                                    acc["lr"].alias("learning_rate"))))
-        imp = x[val] < acc["best"] * F.lit(1.0 - threshold)
-        best = F.when(imp, x[val]).otherwise(acc["best"])
-        bad = F.when(imp, F.lit(0)).otherwise(acc["bad"] + 1)
-        cut = bad > F.lit(patience)
-        new_lr = F.greatest(acc["lr"] * F.lit(factor), F.lit(float(min_lr)))
-        lr = F.when(cut & ((acc["lr"] - new_lr) > F.lit(eps)), new_lr).otherwise(acc["lr"])
-        return F.struct(lr.alias("lr"), best.alias("best"),
-                        F.when(cut, F.lit(0)).otherwise(bad).alias("bad"), out.alias("out"))
-
-    per = history.groupBy(by).agg(
-        F.sort_array(F.collect_list(F.struct(F.col(epoch).alias(epoch), F.col(val).alias(val)))).alias("_h"))
-    s = per.select(by, F.aggregate("_h", init, step).alias("_s"))
-    return s.select(by, F.inline("_s.out"))
+    min, relative threshold), replayed per run by the fold that training uses.
+    Nulls and equal epochs as in ``early_stopping``."""
+
+    def fold(epochs):
+        state = Plateau(lr0, factor, patience, threshold, min_lr, eps)
+        for e, v in epochs:
+            yield e, state.lr
+            state.step(math.nan if v is None else v)
+
+    return _replay(history, by, epoch, val, fold, "epoch int, learning_rate double")
 
 
 def model_summary(history: DataFrame, *, by: str = "run_id", every: int = 20) -> tuple[DataFrame, DataFrame]:

@@ -538,6 +538,45 @@ def q_plateau_lr(spark, d):
     return s.select("run_id", "epoch", rnd("learning_rate", 12).alias("learning_rate"))
 
 
+# a run for each user, and one long run of a third of all events; a run's epochs are its events
+_RUNS_CTE = """e AS (
+  SELECT CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END AS run_id, CAST(event_id AS INTEGER) AS epoch, value AS val_loss FROM events),
+i AS (SELECT *, row_number() OVER w AS k,
+        CASE WHEN val_loss < coalesce(min(val_loss) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), CAST('inf' AS DOUBLE))
+             THEN 1 ELSE 0 END AS imp
+      FROM e WINDOW w AS (PARTITION BY run_id ORDER BY epoch)),
+l AS (SELECT *, max(CASE WHEN imp = 1 THEN k ELSE 0 END) OVER (PARTITION BY run_id ORDER BY epoch) AS last_imp FROM i)"""
+
+
+def _event_runs(spark, d):
+    run = F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")).cast("long")
+    return H.read(spark, d, "events").select(run.alias("run_id"), F.col("event_id").cast("int").alias("epoch"),
+                                             F.col("value").alias("val_loss"))
+
+
+@query("early_stopping_runs", f"""WITH {_RUNS_CTE},
+s AS (SELECT run_id, min(CASE WHEN k - last_imp >= 20 THEN k END) AS stop, max(k) AS last FROM l GROUP BY run_id)
+SELECT l.run_id, CAST(b.epoch AS INTEGER) AS best_epoch, {_r('b.val_loss', 8)} AS best_val, CAST(l.epoch AS INTEGER) AS stop_epoch,
+       s.stop IS NOT NULL AS stopped_early
+FROM s JOIN l ON l.run_id = s.run_id AND l.k = coalesce(s.stop, s.last)
+JOIN l AS b ON b.run_id = l.run_id AND b.k = l.last_imp""")
+def q_early_stopping_runs(spark, d):
+    """Early stopping (patience 20) of a run for each user and one hot, long run."""
+    es = RU.early_stopping(_event_runs(spark, d), patience=20)
+    return es.select("run_id", "best_epoch", rnd("best_val", 8).alias("best_val"), "stop_epoch", "stopped_early")
+
+
+@query("plateau_lr_runs", f"""WITH {_RUNS_CTE},
+c AS (SELECT run_id, epoch, coalesce(sum(CASE WHEN imp = 0 AND (k - last_imp) % 6 = 0 THEN 1 ELSE 0 END) OVER
+        (PARTITION BY run_id ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cuts FROM l)
+SELECT run_id, epoch, round(0.01 * pow(0.5, least(cuts, 19)), 12) + 0.0 AS learning_rate FROM c""")
+def q_plateau_lr_runs(spark, d):
+    """Learning rate at every epoch of those runs (patience 5, any improvement counts):
+    halved until a cut would be below 1e-8, that is 19 times."""
+    s = RU.plateau_schedule(_event_runs(spark, d), 0.01, factor=0.5, patience=5, threshold=0.0)
+    return s.select("run_id", "epoch", rnd("learning_rate", 12).alias("learning_rate"))
+
+
 @query("run_timestamp", """
 SELECT event_id, strftime(ts, '%Y%m%d_%H%M%S') AS run_id, strftime(ts, '%Y-%m-%d %H:%M:%S') || ' UTC' AS utc_time
 FROM events""")

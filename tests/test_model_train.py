@@ -264,3 +264,20 @@ def test_large_run_paths_equal_the_small_ones(spark, monkeypatch):
     monkeypatch.setattr(WF, "POS_BLOCK_MIN", 1000)
     _, large = WF.rust_flavour(spark, sf, synthetic=True)
     assert np.allclose(small.model.flat(), large.model.flat(), atol=1e-9)
+
+
+def test_folds_stream_many_runs(spark, monkeypatch):
+    monkeypatch.setattr(RU, "REPLAY_ROWS", 7)
+    rows = [(f"r{i % 3}" if i % 3 else None, i, float(40 - i if i < 30 else 50)) for i in range(60)]
+    rows += [("nulls", None, 1.0), ("nulls", 1, None), ("nulls", 2, float("nan")), ("nulls", 3, 2.0)]
+    h = spark.createDataFrame(rows, "run_id string, epoch int, val_loss double").repartition(5)
+    got = {r["run_id"]: tuple(r)[1:] for r in RU.early_stopping(h, 4).collect()}
+    assert got == {None: (27, 13.0, 39, True), "r1": (28, 12.0, 40, True), "r2": (29, 11.0, 41, True),
+                   "nulls": (None, 1.0, 3, False)}
+    lr = RU.plateau_schedule(h, 1.0, patience=2)
+    assert lr.count() == 64
+    assert [r["learning_rate"] for r in lr.filter("run_id = 'r1'").orderBy("epoch").collect()] == [1.0] * 13 + [0.5] * 3 + [0.25] * 3 + [0.125]
+    empty = h.filter("1 = 0")
+    assert RU.early_stopping(empty, 4).count() == 0 and RU.plateau_schedule(empty, 1.0).columns == ["run_id", "epoch", "learning_rate"]
+    plan = RU.early_stopping(h, 4)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and plan.count("hashpartitioning") == 1
