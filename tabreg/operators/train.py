@@ -35,6 +35,7 @@ from .. import constants as C
 from .matrix import _batch_matrix
 from .metrics import band_expr, grade_expr, metric_exprs
 from .model import DRIVER_SUM_PARTITIONS, MLP, collect_gradients, forward_np, grad_np, gradient_job, loss_function, per_model
+from . import recovery
 from .rows import permute_np, permuted_batch, row_index, shuffle_keys
 
 # Rows of one packed block: a step sends a block to its worker (72 bytes a row for
@@ -232,12 +233,14 @@ def loss_job(df: DataFrame, models: list, batch_col: str | None = "vbatch", loss
     return [mean.get(c, float("nan")) for c in range(len(models))]
 
 
-def _loop(runs: list, nb: int, gradients, val_losses) -> None:
-    """Epochs x batches for all runs. ``gradients(epoch, k, live)`` gives, for each live
-    run, (mean gradient, mean loss, rows) of batch k; ``val_losses(live)`` the
-    validation losses, or None without validation rows."""
-    batch_no = [0] * len(runs)
-    for epoch in range(1, max(r.cfg.epochs for r in runs) + 1):
+def _loop(runs: list, nb: int, gradients, val_losses, keep=None) -> None:
+    """Epochs x batches for all runs, after those that they have done. ``gradients(epoch,
+    k, live)`` gives, for each live run, (mean gradient, mean loss, rows) of batch k;
+    ``val_losses(live)`` the validation losses, or None without validation rows;
+    ``keep(epoch)`` is called after each epoch."""
+    batch_no = [len(r.result.batch_losses) for r in runs]
+    done = max(len(r.result.history) for r in runs)
+    for epoch in range(done + 1, max(r.cfg.epochs for r in runs) + 1):
         live = [r for r in runs if r.active and epoch <= r.cfg.epochs]
         if not live:
             break
@@ -263,9 +266,11 @@ def _loop(runs: list, nb: int, gradients, val_losses) -> None:
                     if r.wait >= r.cfg.patience:
                         r.active = False
                         r.result.stop_epoch = epoch
+        if keep is not None:
+            keep(epoch)
 
 
-def _job_loop(train, val, models, runs, n, bs, nb, batch_col, cache, batch_filter) -> None:
+def _job_loop(train, val, models, runs, n, bs, nb, batch_col, cache, batch_filter, keep=None) -> None:
     """Each step is a Spark job over the persisted table, or over the files of its batch."""
     c0 = runs[0].cfg
     if cache:
@@ -296,7 +301,7 @@ def _job_loop(train, val, models, runs, n, bs, nb, batch_col, cache, batch_filte
         return None if val is None else loss_job(val, current(live), loss=[r.cfg.loss for r in live])
 
     try:
-        _loop(runs, nb, gradients, val_losses)
+        _loop(runs, nb, gradients, val_losses, keep)
     finally:
         if cache:
             train.unpersist()
@@ -337,7 +342,7 @@ def _order(run: str, task: int, epoch: int, place: np.ndarray, shuffle: bool, se
     return held[1:]
 
 
-def _block_loop(train, val, models, runs, n, bs, nb, batch_col, tasks) -> None:
+def _block_loop(train, val, models, runs, n, bs, nb, batch_col, tasks, keep=None) -> None:
     """Each step is a small job over packed blocks: no plan, no scan. The validation
     losses of an epoch come with the first gradients of the next, which need the
     same weights and nothing that the losses decide."""
@@ -415,7 +420,7 @@ def _block_loop(train, val, models, runs, n, bs, nb, batch_col, tasks) -> None:
 
     now: dict = {}
     try:
-        _loop(runs, nb, gradients, val_losses)
+        _loop(runs, nb, gradients, val_losses, keep)
     finally:
         blocks.unpersist()
 
@@ -431,6 +436,18 @@ def _new_run(i: int, c: TrainConfig, w: np.ndarray, has_val: bool, model) -> _Ru
     return _Run(c, w, Optimizer(c, len(w)), plateau, c.lr, best_w=w.copy(), result=TrainResult(c, model), index=i)
 
 
+def _keeper(spark, at: recovery.Checkpoint, runs: list, n: int, bs: int):
+    """Restores the runs, and gives what the loop calls after each epoch."""
+    recovery.restore(spark, at, runs, n, bs)
+    last = max(r.cfg.epochs for r in runs)
+
+    def keep(epoch):
+        going = any(r.active and epoch < r.cfg.epochs for r in runs)
+        if epoch % at.every == 0 or epoch == last or not going:
+            recovery.save(spark, at, runs, n, bs)
+    return keep
+
+
 def block_tasks(df: DataFrame, n: int) -> int:
     """Blocks of a run over n rows, or 0 where a block would have more than ``BLOCK_ROWS`` rows."""
     most = max(1, df.sparkSession.sparkContext.defaultParallelism)
@@ -440,7 +457,7 @@ def block_tasks(df: DataFrame, n: int) -> int:
 
 def fit(train: DataFrame, models: list, configs: list, *, val: DataFrame | None = None,
         n_train: int | None = None, batch_col: str = "batch", cache: bool = True,
-        batch_filter=None, mode: str = "auto") -> list:
+        batch_filter=None, mode: str = "auto", checkpoint: recovery.Checkpoint | None = None) -> list:
     """Train ``models[i]`` with ``configs[i]`` on one shared batch schedule.
 
     ``train`` has ``x``, ``y`` and either ``key`` (shuffled batches; a position from 0
@@ -449,7 +466,8 @@ def fit(train: DataFrame, models: list, configs: list, *, val: DataFrame | None
     early stopping. ``mode``: 'blocks' steps over packed blocks in memory, 'jobs' over
     the table, 'auto' the first where ``block_tasks`` allows it. ``cache=False`` (tables
     too large for memory) keeps nothing: shuffled batches are then read from a table
-    that each epoch writes with a directory for each batch.
+    that each epoch writes with a directory for each batch. ``checkpoint``: commit the
+    state every few epochs, and go on after the epoch last committed under its id.
     """
     if not configs:
         return []
@@ -471,13 +489,14 @@ def fit(train: DataFrame, models: list, configs: list, *, val: DataFrame | None
     bs = c0.batch_size or max(1, math.ceil(n / 10))
     nb = max(1, math.ceil(n / bs))
     runs = [_new_run(i, c, m.flat(), val is not None, m) for i, (m, c) in enumerate(zip(models, configs))]
+    keep = _keeper(train.sparkSession, checkpoint, runs, n, bs) if checkpoint else None
     tasks = block_tasks(train, n) if mode == "blocks" or mode == "auto" and cache else 0
     if mode == "blocks" and not tasks:
         raise ValueError("the rows do not fit in blocks on this cluster")
     if tasks:
-        _block_loop(train, val, models, runs, n, bs, nb, batch_col, tasks)
+        _block_loop(train, val, models, runs, n, bs, nb, batch_col, tasks, keep)
     else:
-        _job_loop(train, val, models, runs, n, bs, nb, batch_col, cache, batch_filter)
+        _job_loop(train, val, models, runs, n, bs, nb, batch_col, cache, batch_filter, keep)
     for r, m in zip(runs, models):
         use_best = val is not None and r.cfg.patience is not None and r.best_epoch is not None
         r.result.model = m.with_flat(r.best_w if use_best else r.w)

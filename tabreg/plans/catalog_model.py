@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from ..operators import matrix as X
 from ..operators import metrics as M
+from ..operators import recovery
 from ..operators import runs as RU
 from ..operators import scale as S
 from ..operators import train as T
 from ..operators.model import MLP, mlp_gradient, mlp_score
 from ..operators.registry import commit_run, read_table, stage_table
+from ..session import shared_path
 from . import housing as H
 from . import workflow as W
 from .catalog import FEATS, HOUSING_CTE, TGT, _r, query, rnd, rnd_all
@@ -279,6 +281,16 @@ def q_train_mlp_python(spark, d):
     return RU.history_table(spark, res, "python")
 
 
+@query("train_mlp_resumed")
+def q_train_mlp_resumed(spark, d):
+    """A run of six epochs over all rows, stopped after three and called again:
+    its progress as committed, each epoch once."""
+    at = recovery.Checkpoint(shared_path(spark, "checkpoints"), "resumed", every=3)
+    for epochs in (3, 6):
+        W.python_flavour(spark, d, epochs=epochs, lr=1e-2, val_split=0.2, patience=20, optimizer="adam", synthetic=True, checkpoint=at)
+    return recovery.progress(spark, at.root, at.run_id).select("run_id", "epoch", "loss", "val_loss", "learning_rate")
+
+
 @query("training_history")
 def q_training_history(spark, d):
     """The run's history table (run_id, epoch from 1, loss, val_loss,
@@ -340,7 +352,6 @@ def q_evaluate_model(spark, d):
 @query("save_load_model")
 def q_save_load_model(spark, d):
     """Trained parameters written to the shared run folder and read back."""
-    from ..session import shared_path
     _, res = _rust_run(spark, d)
     path = shared_path(spark, "models")
     RU.save_model(spark, res.model, path, "rust")
@@ -353,7 +364,6 @@ SELECT {_r('avg(abs(actual - pred))', 4)} AS mae_before, {_r('avg(abs(actual - p
        CAST(0.0 AS DOUBLE) AS mae_diff, TRUE AS verified FROM p""")
 def q_verify_roundtrip(spark, d):
     """|ΔMAE| over all rows between a network and its saved and reloaded copy."""
-    from ..session import shared_path
     path = shared_path(spark, "models")
     RU.save_model(spark, HOUSING_NET, path, "rt")
     back = RU.load_model(spark, path, "rt")
@@ -396,7 +406,6 @@ UNION ALL SELECT 'predictions', n - CAST(floor(0.8 * n) AS BIGINT) FROM n""")
 def q_save_run(spark, d):
     """Every table of one run written to the shared run registry and read back: parameters, optimizer, scaling,
     history, batch losses, predictions of the test split, and the nested run state; a row count for each."""
-    from ..session import shared_path
     p, res = _rust_run(spark, d)
     root = shared_path(spark, "runs")
     preds = T.score_many(p.test, [res.model], keep=("key", "y"))
@@ -423,7 +432,6 @@ def q_run_registry(spark, d):
     """Runs committed to the registry and read back, value by value: a loss curve for each kind of event, and a
     network's predictions over all rows. Every run is committed twice, wrong rows first; an attempt that is
     written but not published, as by a driver lost in between, changes nothing."""
-    from ..session import shared_path
     root = shared_path(spark, "registry")
     day = F.to_date("ts")
     kind = F.when(F.col("event_type") == "view", "seen").otherwise(F.col("event_type"))

@@ -147,12 +147,13 @@ def python_setup(spark: SparkSession, sf_dir: str, *, val_split: float = 0.2, se
 def python_flavour(spark: SparkSession, sf_dir: str, *, epochs: int = C.PYTHON_EPOCHS,
                    lr: float = C.PYTHON_LR, val_split: float = C.VAL_FRACTION,
                    patience: int = C.PYTHON_PATIENCE, min_delta: float = C.PYTHON_MIN_DELTA,
-                   optimizer: str = "sgd", seed: int = 42, synthetic: bool = False):
+                   optimizer: str = "sgd", seed: int = 42, synthetic: bool = False, checkpoint=None):
+    """The Python trainer's run; with a ``recovery.Checkpoint`` it can be stopped and called again."""
     p, tr, va, bs, n_tr = python_setup(spark, sf_dir, val_split=val_split, seed=seed, synthetic=synthetic)
     model = MLP.create((8, 64, 32, 1), "relu", "xavier_normal", seed)
     cfg = T.TrainConfig(epochs=epochs, lr=lr, batch_size=bs, patience=patience, min_delta=min_delta,
                         optimizer=optimizer, shuffle=True, seed=seed, name="python")
-    (res,) = T.fit(tr, [model], [cfg], val=va, n_train=n_tr, cache=n_tr <= CACHE_ROWS)
+    (res,) = T.fit(tr, [model], [cfg], val=va, n_train=n_tr, cache=n_tr <= CACHE_ROWS, checkpoint=checkpoint)
     return p, res
 
 
