@@ -1,13 +1,14 @@
 """License scans by a positional index of rare words.
 
 A template is a licence notice (a word sequence) with a mandatory key phrase. The
-index lists, for each word, the places (template, position) where it stands. For
-each template, the word of the key phrase that is rarest in the corpus (highest
-IDF) is looked up in a file; each hit proposes a start of the phrase, which the
-next rarest words confirm or drop at their relative positions until all of the
-phrase is verified. So every place of a phrase is found, and common words are
-only looked at where a rare one stands. The words of the notice around a verified
-phrase give the score: the IDF share of the notice that is there.
+postings list, for each word, the templates whose key phrase has it as its rarest word
+in the corpus (highest IDF), with its place there. A file's words are looked up once;
+each posting of a hit proposes a start of one template's phrase, and the phrase's next
+rarest words confirm or drop all proposals together, at their relative positions, until
+the whole phrase is verified. So every place of a phrase is found, common words are
+only looked at where a rare one stands, and a template none of whose rarest words
+occurs costs nothing. The words of the notice around a verified phrase give the score:
+the IDF share of the notice that is there.
 
 Two narrow passes: document frequencies of the template words (partial counts
 summed; as many rows as template words), then the scan.
@@ -39,9 +40,31 @@ TEMPLATES = BASE + [
     ("mit", "released under the mit license", "mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy", "permission is hereby granted free of charge"),
     ("mpl", "subject to the terms of the mozilla public license", "mozilla public license"),
+    ("apache", "you may not use this file except in compliance with the license", "except in compliance with the license"),
+    ("artistic", "under the terms of the artistic license", "artistic license"),
+    ("boost", "distributed under the boost software license version", "boost software license"),
+    ("cc0", "the person who associated a work with this deed has dedicated the work to the public domain",
+     "dedicated the work to the public domain"),
+    ("cddl", "subject to the terms of the common development and distribution license", "common development and distribution license"),
+    ("epl", "made available under the terms of the eclipse public license", "eclipse public license"),
+    ("eupl", "licensed under the european union public licence", "european union public licence"),
+    ("gfdl", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license",
+     "gnu free documentation license"),
+    ("gpl", "redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",
+     "general public license as published by the free software foundation"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
+     "for any purpose with or without fee is hereby granted"),
+    ("ms-pl", "licensed under the microsoft public license", "microsoft public license"),
+    ("odbl", "made available under the open database license", "open database license"),
+    ("ofl", "licensed under the sil open font license version", "sil open font license"),
+    ("psf", "python software foundation license version", "python software foundation license"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable",
+     "without any express or implied warranty"),
     ("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
 ]
 
+PROPOSALS = 2_000_000      # held at once by a task, and cells of its score table
+
 U = np.uint64
 _SEP = X.separators(X.NOT_ALNUM)
 
@@ -77,29 +100,58 @@ class Index:
         out[maybe[hit]] = self._id[at[hit]]
         return out
 
-    def scan(self, w: X.Words, idf: np.ndarray):
-        """Per template: (document, start) of every verified key phrase, and the
-        score of each place. Starts are counted in the slice."""
+    def post(self, idf: np.ndarray) -> None:
+        """Builds the postings: templates by the rarest word of their key phrase."""
+        self.idf = idf
+        rank = [sorted(range(len(k)), key=lambda j: (-idf[k[j]], j)) for k in self.keys]
+        width = max(map(len, self.keys))
+        # each phrase's words and their places, rarest first; -1 after its last
+        self.place = np.array([r + [-1] * (width - len(r)) for r in rank])
+        self.word = np.array([[k[j] for j in r] + [-1] * (width - len(r)) for k, r in zip(self.keys, rank)])
+        self.size = np.array([len(k) for k in self.keys])
+        self.posted = np.argsort(self.word[:, 0], kind="stable")
+        self.first = np.searchsorted(self.word[self.posted, 0], np.arange(len(self.words) + 1))
+        self.offset = np.array(self.at)
+        long = max(map(len, self.notices))
+        self.notice = np.array([n + [-1] * (long - len(n)) for n in self.notices])
+        self.weight = np.where(self.notice >= 0, idf[self.notice], 0.0)
+
+    def scan(self, w: X.Words):
+        """(template, document, start, score) of every verified key phrase, as arrays, some
+        hits at a time. Starts are counted in the slice."""
         ids = self.ids(w.hash)
         hits = np.flatnonzero(ids >= 0)
-        doc = np.searchsorted(w.first, hits, "right") - 1     # of the template words only
-        lists = {i: (hits[ids[hits] == i], doc[ids[hits] == i]) for i in np.unique(ids[hits])}
-        none = np.zeros(0, np.int64)
-        for notice, key, at in zip(self.notices, self.keys, self.at):
-            order = sorted(range(len(key)), key=lambda j: (-idf[key[j]], j))
-            p, d = lists.get(key[order[0]], (none, none))
-            start = p - order[0]
-            ok = (start >= w.first[d]) & (start + len(key) <= w.first[d + 1])
-            start, d = start[ok], d[ok]
-            for j in order[1:]:
-                ok = ids[start + j] == key[j]
-                start, d = start[ok], d[ok]
-            found = np.zeros(len(start))
-            for j, word in enumerate(notice):
-                pos = start - at + j
-                inside = (pos >= w.first[d]) & (pos < w.first[d + 1])
-                found += np.where(inside & (ids[np.clip(pos, 0, max(len(ids) - 1, 0))] == word), idf[word], 0.0) if len(start) else 0
-            yield d, start, found / sum(idf[word] for word in notice)
+        fan = np.diff(self.first)[ids[hits]]
+        hits, fan = hits[fan > 0], fan[fan > 0]
+        ends, at = np.cumsum(fan), 0
+        while at < len(hits):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PROPOSALS, "right")))
+            yield self._verify(w, ids, hits[at:to], fan[at:to])
+            at = to
+
+    def _verify(self, w: X.Words, ids: np.ndarray, hits: np.ndarray, fan: np.ndarray):
+        nth = np.arange(fan.sum()) - np.repeat(np.cumsum(fan) - fan, fan)
+        t = self.posted[np.repeat(self.first[ids[hits]], fan) + nth]
+        d = np.repeat(np.searchsorted(w.first, hits, "right") - 1, fan)
+        start = np.repeat(hits, fan) - self.place[t, 0]
+        ok = (start >= w.first[d]) & (start + self.size[t] <= w.first[d + 1])
+        t, d, start = t[ok], d[ok], start[ok]
+        for j in range(1, self.word.shape[1]):
+            more = np.flatnonzero(self.size[t] > j)
+            if not len(more):
+                break
+            ok = np.ones(len(t), bool)
+            ok[more] = ids[start[more] + self.place[t[more], j]] == self.word[t[more], j]
+            t, d, start = t[ok], d[ok], start[ok]
+        score = np.zeros(len(t))
+        step = max(1, PROPOSALS // self.notice.shape[1])
+        for lo in range(0, len(t), step):
+            u, e = t[lo:lo + step], d[lo:lo + step][:, None]
+            pos = (start[lo:lo + step] - self.offset[u])[:, None] + np.arange(self.notice.shape[1])
+            inside = (pos >= w.first[e]) & (pos < w.first[e + 1])
+            there = inside & (ids[np.clip(pos, 0, len(ids) - 1)] == self.notice[u])
+            score[lo:lo + step] = np.where(there, self.weight[u], 0.0).sum(axis=1) / self.weight[u].sum(axis=1)
+        return t, d, start, score
 
 
 _COUNTS = pa.schema([("word", pa.int32()), ("n", pa.int64())])
@@ -126,6 +178,7 @@ def _doc_counts(batches, templates):
 
 def _scan(batches, templates, n_base, idf):
     index = Index(templates)
+    index.post(idf)
     for b in batches:
         for lo, hi, offsets, data in X.slices(b.column(1)):
             w = X.Words(data, offsets, _SEP)
@@ -133,12 +186,12 @@ def _scan(batches, templates, n_base, idf):
             places: list[list] = [[] for _ in range(n)]
             base: list[list] = [[] for _ in range(n)]
             score = np.zeros(n)
-            for t, (d, start, share) in enumerate(index.scan(w, idf)):
+            for t, d, start, share in index.scan(w):
                 np.maximum.at(score, d, share)
-                for doc, s in zip(d.tolist(), (start - w.first[d]).tolist()):
-                    places[doc].append((index.labels[t], s))
-                    if t < n_base:
-                        base[doc].append((index.labels[t], s))
+                for k, doc, s in zip(t.tolist(), d.tolist(), (start - w.first[d]).tolist()):
+                    places[doc].append((index.labels[k], s))
+                    if k < n_base:
+                        base[doc].append((index.labels[k], s))
             starts = [[s for _, s in x] for x in base]
             yield batch(_ROWS, b.column(0).slice(lo, n), np.diff(w.first), [len(x) for x in base],
                         [min(x, default=None) for x in starts], [max(x, default=None) for x in starts],

@@ -1,5 +1,8 @@
+import random
 import re
 
+import numpy as np
+
 from tabreg.llm import licenses, queries
 
 UP = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -43,3 +46,36 @@ def test_query_against_brute_force(spark):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
     assert got == {d["doc_id"]: brute(d["text"]) for d in docs}
     assert sum(bool(v[1]) for v in got.values()) > 10
+
+
+def test_many_templates_by_postings(docs_of, monkeypatch):
+    rng = random.Random(5)
+    names = [f"w{i}" for i in range(40)]
+    templates = []
+    for i in range(600):
+        notice = [rng.choice(names) for _ in range(rng.randint(1, 9))]
+        lo = rng.randrange(len(notice))
+        templates.append((f"t{i}", " ".join(notice), " ".join(notice[lo:lo + rng.randint(1, 4)])))
+    texts = [" ".join(rng.choice(names + ["other"]) for _ in range(rng.choice([0, 3, 200]))) for _ in range(20)] + ["w0 " * 300]
+    want = []
+    for text in texts:
+        words = text.split()
+        want.append(sorted((i, label) for label, _, key in templates for i in range(len(words))
+                           if words[i:i + len(key.split())] == key.split()))
+    index = licenses.Index(templates)
+    index.post(np.linspace(1, 2, len(index.words)))
+    for limit in (2_000_000, 7):                            # all proposals of a slice at once, and a few at a time
+        monkeypatch.setattr(licenses, "PROPOSALS", limit)
+        data = np.frombuffer("".join(texts).encode(), np.uint8)
+        w = licenses.X.Words(data, np.cumsum([0] + [len(t) for t in texts]), licenses._SEP)
+        got = [[] for _ in texts]
+        for t, d, start, score in index.scan(w):
+            for k, doc, s, x in zip(t, d, start, score):
+                got[doc].append((int(s - w.first[doc]), templates[k][0]))
+                words, notice, at = texts[doc].split(), index.notices[k], index.at[k]
+                there = [index.idf[v] for j, v in enumerate(notice) if 0 <= s - w.first[doc] - at + j < len(words)
+                         and words[s - w.first[doc] - at + j] == index.words[v]]
+                assert abs(x - sum(there) / sum(index.idf[v] for v in notice)) < 1e-9
+        assert [sorted(g) for g in got] == want
+    rows = licenses.scan(docs_of(list(enumerate(texts))), templates, 0).collect()
+    assert all(sorted((p["start"], p["label"]) for p in r["places"]) == want[r["doc_id"]] for r in rows)
