@@ -36,6 +36,62 @@ def test_counts_match_the_definition():
         assert (c == brute_counts(t or "")).all(), t
 
 
+def brute_unit(text, idf):
+    v = np.log1p(brute_counts(text).astype(float)) * idf
+    return v / max(np.sqrt(v @ v), 1e-12)
+
+
+def brute_clusters(x):
+    """Spherical k-means by its definition, row by row."""
+    mean = sum(x) / len(x)
+    starts = [max(range(len(x)), key=lambda i: x[i] @ mean)]
+    while len(starts) < min(language.CLUSTERS, len(x)):
+        starts.append(min(range(len(x)), key=lambda i: max(x[i] @ x[j] for j in starts)))
+    centre = [x[i] for i in starts]
+    for _ in range(language.ROUNDS):
+        near = [max(range(len(centre)), key=lambda j: v @ centre[j]) for v in x]
+        for j in range(len(centre)):
+            own = [v for v, k in zip(x, near) if k == j]
+            if own:
+                centre[j] = sum(own) / np.linalg.norm(sum(own))
+    return centre
+
+
+def test_prediction_against_brute_force(docs_of):
+    words = {"en": "the house garden king stands there with of and water".split(), "fr": "la maison jardin été roi avec où eau et".split(),
+             "de": "das haus garten könig steht dort mit und wasser".split()}
+    rng = np.random.RandomState(7)
+    rows = [(i, " ".join(rng.choice(words[lang], rng.randint(4, 25))), lang) for i in range(120) for lang in [list(words)[i % 3]]]
+    rows += [(500, "zxqj vkwq jjzx", None), (501, "the maison", None), (502, "DAS HAUS 12", None)]
+    docs = docs_of([r[:2] for r in rows]).drop("lang").join(
+        docs_of([]).sparkSession.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, lang string"), "doc_id")
+    known = [(t, lang) for i, t, lang in rows if lang and zlib.crc32(str(i).encode()) % language.HELD_OUT != 2]
+    df = sum((brute_counts(t) > 0).astype(float) for t, _ in known)
+    idf = np.log((1 + len(known)) / (1 + df)) + 1
+    model = language.train(docs)
+    assert model.langs == sorted(words) and np.allclose(model.idf, idf, atol=1e-5)
+    # the clusters start from the sampled rows' order, so they are taken as sets
+    centroids, floors = {}, {}
+    for n, lang in enumerate(model.langs):
+        own = model.centroids[model.owner == n].astype(float)
+        x = [brute_unit(t, idf) for t, k in known if k == lang]
+        want = brute_clusters(x)
+        assert len(own) == len(want) and all(max(v @ c for c in own) > 1 - 1e-4 for v in want)
+        floors[lang] = language.REJECT_MARGIN * np.quantile([max(v @ c for c in own) for v in x], language.REJECT_QUANTILE)
+        centroids[lang] = own
+        assert abs(model.floors[n] - floors[lang]) < 1e-5
+    got = {r["doc_id"]: r for r in language.predict(docs, model).collect()}
+    assert len(got) == len(rows)
+    for i, t, _ in rows:
+        v = brute_unit(t, idf)
+        best = {lang: max(v @ c for c in cs) for lang, cs in centroids.items()}
+        lang = max(best, key=best.get)
+        assert got[i]["lang_pred"] == lang and abs(got[i]["score"] - best[lang]) < 1e-5
+        if abs(best[lang] - floors[lang]) > 1e-5:
+            assert got[i]["rejected"] == (best[lang] < floors[lang])
+    assert got[500]["rejected"]
+
+
 def test_edge_rows(spark, docs_of):
     docs = docs_of([(i, "the house and the garden of the king") for i in range(40)] + [(100, None), (101, ""), (102, "12 -- !"),
                    (103, "…"), (None, "the house"), (100, "the garden"), (104, "the king " * 20000)])
