@@ -3,9 +3,10 @@
 Steps are sequential by nature (each uses the previous step's weights), so each
 mini-batch is one Spark job: broadcast parameters -> gradient sums of each partition
 -> sum -> driver update. The driver holds only parameters, optimizer state and
-per-epoch scalars. Where every task's rows fit in one block (``BLOCK_ROWS``), the rows
-are packed once into persisted NumPy blocks and a step is a job without a plan or a
-scan; beyond that it is a query over the table. Both paths run the same loop
+per-epoch scalars. Up to ``BLOCK_ROWS`` rows a core, the rows are packed once into
+persisted NumPy blocks (memory, then local disk) and a step is a job without a plan or a
+scan; beyond that, or with more than ``BLOCK_BATCHES`` batches an epoch, it is a query
+over the table. Both paths run the same loop
 (``_loop``). Several configurations (a grid) share every step. (One barrier job with
 an ``allGather`` for each step was tried: Spark answers a barrier once a second.)
 
@@ -21,6 +22,7 @@ import math
 import pickle
 import time
 import uuid
+from collections import Counter, OrderedDict
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -34,14 +36,22 @@ from ..session import shared_path, ship_package
 from .. import constants as C
 from .matrix import _batch_matrix
 from .metrics import band_expr, grade_expr, metric_exprs
-from .model import DRIVER_SUM_PARTITIONS, MLP, collect_gradients, forward_np, grad_np, gradient_job, loss_function, per_model
+from .model import DRIVER_SUM_PARTITIONS, MLP, collect_gradients, forward_np, grad_np, gradient_job, loss_function, losses_np, per_model
 from . import recovery
 from .rows import permute_np, permuted_batch, row_index, shuffle_keys
 
-# Rows of one packed block: a step sends a block to its worker (72 bytes a row for
-# eight features). Fewer rows than the minimum do not pay for another task.
-BLOCK_ROWS = 500_000
+# A step sends each core its rows (80 bytes a row for eight features), one block of
+# PACK_ROWS at a time: a worker never holds more. At most BLOCK_ROWS rows a core are kept
+# so; fewer than the minimum do not pay for another task.
+BLOCK_ROWS = 16_000_000
 BLOCK_ROWS_MIN = 10_000
+PACK_ROWS = 250_000
+PART_ROWS = 4_000_000      # rows of one persisted partition (320 MB)
+# Every step reads all blocks; with more batches than this, a batch is read by itself.
+BLOCK_BATCHES = 100
+# A fixed batch whose largest share in one partition is this many times the even share
+# would be computed by few tasks: the rows are then dealt out evenly.
+UNEVEN = 3
 
 LOG = logging.getLogger("tabreg.train")
 
@@ -310,36 +320,64 @@ def _job_loop(train, val, models, runs, n, bs, nb, batch_col, cache, batch_filte
 
 
 def _pack(batches):
-    """All rows of a task as one pickled block of arrays: x, y and place of the
+    """A task's rows as pickled blocks of up to ``PACK_ROWS`` rows: x, y and place of the
     training rows, x, y and batch of the validation rows."""
-    xs, cols = [], ([], [], [])
+    held, n = [], 0
     for b in batches:
-        if b.num_rows:
-            xs.append(_batch_matrix(b, None, "x"))
-            for out, c, null in zip(cols, range(1, 4), (0.0, -1, -1)):
-                out.append(b.column(c).fill_null(null).to_numpy(zero_copy_only=False))
-    if not xs:
-        return
-    X, (y, place, vb) = np.concatenate(xs), (np.concatenate(c) for c in cols)
+        for at in range(0, b.num_rows, PACK_ROWS):
+            part = b.slice(at, PACK_ROWS)
+            if n and n + part.num_rows > PACK_ROWS:
+                yield _block(held)
+                held, n = [], 0
+            held.append(part)
+            n += part.num_rows
+    if n:
+        yield _block(held)
+
+
+def _block(batches) -> pa.RecordBatch:
+    X = np.concatenate([_batch_matrix(b, None, "x") for b in batches])
+    y, place, vb = (np.concatenate([b.column(c).fill_null(null).to_numpy(zero_copy_only=False) for b in batches])
+                    for c, null in ((1, 0.0), (2, -1), (3, -1)))
     y, v = y.astype(np.float64), vb >= 0
     block = (X[~v], y[~v].reshape(-1, 1), place[~v].astype(np.int64), X[v], y[v], vb[v].astype(np.int64))
-    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(block)], pa.binary())], names=["block"])
+    return pa.RecordBatch.from_arrays([pa.array([pickle.dumps(block, pickle.HIGHEST_PROTOCOL)], pa.binary())], names=["block"])
 
 
-_ORDER: dict = {}      # in a worker: (run, task) -> (epoch, row order by batch, where batches begin)
+_BATCHES: OrderedDict = OrderedDict()      # in a worker: (run, epoch, task, block) -> each row's batch
+BATCHES_MB = 64                            # at most this much of it
 
 
-def _order(run: str, task: int, epoch: int, place: np.ndarray, shuffle: bool, seed: int, n: int, bs: int, nb: int):
-    """A block's rows by batch in one epoch; kept while steps of that epoch follow."""
-    epoch = epoch if shuffle else 0
-    held = _ORDER.get((run, task))
-    if held is None or held[0] != epoch:
-        for key in [k for k in _ORDER if k[0] != run]:
-            del _ORDER[key]
-        b = permute_np(place, n, shuffle_keys(seed, "epoch", epoch)) // bs if shuffle else place
-        order = np.argsort(b, kind="stable")
-        held = _ORDER[run, task] = epoch, order, np.searchsorted(b[order], np.arange(nb + 1))
-    return held[1:]
+def _batches(at: tuple, place: np.ndarray, shuffle: bool, seed: int, n: int, bs: int) -> np.ndarray:
+    """The batch of each row of a block in one epoch; kept while steps of that epoch follow."""
+    run, epoch = at[:2]
+    held = _BATCHES.get(at)
+    if held is None:
+        for old in [k for k in _BATCHES if k[:2] != (run, epoch)]:
+            del _BATCHES[old]
+        held = permute_np(place, n, shuffle_keys(seed, "epoch", epoch)) // bs if shuffle else place
+        _BATCHES[at] = held = held.astype(np.int32)
+        while sum(b.nbytes for b in _BATCHES.values()) > BATCHES_MB << 20:
+            _BATCHES.popitem(last=False)
+    return held
+
+
+def _packed(src: DataFrame, tasks: int, parts: int | None):
+    """Persisted blocks of the rows: of the table's own partitions, or dealt out to ``parts``."""
+    src = src.coalesce(tasks) if parts is None else src.repartition(parts)
+    return src.mapInArrow(_pack, "block binary").rdd.map(lambda r: bytes(r[0])).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _uneven(blocks, bs: int) -> bool:
+    """Do fixed batches lie in few partitions?"""
+    def shares(it):
+        total = Counter()
+        for raw in it:
+            total.update(dict(zip(*(v.tolist() for v in np.unique(pickle.loads(raw)[2], return_counts=True)))))
+        yield dict(total)
+
+    got = blocks.mapPartitions(shares).collect()
+    return max((c for g in got for c in g.values()), default=0) * len(got) > UNEVEN * bs
 
 
 def _block_loop(train, val, models, runs, n, bs, nb, batch_col, tasks, keep=None) -> None:
@@ -352,11 +390,19 @@ def _block_loop(train, val, models, runs, n, bs, nb, batch_col, tasks, keep=None
     shuffle, seed, has_val = runs[0].cfg.shuffle, runs[0].cfg.seed, val is not None
     src = train.select("x", F.col("y").cast("double").alias("y"),
                        F.col("key" if shuffle else batch_col).cast("long").alias("_p"), F.lit(-1).cast("long").alias("_v"))
-    if has_val:
-        src = src.unionByName(val.select("x", F.col("y").cast("double").alias("y"), F.lit(-1).cast("long").alias("_p"),
-                                         F.col("vbatch").cast("long").alias("_v")))
-    blocks = src.repartition(tasks).mapInArrow(_pack, "block binary").rdd.map(lambda r: bytes(r[0])) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    held = val.select("x", F.col("y").cast("double").alias("y"), F.lit(-1).cast("long").alias("_p"),
+                      F.col("vbatch").cast("long").alias("_v")) if has_val else None
+    parts = tasks * max(1, -(-n // (tasks * PART_ROWS)))
+    if n <= tasks * PACK_ROWS or src.rdd.getNumPartitions() < parts:
+        blocks = whole = _packed(src if held is None else src.unionByName(held), parts, parts)
+        kept = [blocks]
+    else:      # many rows in partitions enough: they are packed where they stand
+        blocks = _packed(src, parts, None)
+        if not shuffle and _uneven(blocks, bs):
+            blocks.unpersist()
+            blocks = _packed(src, parts, parts)
+        kept = [blocks] if held is None else [blocks, _packed(held, parts, None)]
+        whole = sc.union(kept)
     nv = 1 + ((val.agg(F.max("vbatch")).first()[0] if has_val else None) or 0)
     run = uuid.uuid4().hex
     nets = [(m.sizes, m.activation) for m in models]
@@ -370,26 +416,27 @@ def _block_loop(train, val, models, runs, n, bs, nb, batch_col, tasks, keep=None
         bc = sc.broadcast([(r.index, r.w) for r in live])
 
         def part(task, it):
-            from pyspark import TaskContext
-            for raw in it:
+            sets = [(i, w, _net(nets[i], w)) for i, w in bc.value]
+            total = None
+            for number, raw in enumerate(it):
                 X, y, place, Xv, yv, vb = pickle.loads(raw)
                 out = []
-                order, cut = _order(run, TaskContext.get().partitionId(), epoch, place, shuffle, seed, n, bs, nb)
-                at = order[cut[k]:cut[k + 1]]
+                at = np.flatnonzero(_batches((run, epoch if shuffle else 0, task, number), place, shuffle, seed, n, bs) == k)
                 bx, by = X[at], y[at]
-                for i, w in bc.value:
-                    net = _net(nets[i], w)
+                for i, w, net in sets:
                     g, lo = grad_np(net.params, net.activation, bx, by, ties[i], losses[i]) if len(at) else (np.zeros(len(w)), 0.0)
                     out.append(np.concatenate([g, [lo, float(len(at))]]))
                     if validate:
-                        e = losses[i](forward_np(net.params, net.activation, Xv)[:, 0] - yv, 0.0)[0]
-                        out.append(np.bincount(vb, weights=e, minlength=nv))
+                        out.append(np.bincount(vb, weights=losses_np(net.params, net.activation, Xv, yv, losses[i]), minlength=nv))
                 if validate:
                     out.append(np.bincount(vb, minlength=nv).astype(np.float64))
-                yield np.concatenate(out)
+                out = np.concatenate(out)
+                total = out if total is None else total + out
+            if total is not None:
+                yield total
 
-        sums = blocks.mapPartitionsWithIndex(part)
-        if tasks > DRIVER_SUM_PARTITIONS:
+        sums = (whole if validate else blocks).mapPartitionsWithIndex(part)
+        if sums.getNumPartitions() > DRIVER_SUM_PARTITIONS:
             total = sums.treeReduce(np.add)
         else:
             total = sum(sums.collect())
@@ -422,7 +469,8 @@ def _block_loop(train, val, models, runs, n, bs, nb, batch_col, tasks, keep=None
     try:
         _loop(runs, nb, gradients, val_losses, keep)
     finally:
-        blocks.unpersist()
+        for rdd in kept:
+            rdd.unpersist()
 
 
 def _net(shape, w: np.ndarray) -> MLP:
@@ -449,7 +497,7 @@ def _keeper(spark, at: recovery.Checkpoint, runs: list, n: int, bs: int):
 
 
 def block_tasks(df: DataFrame, n: int) -> int:
-    """Blocks of a run over n rows, or 0 where a block would have more than ``BLOCK_ROWS`` rows."""
+    """Tasks of a step over packed rows, or 0 where one would have more than ``BLOCK_ROWS`` rows."""
     most = max(1, df.sparkSession.sparkContext.defaultParallelism)
     tasks = max(1, min(most, -(-n // BLOCK_ROWS_MIN)))
     return tasks if n <= tasks * BLOCK_ROWS else 0
@@ -464,7 +512,7 @@ def fit(train: DataFrame, models: list, configs: list, *, val: DataFrame | None
     without gaps, else rows are ranked by it once) or ``batch_col`` (fixed batches).
     ``val`` (``x``, ``y``, ``vbatch``) enables validation loss, plateau schedule and
     early stopping. ``mode``: 'blocks' steps over packed blocks in memory, 'jobs' over
-    the table, 'auto' the first where ``block_tasks`` allows it. ``cache=False`` (tables
+    the table, 'auto' the first where ``block_tasks`` and ``BLOCK_BATCHES`` allow it. ``cache=False`` (tables
     too large for memory) keeps nothing: shuffled batches are then read from a table
     that each epoch writes with a directory for each batch. ``checkpoint``: commit the
     state every few epochs, and go on after the epoch last committed under its id.
@@ -490,7 +538,7 @@ def fit(train: DataFrame, models: list, configs: list, *, val: DataFrame | None
     nb = max(1, math.ceil(n / bs))
     runs = [_new_run(i, c, m.flat(), val is not None, m) for i, (m, c) in enumerate(zip(models, configs))]
     keep = _keeper(train.sparkSession, checkpoint, runs, n, bs) if checkpoint else None
-    tasks = block_tasks(train, n) if mode == "blocks" or mode == "auto" and cache else 0
+    tasks = block_tasks(train, n) if mode == "blocks" or mode == "auto" and cache and nb <= BLOCK_BATCHES else 0
     if mode == "blocks" and not tasks:
         raise ValueError("the rows do not fit in blocks on this cluster")
     if tasks:

@@ -41,7 +41,13 @@ class Prepared:
 POS_BLOCK_MIN = 1 << 20
 POS_BLOCKS_MAX = 4096
 ROWS_PER_WRITE_TASK = 4_000_000
-CACHE_ROWS = 20_000_000
+# Up to this many rows are kept for training (in memory, then on the executors' disks)
+# and the table needs no layout; at most T.BLOCK_ROWS a core.
+CACHE_ROWS = 200_000_000
+
+
+def keeps_rows(spark: SparkSession, n: int) -> bool:
+    return n <= min(CACHE_ROWS, max(20_000_000, T.BLOCK_ROWS * spark.sparkContext.defaultParallelism))
 
 
 def batch_predicate(k: int, bs: int, block: int):
@@ -56,8 +62,8 @@ def prepare(spark: SparkSession, sf_dir: str, *, ddof: int = 1, scale_target: bo
             train_frac: float = 0.8, batch_size: int | None = None, flavour: str = "rust",
             synthetic: bool = False) -> Prepared:
     """The feature table with source positions (joins run once per
-    application, written to the shared checkpoint folder; above CACHE_ROWS
-    re-laid out by position blocks); then ONE aggregate over it fits the
+    application, written to the shared checkpoint folder; above what ``keeps_rows``
+    allows re-laid out by position blocks); then ONE aggregate over it fits the
     scaler(s), counts rows and checks the positions; scaling is a projection
     at read time; the 80/20 split is a predicate on the position and batches
     are ``floor(position / size)``."""
@@ -67,7 +73,7 @@ def prepare(spark: SparkSession, sf_dir: str, *, ddof: int = 1, scale_target: bo
     par = spark.sparkContext.defaultParallelism
     parts = max(par * 10, -(-est // ROWS_PER_WRITE_TASK))   # a batch spans >= par files
     table = H.housing_table(spark, sf_dir, position=True)   # the joins, run once per application
-    if est > CACHE_ROWS:
+    if not keeps_rows(spark, int(train_frac * est)):
         # training will read batches straight from the files: lay them out by
         # position (range-partitioned, so each task writes one or two blocks
         # and a mini-batch reads only its blocks' files)
@@ -77,7 +83,7 @@ def prepare(spark: SparkSession, sf_dir: str, *, ddof: int = 1, scale_target: bo
               .write.mode("overwrite").partitionBy("pos_block").parquet(path))
         base = spark.read.parquet(path)
     else:
-        # small enough to be cached for training: read the feature table as is
+        # kept for training: read the feature table as is
         base = table.withColumn("pos_block", F.floor(F.col("row_pos") / F.lit(block)).cast("long"))
     scalers = [S.StandardScaler(H.FEATURES, ddof)]
     if scale_target:
@@ -119,11 +125,11 @@ def rust_flavour(spark: SparkSession, sf_dir: str, *, epochs: int = C.RUST_EPOCH
     bs = batch_size or R.default_batch_size(p.n_train, "rust")
     cfg = T.TrainConfig(epochs=epochs, lr=lr, batch_size=bs, patience=None, plateau=False,
                         shuffle=False, seed=seed, name="rust")
-    # Small training sets are cached in memory (a step is then ~one job's
-    # overhead); large ones are not: a batch is a position range read
+    # Training sets are packed once and kept (a step is then one small job);
+    # beyond that they are not: a batch is a position range read
     # straight from the block-partitioned table, so each step scans only its
     # own files instead of the whole cache.
-    big = p.n_train > CACHE_ROWS
+    big = not keeps_rows(spark, p.n_train)
     (res,) = T.fit(p.train, [model], [cfg], n_train=p.n_train, cache=not big,
                    batch_filter=lambda k: batch_predicate(k, bs, p.block))
     return p, res
@@ -153,7 +159,7 @@ def python_flavour(spark: SparkSession, sf_dir: str, *, epochs: int = C.PYTHON_E
     model = MLP.create((8, 64, 32, 1), "relu", "xavier_normal", seed)
     cfg = T.TrainConfig(epochs=epochs, lr=lr, batch_size=bs, patience=patience, min_delta=min_delta,
                         optimizer=optimizer, shuffle=True, seed=seed, name="python")
-    (res,) = T.fit(tr, [model], [cfg], val=va, n_train=n_tr, cache=n_tr <= CACHE_ROWS, checkpoint=checkpoint)
+    (res,) = T.fit(tr, [model], [cfg], val=va, n_train=n_tr, cache=keeps_rows(spark, n_tr), checkpoint=checkpoint)
     return p, res
 
 
@@ -167,7 +173,7 @@ def grid_search(spark: SparkSession, sf_dir: str, grid=None, *, seed: int = 42,
     models = [MLP.create((8, 64, 32, 1), "relu", "xavier_normal", seed) for _ in grid]
     cfgs = [T.TrainConfig(epochs=e, lr=lr, patience=pt, batch_size=bs, optimizer=optimizer,
                           shuffle=True, seed=seed, name=label) for e, lr, pt, label in grid]
-    results = T.fit(tr, models, cfgs, val=va, n_train=n_tr, cache=n_tr <= CACHE_ROWS)
+    results = T.fit(tr, models, cfgs, val=va, n_train=n_tr, cache=keeps_rows(spark, n_tr))
     ev = T.evaluate_models(p.test, [r.model for r in results])
     info = spark.createDataFrame(
         [(i, r.config.name, r.config.epochs, r.config.lr, r.config.patience, len(r.history),

@@ -281,3 +281,60 @@ def test_folds_stream_many_runs(spark, monkeypatch):
     assert RU.early_stopping(empty, 4).count() == 0 and RU.plateau_schedule(empty, 1.0).columns == ["run_id", "epoch", "learning_rate"]
     plan = RU.early_stopping(h, 4)._jdf.queryExecution().executedPlan().toString()
     assert "collect_list" not in plan and plan.count("hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("shuffle", [True, False])
+def test_rows_packed_where_they_stand_equal_rows_dealt_out(spark, monkeypatch, shuffle):
+    """Many blocks in a partition, packed without a shuffle; fixed batches that lie in few partitions are dealt out."""
+    rng = np.random.default_rng(5)
+    rows = [([float(v) for v in x], float(x[0] - x[1]), i, i // 40) for i, x in enumerate(rng.normal(size=(160, 8)))]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 4), "x array<double>, y double, key long, batch int")
+    val = df.where("key % 5 = 0").selectExpr("x", "y", "cast(key % 3 as int) as vbatch")
+    cfg = T.TrainConfig(epochs=2, lr=0.05, batch_size=40, patience=None, shuffle=shuffle, seed=4)
+    net = MD.MLP.create((8, 6, 1), seed=1)
+    (jobs,) = T.fit(df, [net], [cfg], val=val, mode="jobs")
+    packed, plans = T._packed, []
+
+    def seen(src, tasks, parts):
+        plans.append(parts)
+        return packed(src, tasks, parts)
+    monkeypatch.setattr(T, "_packed", seen)
+    monkeypatch.setattr(T, "BLOCK_ROWS_MIN", 40)
+    monkeypatch.setattr(T, "PACK_ROWS", 7)
+    (blocks,) = T.fit(df, [net], [cfg], val=val, mode="blocks")
+    assert plans == ([None, None] if shuffle else [None, 4, None])
+    assert np.allclose(blocks.model.flat(), jobs.model.flat(), atol=1e-9)
+    assert [b["batch_loss"] for b in blocks.batch_losses] == pytest.approx([b["batch_loss"] for b in jobs.batch_losses])
+    assert [h["val_loss"] for h in blocks.history] == pytest.approx([h["val_loss"] for h in jobs.history])
+
+
+def test_a_task_packs_its_rows_in_bounded_blocks(monkeypatch):
+    import pickle
+
+    import pyarrow as pa
+    monkeypatch.setattr(T, "PACK_ROWS", 10)
+
+    def batch(at, n):
+        ids = range(at, at + n)
+        return pa.RecordBatch.from_arrays([pa.array([[float(i)] for i in ids]), pa.array([float(i) for i in ids]), pa.array(list(ids), pa.int64()),
+                                           pa.array([-1 if i % 4 else 0 for i in ids], pa.int64())], names=["x", "y", "_p", "_v"])
+    got = [pickle.loads(b.column(0)[0].as_py()) for b in T._pack([batch(0, 7), batch(7, 0), batch(7, 5), batch(12, 23)])]
+    sizes = [len(b[0]) + len(b[3]) for b in got]
+    assert max(sizes) <= 10 and sum(sizes) == 35
+    assert sorted(v for b in got for v in b[1][:, 0].tolist() + b[4].tolist()) == [float(i) for i in range(35)]
+    assert sorted(v for b in got for v in b[2].tolist()) == [i for i in range(35) if i % 4]
+
+
+def test_gradients_take_rows_in_chunks_that_fit_a_cache(monkeypatch):
+    rng = np.random.default_rng(1)
+    X, y = rng.normal(size=(5000, 8)), rng.normal(size=(5000, 1))
+    m = MD.MLP.create((8, 6, 1), seed=2)
+    seen, act = [], MD._act
+    monkeypatch.setattr(MD, "_act", lambda z, name: seen.append(len(z)) or act(z, name))
+    got = MD.grad_np(m.params, "relu", X, y)
+    assert sum(seen) == 5000 and max(seen) <= MD.CHUNK_ROWS
+    monkeypatch.setattr(MD, "CHUNK_ROWS", 10_000)
+    want = MD.grad_np(m.params, "relu", X, y)
+    assert np.allclose(got[0], want[0], atol=1e-9) and got[1] == pytest.approx(want[1])
+    none = MD.grad_np(m.params, "relu", X[:0], y[:0])
+    assert not none[0].any() and none[1] == 0.0

@@ -73,3 +73,25 @@ def test_registered_training_runs_have_the_reference_epochs(spark, monkeypatch):
         with pytest.raises(Seen) as seen:
             E.queries()[name](spark, SF)
         assert seen.value.args[0] == settings
+
+
+def test_rows_that_are_kept_are_not_laid_out_again(spark, monkeypatch):
+    """30M rows: training packs them, so the feature table is read as it was written, in one piece of work less."""
+    monkeypatch.setattr(W.H, "table_rows", lambda spark, d, name: 30_000_000 if name == "lineitem" else 1)
+    p = W.prepare(spark, SF)
+    assert not [f for f in p.train.inputFiles() if "/prepared-" in f]
+    monkeypatch.setattr(W, "CACHE_ROWS", 100)
+    assert [f for f in W.prepare(spark, SF).train.inputFiles() if "/prepared-" in f]
+
+
+def test_long_tables_train_on_packed_rows(spark, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    def fit(train, models, configs, *, cache, **_):
+        raise Seen(cache)
+    monkeypatch.setattr(W.T, "fit", fit)
+    monkeypatch.setattr(W, "python_setup", lambda *a, **k: (None, None, None, 2_400_000, 24_000_000))
+    with pytest.raises(Seen) as seen:
+        W.python_flavour(spark, SF)
+    assert seen.value.args[0] is True
