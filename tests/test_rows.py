@@ -190,3 +190,20 @@ def test_permuted_split_sizes(spark):
         assert sorted(r["rank"] for r in rows if r["split"] == part) == list(range(size))
     with pytest.raises(ValueError):
         R.permuted_split(df, "pos", 997, 0.5, seed=3)
+
+
+def test_permutation_runs_on_arrow_batches_once_a_row(spark):
+    """No interpreted loop of lambdas; a filter on the split does not compute the place a second time."""
+    df = spark.range(997).withColumnRenamed("id", "pos")
+    part = R.permuted_split(df, "pos", 997, 0.2, seed=3).where("split = 'train'").select((F.col("rank") + 1).alias("r"))
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "lambda" not in plan
+    assert part.agg(F.sum("r")).first()[0] == 798 * 799 // 2
+
+
+def test_a_walk_that_does_not_end_is_an_error(monkeypatch):
+    keys = R.shuffle_keys(1)
+    assert sorted(R.permute_np(np.arange(5), 5, keys).tolist()) == list(range(5))
+    monkeypatch.setattr(R, "WALKS", 0)             # 5 of 8 values
+    with pytest.raises(ValueError, match="did not end"):
+        R.permute_np(np.arange(5), 5, keys)
