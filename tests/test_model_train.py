@@ -338,3 +338,25 @@ def test_gradients_take_rows_in_chunks_that_fit_a_cache(monkeypatch):
     assert np.allclose(got[0], want[0], atol=1e-9) and got[1] == pytest.approx(want[1])
     none = MD.grad_np(m.params, "relu", X[:0], y[:0])
     assert not none[0].any() and none[1] == 0.0
+
+
+def test_a_chunk_of_rows_stays_in_a_core_s_cache():
+    sizes = (64, 32, 1)
+    assert MD.CHUNK_ROWS * sum(sizes) * 8 <= 512 << 10          # activations; as much for the gradients
+    rng = np.random.default_rng(1)
+    X, y = rng.normal(size=(1500, 8)), rng.normal(size=(1500, 1))
+    for act in MD.ACTS:
+        m = MD.MLP.create((8, 5, 4, 1), act, seed=2)
+        (W1, b1), (W2, b2), (W3, b3) = m.params
+        f = {"relu": lambda z: np.maximum(z, 0), "sigmoid": lambda z: 1 / (1 + np.exp(-z)), "tanh": np.tanh, "identity": lambda z: z}[act]
+        d = {"relu": lambda a: a > 0, "sigmoid": lambda a: a * (1 - a), "tanh": lambda a: 1 - a * a, "identity": np.ones_like}[act]
+        a1 = f(X @ W1 + b1)
+        a2 = f(a1 @ W2 + b2)
+        g3 = 2 * (a2 @ W3 + b3 - y)
+        g2 = g3 @ W3.T * d(a2)
+        g1 = g2 @ W2.T * d(a1)
+        want = np.concatenate([v.ravel() for a, g in ((X, g1), (a1, g2), (a2, g3)) for v in (a.T @ g, g.sum(axis=0))])
+        kept = X.copy()
+        assert np.allclose(MD.grad_np(m.params, act, X, y, loss="mse")[0], want) and np.array_equal(X, kept)
+    z = np.array([np.nan, np.inf, -np.inf, -1.0, 2.0])
+    assert MD._act(z, "relu").tolist() == [0.0, np.inf, 0.0, 0.0, 2.0]
